@@ -68,11 +68,11 @@ def split_join(
     hot = frequent_values(left, key, limits)
     if not null_safe and how != "left":
         hot = [value for value in hot if value is not None]
+    if how == "left_semi":
+        right = right.select(key).distinct()
     if not hot:
         return _join(left, right, key, how, null_safe)
     partners = right.where(one_of(column, hot))
-    if how == "left_semi":
-        partners = partners.select(key).distinct()
     if unique_right or how == "left_semi" or fits_broadcast(partners, limits):
         partners = F.broadcast(partners)
     frequent = _join(left.where(one_of(column, hot)), partners, key, how, null_safe)
@@ -86,20 +86,16 @@ def semi_join_in(
     left: DataFrame,
     right: DataFrame,
     key: str,
-    small_left: bool | None = None,
     limits: Limits = DEFAULT,
 ) -> DataFrame:
     """Rows of ``left`` whose ``key`` occurs in ``right``, as IN with a subquery.
 
     With few left keys the much larger right side is reduced to them where it is
     read, so that what comes back is no larger than they are and is broadcast in
-    turn. ``small_left`` tells the size if the caller has measured it.
+    turn.
     """
     keys = left.select(key)
-    if small_left is None:
-        small_left = fits_broadcast(keys, limits)
-    if small_left:
-        wanted = F.broadcast(keys.distinct())
-        present = right.select(key).join(wanted, key, "left_semi").distinct()
+    if fits_broadcast(keys, limits):
+        present = right.select(key).join(F.broadcast(keys), key, "left_semi").distinct()
         return left.join(F.broadcast(present), key, "left_semi")
-    return split_join(left, right.select(key).distinct(), key, "left_semi", limits=limits)
+    return split_join(left, right, key, "left_semi", limits=limits)

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from typing import Any
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kudosflow.operators.limits import DEFAULT, Limits, frequent_values, none_of, one_of
+from kudosflow.session import scratch_path
 
-def number_rows(df: DataFrame, key: str, order: list[Column], name: str = "row") -> DataFrame:
-    """Number the rows of each ``key`` from 1 in the given order."""
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(key).orderBy(*order)))
+# Rows of one group of equal rows that a single task writes out.
+COPIES_PER_TASK = 100_000
 
 
 def first_per_group(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
@@ -20,4 +23,88 @@ def first_per_group(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
     another of the tied rows.
     """
     helper = "row__first"
-    return number_rows(df, key, order, helper).where(F.col(helper) == 1).drop(helper)
+    numbered = df.withColumn(helper, F.row_number().over(Window.partitionBy(key).orderBy(*order)))
+    return numbered.where(F.col(helper) == 1).drop(helper)
+
+
+def number_rows(
+    df: DataFrame, key: str, order: list[Column], name: str = "row", limits: Limits = DEFAULT
+) -> DataFrame:
+    """Number all rows of each ``key`` from 1 in the given order, as bigint.
+
+    A window puts each key into one task. Keys with too many rows for that are
+    numbered apart, each over many tasks.
+    """
+    hot = frequent_values(df, key, limits)
+    window = Window.partitionBy(key).orderBy(*order)
+    number = F.row_number().over(window).cast("bigint")
+    if not hot:
+        return df.withColumn(name, number)
+    others = df.where(none_of(F.col(key), hot)).withColumn(name, number)
+    return others.unionByName(_number_spread(df, key, hot, order, name))
+
+
+def _number_spread(
+    df: DataFrame, key: str, hot: list[Any], order: list[Column], name: str
+) -> DataFrame:
+    """Number the rows of the ``hot`` keys over sorted slices.
+
+    Equal rows are counted first and stand for themselves as one row. Slices by
+    key and order are then even, and the number of a row is its number within
+    the slice plus the size of the key's slices before. The slices are written
+    out because their bounds come from a sample that a second evaluation might
+    draw differently.
+    """
+    spark = df.sparkSession
+    slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # The hash makes the order total over rows that differ anywhere.
+    full = [*order, F.xxhash64(*df.columns)]
+    placed = (
+        df.where(one_of(F.col(key), hot))
+        .groupBy(*df.columns)
+        .agg(F.count(F.lit(1)).alias("row__copies"))
+        .repartitionByRange(slices, F.col(key), *full)
+        .withColumn("row__slice", F.spark_partition_id())
+    )
+    path = scratch_path(spark, "slices")
+    placed.write.parquet(path)
+    placed = spark.read.schema(placed.schema).parquet(path)
+
+    # At most one row per slice and one more per hot key.
+    before = Window.partitionBy("row__key").orderBy("row__of")
+    starts = (
+        placed.groupBy(F.col(key).alias("row__key"), F.col("row__slice").alias("row__of"))
+        .agg(F.sum("row__copies").alias("row__size"))
+        .withColumn(
+            "row__start",
+            F.sum("row__size").over(before.rowsBetween(Window.unboundedPreceding, 0))
+            - F.col("row__size"),
+        )
+        .drop("row__size")
+    )
+    within = Window.partitionBy(key, "row__slice").orderBy(*full)
+    ranges = (
+        placed.withColumn(
+            "row__last",
+            F.sum("row__copies").over(within.rowsBetween(Window.unboundedPreceding, 0)),
+        )
+        .join(
+            F.broadcast(starts),
+            F.col(key).eqNullSafe(F.col("row__key"))
+            & (F.col("row__slice") == F.col("row__of")),
+        )
+        .withColumn("row__last", F.col("row__last") + F.col("row__start"))
+        .withColumn("row__from", F.col("row__last") - F.col("row__copies") + 1)
+    )
+    if placed.agg(F.max("row__copies")).first()[0] > COPIES_PER_TASK:
+        blocks = F.sequence("row__from", "row__last", F.lit(COPIES_PER_TASK).cast("long"))
+        ranges = (
+            ranges.withColumn("row__from", F.explode(blocks))
+            .repartition(slices, key, "row__from")
+            .withColumn(
+                "row__last",
+                F.least("row__last", F.col("row__from") + F.lit(COPIES_PER_TASK - 1)),
+            )
+        )
+    numbers = F.explode(F.sequence("row__from", "row__last")).alias(name)
+    return ranges.select(*df.columns, numbers)

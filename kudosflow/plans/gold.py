@@ -13,7 +13,6 @@ from kudosflow.operators import (
     fits_broadcast,
     large_join,
     register_views,
-    semi_join_in,
     split_join,
     sql_view,
 )
@@ -65,8 +64,8 @@ def best_reviews(
     businesses = drop_incomplete(businesses.select(*schemas.TOP_RATED_BUSINESSES.names))
     few = fits_broadcast(businesses, limits)
     if few:
-        ids = businesses.select("business_id").distinct()
-        reviews = reviews.join(F.broadcast(ids), "business_id", "left_semi")
+        ids = F.broadcast(businesses.select("business_id"))
+        reviews = reviews.join(ids, "business_id", "left_semi")
     candidates = rated_reviews(reviews, users, rating, limits)
     chosen = first_per_group(candidates, "business_id", [F.col("useful").desc(), *TIE_BREAK])
     chosen = drop_incomplete(chosen)
@@ -86,16 +85,17 @@ def reviewed_by_engaged(
 ) -> DataFrame:
     """Businesses with a review of ``rating`` by one of the users; NULL ids never match."""
     businesses = businesses.select(*schemas.REVIEWED_BY_ENGAGED.names)
+    ids = businesses.select("business_id")
     picks = reviews.where(F.col("stars") == rating).select("business_id", "user_id")
-    few = fits_broadcast(businesses.select("business_id"), limits)
+    few = fits_broadcast(ids, limits)
     if few:
-        ids = businesses.select("business_id").distinct()
         picks = picks.join(F.broadcast(ids), "business_id", "left_semi")
-    people = users.select("user_id")
-    by_engaged = large_join(
-        picks, people.distinct(), "user_id", "left_semi", bound=people, limits=limits
-    )
-    return semi_join_in(businesses, by_engaged, "business_id", small_left=few, limits=limits)
+    by_engaged = large_join(picks, users.select("user_id"), "user_id", "left_semi", limits=limits)
+    if few:
+        # No more ids than were sent out are left.
+        found = F.broadcast(by_engaged.select("business_id").distinct())
+        return businesses.join(found, "business_id", "left_semi")
+    return split_join(businesses, by_engaged, "business_id", "left_semi", limits=limits)
 
 
 # The same question as SQL over the session views of the three silver tables.

@@ -33,9 +33,9 @@ by_engaged AS (
     FROM reviews r JOIN engaged u ON r.user_id IS NOT DISTINCT FROM u.user_id),
 five_stars AS (SELECT * FROM by_engaged WHERE stars = 5),
 ranked AS (
-    SELECT *, CAST(row_number() OVER (PARTITION BY business_id
+    SELECT *, row_number() OVER (PARTITION BY business_id
         ORDER BY useful DESC NULLS LAST, review_id, username, review_date, review_text,
-                 user_average_stars) AS INTEGER) AS row
+                 user_average_stars) AS row
     FROM five_stars),
 best AS (SELECT * EXCLUDE (row) FROM ranked WHERE row = 1)
 """

@@ -19,6 +19,7 @@ from kudosflow.operators import (
     large_join,
     number_rows,
     semi_join_in,
+    split_join,
 )
 from kudosflow.plans import gold
 from kudosflow.plans.silver import checkin_counts
@@ -148,13 +149,8 @@ def join_filter_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     best = top1_per_group(spark, sf_dir).select("business_id", "review_id", "username")
-    return large_join(
-        views.top_rated(spark, sf_dir),
-        best,
-        "business_id",
-        "left",
-        unique_right=True,
-        bound=views.businesses(spark, sf_dir),
+    return split_join(
+        views.top_rated(spark, sf_dir), best, "business_id", "left", unique_right=True
     )
 
 
