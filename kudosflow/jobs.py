@@ -1,6 +1,6 @@
 """The six jobs over one lake root: ``spark-submit`` this file or run it as a module.
 
-    python -m kudosflow.jobs ROOT [--only JOB ...] [--infer]
+    python -m kudosflow.jobs ROOT [--only JOB ...] [--infer] [--no-rebalance]
 
 Each job is a full refresh. Without ``--only`` all run, silver before gold.
 """
@@ -34,15 +34,20 @@ REVIEWED = "top_rated_business_reviewed_by_engaged_users"
 
 
 class Lake:
-    """Paths below one root, and how bronze records are read."""
+    """Paths below one root, how bronze records are read and tables laid out.
+
+    A bronze schema of None means to infer it.
+    """
 
     def __init__(
         self,
         spark: SparkSession,
         root: str,
         bronze_schemas: dict[str, StructType | None] | None = None,
+        rebalance: bool = True,
     ):
         self.spark = spark
+        self.rebalance = rebalance
         self.root = root.rstrip("/")
         declared = {
             "checkin": schemas.CHECKIN,
@@ -73,17 +78,20 @@ def checkin_counts(lake: Lake) -> None:
 
 def engaged_users(lake: Lake) -> None:
     engaged = silver.engaged_users(lake.bronze("user"))
-    overwrite_partitioned(engaged, lake.path("silver", ENGAGED_USERS), "average_stars")
+    path = lake.path("silver", ENGAGED_USERS)
+    overwrite_partitioned(engaged, path, "average_stars", rebalance=lake.rebalance)
 
 
 def top_rated_businesses(lake: Lake) -> None:
     top_rated = silver.top_rated_businesses(lake.bronze("business"))
-    overwrite_partitioned(top_rated, lake.path("silver", TOP_RATED), "state")
+    path = lake.path("silver", TOP_RATED)
+    overwrite_partitioned(top_rated, path, "state", rebalance=lake.rebalance)
 
 
 def cleaned_reviews(lake: Lake) -> None:
     cleaned = silver.cleaned_reviews(lake.bronze("review"))
-    overwrite_merging_schema(cleaned, lake.path("silver", REVIEWS), "stars")
+    path = lake.path("silver", REVIEWS)
+    overwrite_merging_schema(cleaned, path, "stars", rebalance=lake.rebalance)
 
 
 def _silver_tables(lake: Lake) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -96,7 +104,8 @@ def _silver_tables(lake: Lake) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 def best_reviews(lake: Lake) -> None:
     best = gold.best_reviews(*_silver_tables(lake))
-    overwrite_merging_schema(best, lake.path("gold", BEST_REVIEWS), "state")
+    path = lake.path("gold", BEST_REVIEWS)
+    overwrite_merging_schema(best, path, "state", rebalance=lake.rebalance)
 
 
 def reviewed_by_engaged(lake: Lake) -> None:
@@ -124,10 +133,15 @@ def main(arguments: list[str] | None = None) -> None:
         action="store_true",
         help="infer the check-in and review schemas, to keep fields that are not declared",
     )
+    parser.add_argument(
+        "--no-rebalance",
+        action="store_true",
+        help="write partitioned tables without a shuffle, one file per task and value",
+    )
     options = parser.parse_args(arguments)
     spark = build_session("kudosflow")
     inferred = {"checkin": None, "review": None} if options.infer else {}
-    lake = Lake(spark, options.root, inferred)
+    lake = Lake(spark, options.root, inferred, not options.no_rebalance)
     for name, job in JOBS.items():
         if name in options.only:
             job(lake)

@@ -28,14 +28,21 @@ def first_per_group(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
 
 
 def number_rows(
-    df: DataFrame, key: str, order: list[Column], name: str = "row", limits: Limits = DEFAULT
+    df: DataFrame,
+    key: str,
+    order: list[Column],
+    name: str = "row",
+    counted: DataFrame | None = None,
+    limits: Limits = DEFAULT,
 ) -> DataFrame:
     """Number all rows of each ``key`` from 1 in the given order, as bigint.
 
     A window puts each key into one task. Keys with too many rows for that are
-    numbered apart, each over many tasks.
+    numbered apart, each over many tasks. To find them, ``counted`` may stand in
+    for ``df``: a plan that is cheaper to run and holds each key as often or
+    more.
     """
-    hot = frequent_values(df, key, limits)
+    hot = frequent_values(df if counted is None else counted, key, limits)
     window = Window.partitionBy(key).orderBy(*order)
     number = F.row_number().over(window).cast("bigint")
     if not hot:
@@ -96,7 +103,7 @@ def _number_spread(
         .withColumn("row__last", F.col("row__last") + F.col("row__start"))
         .withColumn("row__from", F.col("row__last") - F.col("row__copies") + 1)
     )
-    if placed.agg(F.max("row__copies")).first()[0] > COPIES_PER_TASK:
+    if (placed.agg(F.max("row__copies")).first()[0] or 0) > COPIES_PER_TASK:
         blocks = F.sequence("row__from", "row__last", F.lit(COPIES_PER_TASK).cast("long"))
         ranges = (
             ranges.withColumn("row__from", F.explode(blocks))

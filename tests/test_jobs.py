@@ -187,3 +187,14 @@ def test_inferred_reviews_keep_undeclared_fields(lake, spark):
     inferred = jobs.Lake(spark, lake.root, {"review": None}).bronze("review")
     assert {"useful", "tags"} <= set(inferred.columns)
     assert inferred.count() == len(REVIEWS) + 1
+
+
+def test_command_line_runs_chosen_jobs(lake, spark, rows_of):
+    jobs.main([lake.root, "--only", "checkin_counts", "cleaned_reviews", "--infer", "--no-rebalance"])
+    assert lake.silver(jobs.CHECKIN_COUNTS).count() == len(CHECKINS)
+    reviews = lake.silver(jobs.REVIEWS)
+    assert {"useful", "tags", "_corrupt_record"} <= set(reviews.columns)
+    assert reviews.count() == len(REVIEWS) + 1
+    assert rows_of(gold.reviewed_by_engaged(*jobs._silver_tables(lake))) == rows_of(
+        lake.gold(jobs.REVIEWED)
+    )

@@ -29,7 +29,7 @@ from kudosflow.plans import gold, silver
 KEYS = st.one_of(st.none(), st.integers(0, 3))
 ROWS = st.lists(st.tuples(KEYS, st.integers(0, 5)), max_size=25)
 SLOW = settings(
-    max_examples=8,
+    max_examples=5,
     deadline=None,
     derandomize=True,
     suppress_health_check=[HealthCheck.function_scoped_fixture],
@@ -109,8 +109,9 @@ def test_number_rows(spark, rows_of, copies_per_task, rows):
     before = ranking.COPIES_PER_TASK
     ranking.COPIES_PER_TASK = copies_per_task
     try:
+        more = df.union(table(spark, [(9, 9)] * 3, ["k int", "x int"]))
         for limits in (Limits(), SPLIT, Limits(hot_rows=1)):
-            numbered = number_rows(df, "k", [F.col("x").desc()], limits=limits)
+            numbered = number_rows(df, "k", [F.col("x").desc()], counted=more, limits=limits)
             assert numbered.schema["row"].dataType.simpleString() == "bigint"
             assert rows_of(numbered) == sorted(wanted, key=repr)
     finally:
