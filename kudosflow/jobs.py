@@ -1,6 +1,7 @@
 """The six jobs over one lake root: ``spark-submit`` this file or run it as a module.
 
-    python -m kudosflow.jobs ROOT [--only JOB ...] [--infer] [--no-rebalance]
+    python -m kudosflow.jobs ROOT [--only JOB ...] [--input NAME=PATH ...]
+                             [--infer] [--no-rebalance]
 
 Each job is a full refresh. Without ``--only`` all run, silver before gold.
 """
@@ -36,7 +37,8 @@ REVIEWED = "top_rated_business_reviewed_by_engaged_users"
 class Lake:
     """Paths below one root, how bronze records are read and tables laid out.
 
-    A bronze schema of None means to infer it.
+    A bronze schema of None means to infer it. ``inputs`` names records that are
+    not at ``bronze/NAME.json``.
     """
 
     def __init__(
@@ -44,9 +46,11 @@ class Lake:
         spark: SparkSession,
         root: str,
         bronze_schemas: dict[str, StructType | None] | None = None,
+        inputs: dict[str, str] | None = None,
         rebalance: bool = True,
     ):
         self.spark = spark
+        self.inputs = inputs or {}
         self.rebalance = rebalance
         self.root = root.rstrip("/")
         declared = {
@@ -61,9 +65,8 @@ class Lake:
         return f"{self.root}/{layer}/{name}"
 
     def bronze(self, name: str) -> DataFrame:
-        return read_json_lines(
-            self.spark, self.path("bronze", f"{name}.json"), self.bronze_schemas[name]
-        )
+        path = self.inputs.get(name, self.path("bronze", f"{name}.json"))
+        return read_json_lines(self.spark, path, self.bronze_schemas[name])
 
     def silver(self, name: str, schema: StructType | None = None) -> DataFrame:
         return read_table(self.spark, self.path("silver", name), schema)
@@ -128,6 +131,13 @@ def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Refresh the review tables below a lake root.")
     parser.add_argument("root", help="any path or URI Spark can read and write")
     parser.add_argument("--only", nargs="+", choices=list(JOBS), default=list(JOBS))
+    parser.add_argument(
+        "--input",
+        nargs="+",
+        default=[],
+        metavar="NAME=PATH",
+        help="where user, business, review or checkin records are, if not in ROOT/bronze",
+    )
     parser.add_argument(
         "--infer",
         action="store_true",
@@ -141,7 +151,8 @@ def main(arguments: list[str] | None = None) -> None:
     options = parser.parse_args(arguments)
     spark = build_session("kudosflow")
     inferred = {"checkin": None, "review": None} if options.infer else {}
-    lake = Lake(spark, options.root, inferred, not options.no_rebalance)
+    inputs = dict(entry.split("=", 1) for entry in options.input)
+    lake = Lake(spark, options.root, inferred, inputs, not options.no_rebalance)
     for name, job in JOBS.items():
         if name in options.only:
             job(lake)

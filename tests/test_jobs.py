@@ -189,7 +189,11 @@ def test_inferred_reviews_keep_undeclared_fields(lake, spark):
     assert inferred.count() == len(REVIEWS) + 1
 
 
-def test_command_line_runs_chosen_jobs(lake, spark, rows_of):
+def test_command_line_runs_chosen_jobs(lake, rows_of, tmp_path):
+    (tmp_path / "elsewhere.json").write_text(json.dumps({"business_id": "c", "date": "x,y"}))
+    jobs.main([lake.root, "--only", "checkin_counts", "--input", f"checkin={tmp_path}/*.json"])
+    counts = lake.silver(jobs.CHECKIN_COUNTS, schemas.CHECKIN_COUNTS)
+    assert [tuple(row) for row in counts.collect()] == [("c", "x,y", 2)]
     jobs.main([lake.root, "--only", "checkin_counts", "cleaned_reviews", "--infer", "--no-rebalance"])
     assert lake.silver(jobs.CHECKIN_COUNTS).count() == len(CHECKINS)
     reviews = lake.silver(jobs.REVIEWS)
