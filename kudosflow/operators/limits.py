@@ -34,6 +34,9 @@ class Limits:
 
 DEFAULT = Limits()
 
+# Tasks that merge the sketches of all others.
+SKETCH_GROUPS = 256
+
 
 def measured_bytes(df: DataFrame) -> int:
     """Bytes of all values of ``df`` plus a fixed cost per row; runs one aggregate."""
@@ -57,20 +60,31 @@ def fits_broadcast(df: DataFrame, limits: Limits = DEFAULT) -> bool:
 def frequent_values(df: DataFrame, key: str, limits: Limits = DEFAULT) -> list[Any]:
     """Values of ``key``, NULL among them, that hold too many rows for one task.
 
-    One pass over one column. The sketch has a fixed size and brings at most
-    ``limits.hot_keys`` values to the driver; tracking ten times as many keeps
-    its error well below the share asked for.
+    One pass over one column. Every task sums up its rows in a sketch of fixed
+    size; these are merged in groups first, as a large input has too many for
+    one task. At most ``limits.hot_keys`` values reach the driver, and tracking
+    ten times as many keeps the error well below the share asked for.
     """
+    tracked = 10 * limits.hot_keys
     found = (
         df.select(F.col(f"`{key}`").alias("value"))
+        .groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("group"))
         .agg(
             F.count(F.lit(1)).alias("rows"),
-            F.expr(f"approx_top_k(value, {limits.hot_keys}, {10 * limits.hot_keys})").alias("top"),
+            F.expr(f"approx_top_k_accumulate(value, {tracked})").alias("sketch"),
+        )
+        .groupBy(F.lit(0).alias("all"))  # so that no sketch is made of nothing
+        .agg(
+            F.sum("rows").alias("rows"),
+            F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"),
         )
+        .selectExpr("rows", f"approx_top_k_estimate(sketch, {limits.hot_keys}) AS top")
         .first()
     )
+    if found is None:
+        return []
     floor = max(limits.hot_rows, limits.hot_share * found["rows"])
-    return [entry["item"] for entry in found["top"] or [] if entry["count"] >= floor]
+    return [entry["item"] for entry in found["top"] if entry["count"] >= floor]
 
 
 def one_of(column: Column, values: list[Any]) -> Column:

@@ -194,7 +194,8 @@ def test_command_line_runs_chosen_jobs(lake, rows_of, tmp_path):
     jobs.main([lake.root, "--only", "checkin_counts", "--input", f"checkin={tmp_path}/*.json"])
     counts = lake.silver(jobs.CHECKIN_COUNTS, schemas.CHECKIN_COUNTS)
     assert [tuple(row) for row in counts.collect()] == [("c", "x,y", 2)]
-    jobs.main([lake.root, "--only", "checkin_counts", "cleaned_reviews", "--infer", "--no-rebalance"])
+    chosen = ["--only", "checkin_counts", "cleaned_reviews"]
+    jobs.main([lake.root, *chosen, "--infer", "--no-rebalance"])
     assert lake.silver(jobs.CHECKIN_COUNTS).count() == len(CHECKINS)
     reviews = lake.silver(jobs.REVIEWS)
     assert {"useful", "tags", "_corrupt_record"} <= set(reviews.columns)

@@ -122,9 +122,10 @@ def test_number_rows_over_many_slices(spark):
     """One key with most rows, each of several copies, ends up in many slices."""
     df = (
         spark.range(30_000)
-        .withColumn("k", F.when(F.col("id") % 10 < 8, F.lit("hot")).otherwise((F.col("id") % 7).cast("string")))
+        .withColumn("other", (F.col("id") % 7).cast("string"))
+        .withColumn("k", F.when(F.col("id") % 10 < 8, F.lit("hot")).otherwise(F.col("other")))
         .withColumn("x", F.col("id") % 5_000)
-        .drop("id")
+        .drop("id", "other")
     )
     order = [F.col("x").desc()]
     spread = number_rows(df, "k", order, limits=Limits(hot_rows=10_000))
@@ -133,7 +134,9 @@ def test_number_rows_over_many_slices(spark):
     assert plain.exceptAll(spread).count() == 0
 
 
-def test_frequent_values(spark):
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_frequent_values(spark, set_conf, adaptive):
+    set_conf("spark.sql.adaptive.enabled", adaptive)
     df = spark.range(10_000).select(
         F.when(F.col("id") % 3 == 0, F.lit(None))
         .when(F.col("id") % 3 == 1, F.lit("often"))
@@ -143,6 +146,18 @@ def test_frequent_values(spark):
     assert set(frequent_values(df, "k", Limits(hot_rows=100))) == {None, "often"}
     assert frequent_values(df, "k") == []
     assert frequent_values(df.limit(0), "k", Limits(hot_rows=1)) == []
+    nothing = df.where("k IS NULL AND k IS NOT NULL AND rand() < 2").repartition(3)
+    assert frequent_values(nothing, "k", Limits(hot_rows=1)) == []
+    assert frequent_values(df.where("k IS NULL"), "k", Limits(hot_rows=1)) == [None]
+
+
+def test_frequent_values_misses_no_key_at_the_limit(spark):
+    """Ninety keys of one per cent each between a hundred thousand rare ones."""
+    df = spark.range(0, 1_000_000, 1, 300).select(
+        F.when(F.col("id") % 10 < 9, F.col("id") % 100).otherwise(F.col("id")).alias("k")
+    )
+    found = frequent_values(df, "k", Limits(hot_share=0.009, hot_rows=1_000))
+    assert set(found) == {number for number in range(100) if number % 10 < 9}
 
 
 def test_measured_bytes(spark):
