@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField
 
 from kudosflow import jobs, schemas
@@ -167,6 +168,15 @@ def test_layout_does_not_change_the_answers(lake, rows_of, limits):
     assert rows_of(reviewed) == rows_of(lake.gold(jobs.REVIEWED))
 
 
+def test_order_and_partitioning_of_the_input_do_not_matter(lake, rows_of):
+    tables = jobs._silver_tables(lake)
+    best, reviewed = rows_of(gold.best_reviews(*tables)), rows_of(gold.reviewed_by_engaged(*tables))
+    for parts, seed in ((1, 1), (7, 2)):
+        mixed = [df.repartition(parts).sort(F.rand(seed)) for df in tables]
+        assert rows_of(gold.best_reviews(*mixed)) == best
+        assert rows_of(gold.reviewed_by_engaged(*mixed)) == reviewed
+
+
 def test_sql_answer(lake, spark, rows_of):
     view = gold.engaged_reviews_view(spark, *jobs._silver_tables(lake))
     assert view.columns == [
