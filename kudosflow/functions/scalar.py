@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StructField
@@ -30,10 +28,9 @@ def is_complete(fields: list[StructField]) -> Column:
     One test per column rather than ``na.drop``: Catalyst can then push each
     test below a join or into the scan and turn a left join into an inner one.
     """
-    tests = [F.lit(True)]
+    tests = ["true"]
     for field in fields:
-        column = F.col(f"`{field.name}`")
-        tests.append(column.isNotNull())
+        tests.append(f"`{field.name}` IS NOT NULL")
         if isinstance(field.dataType, (FloatType, DoubleType)):
-            tests.append(~F.isnan(column))
-    return reduce(Column.__and__, tests)
+            tests.append(f"NOT isnan(`{field.name}`)")
+    return F.expr(" AND ".join(tests))

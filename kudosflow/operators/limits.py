@@ -49,7 +49,8 @@ def measured_bytes(df: DataFrame) -> int:
         elif not isinstance(field.dataType, (StringType, BinaryType)):
             continue
         sizes.append(F.coalesce(F.octet_length(column), F.lit(0)).cast("long"))
-    return df.agg(F.sum(reduce(Column.__add__, sizes, per_row))).first()[0] or 0
+    (total,) = df.agg(F.sum(reduce(Column.__add__, sizes, per_row))).collect()
+    return total[0] or 0
 
 
 def fits_broadcast(df: DataFrame, limits: Limits = DEFAULT) -> bool:
