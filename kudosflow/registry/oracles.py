@@ -40,7 +40,10 @@ ranked AS (
 best AS (SELECT * EXCLUDE (row) FROM ranked WHERE row = 1)
 """
 
-_EVENTS = "SELECT event_id, user_id, event_type, value, props FROM events"
+_EVENTS = """
+SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, event_type, value, props
+FROM events
+"""
 _COUNTS = "CAST(len(string_split(text, ',')) AS INTEGER) AS checkin_count FROM documents"
 _REVIEWED = """
 SELECT business_id, name, city, state, stars FROM top_rated

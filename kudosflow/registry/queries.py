@@ -44,7 +44,9 @@ def _rank_order() -> list[Column]:
 
 
 def _events_as_json(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
-    events = views.table(spark, sf_dir, "events").drop("ts")
+    # Times are text in the records, like every date of the review data.
+    text = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    events = views.table(spark, sf_dir, "events").withColumn("ts", text)
     path = scratch_path(spark, "events.json")
     events.write.mode("overwrite").json(path)
     return events, path
