@@ -1,7 +1,7 @@
 """The six jobs over one lake root: ``spark-submit`` this file or run it as a module.
 
     python -m kudosflow.jobs ROOT [--only JOB ...] [--input NAME=PATH ...]
-                             [--infer] [--no-rebalance]
+                             [--infer] [--no-rebalance] [--broadcast-mib N]
 
 Each job is a full refresh. Without ``--only`` all run, silver before gold.
 """
@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from kudosflow import schemas
+from kudosflow.operators.limits import DEFAULT, Limits
 from kudosflow.plans import gold, silver
 from kudosflow.session import build_session
 from kudosflow.sinks import (
@@ -48,10 +49,12 @@ class Lake:
         bronze_schemas: dict[str, StructType | None] | None = None,
         inputs: dict[str, str] | None = None,
         rebalance: bool = True,
+        limits: Limits = DEFAULT,
     ):
         self.spark = spark
         self.inputs = inputs or {}
         self.rebalance = rebalance
+        self.limits = limits
         self.root = root.rstrip("/")
         declared = {
             "checkin": schemas.CHECKIN,
@@ -106,13 +109,13 @@ def _silver_tables(lake: Lake) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 
 def best_reviews(lake: Lake) -> None:
-    best = gold.best_reviews(*_silver_tables(lake))
+    best = gold.best_reviews(*_silver_tables(lake), limits=lake.limits)
     path = lake.path("gold", BEST_REVIEWS)
     overwrite_merging_schema(best, path, "state", rebalance=lake.rebalance)
 
 
 def reviewed_by_engaged(lake: Lake) -> None:
-    reviewed = gold.reviewed_by_engaged(*_silver_tables(lake))
+    reviewed = gold.reviewed_by_engaged(*_silver_tables(lake), limits=lake.limits)
     replace_external_table(reviewed, REVIEWED, lake.path("gold", REVIEWED))
 
 
@@ -148,11 +151,18 @@ def main(arguments: list[str] | None = None) -> None:
         action="store_true",
         help="write partitioned tables without a shuffle, one file per task and value",
     )
+    parser.add_argument(
+        "--broadcast-mib",
+        type=int,
+        default=DEFAULT.broadcast_bytes >> 20,
+        help="largest measured size of a join side to broadcast (default %(default)s)",
+    )
     options = parser.parse_args(arguments)
     spark = build_session("kudosflow")
     inferred = {"checkin": None, "review": None} if options.infer else {}
     inputs = dict(entry.split("=", 1) for entry in options.input)
-    lake = Lake(spark, options.root, inferred, inputs, not options.no_rebalance)
+    limits = Limits(broadcast_bytes=options.broadcast_mib << 20)
+    lake = Lake(spark, options.root, inferred, inputs, not options.no_rebalance, limits)
     for name, job in JOBS.items():
         if name in options.only:
             job(lake)

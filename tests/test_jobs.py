@@ -209,6 +209,9 @@ def test_command_line_runs_chosen_jobs(lake, rows_of, tmp_path):
     assert lake.silver(jobs.CHECKIN_COUNTS).count() == len(CHECKINS)
     reviews = lake.silver(jobs.REVIEWS)
     assert {"useful", "tags", "_corrupt_record"} <= set(reviews.columns)
+    before = rows_of(lake.gold(jobs.BEST_REVIEWS, schemas.BEST_REVIEWS))
+    jobs.main([lake.root, "--only", "best_reviews", "--broadcast-mib", "0"])
+    assert rows_of(lake.gold(jobs.BEST_REVIEWS, schemas.BEST_REVIEWS)) == before
     assert reviews.count() == len(REVIEWS) + 1
     assert rows_of(gold.reviewed_by_engaged(*jobs._silver_tables(lake))) == rows_of(
         lake.gold(jobs.REVIEWED)
