@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kudosflow.llm import pii, quality_rules, url_rules
+from kudosflow.llm import language_id, near_duplicates, pii, quality_rules, url_rules
 from kudosflow.llm.common import let, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.drop("text").withColumn("failed_rules", F.array_join("failed_rules", ","))
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents", "doc_id", "text")
+    return near_duplicates.near_duplicates(documents, scheme=near_duplicates.Scheme(words=4))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents", "doc_id", "text")
     base = [kind.name for kind in pii.BASE]
@@ -38,6 +43,15 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "d.*")
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    model = language_id.fit_languages(documents.where(~language_id.held_out()))
+    judged = language_id.identify(documents.drop("lang"), model)
+    return judged.select(
+        "doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score", "rejected"
+    )
+
+
 def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages", "page_id", "url")
     return url_rules.filter_urls(pages, url_rules.PAGE_RULES).drop("url")
@@ -46,7 +60,9 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": op1_quality_rules,
+        "op4_near_duplicates": op4_near_duplicates,
         "op5_pii": op5_pii,
+        "op9_language_id": op9_language_id,
         "op10_url_rules": op10_url_rules,
     }
 
