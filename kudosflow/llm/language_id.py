@@ -26,6 +26,8 @@ UNKNOWN = "und"
 BUCKETS = 1 << 14
 #: Length classes, by doubling, for the distance at which texts are rejected.
 LENGTHS = 32
+#: Texts with fewer n-grams, about 35 letters, are too short for a distance to tell.
+LEAST_GRAMS = 100
 #: More languages than this are refused: all centroids go to every task.
 MAX_LANGUAGES = 500
 
@@ -189,7 +191,8 @@ def identify(df: DataFrame, model: LanguageModel, text: str = "text") -> DataFra
     """Add ``lang_pred``, ``score`` (cosine, 0 to 1) and ``rejected`` to every row.
 
     A text that is missing or has no letter is ``und`` with score 0, and rejected.
-    A rejected text still names its nearest language. Equal scores go to the language
+    A rejected text still names its nearest language. Texts under ``LEAST_GRAMS`` n-grams
+    are not rejected for their distance. Equal scores go to the language
     that sorts first. Columns of the table by these names are replaced.
     """
     parts = (model.names, model.centroids, model.idf, model.least)
@@ -205,7 +208,8 @@ def identify(df: DataFrame, model: LanguageModel, text: str = "text") -> DataFra
         cosines = tfidf(*vector, idf) @ centroids[vector[0]]
         best = int(np.argmax(cosines))
         score = float(min(1.0, max(0.0, cosines[best])))
-        return names[best], score, bool(score < least[length_class(vector[1])])
+        far = vector[1].sum() >= LEAST_GRAMS and score < least[length_class(vector[1])]
+        return names[best], score, bool(far)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in pieces(batches):

@@ -7,8 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kudosflow.llm import language_id, near_duplicates, pii, quality_rules, url_rules
+import public_tokenizers
+
+from kudosflow.llm import (
+    best_fit_packing,
+    decontaminate,
+    language_id,
+    near_duplicates,
+    pii,
+    quality_rules,
+    url_rules,
+)
 from kudosflow.llm.common import let, table
+from kudosflow.llm.tokens import read_tokenizer
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +29,12 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.drop("text").withColumn("failed_rules", F.array_join("failed_rules", ","))
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminations(
+        table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark")
+    )
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents", "doc_id", "text")
     return near_duplicates.near_duplicates(documents, scheme=near_duplicates.Scheme(words=4))
@@ -43,6 +60,12 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "d.*")
 
 
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents", "doc_id", "text")
+    tokenizer = read_tokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    return best_fit_packing.pack_documents(documents, tokenizer)
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
     model = language_id.fit_languages(documents.where(~language_id.held_out()))
@@ -60,8 +83,10 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": op1_quality_rules,
+        "op2_decontaminate": op2_decontaminate,
         "op4_near_duplicates": op4_near_duplicates,
         "op5_pii": op5_pii,
+        "op7_best_fit_packing": op7_best_fit_packing,
         "op9_language_id": op9_language_id,
         "op10_url_rules": op10_url_rules,
     }
