@@ -24,16 +24,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kudosflow.llm.common import pieces, stored
+from kudosflow.llm.common import numbered, pieces, stored
 from kudosflow.llm.tokens import Encoder
 
-#: Pieces numbered by one task, and the most bins there may be for all lengths.
-BIN_ROWS = 20_000
-MOST_BINS = 200_000
-
 
 @dataclass
 class Run:
@@ -219,31 +215,6 @@ def token_pieces(
     return rows.mapInPandas(cut, schema + ", ids binary" * ids)
 
 
-def _ranked(rows: DataFrame, counts: dict[int, int]) -> DataFrame:
-    """Add ``rank`` among the rows of equal length, counted in bins of about BIN_ROWS."""
-    spark = rows.sparkSession
-    each = max(BIN_ROWS, -(-sum(counts.values()) // MOST_BINS))
-    bins = spark.createDataFrame(
-        [(length, -(-n // each)) for length, n in counts.items()], "length bigint, bins int"
-    )
-    place = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.col("bins")).cast("int")
-    binned = rows.join(F.broadcast(bins), "length").withColumn("bin", place).drop("bins")
-    before = Window.partitionBy("length").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    # At most MOST_BINS rows and one per length.
-    firsts = (
-        binned.groupBy("length", "bin")
-        .count()
-        .select("length", "bin", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("first"))
-    )
-    inside = Window.partitionBy("length", "bin").orderBy("doc_id", "piece", "ids_crc32")
-    return (
-        binned.withColumn("rank", F.row_number().over(inside) - 1)
-        .join(F.broadcast(firsts), ["length", "bin"])
-        .withColumn("rank", (F.col("rank") + F.col("first")).cast("bigint"))
-        .drop("bin", "first")
-    )
-
-
 def pack(
     rows: DataFrame, limit: int = 2048, groups: int = 256, short: int | None = None
 ) -> DataFrame:
@@ -271,7 +242,8 @@ def pack(
             out["offset"] = row[:, 3]
             yield out
 
-    ranked = _ranked(rows, counts).select(*rows.columns, "rank")
+    order = [name for name in ("doc_id", "piece", "ids_crc32") if name in rows.columns]
+    ranked = numbered(rows, "length", order, counts, "rank").select(*rows.columns, "rank")
     schema = ", ".join(f"`{name}` {kind}" for name, kind in rows.dtypes)
     return ranked.mapInPandas(place, f"{schema}, sequence_id bigint, offset bigint")
 

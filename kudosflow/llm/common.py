@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
 
@@ -16,6 +16,10 @@ from kudosflow.session import scratch_path
 SPACES = r"\x20\x09-\x0D"
 WORD = rf"[^{SPACES}]+"
 
+#: Rows that one task numbers, and the most bins there may be for all keys.
+BIN_ROWS = 20_000
+MOST_BINS = 200_000
+
 #: Python workers get their rows in pieces of so many, whatever Arrow hands over.
 PIECE_ROWS = 512
 
@@ -79,6 +83,84 @@ def running_sum(values: Column, block: int = 256) -> Column:
     )
 
 
+def numbered(
+    rows: DataFrame, key: str, order: list[str], counts: dict[int, int], name: str
+) -> DataFrame:
+    """Number the rows of each key from 0 without gaps, in bins of about BIN_ROWS rows.
+
+    ``counts`` has the rows of each key, which are few numbers. A task sorts one bin; what
+    is sent to all tasks is the first number of each bin, at most MOST_BINS and one per
+    key. Rows that ``order`` does not tell apart may change places.
+    """
+    each = max(BIN_ROWS, -(-sum(counts.values()) // MOST_BINS))
+    several = {value: -(-n // each) for value, n in counts.items() if n > each}
+    bins = F.lit(1)
+    if several:
+        known = F.create_map(*[F.lit(x).cast("bigint") for pair in several.items() for x in pair])
+        bins = F.coalesce(F.try_element_at(known, F.col(key).cast("bigint")), F.lit(1))
+    part, first = fresh(rows, "bin"), fresh(rows, "first")
+    binned = rows.withColumn(part, F.pmod(F.xxhash64(*order), bins))
+    before = Window.partitionBy(key).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    firsts = (
+        binned.groupBy(key, part)
+        .agg(F.count(F.lit(1)).alias("rows_of_bin"))
+        .select(key, part, F.coalesce(F.sum("rows_of_bin").over(before), F.lit(0)).alias(first))
+    )
+    inside = Window.partitionBy(key, part).orderBy(*order)
+    return (
+        binned.withColumn(name, F.row_number().over(inside) - 1)
+        .join(F.broadcast(firsts), [key, part])
+        .withColumn(name, F.col(name) + F.col(first))
+        .drop(part, first)
+    )
+
+
+#: Bits of a priority that one pass of ``cutoffs`` tells apart.
+_DIGIT = 12
+
+
+def cutoffs(
+    rows: DataFrame, group: Column, priority: Column, weight: Column, quotas: list, bits: int
+) -> list[int]:
+    """For each ``(group, quota)``, the largest cutoff whose rows weigh no more.
+
+    Rows of the group with a priority, from 0 below ``2**bits``, under the cutoff weigh at
+    most the quota together. Each pass sums weights by 12 more bits of the priorities, so
+    that 4,096 sums per quota come to the driver, whatever the number of rows. The rows
+    should be stored.
+    """
+    narrow = rows.select(group.alias("g"), priority.alias("p"), weight.alias("w"))
+    states = [[g, 0, quota] for g, quota in quotas]  # group, prefix found, weight left
+    done = 0
+    open_states = list(range(len(states)))
+    while done < bits and open_states:
+        step = min(_DIGIT, bits - done)
+        rest = bits - done - step
+        wanted = F.lit(False)
+        for i in open_states:
+            same = F.shiftright("p", bits - done) == states[i][1] if done else F.lit(True)
+            wanted |= (F.col("g") == states[i][0]) & same
+        place = F.shiftright("p", rest).alias("place")
+        sums = narrow.where(wanted).groupBy("g", place).agg(F.sum("w").alias("w"))
+        weights = {(row["g"], row["place"]): row["w"] for row in sums.collect()}
+        for i in list(open_states):
+            g, prefix, left = states[i]
+            digits = sorted(p for (own, p) in weights if own == g and p >> step == prefix)
+            found = None
+            for place_no in digits:
+                if weights[g, place_no] > left:
+                    found = place_no
+                    break
+                left -= weights[g, place_no]
+            if found is None:  # all of them fit
+                states[i] = [g, (prefix + 1) << (bits - done), left]
+                open_states.remove(i)
+            else:
+                states[i] = [g, found, left]
+        done += step
+    return [states[i][1] for i in range(len(states))]
+
+
 def pieces(batches: Iterator[pd.DataFrame], rows: int = PIECE_ROWS) -> Iterator[pd.DataFrame]:
     """Batches cut so that what a worker derives from one of them stays small."""
     for batch in batches:

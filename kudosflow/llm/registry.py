@@ -12,10 +12,12 @@ import public_tokenizers
 from kudosflow.llm import (
     best_fit_packing,
     decontaminate,
+    importance_resampling,
     language_id,
     near_duplicates,
     pii,
     quality_rules,
+    sharding,
     url_rules,
 )
 from kudosflow.llm.common import let, table
@@ -35,6 +37,13 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resampling.resample(
+        table(spark, sf_dir, "documents", "doc_id", "text"),
+        table(spark, sf_dir, "labels", "doc_id", "quality"),
+    )
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents", "doc_id", "text")
     return near_duplicates.near_duplicates(documents, scheme=near_duplicates.Scheme(words=4))
@@ -60,6 +69,19 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "d.*")
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents", "doc_id", "text")
     tokenizer = read_tokenizer(public_tokenizers.path("word_bpe_49k.json"))
@@ -84,8 +106,10 @@ def queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": op1_quality_rules,
         "op2_decontaminate": op2_decontaminate,
+        "op3_importance_resampling": op3_importance_resampling,
         "op4_near_duplicates": op4_near_duplicates,
         "op5_pii": op5_pii,
+        "op6_sharding": op6_sharding,
         "op7_best_fit_packing": op7_best_fit_packing,
         "op9_language_id": op9_language_id,
         "op10_url_rules": op10_url_rules,
