@@ -58,10 +58,13 @@ def _round(state: DataFrame, members: DataFrame, shards: int) -> tuple[DataFrame
     )
     best = F.greatest(*[F.struct(F.col(f"v{s}").alias("n"), F.lit(-s).alias("s")) for s in range(shards)])
     own = F.element_at(F.array(*[F.col(f"v{s}") for s in range(shards)]), F.col("shard") + 1)
-    asked = near.select("row", (-best["s"]).alias("wanted"), (best["n"] - own).alias("gain"))
+    asked = near.select(
+        "row", "shard", (-best["s"]).alias("wanted"), (best["n"] - own + 1).alias("gain")
+    )
     gain = F.lit(62) - _log2(F.col("gain"))
     requests = stored(
-        asked.where("gain > 0")
+        asked.where("wanted <> shard")
+        .drop("shard")
         .withColumn("place", F.shiftleft(gain.cast("bigint"), _HASH_BITS) + _hash(F.col("row")))
         .join(state.select("row", "size"), "row"),
         "requests",
