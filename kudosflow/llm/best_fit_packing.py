@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kudosflow.llm.common import numbered, pieces, stored
-from kudosflow.llm.tokens import Encoder
+from kudosflow.llm.tokens import kept_encoder
 
 
 @dataclass
@@ -192,11 +192,11 @@ def token_pieces(
     A document is its text's ids and ``end_id``; a missing text is empty. Only longer
     ones are cut. With ``ids`` the token ids come along, as little-endian bytes.
     """
-    sent = df.sparkSession.sparkContext.broadcast(tokenizer_json)
+    sent = df.sparkSession.sparkContext.broadcast({"json": tokenizer_json})
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(sent.value)
+        encoder = kept_encoder(sent.value)
         for batch in pieces(batches):
             rows = []
             for number, found in zip(batch["doc_id"], encoder.ids(batch["text"])):

@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
@@ -168,6 +169,29 @@ def pieces(batches: Iterator[pd.DataFrame], rows: int = PIECE_ROWS) -> Iterator[
             yield batch.iloc[start : start + rows]
 
 
+def with_answers(
+    df: DataFrame, column: str, answer: Callable[[], Callable], rows: int = PIECE_ROWS, **kinds: str
+) -> DataFrame:
+    """Add what ``answer()(values)``, a list for each of ``kinds``, says of a column's values.
+
+    All other columns pass through as Arrow arrays and keep their values as they are.
+    """
+    place = df.columns.index(column)
+    schema = widened(df, **kinds)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        answers = answer()
+        for batch in batches:
+            for start in range(0, batch.num_rows, rows):
+                part = batch.slice(start, rows)
+                new = answers(part.column(place).to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, *map(pa.array, new)], [*part.schema.names, *kinds]
+                )
+
+    return df.mapInArrow(run, schema)
+
+
 def widened(df: DataFrame, **kinds: str) -> StructType:
     """The table's schema with further columns."""
     added = [StructField(name, DataType.fromDDL(kind)) for name, kind in kinds.items()]

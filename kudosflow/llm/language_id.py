@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kudosflow.llm.common import fresh, pieces, stored, widened
+from kudosflow.llm.common import fresh, pieces, stored, with_answers
 
 UNKNOWN = "und"
 #: Buckets that n-grams are hashed to.
@@ -192,13 +192,12 @@ def identify(df: DataFrame, model: LanguageModel, text: str = "text") -> DataFra
 
     A text that is missing or has no letter is ``und`` with score 0, and rejected.
     A rejected text still names its nearest language. Texts under ``LEAST_GRAMS`` n-grams
-    are not rejected for their distance. Equal scores go to the language
-    that sorts first. Columns of the table by these names are replaced.
+    are not rejected for their distance. Equal scores go to the language that sorts
+    first. Where the table has columns of these names, the new ones, the last three, get
+    close names.
     """
     parts = (model.names, model.centroids, model.idf, model.least)
     sent = df.sparkSession.sparkContext.broadcast(parts)
-    added = ("lang_pred", "score", "rejected")
-    rest = df.drop(*[c for c in df.columns if c.lower() in added])
 
     def judge(value: str | None) -> tuple[str, float, bool]:
         names, centroids, idf, least = sent.value
@@ -211,16 +210,11 @@ def identify(df: DataFrame, model: LanguageModel, text: str = "text") -> DataFra
         far = vector[1].sum() >= LEAST_GRAMS and score < least[length_class(vector[1])]
         return names[best], score, bool(far)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in pieces(batches):
-            found = [judge(value) for value in batch[text]]
-            for i, name in enumerate(added):
-                batch = batch.assign(**{name: [answer[i] for answer in found]})
-            yield batch
+    def answers():
+        return lambda texts: list(zip(*map(judge, texts)))
 
-    return rest.mapInPandas(
-        run, widened(rest, lang_pred="string", score="double", rejected="boolean")
-    )
+    names = [fresh(df, name) for name in ("lang_pred", "score", "rejected")]
+    return with_answers(df, text, answers, **dict(zip(names, ("string", "double", "boolean"))))
 
 
 def held_out(doc_id: str | Column = "doc_id") -> Column:

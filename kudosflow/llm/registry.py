@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 import public_tokenizers
 
 from kudosflow.llm import (
@@ -18,10 +19,12 @@ from kudosflow.llm import (
     pii,
     quality_rules,
     sharding,
+    token_files,
     url_rules,
 )
 from kudosflow.llm.common import let, table
 from kudosflow.llm.tokens import read_tokenizer
+from kudosflow.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -88,6 +91,14 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing.pack_documents(documents, tokenizer)
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    tokenizer = read_tokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    documents = table(spark, sf_dir, "documents", "doc_id", "text")
+    token_files.write_token_files(documents, path, tokenizer)
+    return token_files.read_token_files(spark, path)
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
     model = language_id.fit_languages(documents.where(~language_id.held_out()))
@@ -111,8 +122,10 @@ def queries() -> dict[str, Query]:
         "op5_pii": op5_pii,
         "op6_sharding": op6_sharding,
         "op7_best_fit_packing": op7_best_fit_packing,
+        "op8_token_files": op8_token_files,
         "op9_language_id": op9_language_id,
         "op10_url_rules": op10_url_rules,
+        "pipeline": corpus_pipeline.run,
     }
 
 

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import json
 import os
+from collections import ChainMap
 from collections.abc import Iterable
 
 import numpy as np
 
-#: Distinct words whose ids a task keeps; beyond it the table starts anew.
-MOST_WORDS = 400_000
+#: Distinct words whose ids a worker keeps, the first it meets: about 100 MB.
+MOST_WORDS = 500_000
 
 
 def read_tokenizer(path: str) -> str:
@@ -71,9 +72,18 @@ class Encoder:
         if not self.by_word:
             return self._encoded(texts)
         split = [self._split(text) for text in texts]
-        if len(self.words) > MOST_WORDS:
-            self.words.clear()
         known = self.words
         new = list({word for words in split for word in words if word not in known})
-        known.update(zip(new, self._encoded([word.decode("utf-8") for word in new])))
+        encoded = dict(zip(new, self._encoded([word.decode("utf-8") for word in new])))
+        if len(known) + len(new) <= MOST_WORDS:
+            known.update(encoded)
+        else:
+            known = ChainMap(encoded, known)
         return [b"".join(map(known.__getitem__, words)) for words in split]
+
+
+def kept_encoder(holder: dict) -> Encoder:
+    """The encoder of ``holder["json"]``, made once for each worker that got the holder."""
+    if "encoder" not in holder:
+        holder["encoder"] = Encoder(holder["json"])
+    return holder["encoder"]

@@ -6,10 +6,10 @@ import json
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from kudosflow.llm.common import fresh, pieces, widened
+from kudosflow.llm.common import fresh, with_answers
 
 _LOWER = {code: code + 32 for code in range(ord("A"), ord("Z") + 1)}
 
@@ -104,19 +104,22 @@ def filter_urls(
     sent = df.sparkSession.sparkContext.broadcast([tuple(rule) for rule in rules])
     new = [fresh(df, name) for name in ("host", "path", "rule", "verdict")]
 
-    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def judge():
         trie = UrlTrie(UrlRule(*rule) for rule in sent.value)
-        for batch in pieces(batches, 4096):
-            parts = [split_url(value) for value in batch[url]]
+
+        def answers(urls: list[str | None]) -> list[list]:
+            parts = [split_url(value) for value in urls]
             found = [trie.find(*part) for part in parts]
-            out = batch.copy()
-            out[new[0]] = [part[0] for part in parts]
-            out[new[1]] = [part[1] for part in parts]
-            out[new[2]] = [hit and hit[1] for hit in found]
-            out[new[3]] = [hit[0] if hit else default for hit in found]
-            yield out
-
-    return df.mapInPandas(judge, widened(df, **dict.fromkeys(new, "string")))
+            return [
+                [part[0] for part in parts],
+                [part[1] for part in parts],
+                pa.array([hit and hit[1] for hit in found], "string"),
+                [hit[0] if hit else default for hit in found],
+            ]
+
+        return answers
+
+    return with_answers(df, url, judge, 4096, **dict.fromkeys(new, "string"))
 
 
 #: The rules of the registered query.
