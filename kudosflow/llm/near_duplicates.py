@@ -11,7 +11,9 @@ Links are confirmed on the full shingle sets. Groups are never expanded into all
 2. Within a bucket (equal key) each class is compared with the bucket's smallest id
    only, and what is confirmed is merged into components.
 3. Buckets that still hold several components compare the classes of different
-   components, block by block, and one pair comes out of only one of its buckets.
+   components, block by block. Each pair is due in the first bucket it shares. What
+   comes out of a block is the classes with a pair to confirm, then, with their full
+   sets at hand, one link for each component that is found to belong to another.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +34,8 @@ from kudosflow.llm.components import components
 
 #: Shingles whose signature is computed at once.
 _STEP = 1 << 14
+#: Keys per signature that can be told apart.
+_NUMBERS = 128
 
 
 class Scheme(NamedTuple):
@@ -116,12 +121,18 @@ def sketches(docs: DataFrame, scheme: Scheme) -> DataFrame:
 
 
 def keys(symbols: Column, scheme: Scheme) -> Column:
-    """The keys of a signature: each chunk without each choice of wrong positions."""
+    """The keys of a signature: each chunk without each choice of wrong positions.
+
+    The low bits of a key are its number.
+    """
     out = []
     for chunk in range(scheme.chunks):
         for wrong in combinations(range(scheme.width), scheme.errors):
             kept = [chunk * scheme.width + i for i in range(scheme.width) if i not in wrong]
-            out.append(F.xxhash64(F.lit(len(out)), *[symbols[i] for i in kept]))
+            hashed = F.xxhash64(F.lit(len(out)), *[symbols[i] for i in kept])
+            out.append(hashed.bitwiseAND(-_NUMBERS).bitwiseOR(len(out)))
+    if len(out) > _NUMBERS:
+        raise ValueError(f"more than {_NUMBERS} keys per signature")
     return F.array(*out)
 
 
@@ -130,40 +141,59 @@ def _comparable(size_a: Column, size_b: Column, scheme: Scheme) -> Column:
     return F.least(size_a, size_b) * 100 >= F.greatest(size_a, size_b) * scheme.percent
 
 
-def confirmed(docs: DataFrame, pairs: DataFrame, scheme: Scheme) -> DataFrame:
-    """The pairs ``a``, ``b`` of ids whose full shingle sets are similar enough."""
-    wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(
-        pairs.select(F.col("b").alias("doc_id"))
-    )
+def full_sets(docs: DataFrame, ids: DataFrame, scheme: Scheme) -> DataFrame:
+    """The sorted shingle hashes of the documents with these ids."""
 
     def full(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in pieces(batches, 128):
-            found = [shingles(text, scheme.words).view(np.int64) for text in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "hashes": found})
+            found = [np.sort(shingles(text, scheme.words).view(np.int64)) for text in batch["text"]]
+            yield pd.DataFrame({"id": batch["doc_id"], "hashes": found})
 
-    chosen = docs.join(wanted.distinct(), "doc_id", "left_semi")
-    sets = stored(chosen.mapInPandas(full, "doc_id bigint, hashes array<bigint>"), "sets")
-    common = F.size(F.array_intersect("of_a", "of_b"))
-    return (
-        pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("of_b")), "b")
-        .join(sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("of_a")), "a")
-        .where(common * 100 >= (F.size("of_a") + F.size("of_b") - common) * scheme.percent)
-        .select("a", "b")
-        .distinct()
-    )
+    # The same plan at every size: texts are moved once, by their id.
+    wanted = ids.select(F.col("id").alias("doc_id")).distinct().hint("merge")
+    chosen = docs.join(wanted, "doc_id", "left_semi")
+    return stored(chosen.mapInPandas(full, "id bigint, hashes array<bigint>"), "sets")
 
 
-def _starred(classes: DataFrame, scheme: Scheme) -> DataFrame:
-    """Pairs of a bucket's smallest id with its other ids."""
-    keyed = classes.select("id", F.explode(keys(F.col("symbols"), scheme)).alias("key"))
-    hubs = keyed.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last"))
-    pairs = (
-        keyed.join(hubs.where("hub < last"), "key")
-        .where("id > hub")
-        .select(F.col("hub").alias("a"), F.col("id").alias("b"))
-        .distinct()
-    )
-    size_a, size_b = F.col("one.n_shingles"), F.col("two.n_shingles")
+def met(classes: DataFrame, scheme: Scheme) -> DataFrame:
+    """``key``, ``id`` and ``hub``, the bucket's smallest id, in buckets of several classes.
+
+    Rows stream through their bucket's task in order of ids; only the last row and the
+    bucket's first id are held.
+    """
+    keyed = classes.select(F.explode(keys(F.col("symbols"), scheme)).alias("key"), "id")
+    dealt = keyed.repartition("key").sortWithinPartitions("key", "id")
+
+    def several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last_key, last_id, hub, said = None, None, None, True
+
+        def out(found, ids, hubs):
+            return pa.RecordBatch.from_arrays(
+                [pa.array(found), pa.array(ids), pa.array(hubs)], ["key", "id", "hub"]
+            )
+
+        for batch in batches:
+            found, ids = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            if not len(found):
+                continue
+            starts = np.append(True, found[1:] != found[:-1])
+            starts[0] = last_key is None or found[0] != last_key
+            if not starts[0] and not said:  # the last row was not alone after all
+                yield out([last_key], [last_id], [hub])
+            first = np.maximum.accumulate(np.where(starts, np.arange(len(ids)), -1))
+            hubs = np.where(first >= 0, ids[np.maximum(first, 0)], ids[0] if hub is None else hub)
+            grouped = ~starts
+            grouped[:-1] |= ~starts[1:]
+            last_key, last_id, hub, said = found[-1], ids[-1], hubs[-1], grouped[-1]
+            if grouped.any():
+                yield out(found[grouped], ids[grouped], hubs[grouped])
+
+    return stored(dealt.mapInArrow(several, "key bigint, id bigint, hub bigint"), "met")
+
+
+def _starred(together: DataFrame, classes: DataFrame, scheme: Scheme) -> DataFrame:
+    """Near pairs ``a``, ``b`` of a bucket's smallest id with its other ids."""
+    pairs = together.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b"))
     wrong = F.size(
         F.filter(
             F.zip_with(F.col("one.symbols"), F.col("two.symbols"), lambda x, y: x != y),
@@ -171,106 +201,181 @@ def _starred(classes: DataFrame, scheme: Scheme) -> DataFrame:
         )
     )
     return (
-        pairs.join(classes.alias("two"), F.col("b") == F.col("two.id"))
+        pairs.distinct()
+        .join(classes.alias("two"), F.col("b") == F.col("two.id"))
         .join(classes.alias("one"), F.col("a") == F.col("one.id"))
-        .where(_comparable(size_a, size_b, scheme) & (wrong <= scheme.most_errors))
+        .where(_comparable(F.col("one.n_shingles"), F.col("two.n_shingles"), scheme))
+        .where(wrong <= scheme.most_errors)
         .select("a", "b")
     )
 
 
-def _compared(group: pd.DataFrame, scheme: Scheme) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of a group whose pair is due here: its first shared key is the group's."""
-    symbols = np.stack(group["symbols"].to_list())
-    sizes, labels = group["n_shingles"].to_numpy(), group["label"].to_numpy()
-    parts, ids = group["part"].to_numpy(), group["id"].to_numpy()
-    first, second = group["low"].iat[0], group["high"].iat[0]
-    rows, columns = np.flatnonzero(parts == first), np.flatnonzero(parts == second)
-    firsts, seconds = [], []
-    for start in range(0, len(rows), 64):  # so that a comparison holds few MB
-        left = rows[start : start + 64, None]
-        small = np.minimum(sizes[left], sizes[columns])
-        large = np.maximum(sizes[left], sizes[columns])
-        due = (labels[left] != labels[columns]) & (small * 100 >= large * scheme.percent)
-        if first == second:
-            due &= ids[left] < ids[columns]
-        x, y = np.nonzero(due)
-        equal = symbols[left[x, 0]] == symbols[columns[y]]
-        near = equal.shape[1] - equal.sum(axis=1) <= scheme.most_errors
-        x, y, equal = x[near], y[near], equal[near]
-        # The first key that two signatures share, over chunks and wrong positions.
-        shared = np.full(len(x), -1)
-        number = 0
-        for chunk in range(scheme.chunks):
-            part = equal[:, chunk * scheme.width : (chunk + 1) * scheme.width]
-            for wrong in combinations(range(scheme.width), scheme.errors):
-                kept = [i for i in range(scheme.width) if i not in wrong]
-                shared[(shared < 0) & part[:, kept].all(axis=1)] = number
-                number += 1
-        here = shared == group["number"].iat[0]
-        firsts.append(left[x[here], 0])
-        seconds.append(columns[y[here]])
-    return np.concatenate(firsts), np.concatenate(seconds)
-
-
-def _across(classes: DataFrame, labels: DataFrame, scheme: Scheme) -> DataFrame:
-    """Near pairs of different components that share a key; each pair comes out once."""
-    labelled = classes.join(labels, "id", "left").withColumn("label", F.coalesce("component", "id"))
-    keyed = labelled.select(
-        "id", "label", F.posexplode(keys(F.col("symbols"), scheme)).alias("number", "key")
+def _confirmed(pairs: DataFrame, sets: DataFrame, scheme: Scheme) -> DataFrame:
+    """The pairs whose full sets are similar enough."""
+    common = F.size(F.array_intersect("of_a", "of_b"))
+    return (
+        pairs.join(sets.select(F.col("id").alias("b"), F.col("hashes").alias("of_b")), "b")
+        .join(sets.select(F.col("id").alias("a"), F.col("hashes").alias("of_a")), "a")
+        .where(common * 100 >= (F.size("of_a") + F.size("of_b") - common) * scheme.percent)
+        .select("a", "b")
+        .distinct()
+    )
+
+
+def _blocks(together: DataFrame, labels: DataFrame, scheme: Scheme) -> DataFrame:
+    """Rows of the buckets that hold several components, dealt to pairs of blocks."""
+    labelled = together.join(labels, "id", "left").select(
+        "key", "id", F.coalesce("component", "id").alias("label")
     )
     mixed = (
-        keyed.groupBy("key")
+        labelled.groupBy("key")
         .agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n"))
         .where("low < high")
         .select("key", F.ceil(F.col("n") / scheme.block).cast("int").alias("parts"))
     )
     part = F.pmod(F.xxhash64("id", F.lit(3)), F.col("parts")).cast("int")
-    met = keyed.join(mixed, "key").withColumn("part", part)
-    blocks = met.withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    ).select(
-        "key",
-        "number",
-        F.least("part", "other").alias("low"),
-        F.greatest("part", "other").alias("high"),
-        "part",
-        "id",
-        "label",
+    return (
+        labelled.join(mixed, "key")
+        .withColumn("part", part)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        .select(
+            "key",
+            F.least("part", "other").alias("low"),
+            F.greatest("part", "other").alias("high"),
+            "part",
+            "id",
+            "label",
+        )
     )
-    rows = blocks.join(classes.select("id", "n_shingles", "symbols"), "id")
-    place = ["key", "number", "low", "high"]
-    dealt = rows.repartition(*[F.col(c) for c in place]).sortWithinPartitions(*place, "part", "id")
-
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def ends(batch: pd.DataFrame) -> np.ndarray:
-            changed = np.zeros(len(batch) - 1, bool)
-            for name in place:
-                values = batch[name].to_numpy()
-                changed |= values[1:] != values[:-1]
-            return np.flatnonzero(changed) + 1
-
-        def pairs(groups: list[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for group in groups:
-                if len(group) > 1:
-                    a, b = _compared(group, scheme)
-                    ids = group["id"].to_numpy()
-                    yield pd.DataFrame(
-                        {"a": np.minimum(ids[a], ids[b]), "b": np.maximum(ids[a], ids[b])}
-                    )
-
-        rest = None
-        for batch in batches:
-            batch = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-            cuts = [0, *ends(batch)]
-            groups = [batch.iloc[i:j] for i, j in zip(cuts, cuts[1:])]
-            found = list(pairs(groups))
-            if found:
-                yield pd.concat(found)
-            rest = batch.iloc[cuts[-1] :]
-        if rest is not None:
-            yield from pairs([rest])
 
-    return dealt.mapInPandas(compare, "a bigint, b bigint")
+
+_PLACE = ["key", "low", "high"]
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole groups, and where each group starts; groups are bounded."""
+    rest = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        rest = table if rest is None else pa.concat_tables([rest, table])
+        starts = _group_starts(rest)
+        if len(starts) > 1:
+            yield rest.slice(0, starts[-1]), starts[:-1]
+            rest = rest.slice(starts[-1])
+    if rest is not None and rest.num_rows:
+        yield rest, _group_starts(rest)
+
+
+def _group_starts(table: pa.Table) -> np.ndarray:
+    changed = np.ones(table.num_rows, bool)
+    if table.num_rows:
+        changed[1:] = False
+        for name in _PLACE:
+            values = table[name].to_numpy()
+            changed[1:] |= values[1:] != values[:-1]
+    return np.flatnonzero(changed)
+
+
+def _candidates(table: pa.Table, starts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows of a group to compare, some 100,000 pairs at a time; small groups together."""
+    ends = np.append(starts[1:], table.num_rows)
+    sizes = ends - starts
+    for size in np.unique(sizes):
+        if size < 2:
+            continue
+        own = starts[sizes == size]
+        first, second = np.triu_indices(size, 1)
+        if len(first) <= 1 << 12:
+            step = max(1, (1 << 17) // len(first))
+            for i in range(0, len(own), step):
+                base = own[i : i + step, None]
+                yield (base + first).ravel(), (base + second).ravel()
+        else:
+            for base in own:
+                for i in range(0, len(first), 1 << 17):
+                    yield base + first[i : i + (1 << 17)], base + second[i : i + (1 << 17)]
+
+
+def _first_shared(equal: np.ndarray, scheme: Scheme) -> np.ndarray:
+    """The number of the first key that two signatures share, from their equal symbols."""
+    shared, number = np.full(len(equal), -1), 0
+    for chunk in range(scheme.chunks):
+        part = equal[:, chunk * scheme.width : (chunk + 1) * scheme.width]
+        for wrong in combinations(range(scheme.width), scheme.errors):
+            kept = [i for i in range(scheme.width) if i not in wrong]
+            shared[(shared < 0) & part[:, kept].all(axis=1)] = number
+            number += 1
+    return shared
+
+
+def _due(
+    table: pa.Table, starts: np.ndarray, scheme: Scheme
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows of near pairs of different components that are due in their group."""
+    column = {name: table[name].to_numpy() for name in table.column_names if name != "symbols"
+              and name != "hashes"}
+    symbols = table["symbols"].combine_chunks().flatten().to_numpy()
+    symbols = symbols.reshape(table.num_rows, -1)
+    number = column["key"] & (_NUMBERS - 1)
+    for x, y in _candidates(table, starts):
+        across = column["low"][x] != column["high"][x]  # two blocks: only pairs across them
+        due = (column["label"][x] != column["label"][y]) & (
+            ~across | (column["part"][x] != column["part"][y])
+        )
+        sizes = column["n_shingles"][x], column["n_shingles"][y]
+        due &= np.minimum(*sizes) * 100 >= np.maximum(*sizes) * scheme.percent
+        x, y = x[due], y[due]
+        equal = symbols[x] == symbols[y]
+        near = equal.shape[1] - equal.sum(axis=1) <= scheme.most_errors
+        x, y, equal = x[near], y[near], equal[near]
+        here = _first_shared(equal, scheme) == number[x]
+        yield x[here], y[here]
+
+
+def _similar(x: int, y: int, sets: list[np.ndarray], scheme: Scheme) -> bool:
+    common = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+    return common * 100 >= (len(sets[x]) + len(sets[y]) - common) * scheme.percent
+
+
+def _across(
+    together: DataFrame, classes: DataFrame, labels: DataFrame, sets: DataFrame, scheme: Scheme
+) -> DataFrame:
+    """Links ``a``, ``b`` between components, enough to join all that belong together."""
+    rows = _blocks(together, labels, scheme).join(classes, "id")
+    names = [*_PLACE, "part", "id", "label", "n_shingles", "symbols"]
+    dealt = rows.select(names).repartition(*_PLACE).sortWithinPartitions(*_PLACE, "id")
+
+    def involved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, starts in _whole_groups(batches):
+            marked = np.zeros(table.num_rows, bool)
+            for x, y in _due(table, starts, scheme):
+                marked[x] = marked[y] = True
+            yield from table.filter(pa.array(marked)).combine_chunks().to_batches()
+
+    near = stored(dealt.mapInArrow(involved, dealt.schema), "near")
+    again = near.join(sets, "id").repartition(*_PLACE).sortWithinPartitions(*_PLACE, "id")
+
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, starts in _whole_groups(batches):
+            ids, label = table["id"].to_numpy(), table["label"].to_numpy().copy()
+            flat = table["hashes"].combine_chunks()
+            values, cuts = flat.values.to_numpy(), flat.offsets.to_numpy()
+            found = [values[i:j] for i, j in zip(cuts, cuts[1:])]
+            ends = np.append(starts[1:], table.num_rows)
+            group = np.repeat(np.arange(len(starts)), ends - starts)
+            a, b = [], []
+            for x, y in _due(table, starts, scheme):
+                for i, j in zip(x, y):
+                    if label[i] != label[j] and _similar(i, j, found, scheme):
+                        a.append(ids[i])
+                        b.append(ids[j])
+                        own = slice(starts[group[i]], ends[group[i]])
+                        label[own][label[own] == label[j]] = label[i]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(a, "int64"), pa.array(b, "int64")], ["a", "b"]
+            )
+
+    return again.mapInArrow(links, "a bigint, b bigint")
 
 
 def near_duplicates(
@@ -295,11 +400,12 @@ def near_duplicates(
         "classes",
     )
     shapes = classes.select("id", "n_shingles", "symbols")
-    near = stored(_starred(shapes, scheme), "pairs")
-    links = stored(confirmed(docs, near, scheme), "links")
-    labels = components(links)
-    more = stored(_across(shapes, labels, scheme), "pairs")
-    links = links.unionByName(confirmed(docs, more, scheme))
+    together = met(shapes, scheme)
+    sets = full_sets(docs, together, scheme)
+    near = stored(_starred(together, shapes, scheme), "pairs")
+    links = stored(_confirmed(near, sets, scheme), "links")
+    more = stored(_across(together, shapes, components(links), sets, scheme), "links")
+    links = links.unionByName(more)
     owners = stored(
         linkable.join(classes.select("digest_a", "digest_b", "id"), ["digest_a", "digest_b"])
         .select("doc_id", "n_shingles", "id"),
