@@ -3,8 +3,8 @@
 Documents start in shards by a hash. In every round each linked document looks at the
 shards of those it is linked with, and asks for the one that holds most of them; the
 requests with the largest gain are granted as far as the wanted shard's capacity goes.
-At the end, shards above the mean give the documents with the fewest links, smallest
-first, to those below it.
+At the end, shards above the mean give the documents with the fewest links to those
+below it.
 
 Links are given as groups: the documents of a group are linked with each other, and are
 never listed in pairs. All rows that move between tasks are narrow; texts are read once.
@@ -21,6 +21,7 @@ from kudosflow.llm.common import cutoffs, numbered, stored
 #: the mean; the last step evens the sizes out.
 CAPACITY = 125
 ROUNDS = 6
+EVENINGS = 6
 #: Shards may differ from the mean by so many of 100,000 parts, or one small document.
 TOLERANCE = 20
 _HASH_BITS = 24
@@ -82,7 +83,11 @@ def _round(state: DataFrame, members: DataFrame, shards: int) -> tuple[DataFrame
 
 
 def _evened(state: DataFrame, shards: int) -> DataFrame:
-    """Move rows from shards above the mean to those below, those with few links first."""
+    """Move rows from shards above the mean to those below, those with few links first.
+
+    Of these the large ones go first, so that a further call can move what is smaller
+    than the difference that is left.
+    """
     sizes = _sizes(state, shards)
     total = sum(sizes)
     targets = [total * (shard + 1) // shards - total * shard // shards for shard in range(shards)]
@@ -90,17 +95,20 @@ def _evened(state: DataFrame, shards: int) -> DataFrame:
     if max(over, default=0) * 100_000 * shards <= TOLERANCE * total:
         return state
     few = F.least(_log2(F.col("links")), F.lit(63)).cast("bigint")
-    small = F.least(_log2(F.col("size")), F.lit(63)).cast("bigint")
-    place = F.shiftleft(few * 64 + small, _HASH_BITS) + _hash(F.col("row"))
+    large = 63 - F.least(_log2(F.col("size")), F.lit(63)).cast("bigint")
+    place = F.shiftleft(few * 64 + large, _HASH_BITS) + _hash(F.col("row"))
+    # What is larger than all that a shard has to give stays.
+    fits = F.col("size") <= _by_shard(over, F.col("shard"))
     givers = [(shard, room) for shard, room in enumerate(over) if room]
     bits = _HASH_BITS + 12
     cuts = dict(
         zip(
             (shard for shard, _ in givers),
-            cutoffs(state, F.col("shard"), place, F.col("size"), givers, bits),
+            cutoffs(state.where(fits), F.col("shard"), place, F.col("size"), givers, bits),
         )
     )
-    given = place < _by_shard([cuts.get(shard, 0) for shard in range(shards)], F.col("shard"))
+    ends = _by_shard([cuts.get(shard, 0) for shard in range(shards)], F.col("shard"))
+    given = fits & (place < ends)
     marked = stored(state.withColumn("given", given), "state")
     # What is given fills the gaps one after the other, in the order of the hash.
     gaps = [(shard, max(0, targets[shard] - sizes[shard])) for shard in range(shards)]
@@ -150,7 +158,7 @@ def assign_shards(rows: DataFrame, members: DataFrame, shards: int) -> DataFrame
         state, moved = _round(state, linked.drop("n"), shards)
         if not moved:
             break
-    for _ in range(3):
+    for _ in range(EVENINGS):
         before, state = state, _evened(state, shards)
         if state is before:
             break
