@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kudosflow.llm import best_fit_packing, decontaminate, language_id, near_duplicates, pii
-from kudosflow.llm.common import fresh, stored
+from kudosflow.llm.common import all_columns, fresh, stored
 from kudosflow.llm.tokens import read_tokenizer
 
 
@@ -22,7 +22,7 @@ def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     every language of the labelled documents. Without labels every document goes."""
     model = language_id.fit_languages(docs.where(~language_id.held_out()))
     judged = language_id.identify(docs, model)
-    return judged.where(~F.col(judged.columns[-1])).select(docs.columns)
+    return judged.where(~F.col(judged.columns[-1])).select(all_columns(docs))
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,7 +30,7 @@ def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     document, and rows without id stay."""
     judged = near_duplicates.near_duplicates(docs)
     gone = judged.where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    return docs.join(gone, "doc_id", "left_anti").select(all_columns(docs))
 
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +43,7 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     spans = fresh(docs, "pii_spans")
     found = pii.find_pii(docs, spans=spans)
     redacted = found.withColumn("text", pii.redact(F.col("text"), F.col(spans)))
-    return redacted.select(docs.columns)
+    return redacted.select(all_columns(docs))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -169,6 +168,15 @@ def pieces(batches: Iterator[pd.DataFrame], rows: int = PIECE_ROWS) -> Iterator[
             yield batch.iloc[start : start + rows]
 
 
+def quoted(name: str) -> str:
+    """A column's name as an expression, whatever signs it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def all_columns(df: DataFrame) -> list[Column]:
+    return [F.col(quoted(name)) for name in df.columns]
+
+
 def with_answers(
     df: DataFrame, column: str, answer: Callable[[], Callable], rows: int = PIECE_ROWS, **kinds: str
 ) -> DataFrame:
@@ -177,7 +185,8 @@ def with_answers(
     All other columns pass through as Arrow arrays and keep their values as they are.
     """
     place = df.columns.index(column)
-    schema = widened(df, **kinds)
+    named = df.toDF(*[f"c{i}" for i in range(len(df.columns))])  # names with dots are no matter
+    schema = widened(named, **{f"a{i}": kind for i, kind in enumerate(kinds.values())})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         answers = answer()
@@ -186,10 +195,10 @@ def with_answers(
                 part = batch.slice(start, rows)
                 new = answers(part.column(place).to_pylist())
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, *map(pa.array, new)], [*part.schema.names, *kinds]
+                    [*part.columns, *map(pa.array, new)], schema.names
                 )
 
-    return df.mapInArrow(run, schema)
+    return named.mapInArrow(run, schema).toDF(*df.columns, *kinds)
 
 
 def widened(df: DataFrame, **kinds: str) -> StructType:
@@ -200,7 +209,8 @@ def widened(df: DataFrame, **kinds: str) -> StructType:
 
 def fresh(df: DataFrame, name: str) -> str:
     """A column name close to ``name`` that the table does not have."""
-    taken = {column.lower() for column in df.columns}
-    while name.lower() in taken:
-        name = f"{name}_{uuid.uuid4().hex[:6]}"
-    return name
+    taken, own, n = {column.lower() for column in df.columns}, name, 1
+    while own.lower() in taken:
+        n += 1
+        own = f"{name}_{n}"
+    return own

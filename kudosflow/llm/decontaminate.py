@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kudosflow.llm.common import pieces
+from kudosflow.llm.common import all_columns, pieces
 
 #: Hashes of q-grams are looked up in a table of so many bits before anything else.
 _BITS = 22
@@ -245,4 +245,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
     """
     doc_id = options.get("doc_id", "doc_id")
     found = contaminations(docs, benchmark, **options).select(F.col("doc_id").alias(doc_id))
-    return docs.join(found.distinct(), doc_id, "left_anti").select(docs.columns)
+    return docs.join(found.distinct(), doc_id, "left_anti").select(all_columns(docs))

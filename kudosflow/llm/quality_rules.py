@@ -12,7 +12,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kudosflow.llm.common import SPACES, let
+from kudosflow.llm.common import SPACES, let, quoted
 
 
 class Rule(NamedTuple):
@@ -123,7 +123,7 @@ def text_counts(df: DataFrame, text: str = "text") -> DataFrame:
     }
     kept = [c for c in df.columns if c.lower() not in counted]
     staged = df.select(
-        F.struct(*[df[c] for c in kept]).alias("row") if kept else F.struct().alias("row"),
+        F.struct(*[F.col(quoted(c)) for c in kept]).alias("row"),
         F.struct(
             of_words.alias("w"), of_lines.alias("l"), symbols.alias("n_symbols")
         ).alias("counts"),

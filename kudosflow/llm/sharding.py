@@ -142,6 +142,8 @@ def assign_shards(rows: DataFrame, members: DataFrame, shards: int) -> DataFrame
     """
     if shards < 1:
         raise ValueError("at least one shard is needed")
+    if shards == 1:
+        return rows.select("row", F.lit(0).alias("shard"))
     sized = members.groupBy("group_a", "group_b").agg(F.count(F.lit(1)).alias("n"))
     linked = stored(
         members.join(sized.where("n > 1"), ["group_a", "group_b"]), "members"

@@ -23,8 +23,9 @@ from kudosflow.llm.range_coder import decode, encode
 from kudosflow.llm.tokens import kept_encoder
 
 _MAGIC = b"KFTB1\0"
-#: Magic, vocabulary, documents, ids, lanes, words, checksum of the ids, of what follows.
-_HEADER = "<6sIIQIQII"
+#: Magic, vocabulary, documents, ids, lanes, words, checksum of the ids. A checksum of the
+#: header and of what follows comes next.
+_HEADER = "<6sIIQIQI"
 #: A block is closed when it has so many ids.
 BLOCK_IDS = 1 << 20
 
@@ -40,29 +41,19 @@ def pack_block(doc_ids: list[int | None], documents: list[np.ndarray], vocabular
         part.tobytes()
         for part in (known, numbers, lengths, counts.astype("<u4"), words.astype("<u4"))
     )
-    head = struct.pack(
-        _HEADER,
-        _MAGIC,
-        vocabulary,
-        len(documents),
-        len(ids),
-        len(counts),
-        len(words),
-        zlib.crc32(ids.tobytes()),
-        zlib.crc32(body),
-    )
-    return head + body
+    sizes = (vocabulary, len(documents), len(ids), len(counts), len(words))
+    head = struct.pack(_HEADER, _MAGIC, *sizes, zlib.crc32(ids.tobytes()))
+    return head + struct.pack("<I", zlib.crc32(head + body)) + body
 
 
 def unpack_block(block: bytes) -> tuple[list[int | None], list[np.ndarray]]:
     """The documents of a block; a ValueError if it is damaged."""
-    if len(block) < struct.calcsize(_HEADER):
+    start = struct.calcsize(_HEADER)
+    if len(block) < start + 4:
         raise ValueError("a block ends within its header")
-    magic, vocabulary, n, total, lanes, held, ids_sum, body_sum = struct.unpack_from(
-        _HEADER, block
-    )
-    body = block[struct.calcsize(_HEADER) :]
-    if magic != _MAGIC or zlib.crc32(body) != body_sum:
+    head, body = block[:start], block[start + 4 :]
+    magic, vocabulary, n, total, lanes, held, ids_sum = struct.unpack(_HEADER, head)
+    if magic != _MAGIC or struct.unpack("<I", block[start : start + 4])[0] != zlib.crc32(head + body):
         raise ValueError("a block is damaged")
     cuts = np.cumsum([0, n, 8 * n, 4 * n, 4 * lanes, 4 * held])
     known, numbers, lengths, counts, words = (
