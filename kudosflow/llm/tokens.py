@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import json
 import os
-from collections import ChainMap
 from collections.abc import Iterable
 
 import numpy as np
+import xxhash
 
 #: Distinct words whose ids a worker keeps, the first it meets: about 100 MB.
-MOST_WORDS = 500_000
+MOST_WORDS = 2_000_000
+#: Bytes of a word that are hashed by place; longer words are hashed as a whole.
+_PLACES = 64
+_LETTER, _SIGN, _SPACE = 1, 2, 3
 
 
 def read_tokenizer(path: str) -> str:
@@ -39,47 +42,136 @@ def _by_word(config: dict) -> bool:
 class Encoder:
     """Ids of texts, as little-endian unsigned 32-bit integers.
 
-    Where the tokenizer works word by word, each distinct word is encoded once.
+    Where the tokenizer works word by word, the words of many texts are told apart by two
+    64-bit hashes, and each distinct word is encoded once.
     """
 
     def __init__(self, tokenizer_json: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        config = json.loads(tokenizer_json)
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.by_word = _by_word(json.loads(tokenizer_json))
-        self.words: dict[bytes, bytes] = {}
-        signs = np.zeros(256, np.uint8)
-        signs[list(range(ord("a"), ord("z") + 1))] = 1
-        signs[[c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'"]] = 2
-        self.signs = signs
-
-    def _encoded(self, texts: list[str]) -> list[bytes]:
+        self.by_word = _by_word(config)
+        kinds = np.zeros(256, np.uint8)
+        kinds[list(range(ord("a"), ord("z") + 1))] = _LETTER
+        kinds[[c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'"]] = _SIGN
+        kinds[[9, 10, 11, 12, 13, 32]] = _SPACE
+        self.kinds = kinds
+        # Term of each byte at each place of a word, for either hash.
+        factors = np.random.default_rng(41).integers(1, 1 << 63, (2, _PLACES, 1), dtype=np.uint64)
+        self.terms = ((factors * np.uint64(2) + np.uint64(1)) * np.arange(1, 257, dtype=np.uint64))
+        self.terms = self.terms.reshape(2, -1)
+        suffix = config["model"].get("end_of_word_suffix")
+        size = self.tokenizer.get_vocab_size()
+        self.ends = np.zeros(size, bool)
+        if suffix:
+            vocabulary = self.tokenizer.get_vocab()
+            self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        # Known words: both hashes, sorted by the first, and the place of their ids.
+        self.keys, self.checks = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.starts, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pool = np.zeros(0, np.uint32)
+
+    def _encoded(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(one.ids, "<u4").tobytes() for one in found]
-
-    def _split(self, text: str) -> list[bytes]:
-        raw = text.encode("utf-8", "replace")
-        if b"<|" in raw:  # may be a special token, which is told by its case and place
-            return raw.split()
-        raw = np.frombuffer(raw.lower(), np.uint8)
-        kinds = self.signs[raw]
-        cuts = np.flatnonzero((kinds[:-1] == 1) & (kinds[1:] == 2)) + 1
-        return np.insert(raw, cuts, 32).tobytes().split()
+        return [np.array(one.ids, np.uint32) for one in found]
+
+    def _words(self, words: list[str]) -> list[np.ndarray]:
+        """Ids of distinct words. Those of letters only are one piece each, whose last id
+        is marked, and are encoded many at a time."""
+        plain = [i for i, w in enumerate(words) if w.isalpha() and w.lower().isalpha()]
+        out: list = [None] * len(words)
+        for at in range(0, len(plain) if self.ends.any() else 0, 2048):
+            own = plain[at : at + 2048]
+            ids = self._encoded([" ".join(words[i] for i in own)])[0]
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) == len(own) and cuts[-1] == len(ids):
+                for i, one in zip(own, np.split(ids, cuts[:-1])):
+                    out[i] = one
+        rest = [i for i, one in enumerate(out) if one is None]
+        for i, one in zip(rest, self._encoded([words[i] for i in rest])):
+            out[i] = one
+        return out
+
+    def _hashes(self, raw, solid, starts, lengths) -> np.ndarray:
+        at = np.flatnonzero(solid)
+        first = np.cumsum(lengths) - lengths
+        place = np.arange(len(at)) - np.repeat(first, lengths)
+        term = np.minimum(place, _PLACES - 1) * 256 + raw[at]
+        out = np.stack([np.add.reduceat(terms[term], first) for terms in self.terms])
+        for i in np.flatnonzero(lengths >= _PLACES):
+            long = raw[starts[i] : starts[i] + lengths[i]].tobytes()
+            out[:, i] = divmod(xxhash.xxh3_128_intdigest(long), 1 << 64)
+        return out
 
     def ids(self, texts: Iterable[str | None]) -> list[bytes]:
-        texts = [text or "" for text in texts]
-        if not self.by_word:
-            return self._encoded(texts)
-        split = [self._split(text) for text in texts]
-        known = self.words
-        new = list({word for words in split for word in words if word not in known})
-        encoded = dict(zip(new, self._encoded([word.decode("utf-8") for word in new])))
-        if len(known) + len(new) <= MOST_WORDS:
-            known.update(encoded)
-        else:
-            known = ChainMap(encoded, known)
-        return [b"".join(map(known.__getitem__, words)) for words in split]
+        raws = [(text or "").encode("utf-8", "replace") for text in texts]
+        # A special token is told by its case and place, so its text is encoded whole.
+        whole = [i for i, raw in enumerate(raws) if b"<|" in raw or not self.by_word]
+        texts = [raws[i].decode("utf-8") for i in whole]
+        for i in whole:
+            raws[i] = b""
+        out = self._many(raws) if self.by_word else raws
+        for i, found in zip(whole, self._encoded(texts)):
+            out[i] = found.astype("<u4").tobytes()
+        return out
+
+    def _many(self, raws: list[bytes]) -> list[bytes]:
+        raw = np.frombuffer(b"\n".join([*raws, b""]).lower(), np.uint8)
+        if not len(raw):
+            return raws
+        kinds = self.kinds[raw]
+        solid = kinds != _SPACE
+        begins = solid.copy()  # a word begins after a space, and at a sign after a letter
+        begins[1:] &= ~solid[:-1] | ((kinds[1:] == _SIGN) & (kinds[:-1] == _LETTER))
+        stops = solid.copy()
+        stops[:-1] &= ~solid[1:] | begins[1:]
+        starts = np.flatnonzero(begins)
+        if not len(starts):
+            return [b""] * len(raws)
+        lengths = np.flatnonzero(stops) + 1 - starts
+        keys, checks = self._hashes(raw, solid, starts, lengths)
+        keys, first, word = np.unique(keys, return_index=True, return_inverse=True)
+        if (checks != checks[first][word]).any():  # two words of one hash: no short cut
+            return [x.tobytes() for x in self._encoded([r.decode("utf-8") for r in raws])]
+        checks = checks[first]
+        places, counts, pool = self._looked_up(
+            keys, checks, lambda i: raw[starts[first[i]] :][: lengths[first[i]]].tobytes()
+        )
+        places, counts = places[word], counts[word]
+        ends = np.cumsum(counts)
+        ids = pool[np.repeat(places - ends + counts, counts) + np.arange(ends[-1])]
+        # Where each text's words begin among all words, and so its ids among all ids.
+        borders = np.cumsum([len(r) + 1 for r in raws[:-1]])
+        cuts = np.concatenate([[0], ends])[np.searchsorted(starts, borders)]
+        return [part.astype("<u4").tobytes() for part in np.split(ids, cuts)]
+
+    def _looked_up(self, keys, checks, word_at):
+        """Place and number of the ids of words, and the array they lie in."""
+        slot = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
+        known = np.zeros(len(keys), bool)
+        if len(self.keys):
+            known = (self.keys[slot] == keys) & (self.checks[slot] == checks)
+        places, counts = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+        places[known], counts[known] = self.starts[slot[known]], self.counts[slot[known]]
+        new = np.flatnonzero(~known)
+        if not len(new):
+            return places, counts, self.pool
+        found = self._words([word_at(i).decode("utf-8") for i in new])
+        counts[new] = [len(ids) for ids in found]
+        places[new] = len(self.pool) + np.cumsum(counts[new]) - counts[new]
+        pool = np.concatenate([self.pool, *found])
+        if len(self.keys) + len(new) <= MOST_WORDS:
+            self.pool, at = pool, np.searchsorted(self.keys, keys[new])
+            for name, values in (
+                ("keys", keys),
+                ("checks", checks),
+                ("starts", places),
+                ("counts", counts),
+            ):
+                setattr(self, name, np.insert(getattr(self, name), at, values[new]))
+        return places, counts, pool
 
 
 def kept_encoder(holder: dict) -> Encoder:
