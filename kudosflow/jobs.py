@@ -1,15 +1,17 @@
 """The six jobs over one lake root: ``spark-submit`` this file or run it as a module.
 
-    python -m kudosflow.jobs ROOT [--only JOB ...] [--input NAME=PATH ...]
-                             [--infer] [--no-rebalance] [--broadcast-mib N]
+    python -m kudosflow.jobs ROOT [--only JOB ...] [--input NAME=PATH ...] [OPTION ...]
 
-Each job is a full refresh. Without ``--only`` all run, silver before gold.
+Each job is a full refresh. Without ``--only`` all run, silver before gold; ``--help``
+lists the options, among them the bounds of the jobs.
 """
 
 from __future__ import annotations
 
 import argparse
+import sys
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -35,41 +37,56 @@ BEST_REVIEWS = "useful_reviews_five_stars_business"
 REVIEWED = "top_rated_business_reviewed_by_engaged_users"
 
 
+@dataclass(frozen=True)
+class Bounds:
+    """What the jobs compare with; the defaults are fixed values."""
+
+    delimiter: str = ","
+    null_count: int | None = None
+    user_min_reviews: int = 25
+    user_stars: tuple[float, float] = (2.49, 4.01)
+    user_max_ratio: float = 2
+    min_stars: float = 3.5
+    min_reviews: int = 50
+    rating: float = 5
+
+
 class Lake:
     """Paths below one root, how bronze records are read and tables laid out.
 
-    A bronze schema of None means to infer it. ``inputs`` names records that are
-    not at ``bronze/NAME.json``.
+    Check-ins and reviews keep all their fields: their schema is inferred, with the
+    declared types for the fields that have one. A schema in ``bronze_schemas``
+    instead is taken as it is and drops what it does not name. ``inputs`` names
+    records that are not at ``bronze/NAME.json``.
     """
 
     def __init__(
         self,
         spark: SparkSession,
         root: str,
-        bronze_schemas: dict[str, StructType | None] | None = None,
+        bronze_schemas: dict[str, StructType] | None = None,
         inputs: dict[str, str] | None = None,
         rebalance: bool = True,
         limits: Limits = DEFAULT,
+        bounds: Bounds = Bounds(),
     ):
+        self.bounds = bounds
         self.spark = spark
         self.inputs = inputs or {}
         self.rebalance = rebalance
         self.limits = limits
         self.root = root.rstrip("/")
-        declared = {
-            "checkin": schemas.CHECKIN,
-            "user": schemas.USER,
-            "business": schemas.BUSINESS,
-            "review": schemas.REVIEW,
-        }
-        self.bronze_schemas = declared | (bronze_schemas or {})
+        # Of users and businesses only declared columns are used.
+        named = {"user": schemas.USER, "business": schemas.BUSINESS}
+        self.bronze_schemas = named | (bronze_schemas or {})
 
     def path(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
 
     def bronze(self, name: str) -> DataFrame:
         path = self.inputs.get(name, self.path("bronze", f"{name}.json"))
-        return read_json_lines(self.spark, path, self.bronze_schemas[name])
+        declared = {"checkin": schemas.CHECKIN, "review": schemas.REVIEW}.get(name)
+        return read_json_lines(self.spark, path, self.bronze_schemas.get(name), declared)
 
     def silver(self, name: str, schema: StructType | None = None) -> DataFrame:
         return read_table(self.spark, self.path("silver", name), schema)
@@ -79,17 +96,25 @@ class Lake:
 
 
 def checkin_counts(lake: Lake) -> None:
-    overwrite(silver.checkin_counts(lake.bronze("checkin")), lake.path("silver", CHECKIN_COUNTS))
+    bounds = lake.bounds
+    counted = silver.checkin_counts(lake.bronze("checkin"), bounds.delimiter, bounds.null_count)
+    overwrite(counted, lake.path("silver", CHECKIN_COUNTS))
 
 
 def engaged_users(lake: Lake) -> None:
-    engaged = silver.engaged_users(lake.bronze("user"))
+    bounds = lake.bounds
+    engaged = silver.engaged_users(
+        lake.bronze("user"), bounds.user_min_reviews, bounds.user_stars, bounds.user_max_ratio
+    )
     path = lake.path("silver", ENGAGED_USERS)
     overwrite_partitioned(engaged, path, "average_stars", rebalance=lake.rebalance)
 
 
 def top_rated_businesses(lake: Lake) -> None:
-    top_rated = silver.top_rated_businesses(lake.bronze("business"))
+    bounds = lake.bounds
+    top_rated = silver.top_rated_businesses(
+        lake.bronze("business"), bounds.min_stars, bounds.min_reviews
+    )
     path = lake.path("silver", TOP_RATED)
     overwrite_partitioned(top_rated, path, "state", rebalance=lake.rebalance)
 
@@ -109,13 +134,13 @@ def _silver_tables(lake: Lake) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 
 def best_reviews(lake: Lake) -> None:
-    best = gold.best_reviews(*_silver_tables(lake), limits=lake.limits)
+    best = gold.best_reviews(*_silver_tables(lake), lake.bounds.rating, lake.limits)
     path = lake.path("gold", BEST_REVIEWS)
     overwrite_merging_schema(best, path, "state", rebalance=lake.rebalance)
 
 
 def reviewed_by_engaged(lake: Lake) -> None:
-    reviewed = gold.reviewed_by_engaged(*_silver_tables(lake), limits=lake.limits)
+    reviewed = gold.reviewed_by_engaged(*_silver_tables(lake), lake.bounds.rating, lake.limits)
     replace_external_table(reviewed, REVIEWED, lake.path("gold", REVIEWED))
 
 
@@ -142,9 +167,9 @@ def main(arguments: list[str] | None = None) -> None:
         help="where user, business, review or checkin records are, if not in ROOT/bronze",
     )
     parser.add_argument(
-        "--infer",
+        "--declared-only",
         action="store_true",
-        help="infer the check-in and review schemas, to keep fields that are not declared",
+        help="read check-ins and reviews once, and drop the fields that are not declared",
     )
     parser.add_argument(
         "--no-rebalance",
@@ -157,15 +182,60 @@ def main(arguments: list[str] | None = None) -> None:
         default=DEFAULT.broadcast_bytes >> 20,
         help="largest measured size of a join side to broadcast (default %(default)s)",
     )
+    parser.add_argument(
+        "--hive",
+        action="store_true",
+        help="keep the second answer's table in a Hive catalog, where other sessions find it",
+    )
+    own = Bounds()
+    bounds = parser.add_argument_group("bounds of the jobs")
+    bounds.add_argument("--delimiter", default=own.delimiter, help="pattern between check-ins")
+    bounds.add_argument("--null-count", type=int, help="count of a check-in list that is NULL")
+    bounds.add_argument("--user-min-reviews", type=int, default=own.user_min_reviews)
+    bounds.add_argument(
+        "--user-stars", type=float, nargs=2, default=own.user_stars, metavar=("LOW", "HIGH")
+    )
+    bounds.add_argument("--user-max-ratio", type=float, default=own.user_max_ratio)
+    bounds.add_argument("--min-stars", type=float, default=own.min_stars)
+    bounds.add_argument("--min-reviews", type=int, default=own.min_reviews)
+    bounds.add_argument("--rating", type=float, default=own.rating, help="of the reviews that count")
     options = parser.parse_args(arguments)
-    spark = build_session("kudosflow")
-    inferred = {"checkin": None, "review": None} if options.infer else {}
+    catalog = {"spark__sql__catalogImplementation": "hive"} if options.hive else {}
+    spark = build_session("kudosflow", **catalog)
+    declared = {"checkin": schemas.CHECKIN, "review": schemas.REVIEW}
     inputs = dict(entry.split("=", 1) for entry in options.input)
     limits = Limits(broadcast_bytes=options.broadcast_mib << 20)
-    lake = Lake(spark, options.root, inferred, inputs, not options.no_rebalance, limits)
+    lake = Lake(
+        spark,
+        options.root,
+        declared if options.declared_only else None,
+        inputs,
+        not options.no_rebalance,
+        limits,
+        Bounds(
+            options.delimiter,
+            options.null_count,
+            options.user_min_reviews,
+            tuple(options.user_stars),
+            options.user_max_ratio,
+            options.min_stars,
+            options.min_reviews,
+            options.rating,
+        ),
+    )
     for name, job in JOBS.items():
         if name in options.only:
             job(lake)
+    if "reviewed_by_engaged" in options.only and _forgetful(spark):
+        print(
+            f"The catalog lives in memory: the name {REVIEWED} ends with this session. Its "
+            f"files stay in {lake.path('gold', REVIEWED)}; see --hive.",
+            file=sys.stderr,
+        )
+
+
+def _forgetful(spark: SparkSession) -> bool:
+    return spark.conf.get("spark.sql.catalogImplementation", "in-memory") == "in-memory"
 
 
 if __name__ == "__main__":

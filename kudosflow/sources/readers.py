@@ -10,20 +10,28 @@ def read_json_lines(
     spark: SparkSession,
     path: str | list[str],
     schema: StructType | None = None,
-    sampling_ratio: float = 1.0,
+    declared: StructType | None = None,
 ) -> DataFrame:
-    """One row per line of JSON; a malformed line becomes a row of NULLs.
+    """One row per line of JSON, with every field of the input unless told otherwise.
 
-    With a declared ``schema`` the input is read once and a badly typed cell is
-    NULL. Without one Spark infers it, which reads ``sampling_ratio`` of the
-    input a first time and keeps every field it meets.
+    The schema is inferred from the whole input, which is read twice; fields in
+    ``declared`` come first, with the types declared, whether the input has them or
+    not, so that one bad value cannot change a column. If there are malformed lines
+    the text of every line that does not fit is kept in ``_corrupt_record``.
+
+    A ``schema`` is taken as it is: the input is read once, fields that it does not
+    name are dropped, and a malformed line becomes a row of NULLs.
     """
     reader = spark.read.option("mode", "PERMISSIVE")
     if schema is None:
-        reader = reader.option("samplingRatio", sampling_ratio)
-    else:
-        reader = reader.schema(schema)
-    return reader.json(path)
+        found = reader.json(path).schema
+        if declared is None:
+            declared = StructType([])
+        known = {name.lower() for name in declared.names}
+        schema = StructType(
+            [*declared.fields, *(field for field in found if field.name.lower() not in known)]
+        )
+    return reader.schema(schema).json(path)
 
 
 def read_table(

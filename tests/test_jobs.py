@@ -88,12 +88,12 @@ def lake(spark, tmp_path_factory):
     )
     _lines(
         bronze / "checkin.json",
-        [{"business_id": f"c{number}", "date": date} for number, date in enumerate(CHECKINS)],
-    )
-    carried = [StructField("useful", LongType()), StructField("tags", ArrayType(StringType()))]
-    lake = jobs.Lake(
-        spark, str(root), {"review": schemas.extended(schemas.REVIEW, carried)}
+        [
+            {"business_id": f"c{number}", "date": date, "source": {"app": "x", "tags": [number]}}
+            for number, date in enumerate(CHECKINS)
+        ],
     )
+    lake = jobs.Lake(spark, str(root))
     for job in jobs.JOBS.values():
         job(lake)
     return lake
@@ -103,6 +103,8 @@ def test_checkin_counts(lake):
     table = lake.silver(jobs.CHECKIN_COUNTS, schemas.CHECKIN_COUNTS)
     counts = {row.business_id: row.checkin_count for row in table.collect()}
     assert counts == {"c0": 3, "c1": 1, "c2": 1, "c3": 2, "c4": 2, "c5": None}
+    sources = {row.business_id: row.source for row in lake.silver(jobs.CHECKIN_COUNTS).collect()}
+    assert sources["c4"].asDict(recursive=True) == {"app": "x", "tags": [4]}
 
 
 def test_engaged_users(lake):
@@ -127,10 +129,12 @@ def test_cleaned_reviews(lake):
     table = lake.silver(jobs.REVIEWS)
     assert set(table.columns) == {
         "review_id", "business_id", "user_id", "stars", "review_text", "date", "useful", "tags",
+        "_corrupt_record",
     }
     rows = table.collect()
     assert len(rows) == len(REVIEWS) + 1
     assert {tuple(row.tags) for row in rows if row.review_id} == {("x", "y")}
+    assert [row["_corrupt_record"] for row in rows if not row.review_id] == ["{broken"]
 
 
 def test_best_reviews(lake):
@@ -178,10 +182,8 @@ def test_order_and_partitioning_of_the_input_do_not_matter(lake, rows_of):
 
 
 def test_sql_answer(lake, spark, rows_of):
-    view = gold.engaged_reviews_view(spark, *jobs._silver_tables(lake))
-    assert view.columns == [
-        "business_id", "name", "average_stars", "useful", "review_text", "review_id", "date",
-    ]
+    view = gold.reviewed_ids_view(spark, *jobs._silver_tables(lake))
+    assert view.columns == ["business_id"]
     assert rows_of(gold.reviewed_by_engaged_sql(spark)) == rows_of(lake.gold(jobs.REVIEWED))
 
 
@@ -193,10 +195,10 @@ def test_running_again_changes_nothing(lake, rows_of):
     assert lake.silver(jobs.REVIEWS).count() == len(REVIEWS) + 1
 
 
-def test_inferred_reviews_keep_undeclared_fields(lake, spark):
-    inferred = jobs.Lake(spark, lake.root, {"review": None}).bronze("review")
-    assert {"useful", "tags"} <= set(inferred.columns)
-    assert inferred.count() == len(REVIEWS) + 1
+def test_a_given_schema_drops_what_it_does_not_name(lake, spark):
+    declared = jobs.Lake(spark, lake.root, {"review": schemas.REVIEW}).bronze("review")
+    assert declared.schema == schemas.REVIEW
+    assert declared.count() == len(REVIEWS) + 1
 
 
 def test_command_line_runs_chosen_jobs(lake, rows_of, tmp_path):
@@ -205,7 +207,11 @@ def test_command_line_runs_chosen_jobs(lake, rows_of, tmp_path):
     counts = lake.silver(jobs.CHECKIN_COUNTS, schemas.CHECKIN_COUNTS)
     assert [tuple(row) for row in counts.collect()] == [("c", "x,y", 2)]
     chosen = ["--only", "checkin_counts", "cleaned_reviews"]
-    jobs.main([lake.root, *chosen, "--infer", "--no-rebalance"])
+    jobs.main([lake.root, *chosen, "--declared-only", "--no-rebalance"])
+    assert lake.silver(jobs.CHECKIN_COUNTS).columns == schemas.CHECKIN_COUNTS.names
+    reviews = lake.silver(jobs.REVIEWS)
+    assert reviews.where("tags IS NOT NULL").count() == 0
+    jobs.main([lake.root, *chosen])
     assert lake.silver(jobs.CHECKIN_COUNTS).count() == len(CHECKINS)
     reviews = lake.silver(jobs.REVIEWS)
     assert {"useful", "tags", "_corrupt_record"} <= set(reviews.columns)
@@ -216,3 +222,22 @@ def test_command_line_runs_chosen_jobs(lake, rows_of, tmp_path):
     assert rows_of(gold.reviewed_by_engaged(*jobs._silver_tables(lake))) == rows_of(
         lake.gold(jobs.REVIEWED)
     )
+
+
+def test_bounds_of_the_command_line(lake, spark, tmp_path, capsys):
+    inputs = [f"{name}={lake.root}/bronze/{name}.json" for name in ("checkin", "user", "review")]
+    inputs.append(f"business={lake.root}/bronze/business.json")
+    root = str(tmp_path)
+    jobs.main([root, "--input", *inputs, "--null-count", "-1", "--user-min-reviews", "24",
+               "--min-stars", "4.4", "--rating", "4"])
+    own = jobs.Lake(spark, root)
+    counts = own.silver(jobs.CHECKIN_COUNTS).collect()
+    assert {row.business_id: row.checkin_count for row in counts}["c5"] == -1
+    users = own.silver(jobs.ENGAGED_USERS, schemas.ENGAGED_USERS).collect()
+    assert "u2" in {row.user_id for row in users}
+    shops = own.silver(jobs.TOP_RATED, schemas.TOP_RATED_BUSINESSES).collect()
+    assert {row.business_id for row in shops} == {"b5", "b6", "b7", "b8", "b9"}
+    assert [row.business_id for row in own.gold(jobs.REVIEWED).collect()] == ["b8"]
+    said = capsys.readouterr().err
+    assert "lives in memory" in said and f"{root}/gold" in said
+    jobs.main([lake.root, "--only", "reviewed_by_engaged"])  # the name is the fixture's again
