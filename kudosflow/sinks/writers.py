@@ -7,9 +7,12 @@ the old files before the new rows are read.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
+
+# Fixed value: what Spark calls the directory of rows without a partition value.
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
 def overwrite(df: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -38,6 +41,10 @@ def overwrite_partitioned(
         .option("partitionOverwriteMode", "static")
         .save(path)
     )
+    if _stored_schema(df.sparkSession, path, fmt) is None:
+        # No rows, no files: one empty file keeps the columns for whoever reads next.
+        empty = df.sparkSession.createDataFrame([], df.drop(by).schema)
+        empty.write.format(fmt).save(f"{path.rstrip('/')}/{by}={_NO_VALUE}")
 
 
 def overwrite_merging_schema(
@@ -45,8 +52,8 @@ def overwrite_merging_schema(
 ) -> None:
     """Replace the rows at ``path`` while its column set only grows.
 
-    Columns that the table has and ``df`` lacks stay, as NULL. Only the schema
-    of the old table is read.
+    Columns that the table has and ``df`` lacks stay, as NULL, also after a refresh
+    without rows. Only the schema of the old table is read.
     """
     old = _stored_schema(df.sparkSession, path, fmt)
     if old is not None:
@@ -57,29 +64,48 @@ def overwrite_merging_schema(
 def with_columns_of(df: DataFrame, old: StructType, untyped: tuple[str, ...] = ()) -> DataFrame:
     """``df`` plus the columns and nested fields only ``old`` has, as NULL.
 
-    A column present in both must agree in type, except for those in
-    ``untyped``, whose stored type is a guess from directory names.
+    Fields are looked for inside structs, arrays and the values of maps. A column or
+    field present in both must agree in type, except for columns in ``untyped``,
+    whose stored type is a guess from directory names.
     """
-    new = {field.name.lower(): field for field in df.schema}
+    stored = {field.name.lower(): field for field in old}
     loose = {name.lower() for name in untyped}
-    kept = []
-    for field in old:
-        present = new.get(field.name.lower())
-        if present is not None and field.name.lower() in loose:
-            continue
-        if present is not None and not isinstance(present.dataType, StructType):
-            if present.dataType.simpleString() != field.dataType.simpleString():
-                raise ValueError(
-                    f"column {field.name}: stored as {field.dataType.simpleString()}, "
-                    f"now {present.dataType.simpleString()}"
-                )
-            continue
-        kept.append(F.lit(None).cast(field.dataType).alias(field.name))
-    if not kept:
-        return df
-    # A relation the optimiser knows to be empty, so the union costs nothing.
-    nothing = df.sparkSession.range(1).where(F.lit(False)).select(*kept)
-    return df.unionByName(nothing, allowMissingColumns=True)
+    columns = []
+    for field in df.schema:
+        own = F.col(f"`{field.name}`")
+        before = stored.pop(field.name.lower(), None)
+        if before is not None and field.name.lower() not in loose:
+            own = _grown(own, field.dataType, before.dataType, field.name)
+        columns.append(own.alias(field.name))
+    missing = [F.lit(None).cast(field.dataType).alias(field.name) for field in stored.values()]
+    return df.select(*columns, *missing)
+
+
+def _grown(value: Column, new: DataType, old: DataType, name: str) -> Column:
+    """``value`` with the nested fields that only its ``old`` type has."""
+    if isinstance(new, StructType) and isinstance(old, StructType):
+        stored = {field.name.lower(): field for field in old}
+        parts = []
+        for field in new:
+            part = value.getField(field.name)
+            before = stored.pop(field.name.lower(), None)
+            if before is not None:
+                part = _grown(part, field.dataType, before.dataType, f"{name}.{field.name}")
+            parts.append(part.alias(field.name))
+        parts += [F.lit(None).cast(f.dataType).alias(f.name) for f in stored.values()]
+        return F.when(value.isNotNull(), F.struct(*parts))
+    if isinstance(new, ArrayType) and isinstance(old, ArrayType):
+        inner = new.elementType, old.elementType, f"{name}.element"
+        return F.transform(value, lambda item: _grown(item, *inner))
+    if isinstance(new, MapType) and isinstance(old, MapType):
+        _grown(F.lit(None), new.keyType, old.keyType, f"{name}.key")
+        inner = new.valueType, old.valueType, f"{name}.value"
+        return F.transform_values(value, lambda _, item: _grown(item, *inner))
+    if new.simpleString() != old.simpleString():
+        raise ValueError(
+            f"column {name}: stored as {old.simpleString()}, now {new.simpleString()}"
+        )
+    return value
 
 
 def replace_external_table(df: DataFrame, name: str, path: str, fmt: str = "parquet") -> DataFrame:

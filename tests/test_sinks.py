@@ -94,6 +94,57 @@ def test_schema_conflict_is_refused_before_anything_is_written(spark, tmp_path):
     assert read_table(spark, path).first().n == 1
 
 
+def test_columns_outlive_a_refresh_without_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    kind = "part string, n int, extra string, s struct<a:int>"
+    full = spark.createDataFrame([("a", 1, "x", (1,))], kind)
+    overwrite_merging_schema(full, path, "part")
+    overwrite_merging_schema(full.drop("extra").limit(0), path, "part")
+    empty = read_table(spark, path)
+    assert set(empty.columns) == {"part", "n", "extra", "s"}
+    assert empty.count() == 0
+    overwrite_merging_schema(full.drop("extra"), path, "part")
+    back = read_table(spark, path)
+    assert [(row.part, row.n, row.extra) for row in back.collect()] == [("a", 1, None)]
+    overwrite_partitioned(full.limit(0), path, "part")
+    assert read_table(spark, path, full.schema).count() == 0
+
+
+@pytest.mark.parametrize(
+    "old, new",
+    [
+        ("s struct<a:string>", "s struct<a:int>"),
+        ("s struct<a:struct<b:string>>", "s struct<a:struct<b:int>>"),
+        ("s array<struct<a:string>>", "s array<struct<a:int>>"),
+        ("s map<string,bigint>", "s map<string,int>"),
+        ("s map<int,bigint>", "s map<string,bigint>"),
+        ("s struct<a:int>", "s int"),
+    ],
+)
+def test_nested_type_changes_are_refused(spark, tmp_path, old, new):
+    path = str(tmp_path / "t")
+    overwrite_merging_schema(spark.createDataFrame([], f"part string, {old}"), path, "part")
+    before = read_table(spark, path).schema
+    with pytest.raises(ValueError, match="column s"):
+        overwrite_merging_schema(spark.createDataFrame([], f"part string, {new}"), path, "part")
+    assert read_table(spark, path).schema == before
+
+
+def test_missing_fields_inside_arrays_and_maps_are_added(spark, tmp_path):
+    path = str(tmp_path / "t")
+    old = "part string, l array<struct<a:int,b:string>>, m map<string,struct<c:int,d:int>>"
+    overwrite_merging_schema(spark.createDataFrame([], old), path, "part")
+    new = spark.createDataFrame(
+        [("x", [(1,), None], {"k": (2,), "n": None}), ("y", None, None)],
+        "part string, l array<struct<a:int>>, m map<string,struct<c:int>>",
+    )
+    overwrite_merging_schema(new, path, "part")
+    rows = {row.part: row.asDict(recursive=True) for row in read_table(spark, path).collect()}
+    assert rows["x"]["l"] == [{"a": 1, "b": None}, None]
+    assert rows["x"]["m"] == {"k": {"c": 2, "d": None}, "n": None}
+    assert (rows["y"]["l"], rows["y"]["m"]) == (None, None)
+
+
 def test_added_columns_cost_no_union(spark, plan_of):
     new = spark.range(3).select("id")
     old = spark.createDataFrame([], "id bigint, extra string").schema
@@ -131,3 +182,13 @@ def test_json_lines(spark, tmp_path):
     inferred = read_json_lines(spark, str(file))
     assert inferred.columns == ["_corrupt_record", "a", "b", "c"]
     assert inferred.select("a", "b").count() == 3
+    both = read_json_lines(spark, str(file), declared=spark.createDataFrame(
+        [], "a bigint, z double").schema)
+    assert both.dtypes == [("a", "bigint"), ("z", "double"), ("_corrupt_record", "string"),
+                           ("b", "string"), ("c", "array<bigint>")]
+    rows = [(row.a, row.b, row.c, row["_corrupt_record"]) for row in both.collect()]
+    assert rows == [
+        (1, "x", None, None),
+        (None, None, None, "{broken"),
+        (None, "y", [1], '{"a": "bad", "b": "y", "c": [1]}'),
+    ]
