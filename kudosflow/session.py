@@ -33,7 +33,9 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
     Without ``spark.checkpoint.dir`` a one-machine session gets a temporary
-    folder and a cluster session its warehouse folder.
+    folder and a cluster session its warehouse folder, unless that is one of the
+    machine's own. What is written there is the folder's owner's to remove: the
+    DataFrames that read it may outlive the call that wrote it.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -41,7 +43,18 @@ def shared_folder(spark: SparkSession) -> str:
     master = spark.conf.get("spark.master", "")
     if master == "local" or master.startswith("local["):
         return tempfile.mkdtemp(prefix="kudosflow-")
-    return spark.conf.get("spark.sql.warehouse.dir")
+    folder = spark.conf.get("spark.sql.warehouse.dir")
+    if folder.startswith("file:") or "://" not in folder and not _has_shared_default(spark):
+        raise ValueError(
+            f"executors cannot share {folder}: set spark.checkpoint.dir to a folder they can"
+        )
+    return folder
+
+
+def _has_shared_default(spark: SparkSession) -> bool:
+    """Whether paths without a scheme go to a file system other than the machine's own."""
+    default = spark.conf.get("spark.hadoop.fs.defaultFS", None) or "file:///"
+    return not default.startswith("file:")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

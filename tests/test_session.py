@@ -1,3 +1,5 @@
+import pytest
+
 from kudosflow.session import SETTINGS, scratch_path, shared_folder
 
 
@@ -25,5 +27,13 @@ def test_without_a_name_only_one_machine_uses_a_temporary_folder():
     assert "kudosflow-" in shared_folder(Session(spark__master="local[2]"))
 
 
+def test_a_cluster_does_not_use_a_folder_of_one_machine():
+    for folder in ("file:/home/me/spark-warehouse", "file:///tmp/w", "/home/me/warehouse"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_folder(Session(spark__master="yarn", spark__sql__warehouse__dir=folder))
+    hdfs = {"spark__hadoop__fs__defaultFS": "hdfs://name", "spark__sql__warehouse__dir": "/lake"}
+    assert shared_folder(Session(spark__master="yarn", **hdfs)) == "/lake"
+
+
 def test_settings_are_in_force(spark):
     assert all(spark.conf.get(name) == value for name, value in SETTINGS.items())
