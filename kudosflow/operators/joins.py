@@ -10,10 +10,13 @@ from kudosflow.operators.limits import (
     Limits,
     fits_broadcast,
     frequent_values,
-    none_of,
+    layout_value,
     one_of,
 )
 
+# Keys of these types may differ in width: their layout values are equal if they are.
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
+
 
 def null_safe_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """Equi-join on ``key`` in which NULL matches NULL; one key column results."""
@@ -32,8 +35,8 @@ def large_join(
     key: str,
     how: str = "inner",
     null_safe: bool = False,
-    unique_right: bool = False,
     bound: DataFrame | None = None,
+    counted: DataFrame | None = None,
     limits: Limits = DEFAULT,
 ) -> DataFrame:
     """Join a large ``left`` without shuffling it where ``right`` allows that.
@@ -44,7 +47,7 @@ def large_join(
     """
     if fits_broadcast(right if bound is None else bound, limits):
         return _join(left, F.broadcast(right), key, how, null_safe)
-    return split_join(left, right, key, how, null_safe, unique_right, limits)
+    return split_join(left, right, key, how, null_safe, counted, limits)
 
 
 def split_join(
@@ -53,33 +56,46 @@ def split_join(
     key: str,
     how: str = "inner",
     null_safe: bool = False,
-    unique_right: bool = False,
+    counted: DataFrame | None = None,
     limits: Limits = DEFAULT,
 ) -> DataFrame:
-    """Join by key, with the rows of over-frequent left keys joined apart.
-
-    Those rows stay where they were read: the few matching right rows go to
-    them. There are at most ``limits.hot_keys`` of these where the caller vouches
-    for ``unique_right`` (or a semi join makes them so); otherwise they are
-    measured first, and if they are many the shuffle join splits them. All other
-    rows take part in a plain shuffle join.
+    """Join by key, with the rows of over-frequent left keys dealt to many tasks.
+
+    Each such row gets the number of the task that reads it, modulo
+    ``limits.salts``, as a second key, and its partners on the right are repeated for
+    every number. So the left side runs once, and any number gives the same rows. To
+    find the keys, ``counted`` may stand in for ``left``: a plan that is cheaper to
+    run and holds each key about as often. If the partners are too large to be
+    repeated, or the key is of a type that has no layout value, the join is left
+    to adaptive execution. Filter ``left`` before: the number hides a later filter.
     """
-    column = F.col(key)
-    hot = frequent_values(left, key, limits)
-    if not null_safe and how != "left":
-        hot = [value for value in hot if value is not None]
     if how == "left_semi":
         right = right.select(key).distinct()
-    if not hot:
+    kinds = [df.schema[key].dataType for df in (left, right)]
+    hot = frequent_values(left if counted is None else counted, key, limits)
+    if not null_safe and how != "left":
+        hot = [value for value in hot if value is not None]
+    simple = layout_value(F.col(key), kinds[1]) is not None
+    alike = kinds[0] == kinds[1] or all(kind.simpleString() in _WHOLE for kind in kinds)
+    if not hot or not simple or not alike:
+        return _join(left, right, key, how, null_safe)
+    partners = right.where(one_of(layout_value(F.col(key), kinds[1]), hot))
+    repeated = Limits(limits.repeated_bytes // limits.salts)
+    if not fits_broadcast(partners, repeated):
         return _join(left, right, key, how, null_safe)
-    partners = right.where(one_of(column, hot))
-    if unique_right or how == "left_semi" or fits_broadcast(partners, limits):
-        partners = F.broadcast(partners)
-    frequent = _join(left.where(one_of(column, hot)), partners, key, how, null_safe)
-    others = _join(
-        left.where(none_of(column, hot)), right.where(none_of(column, hot)), key, how, null_safe
-    )
-    return frequent.unionByName(others)
+    salt, other = f"{key}__salt", f"{key}__right"
+    task = F.pmod(F.spark_partition_id(), F.lit(limits.salts))
+    dealt = F.when(one_of(layout_value(F.col(key), kinds[0]), hot), task).otherwise(0)
+    each = F.sequence(F.lit(0), F.lit(limits.salts - 1))
+    is_hot = one_of(layout_value(F.col(key), kinds[1]), hot)
+    salts = F.explode(F.when(is_hot, each).otherwise(F.array(F.lit(0)))).alias(salt)
+    salted = right.select("*", salts)
+    if not null_safe:
+        return left.withColumn(salt, dealt).join(salted, [key, salt], how).drop(salt)
+    renamed = salted.withColumnsRenamed({key: other, salt: f"{salt}__right"})
+    on = F.col(key).eqNullSafe(F.col(other)) & (F.col(salt) == F.col(f"{salt}__right"))
+    joined = left.withColumn(salt, dealt).join(renamed, on, how)
+    return joined.drop(salt, f"{salt}__right", other)
 
 
 def semi_join_in(

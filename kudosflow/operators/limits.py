@@ -12,7 +12,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
     BinaryType,
+    BooleanType,
+    ByteType,
+    DataType,
+    DateType,
+    DecimalType,
+    IntegerType,
+    LongType,
     MapType,
+    ShortType,
     StringType,
     StructType,
 )
@@ -20,11 +28,17 @@ from pyspark.sql.types import (
 
 @dataclass(frozen=True)
 class Limits:
-    """When a side is small enough to broadcast and a key too frequent to shuffle."""
+    """When a side is small enough to broadcast and a key too frequent for one task.
+
+    Rows of a frequent key are dealt to ``salts`` tasks if the partners, repeated that
+    often, take no more than ``repeated_bytes``.
+    """
 
     broadcast_bytes: int = 64 << 20
     hot_share: float = 0.001
     hot_rows: int = 1_000_000
+    salts: int = 64
+    repeated_bytes: int = 1 << 30
 
     @property
     def hot_keys(self) -> int:
@@ -34,6 +48,9 @@ class Limits:
 
 DEFAULT = Limits()
 
+# Types whose values an approximate count and a list can hold.
+_SIMPLE = (BooleanType, ByteType, ShortType, IntegerType, LongType, DateType, DecimalType)
+
 # Tasks that merge the sketches of all others.
 SKETCH_GROUPS = 256
 
@@ -59,7 +76,7 @@ def fits_broadcast(df: DataFrame, limits: Limits = DEFAULT) -> bool:
 
 
 def frequent_values(df: DataFrame, key: str, limits: Limits = DEFAULT) -> list[Any]:
-    """Values of ``key``, NULL among them, that hold too many rows for one task.
+    """Layout values of ``key``, NULL among them, that hold too many rows for one task.
 
     One pass over one column. Every task sums up its rows in a sketch of fixed
     size; these are merged in groups first, as a large input has too many for
@@ -67,8 +84,11 @@ def frequent_values(df: DataFrame, key: str, limits: Limits = DEFAULT) -> list[A
     ten times as many keeps the error well below the share asked for.
     """
     tracked = 10 * limits.hot_keys
+    value = layout_value(F.col(f"`{key}`"), df.schema[key].dataType)
+    if value is None:
+        return []
     found = (
-        df.select(F.col(f"`{key}`").alias("value"))
+        df.select(value.alias("value"))
         .groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("group"))
         .agg(
             F.count(F.lit(1)).alias("rows"),
@@ -88,6 +108,20 @@ def frequent_values(df: DataFrame, key: str, limits: Limits = DEFAULT) -> list[A
     return [entry["item"] for entry in found["top"] if entry["count"] >= floor]
 
 
+def layout_value(column: Column, kind: DataType) -> Column | None:
+    """What stands for a key when its layout is decided; equal keys have equal values.
+
+    Simple keys stand for themselves and others for a hash. There is none for
+    floating-point numbers, of which unlike ones may be equal, and maps.
+    """
+    if isinstance(kind, _SIMPLE) or kind == StringType():
+        return column
+    text = kind.jsonValue() if isinstance(kind.jsonValue(), str) else kind.json()
+    if any(name in text for name in ("float", "double", "map", "variant", "collate")):
+        return None
+    return F.when(column.isNotNull(), F.xxhash64(column))
+
+
 def one_of(column: Column, values: list[Any]) -> Column:
     """True where ``column`` is one of ``values``, which may include NULL."""
     listed = column.isin([value for value in values if value is not None])

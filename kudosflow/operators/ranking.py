@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from typing import Any
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kudosflow.operators.limits import DEFAULT, Limits, frequent_values, none_of, one_of
+from kudosflow.operators.limits import DEFAULT, Limits, layout_value, none_of, one_of
 from kudosflow.session import scratch_path
 
 # Rows of one group of equal rows that a single task writes out.
@@ -37,24 +35,45 @@ def number_rows(
 ) -> DataFrame:
     """Number all rows of each ``key`` from 1 in the given order, as bigint.
 
-    A window puts each key into one task. Keys with too many rows for that are
-    numbered apart, each over many tasks. To find them, ``counted`` may stand in
-    for ``df``: a plan that is cheaper to run and holds each key as often or
-    more.
+    A window puts each key into one task. Keys with more than ``limits.hot_rows``
+    rows are numbered apart, each over many tasks; if there are more than
+    ``limits.hot_keys`` of them, all keys are. To count the rows of each key,
+    ``counted`` may stand in for ``df``: a plan that is cheaper to run and holds
+    each key as often or more.
     """
-    hot = frequent_values(df if counted is None else counted, key, limits)
+    value = layout_value(F.col(key), df.schema[key].dataType)
+    alike = F.col(key) if value is None else value
+    sizes = (df if counted is None else counted).groupBy(alike.alias("row__value")).count()
+    large = sizes.where(F.col("count") > limits.hot_rows)
+    hot = large.limit(limits.hot_keys + 1).collect()
     window = Window.partitionBy(key).orderBy(*order)
     number = F.row_number().over(window).cast("bigint")
     if not hot:
         return df.withColumn(name, number)
-    others = df.where(none_of(F.col(key), hot)).withColumn(name, number)
-    return others.unionByName(_number_spread(df, key, hot, order, name))
+    if len(hot) > limits.hot_keys or value is None:
+        rows = sizes.agg(F.sum("count")).first()[0]
+        return _number_spread(df, rows, key, order, name, limits)
+    values = [row["row__value"] for row in hot]
+    rows = sum(row["count"] for row in hot)
+    others = df.where(none_of(value, values)).withColumn(name, number)
+    spread = _number_spread(df.where(one_of(value, values)), rows, key, order, name, limits)
+    return others.unionByName(spread)
+
+
+def _comparable(df: DataFrame) -> list[Column]:
+    """Columns that can be grouped and hashed: maps, wherever they are, as JSON."""
+    return [
+        F.to_json(F.struct(F.col(f"`{field.name}`")), {"ignoreNullFields": "false"})
+        if '"map"' in field.json()
+        else F.col(f"`{field.name}`")
+        for field in df.schema
+    ]
 
 
 def _number_spread(
-    df: DataFrame, key: str, hot: list[Any], order: list[Column], name: str
+    df: DataFrame, rows: int, key: str, order: list[Column], name: str, limits: Limits
 ) -> DataFrame:
-    """Number the rows of the ``hot`` keys over sorted slices.
+    """Number the rows of large keys, ``rows`` in all, over sorted slices.
 
     Equal rows are counted first and stand for themselves as one row. Slices by
     key and order are then even, and the number of a row is its number within
@@ -63,15 +82,23 @@ def _number_spread(
     draw differently.
     """
     spark = df.sparkSession
-    slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    slices = max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // limits.hot_rows)
+    )
     # The hash makes the order total over rows that differ anywhere.
-    full = [*order, F.xxhash64(*df.columns)]
+    same = {f"row__same{i}": column for i, column in enumerate(_comparable(df))}
+    hashed = F.xxhash64(*same)
+    firsts = [F.first(f"`{column}`").alias(column) for column in df.columns]
     placed = (
-        df.where(one_of(F.col(key), hot))
-        .groupBy(*df.columns)
-        .agg(F.count(F.lit(1)).alias("row__copies"))
-        .repartitionByRange(slices, F.col(key), *full)
-        .withColumn("row__slice", F.spark_partition_id())
+        df.withColumns(same)
+        .groupBy(*same)
+        .agg(*firsts, F.count(F.lit(1)).alias("row__copies"))
+        .withColumn("row__hash", hashed)
+        .drop(*same)
+    )
+    full = [*order, F.col("row__hash")]
+    placed = placed.repartitionByRange(slices, F.col(key), *full).withColumn(
+        "row__slice", F.spark_partition_id()
     )
     path = scratch_path(spark, "slices")
     placed.write.parquet(path)
@@ -114,4 +141,4 @@ def _number_spread(
             )
         )
     numbers = F.explode(F.sequence("row__from", "row__last")).alias(name)
-    return ranges.select(*df.columns, numbers)
+    return ranges.select(*[f"`{column}`" for column in df.columns], numbers)

@@ -24,13 +24,18 @@ TIE_BREAK = ["review_id", "username", "review_date", "review_text", "user_averag
 
 
 def rated_reviews(
-    reviews: DataFrame, users: DataFrame, rating: float = 5, limits: Limits = DEFAULT
+    reviews: DataFrame,
+    users: DataFrame,
+    rating: float = 5,
+    counted: DataFrame | None = None,
+    limits: Limits = DEFAULT,
 ) -> DataFrame:
     """Reviews with ``rating`` by the given users, a NULL user matching NULL users.
 
     Each review comes once, with the best ranked of the users who share its
     ``user_id``: that one decides any choice among reviews, and NULL users do
-    not multiply NULL reviews.
+    not multiply NULL reviews. ``counted`` may stand in for the reviews where
+    frequent users are looked for.
     """
     people = users.select(
         "user_id",
@@ -45,7 +50,7 @@ def rated_reviews(
         "business_id", "user_id", "review_text", "review_id", F.col("date").alias("review_date")
     )
     return large_join(
-        wanted, best, "user_id", null_safe=True, unique_right=True, bound=people, limits=limits
+        wanted, best, "user_id", null_safe=True, bound=people, counted=counted, limits=limits
     ).drop("user_id")
 
 
@@ -62,17 +67,19 @@ def best_reviews(
     out; no other review takes the place of the chosen one.
     """
     businesses = drop_incomplete(businesses.select(*schemas.TOP_RATED_BUSINESSES.names))
+    wanted = reviews
     few = fits_broadcast(businesses, limits)
     if few:
         ids = F.broadcast(businesses.select("business_id"))
-        reviews = reviews.join(ids, "business_id", "left_semi")
-    candidates = rated_reviews(reviews, users, rating, limits)
+        wanted = reviews.join(ids, "business_id", "left_semi")
+    rated = reviews.where(F.col("stars") == rating)
+    candidates = rated_reviews(wanted, users, rating, rated, limits)
     chosen = first_per_group(candidates, "business_id", [F.col("useful").desc(), *TIE_BREAK])
     chosen = drop_incomplete(chosen)
     if few:
         joined = chosen.join(F.broadcast(businesses), "business_id")
     else:
-        joined = split_join(businesses, chosen, "business_id", unique_right=True, limits=limits)
+        joined = split_join(businesses, chosen, "business_id", limits=limits)
     return joined.select(*schemas.BEST_REVIEWS.names)
 
 
@@ -98,33 +105,37 @@ def reviewed_by_engaged(
     return split_join(businesses, by_engaged, "business_id", "left_semi", limits=limits)
 
 
-# The same question as SQL over the session views of the three silver tables.
+# The same question as SQL. The first statement needs the three silver tables as
+# session views, and the second the first one's ids as a view.
+
+REVIEWED_IDS = "ids_reviewed_by_engaged"
 
-ENGAGED_REVIEWS_SQL = """
-SELECT r.business_id, u.name, u.average_stars, u.useful, r.review_text, r.review_id, r.date
-FROM user_review AS r JOIN engaged_users AS u USING (user_id)
-WHERE r.stars = {rating}
+REVIEWED_IDS_SQL = """
+SELECT opinion.business_id
+FROM user_review opinion
+LEFT SEMI JOIN engaged_users person ON person.user_id = opinion.user_id
+WHERE opinion.stars = {rating}
 """
 
-REVIEWED_BY_ENGAGED_SQL = """
-SELECT b.business_id, b.name, b.city, b.state, b.stars
-FROM top_rated_business AS b
-WHERE b.business_id IN (SELECT DISTINCT business_id FROM engaged_users_reviews)
+REVIEWED_BY_ENGAGED_SQL = f"""
+SELECT place.business_id, place.name, place.city, place.state, place.stars
+FROM top_rated_business place
+WHERE EXISTS (SELECT 1 FROM {REVIEWED_IDS} found WHERE found.business_id = place.business_id)
 """
 
 
-def engaged_reviews_view(
+def reviewed_ids_view(
     spark: SparkSession,
     businesses: DataFrame,
     users: DataFrame,
     reviews: DataFrame,
     rating: float = 5,
 ) -> DataFrame:
-    """Register the silver views and, over them, ``engaged_users_reviews``."""
+    """Register the silver views and, over them, the ids with a review that counts."""
     register_views(top_rated_business=businesses, engaged_users=users, user_review=reviews)
-    return sql_view(spark, "engaged_users_reviews", ENGAGED_REVIEWS_SQL.format(rating=rating))
+    return sql_view(spark, REVIEWED_IDS, REVIEWED_IDS_SQL.format(rating=rating))
 
 
 def reviewed_by_engaged_sql(spark: SparkSession) -> DataFrame:
-    """The answer from the views that ``engaged_reviews_view`` registers."""
+    """The answer from the views that ``reviewed_ids_view`` registers."""
     return spark.sql(REVIEWED_BY_ENGAGED_SQL)

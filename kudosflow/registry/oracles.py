@@ -10,7 +10,7 @@ WITH businesses AS (
            nullif(p_type, 'ECONOMY') AS categories
     FROM part),
 users AS (
-    SELECT nullif(c_custkey, 30) AS user_id, c_name AS name, c_mktsegment AS yelping_since,
+    SELECT nullif(c_custkey, 30) AS user_id, nullif(c_name, 'Customer#000000044') AS name, c_mktsegment AS yelping_since,
            c_custkey % 60 AS review_count,
            CAST(100 + (c_custkey * 7) % 401 AS DOUBLE) / CAST(100 AS DOUBLE) AS average_stars,
            c_custkey % 37 AS useful
@@ -34,8 +34,9 @@ by_engaged AS (
 five_stars AS (SELECT * FROM by_engaged WHERE stars = 5),
 ranked AS (
     SELECT *, row_number() OVER (PARTITION BY business_id
-        ORDER BY useful DESC NULLS LAST, review_id, username, review_date, review_text,
-                 user_average_stars) AS row
+        ORDER BY useful DESC NULLS LAST, review_id NULLS FIRST, username NULLS FIRST,
+                 review_date NULLS FIRST, review_text NULLS FIRST,
+                 user_average_stars NULLS FIRST) AS row
     FROM five_stars),
 best AS (SELECT * EXCLUDE (row) FROM ranked WHERE row = 1)
 """
@@ -60,6 +61,7 @@ def oracle_sql() -> dict[str, str]:
     plain = {
         "ingest_json": _EVENTS,
         "ingest_json_inferred": _EVENTS,
+        "ingest_json_passthrough": _EVENTS,
         "checkin_count": f"SELECT doc_id, {_COUNTS}",
         "silver_checkin_count": f"SELECT doc_id, text AS date, {_COUNTS}",
     }
@@ -75,16 +77,23 @@ def oracle_sql() -> dict[str, str]:
         "ratio_filter": """SELECT * FROM users
             WHERE CAST(review_count AS DOUBLE) / nullif(useful, 0) < 2""",
         "drop_any_null": "SELECT * FROM businesses WHERE categories IS NOT NULL",
+        "drop_null_subset": """SELECT * REPLACE (nullif(city, 'PROMO') AS city) FROM businesses
+            WHERE categories IS NOT NULL AND review_count % 7 <> 0""",
         "null_safe_join": "SELECT * FROM by_engaged",
         "using_join": "SELECT * FROM by_engaged WHERE user_id IS NOT NULL",
         "join_filter_literal": "SELECT * FROM five_stars",
         "left_join": _LEFT_JOIN,
         "left_join_drop_null": f"""SELECT * FROM ({_LEFT_JOIN})
-            WHERE categories IS NOT NULL AND review_id IS NOT NULL""",
+            WHERE categories IS NOT NULL AND review_id IS NOT NULL AND username IS NOT NULL""",
         "semi_join_in": """SELECT * FROM businesses
             WHERE business_id IN (SELECT business_id FROM five_stars)""",
         "distinct_keys": "SELECT DISTINCT business_id FROM reviews",
-        "row_number_rank": "SELECT * FROM ranked",
+        "row_number_rank": """SELECT * REPLACE (nullif(useful, 20) AS useful, row_number() OVER (
+                PARTITION BY business_id
+                ORDER BY nullif(useful, 20) DESC NULLS LAST, review_id NULLS FIRST,
+                    username NULLS FIRST, review_date NULLS FIRST, review_text NULLS FIRST,
+                    user_average_stars NULLS FIRST) AS row)
+            FROM ranked""",
         "top1_per_group": "SELECT * FROM best",
         "silver_engaged_users": "SELECT * FROM engaged",
         "silver_top_rated": "SELECT * FROM top_rated",
@@ -94,7 +103,7 @@ def oracle_sql() -> dict[str, str]:
                    user_average_stars, useful, review_text, review_id, review_date
             FROM top_rated t
             JOIN (SELECT * EXCLUDE (stars) FROM best) b ON t.business_id = b.business_id
-            WHERE categories IS NOT NULL""",
+            WHERE categories IS NOT NULL AND username IS NOT NULL""",
         "gold_reviewed_by_engaged": _REVIEWED,
         "gold_reviewed_by_engaged_sql": _REVIEWED,
         "cached_view_semi": _REVIEWED,

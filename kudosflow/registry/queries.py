@@ -6,10 +6,12 @@ about writing write to the shared folder and return what is read back.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from kudosflow.functions import ratio, token_count
 from kudosflow.operators import (
@@ -62,6 +64,13 @@ def ingest_json_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_json_lines(spark, path)
 
 
+def ingest_json_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two fields are declared, and the records have four more."""
+    events, path = _events_as_json(spark, sf_dir)
+    declared = StructType([events.schema["event_id"], events.schema["user_id"]])
+    return read_json_lines(spark, path, declared=declared)
+
+
 # Sinks and catalog
 
 
@@ -86,8 +95,9 @@ def schema_merge_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def external_table_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "top_rated")
-    replace_external_table(views.businesses(spark, sf_dir), "top_rated_external", path)
-    return replace_external_table(views.top_rated(spark, sf_dir), "top_rated_external", path)
+    name = f"top_rated_{uuid.uuid4().hex}"  # so that no other run replaces it
+    replace_external_table(views.businesses(spark, sf_dir), name, path)
+    return replace_external_table(views.top_rated(spark, sf_dir), name, path)
 
 
 # Projections and scalar functions
@@ -123,6 +133,14 @@ def drop_any_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_incomplete(views.businesses(spark, sf_dir))
 
 
+def drop_null_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One column with NULLs, one with NaNs, named in other cases; a third may be NULL."""
+    stars = F.when(F.col("review_count") % 7 == 0, float("nan")).otherwise(F.col("stars"))
+    city = F.nullif("city", F.lit("PROMO"))
+    shops = views.businesses(spark, sf_dir).withColumns({"stars": stars, "city": city})
+    return drop_incomplete(shops, ["Stars", "CATEGORIES"])
+
+
 # Joins
 
 
@@ -134,7 +152,9 @@ def _by_user(spark: SparkSession, sf_dir: str, null_safe: bool) -> DataFrame:
         "useful",
     )
     cleaned = views.cleaned_reviews(spark, sf_dir).withColumnRenamed("date", "review_date")
-    return large_join(cleaned, engaged, "user_id", null_safe=null_safe)
+    orders = views.table(spark, sf_dir, "orders")
+    users = orders.select(views.user_id(F.col("o_custkey")))
+    return large_join(cleaned, engaged, "user_id", null_safe=null_safe, counted=users)
 
 
 def null_safe_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,9 +171,7 @@ def join_filter_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     best = top1_per_group(spark, sf_dir).select("business_id", "review_id", "username")
-    return split_join(
-        views.top_rated(spark, sf_dir), best, "business_id", "left", unique_right=True
-    )
+    return split_join(views.top_rated(spark, sf_dir), best, "business_id", "left")
 
 
 def left_join_drop_null(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -177,7 +195,7 @@ def row_number_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The join adds no review, so the table read by itself shows any hot business.
     lines = views.table(spark, sf_dir, "lineitem").where(F.col("l_linenumber") >= 5)
     return number_rows(
-        join_filter_literal(spark, sf_dir),
+        join_filter_literal(spark, sf_dir).withColumn("useful", F.nullif("useful", F.lit(20))),
         "business_id",
         _rank_order(),
         counted=lines.select(F.col("l_partkey").alias("business_id")),
@@ -239,14 +257,14 @@ def gold_reviewed_by_engaged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_reviewed_by_engaged_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    gold.engaged_reviews_view(spark, *_silver(spark, sf_dir))
+    gold.reviewed_ids_view(spark, *_silver(spark, sf_dir))
     return gold.reviewed_by_engaged_sql(spark)
 
 
 def cached_view_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    gold.engaged_reviews_view(spark, *_silver(spark, sf_dir))
+    gold.reviewed_ids_view(spark, *_silver(spark, sf_dir))
     path = scratch_path(spark, "reviewed")
-    with cached_view(spark, "engaged_users_reviews"):
+    with cached_view(spark, gold.REVIEWED_IDS):
         overwrite(gold.reviewed_by_engaged_sql(spark), path)
     return read_table(spark, path)
 
@@ -256,6 +274,7 @@ def queries() -> dict[str, Query]:
     plain = [
         ingest_json,
         ingest_json_inferred,
+        ingest_json_passthrough,
         partitioned_roundtrip,
         partition_pruned_scan,
         schema_merge_overwrite,
@@ -266,6 +285,7 @@ def queries() -> dict[str, Query]:
         range_filter,
         ratio_filter,
         drop_any_null,
+        drop_null_subset,
         null_safe_join,
         using_join,
         join_filter_literal,

@@ -5,6 +5,7 @@ from itertools import groupby
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from kudosflow.functions import ratio, token_count
@@ -67,6 +68,83 @@ def test_joins_in_every_layout(spark, rows_of, how, null_safe, left, right):
         assert rows_of(split_join(a, b, "k", how, null_safe, limits=limits)) == wanted
 
 
+@pytest.mark.parametrize("null_safe", [False, True])
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
+@pytest.mark.parametrize(
+    "kind",
+    ["binary", "struct<a:int,b:string>", "array<int>", "timestamp", "timestamp_ntz", "double",
+     "string", "decimal(9,2)", "date", "boolean", "array<double>"],
+)
+def test_keys_of_any_type_in_every_layout(spark, rows_of, kind, how, null_safe):
+    text = {
+        "binary": "CAST(v AS BINARY)",
+        "struct<a:int,b:string>": "named_struct('a', CAST(v AS INT), 'b', v)",
+        "array<int>": "array(CAST(v AS INT), 0)",
+        "array<double>": "array(CAST(v AS DOUBLE) * 0 - 0.0D)",
+        "timestamp": "timestamp_seconds(CAST(v AS INT) * 1800)",
+        "timestamp_ntz": "CAST(timestamp_seconds(CAST(v AS INT) * 1800) AS TIMESTAMP_NTZ)",
+        "double": "CASE WHEN v = '1' THEN CAST('NaN' AS DOUBLE) ELSE CAST(v AS DOUBLE) END",
+        "date": "date_add(DATE'2020-03-01', CAST(v AS INT))",
+        "boolean": "v = '1'",
+    }.get(kind, f"CAST(v AS {kind})")
+    rows = [("0", 1), ("0", 2), ("0", 3), ("1", 4), (None, 5), (None, 6), (None, 7), ("2", 8)]
+    a = table(spark, rows, ["v string", "x int"]).selectExpr(f"{text} AS k", "x")
+    partners = [("0", 1), ("0", 2), (None, 3), ("1", 4), ("3", 5)]
+    b = table(spark, partners, ["v string", "y int"]).selectExpr(f"{text} AS k", "y")
+    wanted = rows_of(_plain_join(a, b, how, null_safe))
+    for limits in (Limits(), SPLIT, Limits(broadcast_bytes=-1, hot_rows=1)):
+        assert repr(rows_of(large_join(a, b, "k", how, null_safe, limits=limits))) == repr(wanted)
+
+
+def _plain_join(a, b, how, null_safe):
+    return null_safe_join(a, b, "k", how) if null_safe else a.join(b, "k", how)
+
+
+def test_keys_of_different_width_in_every_layout(spark, rows_of):
+    a = table(spark, [(1, 1), (1, 2), (1, 3), (2, 4)], ["k int", "x int"])
+    for kind in ("bigint", "string", "double"):
+        b = table(spark, [(1, 1), (3, 2)], ["k int", "y int"])
+        b = b.select(F.col("k").cast(kind).alias("k"), "y")
+        wanted = rows_of(a.join(b, "k").select("x", "y"))
+        assert rows_of(split_join(a, b, "k", limits=SPLIT).select("x", "y")) == wanted
+
+
+@pytest.mark.parametrize("kind", ["string", "binary", "array<int>", "double", "timestamp"])
+def test_number_rows_with_maps_and_any_key(spark, kind):
+    key = {"array<int>": "array(CAST(id % 3 AS INT))", "timestamp": "timestamp_seconds(id % 3)"}
+    text = key.get(kind, f"CAST(CAST(id % 3 AS STRING) AS {kind})")
+    df = spark.range(0, 60, 1, 4).selectExpr(
+        f"CASE WHEN id % 3 < 2 THEN {text} END AS k",
+        "id % 4 AS x",
+        "map('a', id % 2, 'b', NULL) AS m",
+        "named_struct('n', map(id % 5, 1.5D)) AS s",
+    )
+    order = [F.col("x").desc()]
+    for limits in (Limits(), Limits(hot_rows=15), Limits(hot_rows=1), Limits(1, 0.5, 1)):
+        out = number_rows(df, "k", order, limits=limits)
+        assert out.columns == [*df.columns, "row"]
+        numbers = out.groupBy("k").agg(
+            F.count("*").alias("n"), F.countDistinct("row").alias("d"), F.max("row").alias("m")
+        )
+        assert {(row.n, row.d, row.m) for row in numbers.collect()} == {(20, 20, 20)}
+        back = out.orderBy("k", "row").select("k", "x").collect()
+        again = df.orderBy("k", F.col("x").desc()).select("k", "x").collect()
+        assert repr(back) == repr(again)
+        left = [repr(row) for row in out.drop("row").collect()]
+        assert sorted(left) == sorted(repr(row) for row in df.collect())
+
+
+def test_a_key_above_the_floor_is_split_however_small_its_share(spark):
+    df = spark.range(0, 5_000, 1, 4).select(
+        F.when(F.col("id") < 12, F.lit(-1)).otherwise(F.col("id")).alias("k"), "id"
+    )
+    out = number_rows(df, "k", [F.col("id")], limits=Limits(hot_rows=10))
+    assert "Union" in out._jdf.queryExecution().optimizedPlan().toString()
+    assert {(row.id, row.row) for row in out.where("k = -1").collect()} == {
+        (i, i + 1) for i in range(12)
+    }
+
+
 @SLOW
 @given(left=ROWS, right=ROWS)
 def test_semi_join_in(spark, rows_of, left, right):
@@ -206,6 +284,12 @@ def test_drop_incomplete_equals_na_drop(spark, rows_of):
     assert rows_of(drop_incomplete(df)) == rows_of(df.na.drop("any"))
     by_one = rows_of(drop_incomplete(df, ["s"]))
     assert repr(by_one) == repr(rows_of(df.na.drop("any", subset=["s"])))
+    for subset in (["S"], "s", ["X", "s"], "X", ("x",), []):
+        wanted = [subset] if isinstance(subset, str) else list(subset)
+        kept = df.na.drop("any", subset=wanted) if wanted else df
+        assert repr(rows_of(drop_incomplete(df, subset))) == repr(rows_of(kept))
+    with pytest.raises(AnalysisException):
+        drop_incomplete(df, ["nope"])
 
 
 def test_cleaned_reviews_passes_over_missing_columns(spark):

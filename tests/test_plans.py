@@ -96,18 +96,26 @@ def test_without_small_sides_all_joins_go_by_key(silver, plan_of, no_small_sides
     assert reviewed.count("LeftSemi") == 2
 
 
-def test_hot_users_stay_where_they_were_read(silver, plan_of, no_small_sides, rows_of):
+def test_hot_users_are_dealt_out_in_one_pass(silver, plan_of, no_small_sides, rows_of):
     hot = Limits(broadcast_bytes=-1, hot_rows=3_000)
     best = gold.best_reviews(*silver, limits=hot)
     plan = plan_of(best)
-    assert "Union" in plan
-    assert plan.count("BroadcastHashJoin") == 1
+    assert "user_id__salt" in plan
+    assert "Union" not in plan
+    assert plan.count("review_text:string") == 1  # the reviews are scanned once
     assert rows_of(best) == rows_of(gold.best_reviews(*silver))
     reviewed = gold.reviewed_by_engaged(*silver, limits=hot)
-    assert "BroadcastHashJoin" in plan_of(reviewed)
+    plan = plan_of(reviewed)
+    assert "user_id__salt" in plan
+    assert plan.count("ReadSchema: struct<business_id:string,user_id:string>") == 1
     assert rows_of(reviewed) == rows_of(gold.reviewed_by_engaged(*silver))
 
 
+def test_the_cache_of_the_sql_answer_holds_one_column(silver, spark):
+    view = gold.reviewed_ids_view(spark, *silver)
+    assert view.columns == ["business_id"]
+
+
 def test_adaptive_execution_splits_what_is_below_the_hot_limit(
     silver, plan_of, no_small_sides, set_conf, rows_of
 ):
