@@ -25,7 +25,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     state = _state(edges)
     while state[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("w")).select("u", F.least("u", "w").alias("w"))
+        least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("w"))
         large = (
             both.where("v > u")
             .join(least, "u")

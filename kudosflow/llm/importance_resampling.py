@@ -89,9 +89,10 @@ def resample(
     ``docs`` has ``doc_id`` and ``text``; ``labels`` has ``doc_id`` and ``quality``, 1 for
     target texts. The target model is fitted on at most ``most_targets`` of them, those
     with the smallest hash of their id. As many documents are kept as ``share`` says, or
-    as large a part as the labels call good; without labels, all. Ties in score go by a
-    hash of the id, and rows that repeat an id stay or go together, so that a few less may be kept. A missing or
-    empty text has the ratio 0.
+    as large a part as the labels call good and ``spare`` more, which is room for good
+    texts of a kind that is rare among the targets; without labels, all. Ties in score go
+    by a hash of the id, and rows that repeat an id stay or go together, so that a few
+    less may be kept. A missing or empty text has the ratio 0.
     """
     good = F.col("quality") == 1
     known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL")

@@ -312,8 +312,7 @@ def _due(
     table: pa.Table, starts: np.ndarray, scheme: Scheme
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Rows of near pairs of different components that are due in their group."""
-    column = {name: table[name].to_numpy() for name in table.column_names if name != "symbols"
-              and name != "hashes"}
+    column = {name: table[name].to_numpy() for name in (*_PLACE, "part", "label", "n_shingles")}
     symbols = table["symbols"].combine_chunks().flatten().to_numpy()
     symbols = symbols.reshape(table.num_rows, -1)
     number = column["key"] & (_NUMBERS - 1)

@@ -116,7 +116,8 @@ BASE = (
 ADDED = (
     Kind(
         "iban",
-        r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+        r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}"
+        r"(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
         "",
         lambda match: mod97(F.replace(match, F.lit(" "), F.lit(""))),
         70,

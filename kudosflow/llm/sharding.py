@@ -57,7 +57,9 @@ def _round(state: DataFrame, members: DataFrame, shards: int) -> tuple[DataFrame
         .groupBy("row", "shard")
         .agg(*[F.sum(f"v{shard}").alias(f"v{shard}") for shard in range(shards)])
     )
-    best = F.greatest(*[F.struct(F.col(f"v{s}").alias("n"), F.lit(-s).alias("s")) for s in range(shards)])
+    best = F.greatest(
+        *[F.struct(F.col(f"v{s}").alias("n"), F.lit(-s).alias("s")) for s in range(shards)]
+    )
     own = F.element_at(F.array(*[F.col(f"v{s}") for s in range(shards)]), F.col("shard") + 1)
     asked = near.select(
         "row", "shard", (-best["s"]).alias("wanted"), (best["n"] - own + 1).alias("gain")

@@ -53,7 +53,8 @@ def unpack_block(block: bytes) -> tuple[list[int | None], list[np.ndarray]]:
         raise ValueError("a block ends within its header")
     head, body = block[:start], block[start + 4 :]
     magic, vocabulary, n, total, lanes, held, ids_sum = struct.unpack(_HEADER, head)
-    if magic != _MAGIC or struct.unpack("<I", block[start : start + 4])[0] != zlib.crc32(head + body):
+    (body_sum,) = struct.unpack("<I", block[start : start + 4])
+    if magic != _MAGIC or body_sum != zlib.crc32(head + body):
         raise ValueError("a block is damaged")
     cuts = np.cumsum([0, n, 8 * n, 4 * n, 4 * lanes, 4 * held])
     known, numbers, lengths, counts, words = (

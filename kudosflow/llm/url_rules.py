@@ -62,7 +62,7 @@ class UrlTrie:
                 ends[last] = (rule.verdict, host + rule.path, len(host))
 
     def find(self, host: str, path: str) -> tuple[str, str] | None:
-        """Verdict and text of the longest rule that fits; of equals, the one with the longer host."""
+        """Verdict and text of the longest rule that fits; of equals, that of the longer host."""
         best, segments = None, path.split("/")
         node, labels = self.root, reversed(host.split("."))
         while node is not None:

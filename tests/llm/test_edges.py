@@ -29,7 +29,9 @@ WORDS = "the of and to house river garden light stone paper window people water
 RNG = np.random.default_rng(3)
 LONG = " ".join(RNG.choice(WORDS, 60_000))
 PROSE = " ".join(RNG.choice(WORDS, 80)) + "."
-PASSAGE = "a quiet river runs beside the old stone house where nobody has lived for a hundred years now"
+PASSAGE = (
+    "a quiet river runs beside the old stone house where nobody has lived for a hundred years now"
+)
 CLASHING = "kept string, score string, lang_pred string, rejected int, host int, rank int, bin int"
 SCHEMA = f"doc_id bigint, text string, lang string, {CLASHING}, `odd name.` double"
 ROWS = [
@@ -274,7 +276,8 @@ def test_shards(odd, nothing):
 
 
 def test_a_group_larger_than_a_shard_fills_several(spark):
-    rows = [(i, "same text " * 5) for i in range(900)] + [(1000 + i, f"{i} " * 20) for i in range(900)]
+    rows = [(i, "same text " * 5) for i in range(900)]
+    rows += [(1000 + i, f"{i} " * 20) for i in range(900)]
     found = sharding.shard_documents(spark.createDataFrame(rows, "doc_id bigint, text string"))
     sizes = found.groupBy("shard").agg(F.sum("size").alias("n")).toPandas().n
     assert len(sizes) == 8
@@ -326,7 +329,8 @@ def test_token_files(spark, odd, nothing, tokenizer):
     rows.sort(key=lambda row: row.start)
     ids = [row.doc_id for row in rows]
     assert ids == sorted(ids, key=lambda x: (x is not None, x or 0))
-    assert [row.start for row in rows] == [sum(r.n_tokens for r in rows[:i]) for i in range(len(rows))]
+    before = [sum(row.n_tokens for row in rows[:i]) for i in range(len(rows))]
+    assert [row.start for row in rows] == before
     plain = Tokenizer.from_str(tokenizer)
     for row in rows:
         texts = [text or "" for number, text, _ in ROWS if number == row.doc_id]
@@ -407,12 +411,14 @@ def test_urls(spark):
         "http://x.org/fr/://y": ("x.org", "/fr/://y", "org/fr/", "allow"),
         "http://É.NET/": ("É.net", "/", "net/", "block"),
     }
-    df = spark.createDataFrame([(url, 1, "old") for url in urls], "url string, path int, Host string")
+    rows = [(url, 1, "old") for url in urls]
+    df = spark.createDataFrame(rows, "url string, path int, Host string")
     found = url_rules.filter_urls(df, url_rules.PAGE_RULES)
     assert found.columns[:3] == df.columns
     assert {row.url: tuple(row)[3:] for row in found.collect()} == urls
     assert url_rules.filter_urls(df.limit(0), url_rules.PAGE_RULES).collect() == []
-    assert {row[-1] for row in url_rules.filter_urls(df, [], default="block").collect()} == {"block"}
+    none = url_rules.filter_urls(df, [], default="block")
+    assert {row[-1] for row in none.collect()} == {"block"}
 
 
 def test_longest_rule_wins_and_partial_segments_match():

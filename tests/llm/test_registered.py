@@ -60,11 +60,10 @@ def test_query_equals_its_sql(name, answer):
     ours = answer(name)
     columns = sorted(ours.columns)
     assert columns == sorted(wanted.columns)
-    pairs = [
-        sorted(map(repr, df[columns].astype(object).where(df[columns].notna(), None).values.tolist()))
-        for df in (ours, wanted)
-    ]
-    assert pairs[0] == pairs[1]
+    rows = []
+    for df in (ours[columns], wanted[columns]):
+        rows.append(sorted(map(repr, df.astype(object).where(df.notna(), None).values.tolist())))
+    assert rows[0] == rows[1]
 
 
 def test_decontamination_finds_each_whole_item(answer, documents):
