@@ -198,7 +198,7 @@ def main(arguments: list[str] | None = None) -> None:
     bounds.add_argument("--user-max-ratio", type=float, default=own.user_max_ratio)
     bounds.add_argument("--min-stars", type=float, default=own.min_stars)
     bounds.add_argument("--min-reviews", type=int, default=own.min_reviews)
-    bounds.add_argument("--rating", type=float, default=own.rating, help="of the reviews that count")
+    bounds.add_argument("--rating", type=float, default=own.rating, help="that reviews need")
     options = parser.parse_args(arguments)
     catalog = {"spark__sql__catalogImplementation": "hive"} if options.hive else {}
     spark = build_session("kudosflow", **catalog)
