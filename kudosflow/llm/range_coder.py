@@ -2,12 +2,12 @@
 
 A block's ids are cut into lanes, which are coded side by side: each step codes one id
 of every lane and then updates one model from all of them, so that numpy does the work
-and the model still learns from the whole block. An id is coded by up to three choices:
+and the model still learns from the whole block. The range is divided among three
+predictions, whose shares are mixed from how often they have been right of late:
 
-* whether it is what followed the last two ids before (order 2), with a probability
-  mixed from how often order 2 and order 1 have been right of late;
-* if not, whether it is what followed the last id before (order 1), mixed likewise;
-* if not, the id itself by its frequency so far (order 0).
+* the id that followed the last two ids before (order 2),
+* the id that followed the last id before (order 1),
+* and for any other, all ids by their frequency so far (order 0).
 
 All of it is integer arithmetic, so that any machine decodes what another has coded.
 """
@@ -18,11 +18,14 @@ import numpy as np
 
 U = np.uint64
 _WORD, _LOW = U(32), U(0xFFFFFFFF)
-#: Probabilities have 24 bits; a range is kept above 2**26.
-_TOTAL = 24
+#: Shares of the range have 24 bits, and frequencies of order 0 have 20, so that the
+#: sixteenth of the range that is left to them gives each id a share. A range is kept
+#: above 2**26.
+_TOTAL, _ORDER0 = 24, 20
 _LEAST = U(1 << 26)
-#: Steps after which the frequencies of order 0 are taken over.
-_REFRESH = 8
+#: Frequencies and mixing are learned from what was coded after 1, 2, 4 and more steps, and
+#: then each time after so many.
+_REFRESH = 16
 _SLOTS = 18
 
 
@@ -33,20 +36,32 @@ class _Lanes:
         self.low = np.zeros(lanes, U)
         self.range = np.full(lanes, np.iinfo(U).max, U)
 
-    def _narrow(self, at, start: np.ndarray, width: np.ndarray) -> None:
-        self.low[at] += start
-        self.range[at] = width
+    def unit(self, n: int) -> np.ndarray:
+        return self.range[:n] >> U(_TOTAL)
+
+    def narrow(self, start: np.ndarray, width: np.ndarray) -> None:
+        """Go on with a part of the range in each of the first lanes."""
+        n = len(start)
+        low = self.low[:n]
+        low += start
+        self.range[:n] = width
+        # The top word is settled, or the range is short and is cut to end with it.
+        due = (((low ^ (low + width - U(1))) >> _WORD) == 0) | (width < _LEAST)
+        at = np.flatnonzero(due)
         while len(at):
             low, size = self.low[at], self.range[at]
             settled = ((low ^ (low + size - U(1))) >> _WORD) == 0
-            due = np.flatnonzero(settled | (size < _LEAST))
-            if not len(due):
-                return
-            at, low, size, settled = at[due], low[due], size[due], settled[due]
-            size = np.where(settled, size, (~low + U(1)) & _LOW)
+            short = size < _LEAST
+            if not settled.all():
+                at, low, size, settled = (
+                    x[settled | short] for x in (at, low, size, settled)
+                )
+                size = np.where(settled, size, (~low + U(1)) & _LOW)
             self._shift(at, low)
-            self.low[at] = low << _WORD
-            self.range[at] = size << _WORD
+            self.low[at] = low = low << _WORD
+            self.range[at] = size = size << _WORD
+            again = (((low ^ (low + size - U(1))) >> _WORD) == 0) | (size < _LEAST)
+            at = at[again]
 
 
 class Writer(_Lanes):
@@ -59,17 +74,6 @@ class Writer(_Lanes):
         self.words.append((low >> _WORD).astype(np.uint32))
         self.owners.append(at)
 
-    def choice(self, at: np.ndarray, chance: np.ndarray, taken: np.ndarray) -> np.ndarray:
-        part = (self.range[at] >> U(_TOTAL)) * chance
-        start = np.where(taken, U(0), part)
-        self._narrow(at, start, np.where(taken, part, self.range[at] - part))
-        return taken
-
-    def symbol(self, at: np.ndarray, sums: np.ndarray, symbols: np.ndarray) -> np.ndarray:
-        unit = self.range[at] >> U(_TOTAL)
-        self._narrow(at, unit * sums[symbols], unit * (sums[symbols + 1] - sums[symbols]))
-        return symbols
-
     def finished(self) -> tuple[np.ndarray, np.ndarray]:
         """Words by lane, and how many each lane has."""
         lanes = np.arange(len(self.low))
@@ -78,7 +82,7 @@ class Writer(_Lanes):
             self.low = self.low << _WORD
         owners, words = np.concatenate(self.owners), np.concatenate(self.words)
         counts = np.bincount(owners, minlength=len(lanes)).astype(np.uint32)
-        return words[np.argsort(owners, kind="stable")], counts
+        return words[np.argsort(owners.astype(np.uint16), kind="stable")], counts
 
 
 class Reader(_Lanes):
@@ -95,146 +99,160 @@ class Reader(_Lanes):
         self.code[at] = (self.code[at] << _WORD) | self.words[place]
         self.next[at] += 1
 
-    def choice(self, at: np.ndarray, chance: np.ndarray, taken: None) -> np.ndarray:
-        part = (self.range[at] >> U(_TOTAL)) * chance
-        found = self.code[at] - self.low[at] < part
-        start = np.where(found, U(0), part)
-        self._narrow(at, start, np.where(found, part, self.range[at] - part))
-        return found
-
-    def symbol(self, at: np.ndarray, sums: np.ndarray, symbols: None) -> np.ndarray:
-        unit = self.range[at] >> U(_TOTAL)
-        value = np.minimum((self.code[at] - self.low[at]) // unit, sums[-1] - U(1))
-        found = np.searchsorted(sums, value, "right") - 1
-        self._narrow(at, unit * sums[found], unit * (sums[found + 1] - sums[found]))
-        return found
-
-
-class _Chance:
-    """How often a choice was taken in each of some contexts, of late."""
-
-    def __init__(self, contexts: int) -> None:
-        self.taken = np.ones(contexts, np.int64)
-        self.seen = np.full(contexts, 2, np.int64)
-
-    def of(self, context: np.ndarray) -> np.ndarray:
-        return ((self.taken << 16) // self.seen)[context]
-
-    def learn(self, context: np.ndarray, taken: np.ndarray) -> None:
-        size = len(self.seen)
-        self.seen += 2 * np.bincount(context, minlength=size)
-        self.taken += 2 * np.bincount(context[taken], minlength=size)
-        full = self.seen > 1 << 20
-        self.seen[full] >>= 1
-        self.taken[full] = np.maximum(self.taken[full] >> 1, 1)
-        self.taken = np.minimum(self.taken, self.seen - 1)
+    def value(self, unit: np.ndarray) -> np.ndarray:
+        """The place in the range, in units."""
+        n = len(unit)
+        return np.minimum((self.code[:n] - self.low[:n]) // unit, U((1 << _TOTAL) - 1))
 
 
 class _Mixed:
-    """Two chances of one choice, weighed by which has been closer."""
+    """The chance of a prediction by two contexts, weighed by which has been closer."""
 
-    def __init__(self, first: int, second: int) -> None:
-        self.chances = _Chance(first), _Chance(second)
+    def __init__(self) -> None:
+        self.right = np.ones((2, 16), np.int64)
+        self.seen = np.full((2, 16), 2, np.int64)
         self.weight = 1 << 15
+        self._take_over()
 
-    def code(self, coder, at, contexts, taken):
-        one, two = (c.of(x) for c, x in zip(self.chances, contexts))
-        mixed = (one * self.weight + two * ((1 << 16) - self.weight)) >> 8
-        chance = np.clip(mixed, 1 << 10, (1 << _TOTAL) - (1 << 10)).astype(U)
-        taken = coder.choice(at, chance, taken)
-        truth = taken.astype(np.int64) << 16
-        errors = [int((np.abs(truth - guess)).sum()) for guess in (one, two)]
+    def _take_over(self) -> None:
+        self.chances = (self.right << 16) // self.seen
+        self.parts = self.chances * np.array([[self.weight], [(1 << 16) - self.weight]]) >> 16
+
+    def of(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """In parts of 2**16."""
+        return self.parts[0][one] + self.parts[1][two]
+
+    def learn(self, contexts: tuple[np.ndarray, np.ndarray], right: np.ndarray) -> None:
+        errors = []
+        for k, context in enumerate(contexts):
+            both = np.bincount(context * 2 + right, minlength=32).reshape(16, 2)
+            chances = self.chances[k]
+            errors.append(int((both * np.stack([chances, (1 << 16) - chances], 1)).sum()))
+            self.right[k] += 2 * both[:, 1]
+            self.seen[k] += 2 * both.sum(1)
+        full = self.seen > 1 << 20
+        self.seen[full] >>= 1
+        self.right[full] >>= 1
+        self.right = np.clip(self.right, 1, self.seen - 1)
         if errors[0] != errors[1]:
             goal = 1 << 16 if errors[0] < errors[1] else 0
-            self.weight = min(max(self.weight + ((goal - self.weight) >> 5), 2048), 63488)
-        for chance, context in zip(self.chances, contexts):
-            chance.learn(context, taken)
-        return taken
+            self.weight = min(max(self.weight + ((goal - self.weight) >> 3), 2048), 63488)
+        self._take_over()
 
 
 class _Model:
     def __init__(self, vocabulary: int) -> None:
         self.vocabulary = vocabulary
-        self.guess2 = np.zeros(1 << _SLOTS, np.int64)
-        self.trust2 = np.zeros(1 << _SLOTS, np.int64)
-        self.guess1 = np.zeros(vocabulary, np.int64)
-        self.trust1 = np.zeros(vocabulary, np.int64)
-        self.first, self.second = _Mixed(16, 16), _Mixed(8, 8)
+        # What followed, and in the low bits how often that was right of late, to 7.
+        self.after2 = np.zeros(1 << _SLOTS, np.int32)
+        self.after1 = np.zeros(vocabulary, np.int32)
+        self.first, self.second = _Mixed(), _Mixed()
         self.counts = np.ones(vocabulary, np.int64)
+        self.recent: list[tuple] = []
+        self.wait = 1
         self._take_over()
 
     def _take_over(self) -> None:
-        sums = np.concatenate([[0], np.cumsum(self.counts)])
-        room = (1 << _TOTAL) - self.vocabulary
-        self.sums = (sums * room // sums[-1] + np.arange(len(sums))).astype(U)
-
-    def step(self, coder, at, last, before, ids):
-        """Code one id of each lane; ``ids`` is None when reading."""
+        sums = np.zeros(self.vocabulary + 1)
+        np.cumsum(self.counts, out=sums[1:])
+        room = (1 << _ORDER0) - self.vocabulary
+        # Whole numbers below 2**53, and products by a power of two: exact everywhere.
+        scale = 1 << max(0, int(sums[-1]).bit_length() - 20)
+        parts = sums.astype(np.int64) // scale * room // (int(sums[-1]) // scale + 1)
+        self.sums = (parts + np.arange(len(sums))).astype(U)
+        self.sums[-1] = U(1 << _ORDER0)
+        self.owner = None  # of each part, if it is asked for
+
+    def step(self, coder, last: np.ndarray, before: np.ndarray, ids: np.ndarray | None):
+        """Code one id of each of the first lanes; ``ids`` is None when reading."""
         place = ((last * 0x9E3779B1 + before * 0x85EBCA6B) & 0xFFFFFFFF) >> (32 - _SLOTS)
-        two, one = self.guess2[place], self.guess1[last]
-        sure2, sure1 = self.trust2[place], self.trust1[last]
+        known2, known1 = self.after2[place], self.after1[last]
+        two, one = known2 >> 3, known1 >> 3
         agree = two == one
-        hit = self.first.code(
-            coder, at, (sure2 * 2 + agree, sure1 * 2 + agree), None if ids is None else ids == two
-        )
-        found = two.copy()
-        rest = np.flatnonzero(~hit & ~agree)
-        if len(rest):
-            taken = None if ids is None else (ids == one)[rest]
-            hit1 = self.second.code(coder, at[rest], (sure1[rest], sure2[rest]), taken)
-            found[rest[hit1]] = one[rest[hit1]]
-            missed = np.concatenate([rest[~hit1], np.flatnonzero(~hit & agree)])
+        sure2, sure1 = ((known2 & 7) << 1) + agree, ((known1 & 7) << 1) + agree
+        chance = np.minimum(self.first.of(sure2, sure1), 60_000) + 64
+        rest = np.where(agree, 0, (61_000 - np.minimum(chance, 61_000)))
+        other = rest * self.second.of(sure1, sure2) >> 16
+        share2 = (chance << 8).astype(U)
+        shares = ((chance + other) << 8).astype(U)
+        left = U(1 << _TOTAL) - shares
+        unit = coder.unit(len(last))
+        if ids is None:
+            value = coder.value(unit)
+            hit2, miss = value < share2, np.flatnonzero(value >= shares)
+            ids = np.where(hit2, two, one).astype(np.int64)
+            inside = ((value[miss] - shares[miss] + U(1)) << U(_ORDER0)) - U(1)
+            if self.owner is None:
+                self.owner = np.repeat(
+                    np.arange(self.vocabulary, dtype=np.int32), np.diff(self.sums).astype(np.int64)
+                )
+            ids[miss] = self.owner[inside // left[miss]]
+            hit1 = ~hit2 & (value < shares)
         else:
-            missed = np.flatnonzero(~hit)
-        if len(missed):
-            wanted = None if ids is None else ids[missed]
-            found[missed] = coder.symbol(at[missed], self.sums, wanted)
-        self.trust2[place] = np.where(found == two, np.minimum(sure2 + 1, 7), sure2 >> 1)
-        self.trust1[last] = np.where(found == one, np.minimum(sure1 + 1, 7), sure1 >> 1)
-        self.guess2[place] = found
-        self.guess1[last] = found
-        return found
-
-    def seen(self, ids: np.ndarray) -> None:
+            hit2 = ids == two
+            hit1 = (ids == one) & ~hit2 & (other > 0)
+            miss = np.flatnonzero(~(hit2 | hit1))
+        start = np.where(hit2, U(0), share2)
+        width = np.where(hit2, share2, shares - share2)
+        part, room = ids[miss], left[miss]
+        begin = self.sums[part] * room >> U(_ORDER0)
+        start[miss] = shares[miss] + begin
+        width[miss] = (self.sums[part + 1] * room >> U(_ORDER0)) - begin
+        coder.narrow(unit * start, unit * width)
+        for table, slot, known in ((self.after2, place, known2), (self.after1, last, known1)):
+            sure = known & 7
+            right = (known >> 3) == ids
+            sure = np.where(right, np.minimum(sure + 1, 7), sure >> 1)
+            table[slot] = (ids << 3) + sure
+        self.recent.append((ids, sure2, sure1, hit2, agree, ids == one))
+        if len(self.recent) == self.wait:
+            self.wait = min(2 * self.wait, _REFRESH)
+            self._learn()
+        return ids
+
+    def _learn(self) -> None:
+        ids, sure2, sure1, hit2, agree, right1 = map(np.concatenate, zip(*self.recent))
+        self.recent = []
+        self.first.learn((sure2, sure1), hit2)
+        open_ = ~hit2 & ~agree
+        self.second.learn((sure1[open_], sure2[open_]), right1[open_])
         self.counts += 32 * np.bincount(ids, minlength=self.vocabulary)
         self._take_over()
 
 
 def lanes_of(n: int) -> int:
-    """Lanes for a block of so many ids: enough steps to learn from, at most 4,096."""
-    return max(1, min(4096, n // 256))
+    """Lanes for a block of so many ids: enough steps to learn from, at most 8,192."""
+    return max(1, min(8192, n // 256))
 
 
 def _run(coder, n: int, lanes: int, vocabulary: int, ids: np.ndarray | None) -> np.ndarray:
-    steps, longer = divmod(n, lanes)
-    lengths = np.full(lanes, steps)
-    lengths[:longer] += 1
-    starts = np.cumsum(lengths) - lengths
-    out = np.zeros(n, np.int64)
+    """Code ``n`` ids; lane by lane they are the block's, step by step they are coded."""
+    steps, longer = divmod(n, lanes)  # the first lanes have one more
+    starts = np.arange(lanes) * steps + np.minimum(np.arange(lanes), longer)
+    out = np.zeros((steps + (longer > 0), lanes), np.int64)
+    if ids is not None:
+        out[:steps] = ids[starts[:, None] + np.arange(steps)].T
+        if longer:
+            out[steps, :longer] = ids[starts[:longer] + steps]
     model = _Model(vocabulary)
     last, before = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-    fresh = []
-    for t in range(steps + (longer > 0)):
+    for t in range(len(out)):
         active = lanes if t < steps else longer
-        place = starts[:active] + t
-        found = model.step(
-            coder,
-            np.arange(active),
-            last[:active],
-            before[:active],
-            None if ids is None else ids[place],
-        )
-        out[place] = found
+        row = out[t, :active]
+        found = model.step(coder, last[:active], before[:active], None if ids is None else row)
+        row[:] = found
         before, last = last[:active], found
-        fresh.append(found)
-        if len(fresh) == _REFRESH:
-            model.seen(np.concatenate(fresh))
-            fresh = []
-    return out
+    whole = out[:steps].T
+    if not longer:
+        return whole.ravel()
+    more = np.append(whole[:longer], out[steps, :longer, None], axis=1)
+    return np.concatenate([more.ravel(), whole[longer:].ravel()])
 
 
 def encode(ids: np.ndarray, vocabulary: int) -> tuple[np.ndarray, np.ndarray]:
     """Words and their number by lane of at least one id, each below ``vocabulary``."""
+    if vocabulary > 1 << (_ORDER0 - 1):
+        raise ValueError(f"{vocabulary} ids are too many")
     lanes = lanes_of(len(ids))
     writer = Writer(lanes)
     _run(writer, len(ids), lanes, vocabulary, ids.astype(np.int64))

@@ -27,7 +27,7 @@ _MAGIC = b"KFTB1\0"
 #: header and of what follows comes next.
 _HEADER = "<6sIIQIQI"
 #: A block is closed when it has so many ids.
-BLOCK_IDS = 1 << 20
+BLOCK_IDS = 1 << 21
 
 
 def pack_block(doc_ids: list[int | None], documents: list[np.ndarray], vocabulary: int) -> bytes:
