@@ -1,4 +1,4 @@
-from kudosflow.registry.oracles import oracle_sql
-from kudosflow.registry.queries import queries
+from kudosflow.registry.oracle import oracle_sql
+from kudosflow.registry.entries import queries
 
 __all__ = ["oracle_sql", "queries"]

@@ -144,13 +144,19 @@ def drop_null_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Joins
 
 
-def _by_user(spark: SparkSession, sf_dir: str, null_safe: bool) -> DataFrame:
+def _by_user(
+    spark: SparkSession, sf_dir: str, null_safe: bool, best_user: bool = False
+) -> DataFrame:
+    """Reviews by engaged users; ``best_user`` leaves one user for each id, NULL included."""
     engaged = views.engaged_users(spark, sf_dir).select(
         "user_id",
         F.col("name").alias("username"),
         F.col("average_stars").alias("user_average_stars"),
         "useful",
     )
+    if best_user:
+        order = [F.col("useful").desc(), F.col("username"), F.col("user_average_stars")]
+        engaged = first_per_group(engaged, "user_id", order)
     cleaned = views.cleaned_reviews(spark, sf_dir).withColumnRenamed("date", "review_date")
     orders = views.table(spark, sf_dir, "orders")
     users = orders.select(views.user_id(F.col("o_custkey")))
@@ -169,6 +175,11 @@ def join_filter_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return null_safe_join(spark, sf_dir).where(F.col("stars") == 5)
 
 
+def _rated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five-star reviews with the best user of their id: enough where one row is chosen."""
+    return _by_user(spark, sf_dir, null_safe=True, best_user=True).where(F.col("stars") == 5)
+
+
 def left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     best = top1_per_group(spark, sf_dir).select("business_id", "review_id", "username")
     return split_join(views.top_rated(spark, sf_dir), best, "business_id", "left")
@@ -179,9 +190,7 @@ def left_join_drop_null(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def semi_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return semi_join_in(
-        views.businesses(spark, sf_dir), join_filter_literal(spark, sf_dir), "business_id"
-    )
+    return semi_join_in(views.businesses(spark, sf_dir), _rated(spark, sf_dir), "business_id")
 
 
 # Aggregation and windows
@@ -203,7 +212,7 @@ def row_number_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def top1_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return first_per_group(join_filter_literal(spark, sf_dir), "business_id", _rank_order())
+    return first_per_group(_rated(spark, sf_dir), "business_id", _rank_order())
 
 
 # Silver tables
