@@ -8,8 +8,9 @@ most ``errors`` symbols of some chunk. Enumerating the positions that may be wro
 Links are confirmed on the full shingle sets. Groups are never expanded into all pairs:
 
 1. Equal sets are one class.
-2. Within a bucket (equal key) each class is compared with the bucket's smallest id
-   only, and what is confirmed is merged into components.
+2. Within a bucket (equal key) each class is compared with the smallest id only, of the
+   bucket or, if the bucket is large, of the part of it that one task has read. What is
+   confirmed is merged into components.
 3. Buckets that still hold several components compare the classes of different
    components, block by block. Each pair is due in the first bucket it shares. What
    comes out of a block is the classes with a pair to confirm, then, with their full
@@ -34,6 +35,8 @@ from kudosflow.llm.components import components
 
 #: Shingles whose signature is computed at once.
 _STEP = 1 << 14
+#: Rows of keys among which a task looks for frequent ones.
+_STRETCH = 1 << 20
 #: Keys per signature that can be told apart.
 _NUMBERS = 128
 
@@ -41,7 +44,8 @@ _NUMBERS = 128
 class Scheme(NamedTuple):
     """Words per shingle, least similarity in hundredths, and the shape of signatures.
 
-    ``most_errors`` bounds the differing symbols of pairs worth confirming. With the
+    ``most_errors`` bounds the differing symbols of pairs worth confirming; ``block`` and
+    ``often`` decide how large buckets are laid out, never what is found. With the
     defaults, signatures that differ in up to 19 of 50 symbols are sure to meet; at a
     similarity of 0.8 a pair differs in 10 symbols on average, and fails to meet with
     a probability of 2e-6 (all ten chunks with two errors or more).
@@ -54,6 +58,7 @@ class Scheme(NamedTuple):
     errors: int = 1
     most_errors: int = 25
     block: int = 1024
+    often: int = 64
 
 
 def _mixed(values: np.ndarray) -> np.ndarray:
@@ -155,14 +160,51 @@ def full_sets(docs: DataFrame, ids: DataFrame, scheme: Scheme) -> DataFrame:
     return stored(chosen.mapInPandas(full, "id bigint, hashes array<bigint>"), "sets")
 
 
+def _gathered(keyed: DataFrame, scheme: Scheme) -> DataFrame:
+    """Keys and ids, with the rows of keys that a task meets often sent elsewhere.
+
+    Of each key with ``scheme.often`` rows or more in a stretch of a task's rows only the
+    smallest id goes where the key belongs, marked by itself as ``hub``. The others have
+    it as their hub already and go anywhere, so that no key fills a task.
+    """
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+            table = pa.Table.from_batches(held)
+            found, ids = table["key"].to_numpy(), table["id"].to_numpy()
+            order = np.lexsort((ids, found))
+            found, ids = found[order], ids[order]
+            starts = np.flatnonzero(np.append(True, found[1:] != found[:-1]))
+            sizes = np.diff(np.append(starts, len(found)))
+            often = np.repeat(sizes >= scheme.often, sizes)
+            hubs = np.repeat(ids[starts], sizes)
+            away = often & (hubs != ids)
+            place = np.where(away, _mixed(ids.view(np.uint64)).view(np.int64), found)
+            columns = [place, found, ids, pa.array(hubs, mask=~often)]
+            return pa.RecordBatch.from_arrays([*map(pa.array, columns)], names)
+
+        names, held, rows = ["place", "key", "id", "hub"], [], 0
+        for batch in batches:
+            held.append(batch)
+            rows += batch.num_rows
+            if rows >= _STRETCH:
+                yield out(held)
+                held, rows = [], 0
+        if rows:
+            yield out(held)
+
+    return keyed.mapInArrow(gather, "place bigint, key bigint, id bigint, hub bigint")
+
+
 def met(classes: DataFrame, scheme: Scheme) -> DataFrame:
-    """``key``, ``id`` and ``hub``, the bucket's smallest id, in buckets of several classes.
+    """``key``, ``id`` and ``hub`` of the ids in buckets of several classes.
 
-    Rows stream through their bucket's task in order of ids; only the last row and the
-    bucket's first id are held.
+    The hub is the bucket's smallest id, or that of a part of the bucket whose smallest
+    id is a row of its own. Rows stream through their task in order; only the last one
+    and the bucket's first id are held.
     """
     keyed = classes.select(F.explode(keys(F.col("symbols"), scheme)).alias("key"), "id")
-    dealt = keyed.repartition("key").sortWithinPartitions("key", "id")
+    dealt = _gathered(keyed, scheme).repartition("place").sortWithinPartitions("place", "id")
 
     def several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last_key, last_id, hub, said = None, None, None, True
@@ -173,7 +215,13 @@ def met(classes: DataFrame, scheme: Scheme) -> DataFrame:
             )
 
         for batch in batches:
-            found, ids = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            found, ids = (batch.column(i).to_numpy() for i in (1, 2))
+            known = batch.column(3).is_valid().to_numpy(zero_copy_only=False)
+            given = batch.column(3).fill_null(0).to_numpy()
+            away = known & (given != ids)
+            if away.any():
+                yield out(found[away], ids[away], given[away])
+                found, ids, known = found[~away], ids[~away], known[~away]
             if not len(found):
                 continue
             starts = np.append(True, found[1:] != found[:-1])
@@ -182,7 +230,7 @@ def met(classes: DataFrame, scheme: Scheme) -> DataFrame:
                 yield out([last_key], [last_id], [hub])
             first = np.maximum.accumulate(np.where(starts, np.arange(len(ids)), -1))
             hubs = np.where(first >= 0, ids[np.maximum(first, 0)], ids[0] if hub is None else hub)
-            grouped = ~starts
+            grouped = ~starts | known
             grouped[:-1] |= ~starts[1:]
             last_key, last_id, hub, said = found[-1], ids[-1], hubs[-1], grouped[-1]
             if grouped.any():
@@ -192,7 +240,7 @@ def met(classes: DataFrame, scheme: Scheme) -> DataFrame:
 
 
 def _starred(together: DataFrame, classes: DataFrame, scheme: Scheme) -> DataFrame:
-    """Near pairs ``a``, ``b`` of a bucket's smallest id with its other ids."""
+    """Near pairs ``a``, ``b`` of hubs with the other ids of their buckets."""
     pairs = together.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b"))
     wrong = F.size(
         F.filter(

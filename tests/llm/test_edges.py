@@ -198,8 +198,8 @@ def test_near_duplicates_of_chains_and_templates(spark):
             texts[number], number = " ".join(changed), number + 1
     df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
     wanted = components_by_sets(texts, 4, 80)
-    for block in (4, 1024):
-        scheme = near_duplicates.Scheme(words=4, block=block)
+    for block, often in ((4, 2), (4, 5), (1024, 64)):
+        scheme = near_duplicates.Scheme(words=4, block=block, often=often)
         found = near_duplicates.near_duplicates(df, scheme=scheme).collect()
         assert {row.doc_id: row.component_id for row in found} == wanted
 
