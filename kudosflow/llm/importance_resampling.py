@@ -81,7 +81,7 @@ def resample(
     labels: DataFrame,
     most_targets: int = 20_000,
     share: float | None = None,
-    spare: float = 0.05,
+    spare: float = 0.02,
     seed: int = 0,
 ) -> DataFrame:
     """``doc_id``, ``log_ratio``, ``score`` and ``kept`` of every document.

@@ -83,7 +83,7 @@ def test_resampling_keeps_its_share_and_leaves_the_worst(answer, documents):
     found = answer("op3_importance_resampling")
     labels = duckdb.sql(f"SELECT quality FROM '{FOLDER}/labels.parquet'").df().quality
     assert len(found) == len(documents)
-    assert found.kept.sum() == round(min(1.0, labels.mean() + 0.05) * len(found))
+    assert found.kept.sum() == round(min(1.0, labels.mean() + 0.02) * len(found))
     assert found[found.kept].score.min() >= found[~found.kept].score.max() - 1e-4
 
 
