@@ -27,6 +27,7 @@ _LEAST = U(1 << 26)
 #: then each time after so many.
 _REFRESH = 16
 _SLOTS = 18
+_FACTOR1, _FACTOR2, _SHIFT = np.uint32(0x9E3779B1), np.uint32(0x85EBCA6B), np.uint32(32 - _SLOTS)
 
 
 class _Lanes:
@@ -42,29 +43,26 @@ class _Lanes:
     def narrow(self, start: np.ndarray, width: np.ndarray) -> None:
         """Go on with a part of the range in each of the first lanes."""
         n = len(start)
-        low = self.low[:n]
-        low += start
+        self.low[:n] += start
         self.range[:n] = width
-        # The top word is settled, or the range is short and is cut to end with it.
-        due = (((low ^ (low + width - U(1))) >> _WORD) == 0) | (width < _LEAST)
-        at = np.flatnonzero(due)
+        # A wider range cannot have its top word settled.
+        at = np.flatnonzero(width <= _LOW)
         while len(at):
             low, size = self.low[at], self.range[at]
             settled = ((low ^ (low + size - U(1))) >> _WORD) == 0
-            short = size < _LEAST
-            if not settled.all():
-                at, low, size, settled = (
-                    x[settled | short] for x in (at, low, size, settled)
-                )
-                size = np.where(settled, size, (~low + U(1)) & _LOW)
+            due = settled | (size < _LEAST)
+            at, low, size, settled = at[due], low[due], size[due], settled[due]
+            # A short range across two top words is cut to end with the first.
+            size = np.where(settled, size, (~low + U(1)) & _LOW) << _WORD
             self._shift(at, low)
-            self.low[at] = low = low << _WORD
-            self.range[at] = size = size << _WORD
-            again = (((low ^ (low + size - U(1))) >> _WORD) == 0) | (size < _LEAST)
-            at = at[again]
+            self.low[at] = low << _WORD
+            self.range[at] = size
+            at = at[size <= _LOW]
 
 
 class Writer(_Lanes):
+    reads = False
+
     def __init__(self, lanes: int) -> None:
         super().__init__(lanes)
         self.words: list[np.ndarray] = []
@@ -86,6 +84,8 @@ class Writer(_Lanes):
 
 
 class Reader(_Lanes):
+    reads = True
+
     def __init__(self, words: np.ndarray, counts: np.ndarray) -> None:
         super().__init__(len(counts))
         self.words = words.astype(U)
@@ -99,37 +99,46 @@ class Reader(_Lanes):
         self.code[at] = (self.code[at] << _WORD) | self.words[place]
         self.next[at] += 1
 
-    def value(self, unit: np.ndarray) -> np.ndarray:
-        """The place in the range, in units."""
-        n = len(unit)
-        return np.minimum((self.code[:n] - self.low[:n]) // unit, U((1 << _TOTAL) - 1))
+    def place(self, n: int) -> np.ndarray:
+        """How far into their ranges the first lanes are."""
+        return self.code[:n] - self.low[:n]
+
+
+#: A context is how often order 2 and order 1 have been right of late, from 0 to 7 each, and
+#: whether they agree.
+_CONTEXTS = 128
+_SURE2 = (np.arange(_CONTEXTS) >> 4) * 2 + np.arange(_CONTEXTS) % 2
+_SURE1 = np.arange(_CONTEXTS) % 16
+_AGREE = np.arange(_CONTEXTS) % 2 == 1
+#: What becomes of such a count after a miss and after a hit.
+_NEXT = np.array([[n >> 1 for n in range(8)], [min(n + 1, 7) for n in range(8)]], np.int32)
 
 
 class _Mixed:
-    """The chance of a prediction by two contexts, weighed by which has been closer."""
+    """The chance of a prediction in two views of the context, weighed by which was closer."""
 
-    def __init__(self) -> None:
+    def __init__(self, views: tuple[np.ndarray, np.ndarray]) -> None:
+        self.views = views
         self.right = np.ones((2, 16), np.int64)
         self.seen = np.full((2, 16), 2, np.int64)
         self.weight = 1 << 15
-        self._take_over()
 
-    def _take_over(self) -> None:
-        self.chances = (self.right << 16) // self.seen
-        self.parts = self.chances * np.array([[self.weight], [(1 << 16) - self.weight]]) >> 16
-
-    def of(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-        """In parts of 2**16."""
-        return self.parts[0][one] + self.parts[1][two]
-
-    def learn(self, contexts: tuple[np.ndarray, np.ndarray], right: np.ndarray) -> None:
-        errors = []
-        for k, context in enumerate(contexts):
-            both = np.bincount(context * 2 + right, minlength=32).reshape(16, 2)
-            chances = self.chances[k]
-            errors.append(int((both * np.stack([chances, (1 << 16) - chances], 1)).sum()))
-            self.right[k] += 2 * both[:, 1]
-            self.seen[k] += 2 * both.sum(1)
+    def chances(self) -> np.ndarray:
+        """By context, in parts of 2**16."""
+        one, two = ((self.right << 16) // self.seen)[[0, 1]]
+        mixed = one[self.views[0]] * self.weight + two[self.views[1]] * ((1 << 16) - self.weight)
+        return mixed >> 16
+
+    def learn(self, wrong: np.ndarray, right: np.ndarray) -> None:
+        """From how often the prediction was wrong and right in each context."""
+        before, errors = (self.right << 16) // self.seen, []
+        for k, view in enumerate(self.views):
+            missed, hit = (
+                np.bincount(view, counts, 16).astype(np.int64) for counts in (wrong, right)
+            )
+            errors.append(int((missed * before[k] + hit * ((1 << 16) - before[k])).sum()))
+            self.right[k] += 2 * hit
+            self.seen[k] += 2 * (hit + missed)
         full = self.seen > 1 << 20
         self.seen[full] >>= 1
         self.right[full] >>= 1
@@ -137,7 +146,6 @@ class _Mixed:
         if errors[0] != errors[1]:
             goal = 1 << 16 if errors[0] < errors[1] else 0
             self.weight = min(max(self.weight + ((goal - self.weight) >> 3), 2048), 63488)
-        self._take_over()
 
 
 class _Model:
@@ -146,76 +154,80 @@ class _Model:
         # What followed, and in the low bits how often that was right of late, to 7.
         self.after2 = np.zeros(1 << _SLOTS, np.int32)
         self.after1 = np.zeros(vocabulary, np.int32)
-        self.first, self.second = _Mixed(), _Mixed()
+        self.first, self.second = _Mixed((_SURE2, _SURE1)), _Mixed((_SURE1, _SURE2))
         self.counts = np.ones(vocabulary, np.int64)
         self.recent: list[tuple] = []
         self.wait = 1
         self._take_over()
 
     def _take_over(self) -> None:
-        sums = np.zeros(self.vocabulary + 1)
-        np.cumsum(self.counts, out=sums[1:])
+        chance = np.minimum(self.first.chances(), 59_000) + 64
+        other = ((61_000 - chance) * self.second.chances() >> 16) + 64
+        other[_AGREE] = 0
+        # Where the shares of order 2 and then of order 1 end.
+        self.end2 = (chance << 8).astype(U)
+        self.end1 = ((chance + other) << 8).astype(U)
+        sums = np.concatenate([[0], np.cumsum(self.counts)])
+        scale = 1 << max(0, int(sums[-1]).bit_length() - 20)  # so that products stay small
         room = (1 << _ORDER0) - self.vocabulary
-        # Whole numbers below 2**53, and products by a power of two: exact everywhere.
-        scale = 1 << max(0, int(sums[-1]).bit_length() - 20)
-        parts = sums.astype(np.int64) // scale * room // (int(sums[-1]) // scale + 1)
+        parts = sums // scale * room // (int(sums[-1]) // scale + 1)
         self.sums = (parts + np.arange(len(sums))).astype(U)
         self.sums[-1] = U(1 << _ORDER0)
         self.owner = None  # of each part, if it is asked for
 
+    def _owners(self) -> np.ndarray:
+        if self.owner is None:
+            parts = np.diff(self.sums).astype(np.int64)
+            self.owner = np.repeat(np.arange(self.vocabulary, dtype=np.int32), parts)
+        return self.owner
+
     def step(self, coder, last: np.ndarray, before: np.ndarray, ids: np.ndarray | None):
         """Code one id of each of the first lanes; ``ids`` is None when reading."""
-        place = ((last * 0x9E3779B1 + before * 0x85EBCA6B) & 0xFFFFFFFF) >> (32 - _SLOTS)
-        known2, known1 = self.after2[place], self.after1[last]
+        place = (last.view(np.uint32) * _FACTOR1 + before.view(np.uint32) * _FACTOR2) >> _SHIFT
+        known2, known1 = self.after2.take(place), self.after1.take(last)
         two, one = known2 >> 3, known1 >> 3
-        agree = two == one
-        sure2, sure1 = ((known2 & 7) << 1) + agree, ((known1 & 7) << 1) + agree
-        chance = np.minimum(self.first.of(sure2, sure1), 60_000) + 64
-        rest = np.where(agree, 0, (61_000 - np.minimum(chance, 61_000)))
-        other = rest * self.second.of(sure1, sure2) >> 16
-        share2 = (chance << 8).astype(U)
-        shares = ((chance + other) << 8).astype(U)
-        left = U(1 << _TOTAL) - shares
+        sure2, sure1 = known2 & 7, known1 & 7
+        context = (sure2 << 4) + (sure1 << 1) + (two == one)
         unit = coder.unit(len(last))
+        end2, end1 = unit * self.end2.take(context), unit * self.end1.take(context)
         if ids is None:
-            value = coder.value(unit)
-            hit2, miss = value < share2, np.flatnonzero(value >= shares)
-            ids = np.where(hit2, two, one).astype(np.int64)
-            inside = ((value[miss] - shares[miss] + U(1)) << U(_ORDER0)) - U(1)
-            if self.owner is None:
-                self.owner = np.repeat(
-                    np.arange(self.vocabulary, dtype=np.int32), np.diff(self.sums).astype(np.int64)
-                )
-            ids[miss] = self.owner[inside // left[miss]]
-            hit1 = ~hit2 & (value < shares)
+            value = coder.place(len(last))
+            hit2, miss = value < end2, np.flatnonzero(value >= end1)
+            ids = np.where(hit2, two, one)
         else:
             hit2 = ids == two
-            hit1 = (ids == one) & ~hit2 & (other > 0)
-            miss = np.flatnonzero(~(hit2 | hit1))
-        start = np.where(hit2, U(0), share2)
-        width = np.where(hit2, share2, shares - share2)
-        part, room = ids[miss], left[miss]
-        begin = self.sums[part] * room >> U(_ORDER0)
-        start[miss] = shares[miss] + begin
-        width[miss] = (self.sums[part + 1] * room >> U(_ORDER0)) - begin
-        coder.narrow(unit * start, unit * width)
-        for table, slot, known in ((self.after2, place, known2), (self.after1, last, known1)):
-            sure = known & 7
-            right = (known >> 3) == ids
-            sure = np.where(right, np.minimum(sure + 1, 7), sure >> 1)
-            table[slot] = (ids << 3) + sure
-        self.recent.append((ids, sure2, sure1, hit2, agree, ids == one))
+            miss = np.flatnonzero(~(hit2 | (ids == one)))
+        start = np.where(hit2, U(0), end2)
+        width = np.where(hit2, end2, end1 - end2)
+        # The others share what is left by their frequencies.
+        first, own = end1[miss], unit[miss]
+        room = U(1 << _TOTAL) - self.end1.take(context[miss])
+        if coder.reads:
+            inside = np.minimum((value[miss] - first) // own, room - U(1))
+            part = self._owners().take(((inside + U(1) << U(_ORDER0)) - U(1)) // room)
+            ids[miss] = part
+        else:
+            part = ids[miss]
+        begin = self.sums.take(part) * room >> U(_ORDER0)
+        start[miss] = first + own * begin
+        width[miss] = own * ((self.sums.take(part + 1) * room >> U(_ORDER0)) - begin)
+        coder.narrow(start, width)
+        right1 = ids == one
+        self.after2[place] = (ids << 3) + _NEXT.take(sure2 + (hit2 << 3))
+        self.after1[last] = (ids << 3) + _NEXT.take(sure1 + (right1 << 3))
+        self.recent.append((ids, context * 4 + hit2 * 2 + right1))
         if len(self.recent) == self.wait:
             self.wait = min(2 * self.wait, _REFRESH)
             self._learn()
         return ids
 
     def _learn(self) -> None:
-        ids, sure2, sure1, hit2, agree, right1 = map(np.concatenate, zip(*self.recent))
+        ids, outcomes = map(np.concatenate, zip(*self.recent))
         self.recent = []
-        self.first.learn((sure2, sure1), hit2)
-        open_ = ~hit2 & ~agree
-        self.second.learn((sure1[open_], sure2[open_]), right1[open_])
+        # By context: neither right, order 1, order 2, both.
+        neither, only1, only2, both = np.bincount(outcomes, minlength=4 * _CONTEXTS).reshape(-1, 4).T
+        self.first.learn(neither + only1, only2 + both)
+        self.second.learn(np.where(_AGREE, 0, neither), only1)
         self.counts += 32 * np.bincount(ids, minlength=self.vocabulary)
         self._take_over()
 
@@ -228,25 +240,20 @@ def lanes_of(n: int) -> int:
 def _run(coder, n: int, lanes: int, vocabulary: int, ids: np.ndarray | None) -> np.ndarray:
     """Code ``n`` ids; lane by lane they are the block's, step by step they are coded."""
     steps, longer = divmod(n, lanes)  # the first lanes have one more
-    starts = np.arange(lanes) * steps + np.minimum(np.arange(lanes), longer)
-    out = np.zeros((steps + (longer > 0), lanes), np.int64)
+    cut = longer * (steps + 1)
+    out = np.zeros((steps + (longer > 0), lanes), np.int32)
     if ids is not None:
-        out[:steps] = ids[starts[:, None] + np.arange(steps)].T
-        if longer:
-            out[steps, :longer] = ids[starts[:longer] + steps]
+        out[:, :longer] = ids[:cut].reshape(longer, -1).T if longer else 0
+        out[:steps, longer:] = ids[cut:].reshape(lanes - longer, steps).T
     model = _Model(vocabulary)
-    last, before = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+    last, before = np.zeros(lanes, np.int32), np.zeros(lanes, np.int32)
     for t in range(len(out)):
         active = lanes if t < steps else longer
         row = out[t, :active]
         found = model.step(coder, last[:active], before[:active], None if ids is None else row)
         row[:] = found
         before, last = last[:active], found
-    whole = out[:steps].T
-    if not longer:
-        return whole.ravel()
-    more = np.append(whole[:longer], out[steps, :longer, None], axis=1)
-    return np.concatenate([more.ravel(), whole[longer:].ravel()])
+    return np.concatenate([out[:, :longer].T.ravel(), out[:steps, longer:].T.ravel()])
 
 
 def encode(ids: np.ndarray, vocabulary: int) -> tuple[np.ndarray, np.ndarray]:
@@ -255,7 +262,7 @@ def encode(ids: np.ndarray, vocabulary: int) -> tuple[np.ndarray, np.ndarray]:
         raise ValueError(f"{vocabulary} ids are too many")
     lanes = lanes_of(len(ids))
     writer = Writer(lanes)
-    _run(writer, len(ids), lanes, vocabulary, ids.astype(np.int64))
+    _run(writer, len(ids), lanes, vocabulary, ids)
     return writer.finished()
 
 
