@@ -14,6 +14,8 @@ MOST_WORDS = 2_000_000
 #: Bytes of a word that are hashed by place; longer words are hashed as a whole.
 _PLACES = 64
 _LETTER, _SIGN, _SPACE = 1, 2, 3
+_INDEX_BITS = 22
+_INDEX_SHIFT = np.uint64(64 - _INDEX_BITS)
 
 
 def read_tokenizer(path: str) -> str:
@@ -68,10 +70,14 @@ class Encoder:
         if suffix:
             vocabulary = self.tokenizer.get_vocab()
             self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
-        # Known words: both hashes, sorted by the first, and the place of their ids.
-        self.keys, self.checks = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-        self.starts, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.pool = np.zeros(0, np.uint32)
+        # Known words: both hashes and where their ids lie in the pool; the first is none.
+        # A word is found by the top bits of either hash, and one that finds both places
+        # taken is encoded whenever it comes, so that the words that came first stay.
+        self.index = np.zeros((2, 1 << _INDEX_BITS), np.int32)
+        self.known = 1
+        self.keys, self.checks = np.zeros(1 << 16, np.uint64), np.zeros(1 << 16, np.uint64)
+        self.starts, self.counts = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.pool, self.pooled = np.zeros(1 << 18, np.uint32), 0
 
     def _encoded(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -132,46 +138,73 @@ class Encoder:
             return [b""] * len(raws)
         lengths = np.flatnonzero(stops) + 1 - starts
         keys, checks = self._hashes(raw, solid, starts, lengths)
-        keys, first, word = np.unique(keys, return_index=True, return_inverse=True)
-        if (checks != checks[first][word]).any():  # two words of one hash: no short cut
-            return [x.tobytes() for x in self._encoded([r.decode("utf-8") for r in raws])]
-        checks = checks[first]
-        places, counts, pool = self._looked_up(
-            keys, checks, lambda i: raw[starts[first[i]] :][: lengths[first[i]]].tobytes()
+        places, counts = self._looked_up(
+            keys, checks, lambda i: raw[starts[i] : starts[i] + lengths[i]].tobytes()
         )
-        places, counts = places[word], counts[word]
+        if places is None:  # two words of one hash: no short cut
+            return [x.tobytes() for x in self._encoded([r.decode("utf-8") for r in raws])]
         ends = np.cumsum(counts)
-        ids = pool[np.repeat(places - ends + counts, counts) + np.arange(ends[-1])]
+        ids = self.pool[np.repeat(places - ends + counts, counts) + np.arange(ends[-1])]
         # Where each text's words begin among all words, and so its ids among all ids.
         borders = np.cumsum([len(r) + 1 for r in raws[:-1]])
         cuts = np.concatenate([[0], ends])[np.searchsorted(starts, borders)]
         return [part.astype("<u4").tobytes() for part in np.split(ids, cuts)]
 
     def _looked_up(self, keys, checks, word_at):
-        """Place and number of the ids of words, and the array they lie in."""
-        slot = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
-        known = np.zeros(len(keys), bool)
-        if len(self.keys):
-            known = (self.keys[slot] == keys) & (self.checks[slot] == checks)
-        places, counts = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
-        places[known], counts[known] = self.starts[slot[known]], self.counts[slot[known]]
-        new = np.flatnonzero(~known)
-        if not len(new):
-            return places, counts, self.pool
+        """Place and number of each word's ids in the pool; None if hashes do not suffice."""
+        slots = keys >> _INDEX_SHIFT, checks >> _INDEX_SHIFT
+        entry = self.index[0].take(slots[0].astype(np.int64))
+        missed = self._other(entry, keys, checks, slice(None))
+        entry[missed] = self.index[1].take(slots[1][missed].astype(np.int64))
+        missed = missed[self._other(entry[missed], keys, checks, missed)]
+        places, counts = self.starts.take(entry), self.counts.take(entry)
+        if not len(missed):
+            return places, counts
+        _, first, word = np.unique(keys[missed], return_index=True, return_inverse=True)
+        new = missed[first]
+        if (checks[missed] != checks[new][word]).any():
+            return None, None
         found = self._words([word_at(i).decode("utf-8") for i in new])
-        counts[new] = [len(ids) for ids in found]
-        places[new] = len(self.pool) + np.cumsum(counts[new]) - counts[new]
-        pool = np.concatenate([self.pool, *found])
-        if len(self.keys) + len(new) <= MOST_WORDS:
-            self.pool, at = pool, np.searchsorted(self.keys, keys[new])
-            for name, values in (
-                ("keys", keys),
-                ("checks", checks),
-                ("starts", places),
-                ("counts", counts),
-            ):
-                setattr(self, name, np.insert(getattr(self, name), at, values[new]))
-        return places, counts, pool
+        sizes = np.array([len(ids) for ids in found], np.int64)
+        begins = self.pooled + np.cumsum(sizes) - sizes
+        end = self.pooled + int(sizes.sum())
+        self.pool = _grown(self.pool, end)
+        self.pool[self.pooled : end] = np.concatenate(found)
+        places[missed], counts[missed] = begins[word], sizes[word]
+        if self.known + len(new) <= MOST_WORDS:  # else these ids are written over next time
+            self._keep(new, keys, checks, slots, begins, sizes)
+            self.pooled = end
+        return places, counts
+
+    def _other(self, entry, keys, checks, at) -> np.ndarray:
+        """Where an entry is not that of the word."""
+        same = (self.keys.take(entry) == keys[at]) & (self.checks.take(entry) == checks[at])
+        return np.flatnonzero(~(same & (entry > 0)))
+
+    def _keep(self, new, keys, checks, slots, begins, sizes) -> None:
+        entry = np.arange(self.known, self.known + len(new), dtype=np.int32)
+        self.known += len(new)
+        for name, values in (
+            ("keys", keys[new]),
+            ("checks", checks[new]),
+            ("starts", begins),
+            ("counts", sizes),
+        ):
+            setattr(self, name, _grown(getattr(self, name), self.known))
+            getattr(self, name)[entry] = values
+        for index, slot in zip(self.index, slots):
+            slot = slot[new].astype(np.int64)
+            free = index[slot] == 0
+            index[slot[free]] = entry[free]
+            left = index[slot] != entry
+            new, entry = new[left], entry[left]
+
+
+def _grown(array: np.ndarray, size: int) -> np.ndarray:
+    """The array, or a longer one that starts with it, of at least ``size``."""
+    if size <= len(array):
+        return array
+    return np.concatenate([array, np.zeros(max(size, 2 * len(array)) - len(array), array.dtype)])
 
 
 def kept_encoder(holder: dict) -> Encoder:
