@@ -9,7 +9,7 @@ from collections.abc import Iterable
 import numpy as np
 import xxhash
 
-#: Distinct words whose ids a worker keeps, the first it meets: about 100 MB.
+#: Distinct words whose ids a worker keeps, the first it meets: under 200 MB.
 MOST_WORDS = 2_000_000
 #: Bytes of a word that are hashed by place; longer words are hashed as a whole.
 _PLACES = 64
