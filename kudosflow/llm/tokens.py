@@ -83,22 +83,30 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(one.ids, np.uint32) for one in found]
 
-    def _words(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of distinct words. Those of letters only are one piece each, whose last id
-        is marked, and are encoded many at a time."""
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct words in an order of their own, and where each word's are and
+        how many. Words of letters only are one piece each, whose last id is marked, and
+        are encoded many at a time."""
         plain = [i for i, w in enumerate(words) if w.isalpha() and w.lower().isalpha()]
-        out: list = [None] * len(words)
+        begins, sizes = np.zeros((2, len(words)), np.int64)
+        done = np.zeros(len(words), bool)
+        out, total = [], 0
         for at in range(0, len(plain) if self.ends.any() else 0, 2048):
             own = plain[at : at + 2048]
-            ids = self._encoded([" ".join(words[i] for i in own)])[0]
+            ids = self._encoded([" ".join([words[i] for i in own])])[0]
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) == len(own) and cuts[-1] == len(ids):
-                for i, one in zip(own, np.split(ids, cuts[:-1])):
-                    out[i] = one
-        rest = [i for i, one in enumerate(out) if one is None]
-        for i, one in zip(rest, self._encoded([words[i] for i in rest])):
-            out[i] = one
-        return out
+                sizes[own] = np.diff(cuts, prepend=0)
+                begins[own] = total + cuts - sizes[own]
+                done[own] = True
+                out.append(ids)
+                total += len(ids)
+        rest = np.flatnonzero(~done)
+        for i, ids in zip(rest, self._encoded([words[i] for i in rest])):
+            begins[i], sizes[i] = total, len(ids)
+            out.append(ids)
+            total += len(ids)
+        return np.concatenate(out), begins, sizes
 
     def _hashes(self, raw, solid, starts, lengths) -> np.ndarray:
         at = np.flatnonzero(solid)
@@ -128,6 +136,9 @@ class Encoder:
         if not len(raw):
             return raws
         kinds = self.kinds[raw]
+        # The accented letters of Latin-1 are 0xC3 and one more byte, but for two signs.
+        accented = (raw[:-1] == 0xC3) & (raw[1:] != 0x97) & (raw[1:] != 0xB7)
+        kinds[1:][accented] = _LETTER
         solid = kinds != _SPACE
         begins = solid.copy()  # a word begins after a space, and at a sign after a letter
         begins[1:] &= ~solid[:-1] | ((kinds[1:] == _SIGN) & (kinds[:-1] == _LETTER))
@@ -164,12 +175,11 @@ class Encoder:
         new = missed[first]
         if (checks[missed] != checks[new][word]).any():
             return None, None
-        found = self._words([word_at(i).decode("utf-8") for i in new])
-        sizes = np.array([len(ids) for ids in found], np.int64)
-        begins = self.pooled + np.cumsum(sizes) - sizes
-        end = self.pooled + int(sizes.sum())
+        found, begins, sizes = self._words([word_at(i).decode("utf-8") for i in new])
+        begins += self.pooled
+        end = self.pooled + len(found)
         self.pool = _grown(self.pool, end)
-        self.pool[self.pooled : end] = np.concatenate(found)
+        self.pool[self.pooled : end] = found
         places[missed], counts[missed] = begins[word], sizes[word]
         if self.known + len(new) <= MOST_WORDS:  # else these ids are written over next time
             self._keep(new, keys, checks, slots, begins, sizes)
