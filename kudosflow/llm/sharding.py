@@ -50,7 +50,8 @@ def _round(state: DataFrame, members: DataFrame, shards: int) -> tuple[DataFrame
     counts = [
         F.count(F.when(F.col("shard") == shard, 1)).alias(f"v{shard}") for shard in range(shards)
     ]
-    votes = held.groupBy("group_a", "group_b").agg(*counts)
+    # Stored, as Spark splits a large group only in a join of tables that it has shuffled.
+    votes = stored(held.groupBy("group_a", "group_b").agg(*counts), "votes")
     # A document counts itself, so that of two in different shards both want the same one.
     near = (
         held.join(votes, ["group_a", "group_b"])
@@ -147,9 +148,8 @@ def assign_shards(rows: DataFrame, members: DataFrame, shards: int) -> DataFrame
     if shards == 1:
         return rows.select("row", F.lit(0).alias("shard"))
     sized = members.groupBy("group_a", "group_b").agg(F.count(F.lit(1)).alias("n"))
-    linked = stored(
-        members.join(sized.where("n > 1"), ["group_a", "group_b"]), "members"
-    )
+    several = stored(sized.where("n > 1"), "groups")
+    linked = stored(members.join(several, ["group_a", "group_b"]), "members")
     links = linked.groupBy("row").agg(F.sum("n").alias("links"))
     start = F.pmod(F.xxhash64("row", F.lit(5)), F.lit(shards)).cast("int").alias("shard")
     state = stored(
@@ -193,9 +193,7 @@ def shard_documents(
     placed = assign_shards(
         rows.select("row", "size"), rows.select("row", "group_a", "group_b"), shards
     )
-    joined = stored(
-        rows.drop("group_a", "group_b").join(placed, "row"), "placed"
-    )
+    joined = stored(rows.drop("group_a", "group_b").join(placed, "row"), "placed")
     counts = {row[0]: row[1] for row in joined.groupBy("shard").count().collect()}
     out = numbered(joined, "shard", ["doc_id", "row"], counts, "slot")
     return out.select("doc_id", "size", "text_crc32", "shard", F.col("slot").cast("bigint"))
