@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kudosflow.llm.common import pieces, stored
+from kudosflow.llm.common import WORD, pieces, stored
 from kudosflow.llm.components import components
 
 #: Shingles whose signature is computed at once.
@@ -470,3 +470,29 @@ def near_duplicates(
     )
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
     return placed.unionByName(others).withColumn("kept", kept)
+
+
+#: The registered query in DuckDB, by all pairs of documents that share a shingle.
+ORACLE_SQL = rf"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '{WORD}') AS w
+  FROM documents),
+sets AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 3], ' ') AS shingle
+  FROM texts, unnest(range(1, greatest(len(w) - 2, 2))) AS t(i) WHERE len(w) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+  FROM sets AS x JOIN sets AS y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common JOIN sizes AS x ON x.doc_id = a JOIN sizes AS y ON y.doc_id = b
+  WHERE 100 * common.n >= 80 * (x.n + y.n - common.n)),
+reached(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT reached.doc_id, b FROM reached JOIN links ON a = other)
+SELECT doc_id, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_shingles,
+  min(other) AS component_id, doc_id = min(other) AS kept
+FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+"""
