@@ -18,8 +18,10 @@ from kudosflow.llm.common import let, running_sum
 
 #: Characters around a match in which context words count.
 CONTEXT_CHARS = 40
-#: The score at which a span counts. Confirmed kinds reach it without context.
+#: The score at which a span counts, and what context words add. Confirmed kinds reach it
+#: without context.
 LEAST_SCORE = 50
+_NEAR_SCORE = 25
 
 
 class Kind(NamedTuple):
@@ -116,8 +118,8 @@ BASE = (
 ADDED = (
     Kind(
         "iban",
-        r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}"
-        r"(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+        r"(?<![A-Za-z0-9_])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}"
+        r"(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9_])",
         "",
         lambda match: mod97(F.replace(match, F.lit(" "), F.lit(""))),
         70,
@@ -125,7 +127,7 @@ ADDED = (
     ),
     Kind(
         "national_id",
-        r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
+        r"(?<![A-Za-z0-9_])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9_])",
         "-",
         lambda match: ~match.rlike("^(?:000|666|9)|-00-|-0000$"),
         30,
@@ -153,9 +155,9 @@ def _spans(text: Column, kind: Kind, number: int) -> Column:
                 F.lower(F.right(F.get(parts, i), F.lit(CONTEXT_CHARS))),
                 F.lower(F.left(F.get(parts, i + 1), F.lit(CONTEXT_CHARS))),
             )
-            score = F.lit(kind.score) + F.when(near.rlike(rf"\b(?:{kind.context})"), 25).otherwise(
-                0
-            )
+            score = F.lit(kind.score) + F.when(
+                near.rlike(f"(?<![a-z0-9_])(?:{kind.context})"), _NEAR_SCORE
+            ).otherwise(0)
             return F.struct(
                 start.alias("start"),
                 F.lit(number).alias("kind_no"),
@@ -256,3 +258,73 @@ def redact(text: Column, spans: Column) -> Column:
     blocks = F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{_BLOCK}}}"), F.lit(0))
     changed = let(merged(spans), lambda parts: let(blocks, lambda b: rebuilt(parts, b)))
     return F.when(F.size(spans) > 0, changed).otherwise(text)
+
+
+def _sql_kinds() -> str:
+    """The kinds as rows, with patterns that need no look around a match."""
+    plain = {
+        "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+        "ip": r"[0-9]+(?:\.[0-9]+){3}",
+        "card": r"[0-9](?:[\x20-]?[0-9])+",
+        "iban": r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?\b",
+        "national_id": r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b",
+    }
+    rows = [
+        f"({i}, '{kind.name}', '{plain.get(kind.name, kind.pattern)}', {kind.score},"
+        f" '\\b(?:{kind.context})')"
+        for i, kind in enumerate(KINDS)
+    ]
+    return ",\n  ".join(rows)
+
+
+def _sql_columns() -> str:
+    counts = [
+        f"count(*) FILTER (kind = '{kind.name}') AS n_{kind.name}" for kind in KINDS
+    ]
+    span = "kind || ':' || start || ':' || (start + length(match)), ',' ORDER BY start, no"
+    base = f"string_agg({span}) FILTER (no < {len(BASE)})"
+    counts.append(f"sha256(coalesce({base}, '')) AS base_sha256")
+    counts.append(f"coalesce(string_agg({span}), '') AS spans")
+    return ", ".join(counts)
+
+
+#: The registered query in DuckDB.
+ORACLE_SQL = rf"""
+WITH kinds(no, kind, pattern, score, context) AS (VALUES
+  {_sql_kinds()}),
+parts AS (
+  SELECT doc_id, kinds.*, regexp_extract_all(coalesce(text, ''), pattern) AS m,
+    string_split_regex(coalesce(text, ''), pattern) AS p
+  FROM documents, kinds),
+located AS (
+  SELECT * EXCLUDE (m, p), m[i] AS match, regexp_replace(m[i], '[^0-9]', '', 'g') AS digits,
+    replace(m[i], ' ', '') AS code,
+    length(array_to_string(p[: i], '')) + length(array_to_string(m[: i - 1], '')) AS start,
+    lower(right(p[i], {CONTEXT_CHARS})) || ' ' || lower(left(p[i + 1], {CONTEXT_CHARS})) AS near
+  FROM parts, unnest(range(1, len(m) + 1)) AS t(i)),
+checked AS (
+  SELECT *, CASE kind
+    WHEN 'email' THEN true
+    WHEN 'ip' THEN regexp_full_match(match, '{_BYTE}(?:\.{_BYTE}){{3}}')
+    WHEN 'card' THEN length(digits) BETWEEN 14 AND 19 AND list_sum(list_transform(
+      range(length(digits)), lambda k: CASE WHEN k % 2 = 0
+        THEN CAST(substr(digits, length(digits) - k, 1) AS INT)
+        ELSE CAST(translate(substr(digits, length(digits) - k, 1),
+          '0123456789', '0246813579') AS INT) END)) % 10 = 0
+    WHEN 'phone' THEN length(digits) BETWEEN 10 AND 15
+    WHEN 'iban' THEN list_reduce(list_prepend(0, list_transform(
+      string_split(substr(code, 5) || substr(code, 1, 4), ''),
+      lambda s: CASE WHEN s >= 'A' THEN ascii(s) - 55 ELSE ascii(s) - 48 END)),
+      lambda rest, x: (rest * CASE WHEN x > 9 THEN 100 ELSE 10 END + x) % 97) = 1
+    ELSE NOT regexp_matches(match, '^(?:000|666|9)|-00-|-0000$') END AS valid
+  FROM located),
+found AS (
+  SELECT * FROM checked WHERE valid
+    AND score + CASE WHEN regexp_matches(near, context) THEN {_NEAR_SCORE} ELSE 0 END
+      >= {LEAST_SCORE}),
+spans AS (SELECT doc_id, {_sql_columns()} FROM found GROUP BY doc_id)
+SELECT documents.doc_id,
+  {", ".join(f"coalesce(n_{kind.name}, 0) AS n_{kind.name}" for kind in KINDS)},
+  coalesce(base_sha256, sha256('')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents LEFT JOIN spans ON documents.doc_id = spans.doc_id
+"""

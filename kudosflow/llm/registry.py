@@ -133,5 +133,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_quality_rules": quality_rules.ORACLE_SQL,
         "op4_near_duplicates": near_duplicates.ORACLE_SQL,
+        "op5_pii": pii.ORACLE_SQL,
         "op10_url_rules": url_rules.ORACLE_SQL,
     }
