@@ -15,7 +15,8 @@ MOST_WORDS = 2_000_000
 _PLACES = 64
 _LETTER, _SIGN, _SPACE = 1, 2, 3
 _INDEX_BITS = 22
-_INDEX_SHIFT = np.uint64(64 - _INDEX_BITS)
+_INDEX_MASK = np.uint64((1 << _INDEX_BITS) - 1)
+_INDEX_SHIFTS = np.uint64(64 - _INDEX_BITS), np.uint64(64 - 2 * _INDEX_BITS)
 
 
 def read_tokenizer(path: str) -> str:
@@ -44,8 +45,8 @@ def _by_word(config: dict) -> bool:
 class Encoder:
     """Ids of texts, as little-endian unsigned 32-bit integers.
 
-    Where the tokenizer works word by word, the words of many texts are told apart by two
-    64-bit hashes, and each distinct word is encoded once.
+    Where the tokenizer works word by word, the words of many texts are told apart by a
+    64-bit hash, their length and their outer bytes, and each distinct word is encoded once.
     """
 
     def __init__(self, tokenizer_json: str) -> None:
@@ -60,22 +61,22 @@ class Encoder:
         kinds[[c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'"]] = _SIGN
         kinds[[9, 10, 11, 12, 13, 32]] = _SPACE
         self.kinds = kinds
-        # Term of each byte at each place of a word, for either hash.
-        factors = np.random.default_rng(41).integers(1, 1 << 63, (2, _PLACES, 1), dtype=np.uint64)
-        self.terms = ((factors * np.uint64(2) + np.uint64(1)) * np.arange(1, 257, dtype=np.uint64))
-        self.terms = self.terms.reshape(2, -1)
+        # Term of each byte at each place of a word in its hash.
+        factors = np.random.default_rng(41).integers(1, 1 << 63, (_PLACES, 1), dtype=np.uint64)
+        odd = factors * np.uint64(2) + np.uint64(1)
+        self.terms = (odd * np.arange(1, 257, dtype=np.uint64)).ravel()
         suffix = config["model"].get("end_of_word_suffix")
         size = self.tokenizer.get_vocab_size()
         self.ends = np.zeros(size, bool)
         if suffix:
             vocabulary = self.tokenizer.get_vocab()
             self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
-        # Known words: both hashes and where their ids lie in the pool; the first is none.
-        # A word is found by the top bits of either hash, and one that finds both places
-        # taken is encoded whenever it comes, so that the words that came first stay.
+        # Known words: hash, check and where their ids lie in the pool; the first is none.
+        # A word is found by either of two stretches of its hash, and one that finds both
+        # places taken is encoded whenever it comes, so that the words that came first stay.
         self.index = np.zeros((2, 1 << _INDEX_BITS), np.int32)
         self.known = 1
-        self.keys, self.checks = np.zeros(1 << 16, np.uint64), np.zeros(1 << 16, np.uint64)
+        self.keys, self.checks = np.zeros(1 << 16, np.uint64), np.zeros(1 << 16, np.int64)
         self.starts, self.counts = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
         self.pool, self.pooled = np.zeros(1 << 18, np.uint32), 0
 
@@ -108,16 +109,17 @@ class Encoder:
             total += len(ids)
         return np.concatenate(out), begins, sizes
 
-    def _hashes(self, raw, solid, starts, lengths) -> np.ndarray:
+    def _hashes(self, raw, solid, starts, lengths) -> tuple[np.ndarray, np.ndarray]:
         at = np.flatnonzero(solid)
         first = np.cumsum(lengths) - lengths
         place = np.arange(len(at)) - np.repeat(first, lengths)
         term = np.minimum(place, _PLACES - 1) * 256 + raw[at]
-        out = np.stack([np.add.reduceat(terms[term], first) for terms in self.terms])
+        keys = np.add.reduceat(self.terms.take(term), first)
+        checks = lengths << 16 | raw[starts].astype(np.int64) << 8 | raw[starts + lengths - 1]
         for i in np.flatnonzero(lengths >= _PLACES):
             long = raw[starts[i] : starts[i] + lengths[i]].tobytes()
-            out[:, i] = divmod(xxhash.xxh3_128_intdigest(long), 1 << 64)
-        return out
+            keys[i] = xxhash.xxh64_intdigest(long)
+        return keys, checks
 
     def ids(self, texts: Iterable[str | None]) -> list[bytes]:
         raws = [(text or "").encode("utf-8", "replace") for text in texts]
@@ -163,10 +165,10 @@ class Encoder:
 
     def _looked_up(self, keys, checks, word_at):
         """Place and number of each word's ids in the pool; None if hashes do not suffice."""
-        slots = keys >> _INDEX_SHIFT, checks >> _INDEX_SHIFT
-        entry = self.index[0].take(slots[0].astype(np.int64))
+        entry = self.index[0].take((keys >> _INDEX_SHIFTS[0]).view(np.int64))
         missed = self._other(entry, keys, checks, slice(None))
-        entry[missed] = self.index[1].take(slots[1][missed].astype(np.int64))
+        second = (keys[missed] >> _INDEX_SHIFTS[1]) & _INDEX_MASK
+        entry[missed] = self.index[1].take(second.view(np.int64))
         missed = missed[self._other(entry[missed], keys, checks, missed)]
         places, counts = self.starts.take(entry), self.counts.take(entry)
         if not len(missed):
@@ -182,7 +184,7 @@ class Encoder:
         self.pool[self.pooled : end] = found
         places[missed], counts[missed] = begins[word], sizes[word]
         if self.known + len(new) <= MOST_WORDS:  # else these ids are written over next time
-            self._keep(new, keys, checks, slots, begins, sizes)
+            self._keep(keys[new], checks[new], begins, sizes)
             self.pooled = end
         return places, counts
 
@@ -191,23 +193,19 @@ class Encoder:
         same = (self.keys.take(entry) == keys[at]) & (self.checks.take(entry) == checks[at])
         return np.flatnonzero(~(same & (entry > 0)))
 
-    def _keep(self, new, keys, checks, slots, begins, sizes) -> None:
-        entry = np.arange(self.known, self.known + len(new), dtype=np.int32)
-        self.known += len(new)
-        for name, values in (
-            ("keys", keys[new]),
-            ("checks", checks[new]),
-            ("starts", begins),
-            ("counts", sizes),
-        ):
+    def _keep(self, keys, checks, begins, sizes) -> None:
+        entry = np.arange(self.known, self.known + len(keys), dtype=np.int32)
+        self.known += len(keys)
+        parts = (("keys", keys), ("checks", checks), ("starts", begins), ("counts", sizes))
+        for name, values in parts:
             setattr(self, name, _grown(getattr(self, name), self.known))
             getattr(self, name)[entry] = values
-        for index, slot in zip(self.index, slots):
-            slot = slot[new].astype(np.int64)
+        for index, shift in zip(self.index, _INDEX_SHIFTS):
+            slot = ((keys >> shift) & _INDEX_MASK).view(np.int64)
             free = index[slot] == 0
             index[slot[free]] = entry[free]
             left = index[slot] != entry
-            new, entry = new[left], entry[left]
+            keys, entry = keys[left], entry[left]
 
 
 def _grown(array: np.ndarray, size: int) -> np.ndarray:
