@@ -23,11 +23,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kudosflow.llm.common import numbered, pieces, stored
+from kudosflow.llm.common import lists, numbered, record_batch, stored
 from kudosflow.llm.tokens import kept_encoder
 
 
@@ -195,9 +195,11 @@ def token_pieces(
     sent = df.sparkSession.sparkContext.broadcast({"json": tokenizer_json})
     end = np.array([end_id], "<u4").tobytes()
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    kinds = dict(doc_id="int64", piece="int32", start="int64", length="int64", ids_crc32="int64")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = kept_encoder(sent.value)
-        for batch in pieces(batches):
+        for batch in lists(batches):
             rows = []
             for number, found in zip(batch["doc_id"], encoder.ids(batch["text"])):
                 found += end
@@ -205,14 +207,12 @@ def token_pieces(
                     part = found[at : at + 4 * limit]
                     row = (number, piece, at // 4, len(part) // 4, zlib.crc32(part))
                     rows.append((*row, part) if ids else row)
-            names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * ids
-            out = pd.DataFrame(rows, columns=names)
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            yield out
+            columns = zip((kinds | {"ids": "binary"} if ids else kinds).items(), zip(*rows))
+            yield record_batch(**{name: (kind, values) for (name, kind), values in columns})
 
     rows = df.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     schema = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
-    return rows.mapInPandas(cut, schema + ", ids binary" * ids)
+    return rows.mapInArrow(cut, schema + ", ids binary" * ids)
 
 
 def pack(
@@ -230,22 +230,24 @@ def pack(
     plan = Packer(counts, limit, groups, short).plan()
     sent = rows.sparkSession.sparkContext.broadcast(plan)
 
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = sent.value
         keys = (table[:, 0] << 48) + table[:, 1]
         for batch in batches:
-            rank = batch["rank"].to_numpy()
-            wanted = (batch["length"].to_numpy().astype(np.int64) << 48) + rank
-            row = table[np.searchsorted(keys, wanted, "right") - 1]
-            out = batch.drop(columns="rank")
-            out["sequence_id"] = row[:, 2] + rank - row[:, 1]
-            out["offset"] = row[:, 3]
-            yield out
+            *passed, rank = batch.columns
+            names = batch.schema.names[:-1]
+            rank = rank.to_numpy().astype(np.int64)
+            lengths = batch.column(names.index("length")).to_numpy().astype(np.int64)
+            row = table[np.searchsorted(keys, (lengths << 48) + rank, "right") - 1]
+            placed = [pa.array(row[:, 2] + rank - row[:, 1]), pa.array(row[:, 3])]
+            yield pa.RecordBatch.from_arrays(
+                [*passed, *placed], [*names, "sequence_id", "offset"]
+            )
 
     order = [name for name in ("doc_id", "piece", "ids_crc32") if name in rows.columns]
     ranked = numbered(rows, "length", order, counts, "rank").select(*rows.columns, "rank")
     schema = ", ".join(f"`{name}` {kind}" for name, kind in rows.dtypes)
-    return ranked.mapInPandas(place, f"{schema}, sequence_id bigint, offset bigint")
+    return ranked.mapInArrow(place, f"{schema}, sequence_id bigint, offset bigint")
 
 
 def pack_documents(df: DataFrame, tokenizer_json: str, limit: int = 2048, **options) -> DataFrame:

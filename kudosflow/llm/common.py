@@ -201,6 +201,22 @@ def with_answers(
     return named.mapInArrow(run, schema).toDF(*df.columns, *kinds)
 
 
+def lists(
+    batches: Iterator[pa.RecordBatch], rows: int = PIECE_ROWS
+) -> Iterator[dict[str, list]]:
+    """Batches as lists by column, cut as by ``pieces``. Whole numbers beside nulls stay
+    whole, which they do not in pandas."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows).to_pydict()
+
+
+def record_batch(**columns: tuple[str | pa.DataType, list]) -> pa.RecordBatch:
+    """A batch of columns given by type and values."""
+    arrays = [pa.array(values, kind) for kind, values in columns.values()]
+    return pa.RecordBatch.from_arrays(arrays, list(columns))
+
+
 def widened(df: DataFrame, **kinds: str) -> StructType:
     """The table's schema with further columns."""
     added = [StructField(name, DataType.fromDDL(kind)) for name, kind in kinds.items()]

@@ -11,10 +11,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kudosflow.llm.common import cutoffs, pieces, stored
+from kudosflow.llm.common import cutoffs, lists, pieces, record_batch, stored
 
 #: Buckets that one- and two-word n-grams are hashed to.
 BUCKETS = 1 << 14
@@ -104,12 +105,11 @@ def resample(
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     sent = docs.sparkSession.sparkContext.broadcast(log_ratios(rows, targets))
 
-    def rate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ratios = sent.value
-        for batch in pieces(batches):
+        for batch in lists(batches):
             sums = [float(ratios[ngram_buckets(text)].sum()) for text in batch["text"]]
-            ids = batch["doc_id"].astype("Int64")
-            yield pd.DataFrame({"doc_id": ids, "log_ratio": sums})
+            yield record_batch(doc_id=("int64", batch["doc_id"]), log_ratio=("float64", sums))
 
     uniform = (
         F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(seed), F.lit(29)), 11) + F.lit(0.5)
@@ -117,7 +117,7 @@ def resample(
     score = F.col("log_ratio") - F.log(-F.log(uniform))
     clipped = F.least(F.greatest(F.col("score"), F.lit(float(-_MOST))), F.lit(float(_MOST)))
     rated = stored(
-        rows.mapInPandas(rate, "doc_id bigint, log_ratio double")
+        rows.mapInArrow(rate, "doc_id bigint, log_ratio double")
         .withColumn("score", score)
         .withColumn("place", ((F.lit(float(_MOST)) - clipped) * _PARTS).cast("bigint"))
         .withColumn("tie", F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(31)), 64 - _TIE_BITS)),

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kudosflow.llm.common import WORD, pieces, stored
+from kudosflow.llm.common import WORD, lists, pieces, record_batch, stored
 from kudosflow.llm.components import components
 
 #: Shingles whose signature is computed at once.
@@ -101,28 +101,32 @@ def signature(hashes: np.ndarray, symbols: int) -> np.ndarray:
 def sketches(docs: DataFrame, scheme: Scheme) -> DataFrame:
     """Id, set size, 128-bit digest of the set and signature; nulls for empty sets."""
 
-    def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in pieces(batches):
-            rows = []
-            for text in batch["text"]:
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in lists(batches):
+            sizes, digests, shapes = [], [], []
+            for text in piece["text"]:
                 found = shingles(text, scheme.words)
+                sizes.append(len(found))
                 if len(found):
-                    high, low = divmod(xxhash.xxh3_128_intdigest(found.tobytes()), 1 << 64)
-                    signed = np.array([high, low], np.uint64).view(np.int64)
-                    shape = signature(found, scheme.chunks * scheme.width)
-                    rows.append((len(found), signed[0], signed[1], shape))
+                    halves = divmod(xxhash.xxh3_128_intdigest(found.tobytes()), 1 << 64)
+                    digests.append(np.array(halves, np.uint64).view(np.int64).tolist())
+                    shapes.append(signature(found, scheme.chunks * scheme.width))
                 else:
-                    rows.append((0, None, None, None))
-            names = ["n_shingles", "digest_a", "digest_b", "symbols"]
-            out = pd.DataFrame(rows, columns=names, index=batch.index)
-            out[["digest_a", "digest_b"]] = out[["digest_a", "digest_b"]].astype("Int64")
-            yield pd.concat([batch[["doc_id"]].astype("Int64"), out], axis=1)
+                    digests.append((None, None))
+                    shapes.append(None)
+            yield record_batch(
+                doc_id=("int64", piece["doc_id"]),
+                n_shingles=("int64", sizes),
+                digest_a=("int64", [digest[0] for digest in digests]),
+                digest_b=("int64", [digest[1] for digest in digests]),
+                symbols=(pa.list_(pa.int16()), shapes),
+            )
 
     schema = (
         "doc_id bigint, n_shingles bigint, digest_a bigint, digest_b bigint,"
         " symbols array<smallint>"
     )
-    return docs.mapInPandas(sketch, schema)
+    return docs.mapInArrow(sketch, schema)
 
 
 def keys(symbols: Column, scheme: Scheme) -> Column:

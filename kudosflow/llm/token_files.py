@@ -14,11 +14,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kudosflow.llm.common import pieces
+from kudosflow.llm.common import lists, record_batch
 from kudosflow.llm.range_coder import decode, encode
 from kudosflow.llm.tokens import kept_encoder
 
@@ -93,21 +94,24 @@ def write_token_files(
         .sortWithinPartitions("doc_id", "text")
     )
 
-    def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = kept_encoder(holder.value)
         vocabulary = max(encoder.tokenizer.get_vocab_size(), end_id + 1)
         part, number, first = TaskContext.get().partitionId(), 0, 0
         doc_ids, documents, size = [], [], 0
 
-        def closed() -> pd.DataFrame:
-            row = (part, number, first, len(documents), size)
-            payload = pack_block(doc_ids, documents, vocabulary)
-            names = ["part", "block", "first", "n_docs", "n_ids", "payload"]
-            return pd.DataFrame([(*row, payload)], columns=names)
-
-        for batch in pieces(batches):
-            owners = [None if pd.isna(x) else int(x) for x in batch["doc_id"].astype("Int64")]
-            for owner, found in zip(owners, encoder.ids(batch["text"])):
+        def closed() -> pa.RecordBatch:
+            return record_batch(
+                part=("int32", [part]),
+                block=("int32", [number]),
+                first=("int64", [first]),
+                n_docs=("int32", [len(documents)]),
+                n_ids=("int64", [size]),
+                payload=("binary", [pack_block(doc_ids, documents, vocabulary)]),
+            )
+
+        for batch in lists(batches):
+            for owner, found in zip(batch["doc_id"], encoder.ids(batch["text"])):
                 doc_ids.append(owner)
                 documents.append(np.frombuffer(found + end, "<u4"))
                 size += len(documents[-1])
@@ -119,7 +123,7 @@ def write_token_files(
             yield closed()
 
     schema = "part int, block int, first bigint, n_docs int, n_ids bigint, payload binary"
-    ordered.mapInPandas(blocks, schema).write.parquet(path)
+    ordered.mapInArrow(blocks, schema).write.parquet(path)
 
 
 def read_token_files(spark: SparkSession, path: str, ids: bool = False) -> DataFrame:

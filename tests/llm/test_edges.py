@@ -32,6 +32,8 @@ PROSE = " ".join(RNG.choice(WORDS, 80)) + "."
 PASSAGE = (
     "a quiet river runs beside the old stone house where nobody has lived for a hundred years now"
 )
+#: A number that pandas cannot hold beside a null.
+BIG = 2**62 + 1
 CLASHING = "kept string, score string, lang_pred string, rejected int, host int, rank int, bin int"
 SCHEMA = f"doc_id bigint, text string, lang string, {CLASHING}, `odd name.` double"
 ROWS = [
@@ -46,7 +48,7 @@ ROWS = [
     (7, "...", "en"),
     (8, "one", None),
     (9, f"{PROSE} {PASSAGE} {PROSE}", "en"),
-    (2**62, "mail me@example.org or call +1 (415) 555-0100", "en"),
+    (BIG, "mail me@example.org or call +1 (415) 555-0100", "en"),
 ]
 EXTRA = ("x", None, "y", 1, 2, None, 3, float("nan"))
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -151,6 +153,7 @@ def test_resampling(spark, odd, nothing):
     )
     found = importance_resampling.resample(odd.select("doc_id", "text"), labels, share=0.5)
     rows = {row.doc_id: row for row in found.collect()}
+    assert set(rows) == {row[0] for row in ROWS}
     assert found.count() == len(ROWS)
     assert rows[3].log_ratio == rows[4].log_ratio == 0
     assert found.where("kept").count() <= len(ROWS) // 2
@@ -171,6 +174,7 @@ def test_near_duplicates(odd, nothing):
     for number in (3, 4, 5):
         assert (rows[number].n_shingles, rows[number].component_id) == (0, number)
     assert rows[7].n_shingles == rows[8].n_shingles == 1
+    assert set(rows) == {row[0] for row in ROWS}
     assert near_duplicates.near_duplicates(nothing).collect() == []
 
 
@@ -231,7 +235,7 @@ def test_pii(spark, odd, nothing):
     found = pii.find_pii(odd.withColumn("pii_spans", F.lit("old")))
     rows = {row.doc_id: row for row in found.collect()}
     assert rows[3].pii_spans == rows[4].pii_spans == []
-    assert [(s.kind, s.start, s.end) for s in rows[2**62].pii_spans] == [
+    assert [(s.kind, s.start, s.end) for s in rows[BIG].pii_spans] == [
         ("email", 5, 19),
         ("phone", 28, 45),
     ]
@@ -265,6 +269,7 @@ def test_long_runs_cost_no_more_than_their_length(spark):
 def test_shards(odd, nothing):
     found = sharding.shard_documents(odd, 3).collect()
     assert len(found) == len(ROWS)
+    assert {row.doc_id for row in found} == {row[0] for row in ROWS}
     by_shard = {}
     for row in found:
         by_shard.setdefault(row.shard, []).append(row.slot)
@@ -289,6 +294,7 @@ def test_packing(odd, nothing, tokenizer):
     rows = packed.collect()
     assert sum(row.doc_id == 1 for row in rows) == 2 * sum(row.doc_id == 2 for row in rows)
     assert [row.length for row in rows if row.doc_id == 3] == [1]
+    assert {row.doc_id for row in rows} == {row[0] for row in ROWS}
     whole = {row.sequence_id: row.ids for row in best_fit_packing.sequences(packed).collect()}
     for row in rows:
         part = bytes(whole[row.sequence_id][4 * row.offset : 4 * (row.offset + row.length)])
@@ -327,6 +333,7 @@ def test_token_files(spark, odd, nothing, tokenizer):
     rows = token_files.read_token_files(spark, path, ids=True).collect()
     assert len(rows) == len(ROWS)
     rows.sort(key=lambda row: row.start)
+    assert {row.doc_id for row in rows} == {row[0] for row in ROWS}
     ids = [row.doc_id for row in rows]
     assert ids == sorted(ids, key=lambda x: (x is not None, x or 0))
     before = [sum(row.n_tokens for row in rows[:i]) for i in range(len(rows))]
@@ -388,7 +395,7 @@ def test_languages(spark, odd, nothing):
     for number in (3, 4, 5, 7):
         assert (rows[number][lang], rows[number][score], rows[number][rejected]) == ("und", 0, True)
     assert (rows[1][lang], rows[1]["lang_pred"], rows[1]["kept"]) == ("en", "y", "x")
-    assert rows[2**62].doc_id == 2**62
+    assert rows[BIG].doc_id == BIG
     far = spark.createDataFrame([("漢字仮名交じり文 " * 40,)], "text string")
     assert language_id.identify(far, model).first().rejected
     unknown = language_id.identify(odd, language_id.fit_languages(labelled.limit(0)))
@@ -446,13 +453,13 @@ def test_every_stage_on_odd_and_on_no_documents(spark, odd, nothing, benchmark,
             assert kept.count() <= df.count()
     language, near, passages, personal, packing = (stage for _, stage in corpus_pipeline.STAGES)
     left = {row.doc_id for row in language(spark, odd, str(tmp_path)).collect()}
-    assert left == {1, 2, None, 6, 8, 9, 2**62}
+    assert left == {1, 2, None, 6, 8, 9, BIG}
     assert {row.doc_id for row in near(spark, odd, str(tmp_path)).collect()} == {
         row[0] for row in ROWS
     } - {2}
     texts = {row.doc_id: row.text for row in personal(spark, odd, str(tmp_path)).collect()}
     assert texts[3] is None
-    assert texts[2**62] == "mail <EMAIL> or call <PHONE>"
+    assert texts[BIG] == "mail <EMAIL> or call <PHONE>"
     assert packing(spark, nothing, str(tmp_path)).collect() == []
 
 
