@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 
 from kudosflow.llm.common import all_columns, pieces
 
-#: Hashes of q-grams are looked up in a table of so many bits before anything else.
-_BITS = 22
+#: Hashes of q-grams are looked up in a table of at least and at most so many bits before
+#: anything else; it has eight places or more for each q-gram of a block.
+_BITS = 22, 28
 
 
 class Bounds(NamedTuple):
@@ -113,12 +114,12 @@ class Benchmark:
         self.width = np.array([2 * edits + 1 for _, edits in stretches], np.int64)
         least = [length + 1 - bounds.q * (edits + 1) for length, edits in stretches]
         self.least = np.maximum(1, np.array(least, np.int64))
-        self.table = np.zeros(1 << _BITS, bool)
+        self.bits = min(max(len(every).bit_length() + 3, _BITS[0]), _BITS[1])
+        self.table = np.zeros(1 << self.bits, bool)
         self.table[self._short(every)] = True
 
-    @staticmethod
-    def _short(hashes: np.ndarray) -> np.ndarray:
-        return (hashes >> np.uint64(64 - _BITS)).astype(np.int64)
+    def _short(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes >> np.uint64(64 - self.bits)).astype(np.int64)
 
     def stretch(self, item: int) -> tuple[int, int]:
         """Length of an item's stretches and the edits they may have."""
