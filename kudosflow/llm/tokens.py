@@ -76,8 +76,8 @@ class Encoder:
         # places taken is encoded whenever it comes, so that the words that came first stay.
         self.index = np.zeros((2, 1 << _INDEX_BITS), np.int32)
         self.known = 1
-        self.keys, self.checks = np.zeros(1 << 16, np.uint64), np.zeros(1 << 16, np.int64)
-        self.starts, self.counts = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        # All of a word lies side by side, so that looking it up touches little memory.
+        self.entries = np.zeros((1 << 16, 4), np.int64)
         self.pool, self.pooled = np.zeros(1 << 18, np.uint32), 0
 
     def _encoded(self, texts: list[str]) -> list[np.ndarray]:
@@ -165,41 +165,44 @@ class Encoder:
 
     def _looked_up(self, keys, checks, word_at):
         """Place and number of each word's ids in the pool; None if hashes do not suffice."""
-        entry = self.index[0].take((keys >> _INDEX_SHIFTS[0]).view(np.int64))
-        missed = self._other(entry, keys, checks, slice(None))
-        second = (keys[missed] >> _INDEX_SHIFTS[1]) & _INDEX_MASK
-        entry[missed] = self.index[1].take(second.view(np.int64))
-        missed = missed[self._other(entry[missed], keys, checks, missed)]
-        places, counts = self.starts.take(entry), self.counts.take(entry)
+        found = self.entries.take(self._slots(keys, 0), axis=0)
+        missed = np.flatnonzero(self._other(found, keys, checks))
+        again = self.entries.take(self._slots(keys[missed], 1), axis=0)
+        there = ~self._other(again, keys[missed], checks[missed])
+        found[missed[there]], missed = again[there], missed[~there]
+        places, counts = found[:, 2].copy(), found[:, 3].copy()
         if not len(missed):
             return places, counts
         _, first, word = np.unique(keys[missed], return_index=True, return_inverse=True)
         new = missed[first]
         if (checks[missed] != checks[new][word]).any():
             return None, None
-        found, begins, sizes = self._words([word_at(i).decode("utf-8") for i in new])
+        ids, begins, sizes = self._words([word_at(i).decode("utf-8") for i in new])
         begins += self.pooled
-        end = self.pooled + len(found)
+        end = self.pooled + len(ids)
         self.pool = _grown(self.pool, end)
-        self.pool[self.pooled : end] = found
+        self.pool[self.pooled : end] = ids
         places[missed], counts[missed] = begins[word], sizes[word]
         if self.known + len(new) <= MOST_WORDS:  # else these ids are written over next time
             self._keep(keys[new], checks[new], begins, sizes)
             self.pooled = end
         return places, counts
 
-    def _other(self, entry, keys, checks, at) -> np.ndarray:
-        """Where an entry is not that of the word."""
-        same = (self.keys.take(entry) == keys[at]) & (self.checks.take(entry) == checks[at])
-        return np.flatnonzero(~(same & (entry > 0)))
+    def _slots(self, keys: np.ndarray, n: int) -> np.ndarray:
+        """The entry that the n-th index has for each word, 0 for none."""
+        place = (keys >> _INDEX_SHIFTS[n]) & _INDEX_MASK
+        return self.index[n].take(place.view(np.int64))
+
+    @staticmethod
+    def _other(entries, keys, checks) -> np.ndarray:
+        """Whether an entry is not that of the word; no word's check is 0, as an empty one's."""
+        return (entries[:, 0] != keys.view(np.int64)) | (entries[:, 1] != checks)
 
     def _keep(self, keys, checks, begins, sizes) -> None:
         entry = np.arange(self.known, self.known + len(keys), dtype=np.int32)
         self.known += len(keys)
-        parts = (("keys", keys), ("checks", checks), ("starts", begins), ("counts", sizes))
-        for name, values in parts:
-            setattr(self, name, _grown(getattr(self, name), self.known))
-            getattr(self, name)[entry] = values
+        self.entries = _grown(self.entries, self.known)
+        self.entries[entry] = np.stack([keys.view(np.int64), checks, begins, sizes], axis=1)
         for index, shift in zip(self.index, _INDEX_SHIFTS):
             slot = ((keys >> shift) & _INDEX_MASK).view(np.int64)
             free = index[slot] == 0
@@ -212,7 +215,8 @@ def _grown(array: np.ndarray, size: int) -> np.ndarray:
     """The array, or a longer one that starts with it, of at least ``size``."""
     if size <= len(array):
         return array
-    return np.concatenate([array, np.zeros(max(size, 2 * len(array)) - len(array), array.dtype)])
+    more = max(size, 2 * len(array)) - len(array)
+    return np.concatenate([array, np.zeros((more, *array.shape[1:]), array.dtype)])
 
 
 def kept_encoder(holder: dict) -> Encoder:
