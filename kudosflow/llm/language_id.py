@@ -26,6 +26,8 @@ UNKNOWN = "und"
 BUCKETS = 1 << 14
 #: Length classes, by doubling, for the distance at which texts are rejected.
 LENGTHS = 32
+#: Marks a length class without a sampled text; no cosine is as large.
+_UNSEEN = 2.0
 #: Texts with fewer n-grams, about 35 letters, are too short for a distance to tell.
 LEAST_GRAMS = 100
 #: More languages than this are refused: all centroids go to every task.
@@ -121,8 +123,9 @@ def fit_languages(
     """Learn from labelled texts; rows without label, text or letters teach nothing.
 
     A text is rejected if its cosine is below ``margin`` times the lowest one among the
-    sampled texts as long as it or longer. Without labelled texts the model knows no
-    language and rejects all. Memory of a fit: ``4 * BUCKETS * per_language`` bytes.
+    sampled texts as long as it or longer, and if none is as long, among the longest ones.
+    Without labelled texts the model knows no language and rejects all. Memory of a fit:
+    ``4 * BUCKETS * per_language`` bytes.
     """
     rows = labelled.select(
         F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang")
@@ -159,7 +162,7 @@ def fit_languages(
             lengths[i] = length_class(counts)
         centres = _clusters(dense, centroids, rounds)
         close = (dense @ centres.T).max(1)
-        least = [float(close[lengths == n].min(initial=2.0)) for n in range(LENGTHS)]
+        least = [float(close[lengths == n].min(initial=_UNSEEN)) for n in range(LENGTHS)]
         return pd.DataFrame(
             {
                 "lang": group["lang"].iloc[0],
@@ -178,12 +181,14 @@ def fit_languages(
         return LanguageModel()
     fitted = sorted(fitted, key=lambda row: (row["lang"], row["centre"]))
     lowest = np.array([row["least"] for row in fitted]).min(0)
+    longest = np.flatnonzero(lowest < _UNSEEN)[-1]
+    lowest[longest + 1 :] = lowest[longest]
     least = margin * np.minimum.accumulate(lowest[::-1])[::-1]
     return LanguageModel(
         names=[row["lang"] for row in fitted],
         centroids=np.array([row["centre"] for row in fitted], np.float32).T.copy(),
         idf=idf,
-        least=np.where(least > 1, 0.0, least),
+        least=least,
     )
 
 

@@ -403,6 +403,26 @@ def test_languages(spark, odd, nothing):
     assert language_id.identify(nothing, model).collect() == []
 
 
+def test_texts_longer_than_all_labelled_ones_are_judged_as_the_longest(spark):
+    words = {"en": WORDS, "fr": "le la et de maison rivière jardin lumière pierre eau nord".split()}
+    rows = [
+        (n, " ".join(RNG.choice(own, 60)), lang)
+        for lang, own in words.items()
+        for n in range(20)
+    ]
+    labelled = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = language_id.fit_languages(labelled)
+    seen = max(language_id.length_class(language_id.ngram_counts(text)[1]) for _, text, _ in rows)
+    assert (model.least[seen + 1 :] == model.least[seen]).all()
+    assert 0 < model.least[seen] <= 0.5
+    texts = [" ".join(RNG.choice(words["fr"], 60 * 4**n)) for n in range(6)]
+    far = "漢字仮名交じり文 " * 60_000
+    df = spark.createDataFrame([(text,) for text in (*texts, LONG, far)], "text string")
+    found = language_id.identify(df, model).collect()
+    assert [row.lang_pred for row in found[:-1]] == ["fr"] * 6 + ["en"]
+    assert [row.rejected for row in found] == [False] * 7 + [True]
+
+
 def test_urls(spark):
     urls = {
         None: ("", "", None, "allow"),
