@@ -25,6 +25,10 @@ from kudosflow.llm.common import all_columns, pieces
 #: Hashes of q-grams are looked up in a table of at least and at most so many bits before
 #: anything else; it has eight places or more for each q-gram of a block.
 _BITS = 22, 28
+#: No code point.
+_NO_SIGN = np.uint64(1 << 32)
+#: Stretches that are aligned at once.
+_ALIGNED = 128
 
 
 class Bounds(NamedTuple):
@@ -67,29 +71,29 @@ def grams(signs: np.ndarray, q: int) -> np.ndarray:
     return hashes * np.uint64(0xC2B2AE3D27D4EB4F)
 
 
-def banded_distance(pattern: np.ndarray, text: np.ndarray, shift: int, most: int) -> int:
-    """Edits to turn ``pattern`` into a stretch of ``text`` that starts near ``shift``.
+def banded_distances(
+    patterns: np.ndarray, text: np.ndarray, shifts: np.ndarray, width: int, most: int
+) -> np.ndarray:
+    """Edits to turn each row of ``patterns`` into a stretch of ``text``.
 
-    Cells within ``2 * most`` of the diagonal ``shift`` are filled, and the stretch may
+    Cells on the ``width`` diagonals from a row's shift on are filled, and the stretch may
     start and end at any of them. More than ``most`` comes back as ``most + 1``.
     """
-    far, band = most + 1, 2 * most
-    row = np.zeros(2 * band + 1, np.int64)  # the stretch may start anywhere in the band
-    offsets = np.arange(-band, band + 1)
-    for i, sign in enumerate(pattern):
-        at = shift + i + offsets
-        inside = (at >= 0) & (at < len(text))
-        differs = np.ones(len(offsets), np.int64)
-        differs[inside] = text[at[inside]] != sign
-        replaced = np.where(inside, row + differs, far)
-        dropped = np.append(row[1:], far) + 1
-        best = np.minimum(replaced, dropped)
-        # Insertions run along the row: a running minimum of cost less place.
-        row = np.minimum.accumulate(best - offsets) + offsets
-        row = np.minimum(row, far)
-        if row.min() >= far:
-            return far
-    return int(row.min())
+    length = patterns.shape[1]
+    at = np.arange(length + width - 1)[:, None] + shifts
+    outside = (at < 0) | (at >= len(text))
+    # A sign outside the text equals none: to replace one by it costs what dropping it does.
+    signs = np.where(outside, _NO_SIGN, text[np.clip(at, 0, len(text) - 1)])
+    offsets = np.arange(width, dtype=np.int32)[:, None]
+    row = np.zeros((width, len(patterns)), np.int32)
+    for i, sign in enumerate(patterns.T):
+        best = row + (signs[i : i + width] != sign)
+        np.minimum(best[:-1], row[1:] + np.int32(1), out=best[:-1])
+        # Insertions run along the diagonals: a running minimum of cost less place.
+        row = np.minimum.accumulate(best - offsets, axis=0) + offsets
+        if i % 8 == 7 and row.min() > most:
+            break
+    return np.minimum(row.min(axis=0), most + 1)
 
 
 class Benchmark:
@@ -157,13 +161,15 @@ class Benchmark:
                 item = int(owner[part[0]])
                 if item in best and best[item][3] == 0:
                     continue
-                found = self._in_band(item, signs, (at - place)[part], place[part])
+                low = int(band[part[0]] * 2 * width[part[0]] - lead * width[part[0]])
+                found = self._in_band(item, signs, (at - place)[part], place[part], low)
                 if found and (item not in best or found[3] < best[item][3]):
                     best[item] = found
         return list(best.values())
 
-    def _in_band(self, item, signs, diagonal, place) -> tuple[int, int, int, int] | None:
-        """Align the stretches that hold enough of the q-grams shared in a band."""
+    def _in_band(self, item, signs, diagonal, place, low) -> tuple[int, int, int, int] | None:
+        """Align all stretches that hold enough of the q-grams shared in a band, which
+        starts at the diagonal ``low``; the best one."""
         length, edits = self.stretch(item)
         text, q, best = self.texts[item], self.bounds.q, None
         present = np.zeros(len(text) + 1, np.int64)
@@ -172,15 +178,25 @@ class Benchmark:
         starts = np.arange(len(text) - length + 1)
         shared = total[starts + length - q + 1] - total[starts]
         due = starts[shared >= self.least[item]]
-        while len(due):
-            start = int(due[np.argmax(shared[due])])
+        due = due[np.argsort(-shared[due], kind="stable")]
+        # An edit takes at most q of the q-grams, so no stretch has fewer edits than this.
+        lowest = -((shared[due] - (length - q + 1)) // q)
+        most = edits
+        for first in range(0, len(due), _ALIGNED):
+            if lowest[first] > most:
+                break
+            some = due[first : first + _ALIGNED]
+            patterns = text[some[:, None] + np.arange(length)]
+            width = 2 * int(self.width[item])
+            distances = banded_distances(patterns, signs, some + low, width, most)
+            distance = int(distances.min())
+            if distance > most:
+                continue
+            start = int(some[np.argmin(distances)])
             inside = (place >= start) & (place <= start + length - q)
             shift = start + int(np.median(diagonal[inside]))
-            distance = banded_distance(text[start : start + length], signs, shift, max(edits, 1))
-            if distance <= edits:
-                return item, max(0, shift), min(len(signs), shift + length), distance
-            # Stretches that overlap it closely share its edits: go on beside it.
-            due = due[np.abs(due - start) > edits]
+            best = item, max(0, shift), min(len(signs), shift + length), distance
+            most = distance - 1
         return best
 
 

@@ -147,6 +147,45 @@ def test_every_stretch_within_the_edits_is_found():
         assert found[0][3] <= 3
 
 
+def edits_of_a_stretch(pattern, text):
+    """Fewest edits that turn the pattern into some stretch of the text, cell by cell."""
+    row = [0] * (len(text) + 1)
+    for i, sign in enumerate(pattern, 1):
+        last, row = row, [i]
+        for j, other in enumerate(text):
+            row.append(min(last[j] + (sign != other), last[j + 1] + 1, row[j] + 1))
+    return min(row)
+
+
+@pytest.mark.parametrize("edits", [4, 5])
+def test_every_window_cut_from_a_longer_item_is_found(edits):
+    bounds = decontaminate.Bounds()
+    rng = np.random.default_rng(edits)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    item = "".join(rng.choice(letters, 240))
+    index = decontaminate.Benchmark([(7, item)], bounds)
+    for turn in range(60):
+        start = int(rng.integers(len(item) - bounds.window + 1))
+        edited = list(item[start : start + bounds.window])
+        for _ in range(edits):
+            at = int(rng.integers(len(edited)))
+            match rng.integers(3) if turn % 2 else 0:
+                case 0:
+                    edited[at] = "1"
+                case 1:
+                    del edited[at]
+                case _:
+                    edited.insert(at, "2")
+        doc = "3" * 50 + "".join(edited) + "4" * 50
+        found = index.matches(doc)
+        assert [one[0] for one in found] == [0]
+        assert found[0][3] <= edits
+        if turn < 4:
+            near = range(max(0, start - 5), min(len(item) - bounds.window, start + 5) + 1)
+            cuts = [item[s : s + bounds.window] for s in near]
+            assert found[0][3] == min(edits_of_a_stretch(cut, doc) for cut in cuts)
+
+
 def test_resampling(spark, odd, nothing):
     labels = spark.createDataFrame(
         [(1, 1), (2, 1), (7, 0), (7, 0), (None, 1), (8, None)], "doc_id bigint, quality int"
