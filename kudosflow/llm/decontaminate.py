@@ -7,11 +7,14 @@ with it, on diagonals (place in the document less place in the stretch) that lie
 stretches with enough of them are retained, and a banded alignment decides.
 
 Letters and digits count, in lower case, and anything between them is one space. A
-benchmark text shorter than a window is one stretch, with its share of the edits.
+benchmark text shorter than a window is one stretch, with its share of the edits. One
+under ``shortest`` characters is searched as it is, from one word's border to another.
 """
 
 from __future__ import annotations
 
+import re
+from collections import defaultdict
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -29,6 +32,12 @@ _BITS = 22, 28
 _NO_SIGN = np.uint64(1 << 32)
 #: Stretches that are aligned at once.
 _ALIGNED = 128
+#: Words of normalised texts; signs of scripts without spaces are words of their own.
+_UNSPACED = (
+    "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff"
+    "\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+)
+_WORDS = re.compile(f"[{_UNSPACED}]|[^ {_UNSPACED}]+")
 
 
 class Bounds(NamedTuple):
@@ -59,6 +68,10 @@ def normalised(text: str | None, counts: np.ndarray) -> np.ndarray:
     return signs[start:].astype(np.uint64)
 
 
+def written(signs: np.ndarray) -> str:
+    return signs.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+
+
 def grams(signs: np.ndarray, q: int) -> np.ndarray:
     """Hashes of all q-grams, by doubling their length."""
     if len(signs) < q:
@@ -102,8 +115,17 @@ class Benchmark:
     def __init__(self, items: list[tuple[int, str]], bounds: Bounds) -> None:
         self.bounds, self.counts = bounds, letters_and_digits()
         texts = [(item, normalised(text, self.counts)) for item, text in items]
+        short = [x for x in texts if 0 < len(x[1]) < max(bounds.shortest, bounds.q)]
         texts = [x for x in texts if len(x[1]) >= max(bounds.shortest, bounds.q)]
         self.items, self.texts = [item for item, _ in texts], [text for _, text in texts]
+        # Short items by text, and by first word the numbers of words they have.
+        self.short: dict[str, list[int]] = defaultdict(list)
+        self.words: dict[str, set[int]] = defaultdict(set)
+        for number, (item, text) in enumerate(short, len(self.items)):
+            self.items.append(item)
+            self.short[written(text)].append(number)
+            words = _WORDS.findall(written(text))
+            self.words[words[0]].add(len(words))
         hashes = [grams(text, bounds.q) for text in self.texts]
         owner = np.repeat(np.arange(len(texts)), [len(h) for h in hashes])
         place = np.concatenate([np.arange(len(h)) for h in hashes] or [np.zeros(0, int)])
@@ -133,6 +155,25 @@ class Benchmark:
     def matches(self, text: str | None) -> list[tuple[int, int, int, int]]:
         """Item, start and end in the normalised text, and edits of its best stretch."""
         signs = normalised(text, self.counts)
+        return self._near(signs) + self._whole(signs)
+
+    def _whole(self, signs: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """The first place of each short item."""
+        best: dict[int, tuple[int, int, int, int]] = {}
+        if not self.short:
+            return []
+        text = written(signs)
+        spans = [word.span() for word in _WORDS.finditer(text)]
+        for i, (start, end) in enumerate(spans):
+            for count in self.words.get(text[start:end], ()):
+                if i + count <= len(spans):
+                    end = spans[i + count - 1][1]
+                    for item in self.short.get(text[start:end], ()):
+                        best.setdefault(item, (item, start, end, 0))
+        return list(best.values())
+
+    def _near(self, signs: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """The best stretches of the other items."""
         hashes = grams(signs, self.bounds.q)
         at = np.flatnonzero(self.table[self._short(hashes)])
         if not len(at) or not len(self.hashes):
@@ -224,10 +265,10 @@ def contaminations(
     """One row per document and benchmark item found in it.
 
     ``start`` and ``end`` are places in the normalised text, ``edits`` the distance of the
-    best stretch. Documents without text or id, and benchmark texts without id or with
-    fewer than ``shortest`` characters, match nothing. Rows of the documents that repeat
-    an id give one row per item. The documents are read once for every ``block_chars`` of
-    benchmark text and are not shuffled.
+    best stretch. Documents without text or id, and benchmark texts without id or without
+    letters and digits, match nothing; those with fewer than ``shortest`` characters match
+    as they are only. Rows of the documents that repeat an id give one row per item. The
+    documents are read once for every ``block_chars`` of benchmark text and are not shuffled.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where(
         "doc_id IS NOT NULL AND text IS NOT NULL"

@@ -147,6 +147,26 @@ def test_every_stretch_within_the_edits_is_found():
         assert found[0][3] <= 3
 
 
+def test_short_items_are_found_as_they_are():
+    items = ["too short", "short", "Yes!", "the river", "漢字", "", "...", "x 1"]
+    index = decontaminate.Benchmark(list(enumerate(items, 1)), decontaminate.Bounds())
+
+    def found(text):
+        signs = decontaminate.normalised(text, index.counts)
+        rows = index.matches(text)
+        for item, start, end, edits in rows:
+            wanted = decontaminate.normalised(items[index.items[item] - 1], index.counts)
+            assert (signs[start:end].tolist(), edits) == (wanted.tolist(), 0)
+        return sorted(index.items[row[0]] for row in rows)
+
+    assert found("It is -- TOO\nSHORT, yes. Too short") == [1, 2, 3]
+    assert found("toos hort, yesterday, the rivers") == []
+    assert found("x; 1 the") == [8]
+    assert found("仮漢字文") == [5]
+    assert found("breathe river the river") == [4]
+    assert found(None) == found("") == []
+
+
 def edits_of_a_stretch(pattern, text):
     """Fewest edits that turn the pattern into some stretch of the text, cell by cell."""
     row = [0] * (len(text) + 1)
