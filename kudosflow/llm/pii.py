@@ -25,7 +25,9 @@ _NEAR_SCORE = 25
 
 
 class Kind(NamedTuple):
-    """``hint`` must occur in a text for the pattern to be tried."""
+    """``hint`` must occur in a text for the pattern to be tried. With ``length``, the
+    pattern matches the first ``head`` characters of a span, its group what the span may
+    reach to, and ``length`` gives how much of the group is confirmed, or null."""
 
     name: str
     pattern: str
@@ -33,6 +35,8 @@ class Kind(NamedTuple):
     valid: Callable[[Column], Column]
     score: int
     context: str
+    head: int = 0
+    length: Callable[[Column], Column] | None = None
 
 
 def _digits(match: Column) -> Column:
@@ -65,6 +69,58 @@ def mod97(code: Column) -> Column:
         s == "", rest).otherwise(step(rest, s))) == 1
 
 
+_ACCOUNT = r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?"
+#: Letters and digits of the registered countries' account numbers.
+_ACCOUNT_SIGNS = {
+    country: int(signs)
+    for signs, countries in (
+        line.split(": ")
+        for line in (
+            "15: NO",
+            "16: BE",
+            "18: DK FI FK FO GL NL SD",
+            "19: MK SI",
+            "20: AT BA EE KZ LT LU MN XK",
+            "21: CH HR LI LV",
+            "22: BG BH CR DE GB GE IE ME RS VA",
+            "23: AE GI IL IQ OM SO TL",
+            "24: AD CZ ES MD PK RO SA SE SK TN VG",
+            "25: LY PT ST",
+            "26: IS TR",
+            "27: BI DJ FR GR IT MC MR SM",
+            "28: AL AZ BY CY DO GT HN HU LB NI PL SV",
+            "29: BR EG PS QA UA",
+            "30: JO KW MU YE",
+            "31: MT SC",
+            "32: LC",
+            "33: RU",
+        )
+    )
+    for country in countries.split()
+}
+
+
+def _account(match: Column) -> Column:
+    return mod97(F.replace(match, F.lit(" "), F.lit("")))
+
+
+def _account_length(reach: Column) -> Column:
+    """How much of ``reach`` is an account number: as much as the country's numbers have,
+    whatever follows, or else all of it, if the checksum holds."""
+    known = F.create_map(*[F.lit(x) for pair in _ACCOUNT_SIGNS.items() for x in pair])
+    signs = F.try_element_at(known, F.substring(reach, F.lit(1), F.lit(2)))
+
+    def registered(n: Column) -> Column:
+        ends = (n == F.length(reach)) | (F.substring(reach, n + 1, F.lit(1)) == " ")
+        part = F.substring(reach, F.lit(1), n)
+        whole = F.length(F.replace(part, F.lit(" "), F.lit(""))) == signs
+        return ends & whole & part.rlike(f"^{_ACCOUNT}$") & _account(part)
+
+    lengths = F.sequence(F.lit(1), F.length(reach))
+    every = F.when(_account(reach), F.length(reach))
+    return F.coalesce(F.get(F.filter(lengths, registered), F.lit(0)), every)
+
+
 def _digits_between(low: int, high: int) -> Callable[[Column], Column]:
     return lambda match: F.length(_digits(match)).between(low, high)
 
@@ -118,12 +174,13 @@ BASE = (
 ADDED = (
     Kind(
         "iban",
-        r"(?<![A-Za-z0-9_])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}"
-        r"(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9_])",
+        rf"(?<![A-Za-z0-9_])(?=({_ACCOUNT})(?![A-Za-z0-9_]))[A-Z]{{2}}[0-9]{{2}}",
         "",
-        lambda match: mod97(F.replace(match, F.lit(" "), F.lit(""))),
+        _account,
         70,
         "iban|bank|account|konto|compte|cuenta",
+        4,
+        _account_length,
     ),
     Kind(
         "national_id",
@@ -141,7 +198,7 @@ _SPAN = "struct<start:bigint,kind_no:int,end:bigint,kind:string,score:int>"
 def _spans(text: Column, kind: Kind, number: int) -> Column:
     """The confirmed spans of one kind, leftmost first."""
 
-    def located(parts: Column, matches: Column) -> Column:
+    def located(parts: Column, matches: Column, reaches: Column) -> Column:
         steps = F.transform(
             matches,
             lambda m, i: F.length(F.get(parts, i))
@@ -150,10 +207,20 @@ def _spans(text: Column, kind: Kind, number: int) -> Column:
 
         def span(starts: Column, i: Column) -> Column:
             match, start = F.get(matches, i), F.get(starts, i)
+            if kind.length:
+                return let(
+                    kind.length(F.get(reaches, i)),
+                    lambda n: judged(i, start, n, n.isNotNull(), n - kind.head + 1),
+                )
+            return judged(i, start, F.length(match), kind.valid(match), F.lit(1))
+
+        def judged(i: Column, start: Column, n: Column, valid: Column, rest: Column) -> Column:
+            after = F.get(parts, i + 1)
+            after = F.substring(after, rest, F.lit(CONTEXT_CHARS)) if kind.length else after
             near = F.concat_ws(
                 " ",
                 F.lower(F.right(F.get(parts, i), F.lit(CONTEXT_CHARS))),
-                F.lower(F.left(F.get(parts, i + 1), F.lit(CONTEXT_CHARS))),
+                F.lower(F.left(after, F.lit(CONTEXT_CHARS))),
             )
             score = F.lit(kind.score) + F.when(
                 near.rlike(f"(?<![a-z0-9_])(?:{kind.context})"), _NEAR_SCORE
@@ -161,26 +228,42 @@ def _spans(text: Column, kind: Kind, number: int) -> Column:
             return F.struct(
                 start.alias("start"),
                 F.lit(number).alias("kind_no"),
-                (start + F.length(match)).alias("end"),
+                (start + n).alias("end"),
                 F.lit(kind.name).alias("kind"),
-                F.when(kind.valid(match), score).otherwise(0).alias("score"),
+                F.when(valid, score).otherwise(0).alias("score"),
             )
 
         placed = let(
             running_sum(steps),
             lambda starts: F.transform(matches, lambda m, i: span(starts, i)),
         )
-        return F.filter(placed, lambda s: s["score"] >= LEAST_SCORE)
+        counted = F.filter(placed, lambda s: s["score"] >= LEAST_SCORE)
+        return _apart(counted) if kind.length else counted
 
     both = F.struct(
         F.split(text, kind.pattern).alias("parts"),
         F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)).alias("matches"),
+        F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(1 if kind.length else 0)).alias(
+            "reaches"
+        ),
     )
-    found = let(both, lambda b: located(b["parts"], b["matches"]))
+    found = let(both, lambda b: located(b["parts"], b["matches"], b["reaches"]))
     hinted = F.contains(text, F.lit(kind.hint)) & text.rlike("[0-9]|@")
     return F.when(hinted, found).otherwise(F.array()).cast(f"array<{_SPAN}>")
 
 
+def _apart(spans: Column) -> Column:
+    """Spans by start without those that begin inside an earlier one."""
+    kept = spans.cast(f"array<{_SPAN}>")
+    first = F.array().cast(f"array<{_SPAN}>")
+
+    def step(done: Column, s: Column) -> Column:
+        clear = s["start"] >= F.coalesce(F.get(done, F.size(done) - 1)["end"], F.lit(0))
+        return F.when(clear, F.concat(done, F.array(s))).otherwise(done)
+
+    return F.aggregate(kept, first, step)
+
+
 def find_pii(df: DataFrame, text: str = "text", kinds=KINDS, spans: str = "pii_spans") -> DataFrame:
     """Add the spans of personal data in each text, by start and then kind as listed.
 

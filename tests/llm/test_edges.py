@@ -317,6 +317,23 @@ def test_pii_kinds_and_redaction(spark):
     assert {row.text: row.out for row in done} == texts
 
 
+def test_account_numbers_beside_other_capitals_and_digits(spark):
+    spanish, belgian = "ES91 2100 0418 4502 0005 1332", "BE68 5390 0754 7034"
+    texts = {
+        f"{spanish} IS it": "<IBAN> IS it",
+        f"{spanish} 2024 and": "<IBAN> 2024 and",
+        f"{belgian} PAID NOW": "<IBAN> PAID NOW",
+        f"{belgian} {spanish} {belgian}": "<IBAN> <IBAN> <IBAN>",
+        f"AB12 CODE {spanish} OK": "AB12 CODE <IBAN> OK",
+        "BE68539007547034 NOW": "<IBAN> NOW",
+        f"{belgian}A NOW": f"{belgian}A NOW",
+        f"{belgian[:-1]}5 IS": f"{belgian[:-1]}5 IS",
+    }
+    df = pii.find_pii(spark.createDataFrame([(text,) for text in texts], "text string"))
+    done = df.select("text", pii.redact(F.col("text"), F.col("pii_spans")).alias("out")).collect()
+    assert {row.text: row.out for row in done} == texts
+
+
 def test_long_runs_cost_no_more_than_their_length(spark):
     """Patterns that tried every start of a run would take minutes here."""
     text = "a" * 300_000 + " " + "1" * 300_000 + " " + "1.2.3.4 " * 3_000 + "+" * 20_000
