@@ -92,6 +92,15 @@ def test_quality_rules(odd, nothing):
     assert quality_rules.quality_rules(nothing).collect() == []
 
 
+def test_texts_of_other_languages_pass_without_the_stop_word_rule(spark):
+    words = "talo joki puutarha valo kivi paperi ikkuna ihmiset vesi pohjoinen kirja tie".split()
+    df = spark.createDataFrame([(" ".join(RNG.choice(words, 80)),)], "text string")
+    row = quality_rules.quality_rules(df).first()
+    assert (row.base_failed, row.failed_rules, row.kept) == (False, ["stop_words"], False)
+    rest = [rule for rule in quality_rules.RULES if rule.name != "stop_words"]
+    assert quality_rules.quality_rules(df, rules=rest).first().kept
+
+
 def test_quality_counts_by_hand(spark):
     text = "a b c a b c\n- x…\n\n- x…\n#|é"
     row = quality_rules.text_counts(spark.createDataFrame([(text,)], "text string")).first()
