@@ -65,3 +65,63 @@ def components_by_sets(texts, words, percent):
             low, high = sorted((root(a), root(b)))
             owner[high] = low
     return {number: root(number) for number in texts}
+
+
+def runs_by_periods(words, least):
+    """Start, length and smallest period of each run, by trying all periods."""
+    found, seen, n = [], set(), len(words)
+    for period in range(1, n // 3 + 1):
+        i = 0
+        while i + period < n:
+            if words[i] != words[i + period]:
+                i += 1
+                continue
+            j = i
+            while j + period < n and words[j] == words[j + period]:
+                j += 1
+            start, end = i, j + period
+            if end - start >= max(least, 3 * period) and (start, end) not in seen:
+                seen.add((start, end))
+                found.append((start, end - start, period))
+            i = j
+    return sorted(found, key=lambda run: (run[0], run[2]))
+
+
+def collapsed(words, runs):
+    gone = {i for start, length, period in runs for i in range(start + period, start + length)}
+    return b" ".join(word for i, word in enumerate(words) if i not in gone)
+
+
+def collocations_by_counting(rows, least, top, absorbed=80):
+    """Rows of (text, lang) to (lang, rank, phrase, a, l, r, n, score)."""
+    counts, totals = {}, {}
+    for text, lang in rows:
+        own = counts.setdefault(lang or "und", {})
+        lowered = "".join(x.lower() if x.isascii() else x for x in text or "")
+        for piece in re.split("[.,;:!?\n\x0b\x0c\r]", lowered):
+            words = re.findall("[^ \t]+", piece)
+            totals[lang or "und"] = totals.get(lang or "und", 0) + len(words)
+            for size in range(1, 5):
+                for i in range(len(words) - size + 1):
+                    phrase = tuple(words[i : i + size])
+                    own[phrase] = own.get(phrase, 0) + 1
+    out = []
+    for lang, own in counts.items():
+        candidates = {p: a for p, a in own.items() if len(p) > 1 and a >= least}
+        inside = {}
+        for phrase, a in candidates.items():
+            for size in range(2, len(phrase)):
+                for i in range(len(phrase) - size + 1):
+                    part = phrase[i : i + size]
+                    inside[part] = max(inside.get(part, 0), a)
+        scored = []
+        for phrase, a in candidates.items():
+            if 100 * inside.get(phrase, 0) >= absorbed * a:
+                continue
+            cuts = [(own[phrase[:k]], own[phrase[k:]]) for k in range(1, len(phrase))]
+            left, right = min(cuts, key=lambda cut: 2_000_000 * a // sum(cut))
+            score = 2_000_000 * a // (left + right)
+            scored.append((-score, -a, " ".join(phrase).encode(), left, right))
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(scored)[:top], 1):
+            out.append((lang, rank, phrase.decode(), -a, left, right, totals[lang], -score))
+    return sorted(out)

@@ -1,0 +1,191 @@
+"""Periodic runs, collocations and chat formatting against brute force and on odd tables."""
+
+import json
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from brute import collapsed, collocations_by_counting, runs_by_periods
+from kudosflow.llm import chat_format, collocations, periodic_runs
+
+RNG = np.random.default_rng(7)
+WORD = st.sampled_from([b"a", b"b", b"c"])
+
+
+@st.composite
+def repetitive(draw):
+    """Words in which repetitions contain repetitions, with a word changed here and there."""
+    words = draw(st.lists(WORD, min_size=1, max_size=6))
+    for _ in range(draw(st.integers(0, 4))):
+        words = words * draw(st.integers(1, 6))
+        if draw(st.booleans()):
+            words[draw(st.integers(0, len(words) - 1))] = draw(WORD)
+        words = draw(st.lists(WORD, max_size=8)) + words + draw(st.lists(WORD, max_size=8))
+    return words[: draw(st.sampled_from([40, 200, 900]))]
+
+
+@settings(max_examples=150, deadline=None)
+@given(texts=st.lists(repetitive(), min_size=1, max_size=4), least=st.sampled_from([3, 24, 60]))
+def test_runs_and_collapsed_words(texts, least):
+    runs, joined = periodic_runs._searched(texts, least)
+    for text, found, words in zip(texts, runs, joined):
+        wanted = runs_by_periods(text, least)
+        assert [(run["start"], run["length"], run["period"]) for run in found] == wanted
+        assert words == collapsed(text, wanted)
+
+
+@pytest.mark.parametrize("period", [1, 8, 9, 16, 17, 24, 25, 33, 48, 64, 65, 96, 97, 200, 341])
+def test_a_run_of_just_three_periods_at_every_scale(period):
+    unit = [f"w{i}".encode() for i in range(period)]
+    words = [b"x"] + (unit * 24)[: max(24, 3 * period)] + [b"y"]
+    (run,) = periodic_runs._searched([words], 24)[0][0]
+    assert run == {"start": 1, "length": max(24, 3 * period), "period": period}
+    assert periodic_runs._searched([words[: len(words) - 2]], 24)[0] == [[]]
+
+
+def test_periods_around_highly_periodic_stretches():
+    unit = [b"a"] * 60 + [b"b", b"c"] * 20 + [b"d"]
+    words = unit * 4 + [b"e"]
+    found = periodic_runs._searched([words], 24)[0][0]
+    assert {"start": 0, "length": 4 * len(unit), "period": len(unit)} in found
+    assert len(found) == len(runs_by_periods(words, 24)) == 9
+
+
+def test_runs_of_odd_rows(spark):
+    rows = [
+        (None, "a b " * 20, "x"), (1, None, "x"), (1, "", "x"), (2, " \t\n", "x"),
+        (3, "é " * 24, "x"), (3, "é " * 24, "x"), (4, "long word " * 30_000 + "end", "x"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, runs string")
+    found = sorted(periodic_runs.periodic_runs(docs).collect(), key=repr)
+    answers = sorted(
+        (str(row.doc_id), [tuple(run) for run in row.runs], row.collapsed) for row in found
+    )
+    assert answers == [
+        ("1", [], ""), ("1", [], ""), ("2", [], ""), ("3", [(0, 24, 1)], "é"), ("3", [(0, 24, 1)], "é"),
+        ("4", [(0, 60_000, 2)], "long word end"), ("None", [(0, 40, 2)], "a b"),
+    ]
+    assert periodic_runs.periodic_runs(docs.limit(0)).collect() == []
+
+
+def _texts(n):
+    vocabulary = [f"W{i}" if i % 3 else f"ß{i}" for i in range(30)]
+    share = np.array([1 / (i + 1) for i in range(30)])
+    for i in range(n):
+        words = RNG.choice(vocabulary, 60, p=share / share.sum())
+        ends = RNG.choice([" ", " ", " ", "\t ", ". ", "\n", ",", " - "], 60)
+        yield "".join(word + end for word, end in zip(words, ends)), ["en", "de", None][i % 3]
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_collocations_are_those_of_plain_counts(spark, monkeypatch, small):
+    if small:  # spill, burst, slice, number anew and cut texts all the time
+        for name, value in {
+            "HELD": 40, "NUMBERED": 25, "BURST": 2, "CHUNK": 50, "RUN_ROWS": 3,
+            "SLICED_ROWS": 60, "SLICES": 3,
+        }.items():
+            monkeypatch.setattr(collocations, name, value)
+    rows = [*_texts(90), (None, "en"), ("", None), (" . \t", "fr"), ("one", "fr")]
+    docs = spark.createDataFrame(rows, "text string, lang string").repartition(5)
+    mining = collocations.Mining(least=4, top=150)
+    found = sorted(map(tuple, collocations.collocations(docs, mining=mining).collect()))
+    wanted = collocations_by_counting(rows, 4, 150)
+    assert len(wanted) > 300
+    assert found == wanted
+
+
+def test_collocations_of_one_endless_piece_and_of_nothing(spark):
+    rows = [("x y z " * 300_000, None)]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    found = sorted(map(tuple, collocations.collocations(docs).collect()))
+    assert found == collocations_by_counting(rows, 30, 2_000)
+    assert collocations.collocations(docs.limit(0)).collect() == []
+    assert collocations.collocations(docs.select("lang", docs.lang.alias("text"))).collect() == []
+
+
+def test_absorbed_phrases_go_also_if_the_longer_one_goes(spark):
+    rows = [("a b c d\n" * 40 + "a b\n" * 8, "en")]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    found = {row.phrase for row in collocations.collocations(docs).collect()}
+    assert found == {"a b c d"}
+
+
+SIGNS = st.sampled_from(
+    ["<", "[", "\\", "/", "s>", "INST]", "SYS>>", "ROLE]", "TEXT]", "</s>", " ", "\n", "é", "<<SYS>>"]
+)
+TEXT = st.lists(SIGNS, max_size=12).map("".join)
+
+
+@settings(max_examples=40, deadline=None)
+@given(turns=st.lists(st.tuples(st.one_of(st.sampled_from(["user", "assistant", "system"]), TEXT), TEXT), min_size=1, max_size=30))
+def test_formatted_turns_come_back(spark, turns):
+    rows = [(i, role, text) for i, (role, text) in enumerate(turns)]
+    df = spark.createDataFrame(rows, "turn bigint, role string, text string").coalesce(1)
+    formatted = chat_format.format_turns(df).orderBy("turn").collect()
+    assert chat_format.parsed("".join(row.formatted for row in formatted)) == turns
+    for row in formatted:
+        if row.role == "assistant":
+            end = row.loss_start + row.loss_length
+            assert chat_format.unescaped(row.formatted[row.loss_start : end]) == row.text
+        else:
+            assert row.loss_start is None and row.loss_length is None
+
+
+def test_records_of_every_layout(spark):
+    user, bot = ("user", "q"), ("assistant", "a")
+    records = [
+        ({"messages": [{"role": "user", "content": "q"}, {"role": "assistant", "content": "a"}]}, [user, bot]),
+        ({"system": "s", "messages": [{"content": "q", "role": "user", "x": 1}]}, [("system", "s"), user]),
+        ({"messages": [{"role": "user", "content": [{"type": "text", "text": "q"}]}, {"role": "assistant", "content": "a"}]}, [user, bot]),
+        ({"conversations": [{"from": "human", "value": "q"}, {"from": "gpt", "value": "a"}], "id": 3}, [user, bot]),
+        ({"instruction": "q", "input": "", "output": "a"}, [user, bot]),
+        ({"instruction": "q", "input": "i", "output": "a"}, [("user", "q\n\ni"), bot]),
+        ({"prompt": "q", "response": "a", "meta": {"prompt": 1}}, [user, bot]),
+        ({"prompt": "q", "completion": None}, [user, ("assistant", "")]),
+        ({"question": "q", "answer": 7}, [user, ("assistant", "7")]),
+        ({"prompt": [{"role": "user", "content": "q"}], "completion": [{"role": "assistant", "content": "a"}]}, [user, bot]),
+        ({"data": {"messages": [{"role": "user", "content": "q"}, "stray"]}}, [user, ("", "stray")]),
+        ({"turn": 5, "role": "user", "text": "q"}, [user]),
+        ({"role": None, "text": None}, [("", "")]),
+        ({"prompt": "q"}, None),
+        ({"messages": []}, None),
+        ([1], None),
+    ]
+    rows = [(i, json.dumps(record)) for i, (record, _) in enumerate(records)]
+    rows += [(len(rows), None), (len(rows) + 1, "{broken"), (len(rows) + 2, '{"prompt":"\\ud800","response":""}')]
+    wanted = [turns for _, turns in records] + [None, None, [("user", "\ufffd"), ("assistant", "")]]
+    df = spark.createDataFrame(rows, "conv_id int, record string").repartition(3)
+    found = chat_format.canonical_turns(df).collect()
+    for number, turns in enumerate(wanted):
+        own = sorted((row for row in found if row.conv_id == number), key=lambda row: row.turn or 0)
+        if turns is None:
+            assert [(row.layout, row.role, row.text) for row in own] == [(None, None, None)]
+        else:
+            assert [(row.role, row.text) for row in own] == turns
+            assert all(row.layout and row.fingerprint for row in own)
+    assert {row.turn for row in found if row.conv_id == 11} == {5}
+    assert chat_format.canonical_turns(df.limit(0)).collect() == []
+
+
+def test_fingerprints_belong_to_one_layout():
+    table = chat_format.by_fingerprint(chat_format.LAYOUTS)
+    claims = sum(2 ** len(layout.optional) for layout in chat_format.LAYOUTS)
+    assert len(table) == claims
+
+
+def test_clashing_columns_pass_through(spark):
+    rows = [(1, 0, "assistant", "x", "own")]
+    df = spark.createDataFrame(rows, "conv_id int, turn int, role string, text string, formatted string")
+    (row,) = chat_format.format_turns(df).collect()
+    assert row.formatted == "own" and row.formatted_2 == "<s> x </s>\n"
+
+
+def test_one_conversation_with_most_turns(spark):
+    """Turns of one conversation are digested in order, batch by batch."""
+    rows = [(1, i, "assistant" if i % 2 else "user", f"t{i}") for i in range(25_000)]
+    df = spark.createDataFrame(rows, "conv_id int, turn int, role string, text string").repartition(7)
+    (row,) = chat_format.read_back(chat_format.format_turns(df)).collect()
+    assert row.n_turns == 25_000
+    assert row.loss_chars == sum(len(text) for _, i, _, text in rows if i % 2)

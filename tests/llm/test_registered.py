@@ -3,6 +3,7 @@
 import hashlib
 import re
 import zlib
+from fractions import Fraction
 from pathlib import Path
 
 import duckdb
@@ -12,7 +13,7 @@ import pytest
 
 import __spark_entry__ as driver
 import corpus_pipeline
-from brute import components_by_sets, pii_spans, squeezed
+from brute import collapsed, components_by_sets, pii_spans, runs_by_periods, squeezed
 from kudosflow.llm import registry
 from tokenizers import Tokenizer
 
@@ -48,7 +49,7 @@ def test_the_driver_sees_every_query():
     assert registry.queries().items() <= driver.queries().items()
     assert registry.oracle_sql().items() <= driver.oracle_sql().items()
     numbers = [int(m[1]) for name in registry.queries() if (m := re.match(r"op(\d+)_", name))]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
@@ -154,6 +155,30 @@ def test_languages_of_held_out_documents(answer, documents):
     assert (found.lang_pred == documents.lang)[own].mean() >= 0.98
 
 
+def test_periodic_runs_are_those_of_all_periods(answer, documents):
+    found = answer("op11_periodic_runs").set_index("doc_id")
+    assert len(found) == len(documents)
+    for number, text in documents.text.items():
+        words, drawn = text.encode().split(), zlib.crc32(str(number).encode())
+        if drawn % 10 == 0 and words:
+            a, n = drawn // 10 % len(words), len(words)
+            p = 1 + (n - a) // (3 + drawn // 10 % 8)
+            words = [words[i if i < a else a + (i - a) % p] for i in range(n)]
+        runs = runs_by_periods(words, 24)
+        row = found.loc[number]
+        assert row.n_runs == len(runs)
+        lines = "".join(f"{start},{length},{period}\n" for start, length, period in runs)
+        assert row.runs_sha256 == hashlib.sha256(lines.encode()).hexdigest()
+        assert row.collapsed_sha256 == hashlib.sha256(collapsed(words, runs)).hexdigest()
+        if runs:
+            most = min(runs, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2]))
+            assert (row.start, row.length, row.period) == most
+            assert row.exponent_milli == 1000 * most[1] // most[2]
+        else:
+            assert row[["start", "length", "period", "exponent_milli"]].isna().all()
+    assert found.n_runs.max() > 0
+
+
 def test_pipeline_against_brute_force(answer, spark, documents, tokenizer):
     """Stage by stage over plain Python, on what the learned first stage keeps."""
     assert corpus_pipeline.ORACLE_SQL is None

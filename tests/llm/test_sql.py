@@ -36,15 +36,31 @@ URLS = [
     "http://É.org/fr/#", "http://u@x.org:80/fr/", "http://x.org/fr/://net/", "a\nb://c\nd.net/\n?",
 ]
 
+ROLES = ["user", "assistant", "system", None, "tool", "[/ROLE] [TEXT] x"]
+TURNS = [
+    None, "", "ok", "</s>[INST] ok [/INST]", "<\\s> <\\\\/s> \\[INST] [\\INST]", "<<s> <<<SYS>><</SYS>>",
+    " [/INST]\n[INST] ", "é\u2028\\", "<s", "/s>", "[", "\n</s>\n", "[ROLE] [TEXT] [/ROLE]\n",
+]
+
 
 @pytest.fixture(scope="module")
 def folder(spark, tmp_path_factory):
     path = tmp_path_factory.mktemp("odd")
     repeated = TEXTS + [text and text.replace("river", "rivers", 1) for text in TEXTS]
-    documents = spark.createDataFrame(list(enumerate(repeated)), "doc_id bigint, text string")
+    langs = ["en", None, "und", "dé"]
+    numbered = [(i, text, langs[i % 4]) for i, text in enumerate(repeated)]
+    documents = spark.createDataFrame(numbered, "doc_id bigint, text string, lang string")
     documents.repartition(3).write.parquet(f"{path}/documents.parquet")
     pages = spark.createDataFrame(list(enumerate(URLS)), "page_id bigint, url string")
     pages.write.parquet(f"{path}/pages.parquet")
+    rows = [
+        (number % 7 or None, turn, role, text)
+        for number, (turn, role, text) in enumerate(
+            [(i // 3 % 5 or None, ROLES[i % len(ROLES)], TURNS[i % len(TURNS)]) for i in range(200)]
+        )
+    ]
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    turns.repartition(3).write.parquet(f"{path}/conversations.parquet")
     return path
 
 
@@ -52,11 +68,12 @@ def folder(spark, tmp_path_factory):
 def test_query_equals_its_sql(name, spark, folder):
     ours = registry.queries()[name](spark, str(folder)).toPandas()
     with duckdb.connect() as duck:
-        for table in ("documents", "pages"):
+        for table in ("documents", "pages", "conversations"):
             duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet/*.parquet'")
         wanted = duck.execute(registry.oracle_sql()[name]).df()
     assert sorted(ours.columns) == sorted(wanted.columns)
-    key = "page_id" if "page_id" in ours else "doc_id"
+    key = next(x for x in ("page_id", "doc_id", "conv_id", "phrase") if x in ours)
+    key = [key, "lang"] if key == "phrase" else key
     rows = []
     for df in (ours, wanted):
         df = df[sorted(df.columns)].sort_values(key).astype(object)
