@@ -10,19 +10,22 @@ A task counts in a trie over numbers of words, a trie for each language. Below a
 first word hangs a hash container of the rest; one that grows too large bursts into a node
 with a container for each next word. When the tries hold too many counts, whole subtrees are
 spilled, the largest first, as sorted runs: the first word, and what follows it with its
-counts. Runs meet in the partition of their language and first word and are merged there.
-Runs of frequent first words are dealt to ``SLICES`` partitions by a hash of the rest, so
-that none holds much of all; all tasks learn these words from the first pass, as a bitmap
-too. Words themselves are counted in containers by their hash.
+counts. Runs meet in the partition of their language and first word and are merged there;
+there are so many partitions that each merges about ``PART_ROWS`` occurrences. Subtrees of
+frequent first words are dealt to ``SLICES`` partitions by a hash of the rest, so that none
+holds much of all; all tasks learn these words from the first pass, as a bitmap too. Words
+themselves are counted in one container, whose runs are dealt by a hash.
 """
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import re
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 from itertools import islice
 from typing import NamedTuple
@@ -46,10 +49,14 @@ HELD = 600_000
 NUMBERED = 600_000
 #: A container with more counts bursts.
 BURST = 4_096
-#: Containers of the first pass.
-WORD_CONTAINERS = 4_096
-#: Bytes of text that are divided into words at once, and entries of one row of a run.
+#: Partitions of the first pass; occurrences for each partition of the others, of which
+#: there are at least 64.
+WORD_PARTS = 2_048
+PART_ROWS = 500_000
+#: Bytes of text that are divided into words at once, phrases that are sorted at once before
+#: they are counted, and counts in one row of a run.
 CHUNK = 1 << 20
+SORTED = 1 << 18
 RUN_ROWS = 1 << 14
 
 # A phrase's words after the first one are packed into one number, from the highest bits on.
@@ -67,7 +74,7 @@ _SIGNS = bytes.maketrans(
 
 _EDGE = re.compile(rb"[ \t.]")
 
-_RUNS = "lang string, head binary, slice int, rest binary, counts array<bigint>"
+_RUNS = "lang string, part int, subtrees binary, counts array<bigint>"
 _COUNTS = "lang string, phrase string, words int, f bigint, place bigint"
 
 
@@ -132,8 +139,8 @@ class _Node(dict):
 class Trie:
     """Counts of the phrases of one language: pairs, or phrases of three and four words."""
 
-    def __init__(self, lang: str, longer: bool, words: Filter, pairs, sliced: Filter) -> None:
-        self.lang, self.longer = lang, longer
+    def __init__(self, lang: str, longer: bool, parts: int, words, pairs, sliced) -> None:
+        self.lang, self.longer, self.parts = lang, longer, parts
         self.is_frequent, self.is_pair, self.is_sliced = words, pairs, sliced
         # A pair's rest is one word; the highest of three words tells the next node.
         self.shift = 2 * _BITS if longer else 0
@@ -142,6 +149,7 @@ class Trie:
     def clear(self) -> None:
         self.root: dict[int, _Container | _Node] = {}
         self.held = 0
+        self.due: list[tuple[np.ndarray, ...]] = []
         self.words: list[bytes] = [_BREAK]
         self.numbers: dict[bytes, int] = defaultdict(None, {_BREAK: 0})
         self.numbers.default_factory = self.numbers.__len__
@@ -168,22 +176,36 @@ class Trie:
         at = np.flatnonzero(solid[:-1] & solid[1:])
         if not self.longer:
             at = at[at >= known - 1]
-            pairs, counts = np.unique(ids[at] << _BITS | ids[at + 1], return_counts=True)
+            self.due.append((ids[at] << _BITS | ids[at + 1],))
+        else:
+            own = _joined(self.start, self.hashes[ids[at]])
+            at = at[self.is_pair(_joined(own, self.hashes[ids[at + 1]]))]
+            pair = np.zeros(len(ids) + 2, bool)
+            pair[at] = True
+            at = at[pair[at + 1]]
+            four = at[pair[at + 2] & (at >= known - 3)]
+            at = at[at >= known - 2]
+            third = ids[at + 2] << _BITS, ids[four + 2] << _BITS | ids[four + 3]
+            at = np.concatenate([at, four])
+            self.due.append((ids[at] << _BITS | ids[at + 1], np.concatenate(third)))
+        if sum(len(part[0]) for part in self.due) >= SORTED:
+            self.count_due()
+
+    def count_due(self) -> None:
+        """Count what has been found since the last time, equal phrases at once."""
+        if not self.due:
+            return
+        pairs, *third = map(np.concatenate, zip(*self.due))
+        self.due = []
+        if not self.longer:
+            pairs, counts = np.unique(pairs, return_counts=True)
             self._insert(pairs >> _BITS, pairs & _MASK, counts)
             return
-        own = _joined(self.start, self.hashes[ids[at]])
-        at = at[self.is_pair(_joined(own, self.hashes[ids[at + 1]]))]
-        pair = np.zeros(len(ids) + 2, bool)
-        pair[at] = True
-        at = at[pair[at + 1]]
-        four = at[pair[at + 2] & (at >= known - 3)]
-        at = at[at >= known - 2]
-        third = np.concatenate([ids[at + 2] << _BITS, ids[four + 2] << _BITS | ids[four + 3]])
-        at = np.concatenate([at, four])
-        first, inverse = np.unique(ids[at] << _BITS | ids[at + 1], return_inverse=True)
-        phrases, counts = np.unique(inverse << (2 * _BITS) | third, return_counts=True)
-        first, third = first[phrases >> (2 * _BITS)], phrases & ((1 << 2 * _BITS) - 1)
-        self._insert(first >> _BITS, (first & _MASK) << (2 * _BITS) | third, counts)
+        # A phrase of four words is wider than 64 bits: its first two are numbered.
+        pairs, number = np.unique(pairs, return_inverse=True)
+        phrases, counts = np.unique(number << (2 * _BITS) | third[0], return_counts=True)
+        pairs, last = pairs[phrases >> (2 * _BITS)], phrases & ((1 << 2 * _BITS) - 1)
+        self._insert(pairs >> _BITS, (pairs & _MASK) << (2 * _BITS) | last, counts)
 
     def _insert(self, first: np.ndarray, rest: np.ndarray, counts: np.ndarray) -> None:
         root, shift, held = self.root, self.shift, 0
@@ -207,36 +229,71 @@ class Trie:
 
     def spilled(self, most: int) -> Iterator[tuple]:
         """Runs of the largest subtrees, until no more than ``most`` counts are held."""
+        self.count_due()
         sizes = {
             head: below.size() if type(below) is _Node else len(below)
             for head, below in self.root.items()
         }
+        gone = []
         for head in sorted(sizes, key=sizes.__getitem__, reverse=True):
             if self.held <= most:
-                return
-            below = self.root.pop(head)
+                break
+            gone.append(head)
             self.held -= sizes[head]
-            parts = below.values() if type(below) is _Node else (below,)
-            yield from self._runs(head, (item for part in parts for item in part.items()))
+        runs = _Runs(self.lang)
+        for head in sorted(gone, key=self.words.__getitem__):
+            below = self.root.pop(head)
+            if type(below) is _Node:
+                below = {tail: n for part in below.values() for tail, n in part.items()}
+            rests = list(map(self._rest, below) if self.longer else map(self.words.__getitem__, below))
+            counts = dict(zip(rests, below.values()))
+            rests.sort()
+            word = self.words[head]
+            first = zlib.crc32(word)
+            if not self.sliced[head]:
+                yield from runs.add(first % self.parts, word, rests, counts)
+                continue
+            slices = defaultdict(list)
+            for rest in rests:
+                slices[(first + zlib.crc32(rest) % SLICES) % self.parts].append(rest)
+            for part, some in slices.items():
+                yield from runs.add(part, word, some, counts)
+        yield from runs.rest()
 
     def _rest(self, tail: int) -> bytes:
         words = self.words
-        if not self.longer:
-            return words[tail]
         second, third, fourth = tail >> (2 * _BITS), tail >> _BITS & _MASK, tail & _MASK
         if fourth:
             return b" ".join((words[second], words[third], words[fourth]))
         return words[second] + b" " + words[third]
 
-    def _runs(self, head: int, items: Iterator[tuple[int, int]]) -> Iterator[tuple]:
-        run = sorted((self._rest(tail), count) for tail, count in items)
-        slices = {0: run}
-        if self.sliced[head]:
-            slices = defaultdict(list)
-            for entry in run:
-                slices[zlib.crc32(entry[0]) % SLICES].append(entry)
-        for number, part in slices.items():
-            yield from _rows(self.lang, self.words[head], number, part)
+
+class _Runs:
+    """Sorted runs of one spill, each of the subtrees that one partition merges.
+
+    A subtree is its first word and what follows it, with tabs between, and a line ends it.
+    """
+
+    def __init__(self, lang: str) -> None:
+        self.lang = lang
+        self.held = defaultdict(lambda: ([], []))
+
+    def add(self, part: int, head: bytes, rests: list[bytes], counts: dict) -> Iterator[tuple]:
+        for start in range(0, len(rests), RUN_ROWS):
+            some = rests[start : start + RUN_ROWS]
+            subtrees, numbers = self.held[part]
+            subtrees.append(b"\t".join([head, *some]))
+            numbers.extend(map(counts.__getitem__, some))
+            if len(numbers) >= RUN_ROWS:
+                yield self._row(part)
+
+    def rest(self) -> Iterator[tuple]:
+        for part in sorted(self.held):
+            yield self._row(part)
+
+    def _row(self, part: int) -> tuple:
+        subtrees, numbers = self.held.pop(part)
+        return self.lang, part, b"\n".join(subtrees), numbers
 
 
 class Words:
@@ -255,27 +312,23 @@ class Words:
         return len(self.counts)
 
     def add(self, tokens: list[bytes], known: int) -> None:
-        self.counts.update(tokens[known:])
+        self.counts.update(tokens[known:] if known else tokens)
         self.counts[b""] += len(tokens) - known - self.counts.pop(_BREAK, 0)
 
     def spilled(self, most: int) -> Iterator[tuple]:
-        """Runs of all containers, if there are more than ``most`` counts."""
+        """Runs of all words, if there are more than ``most`` of them."""
         if self.held <= most:
             return
-        containers = defaultdict(list)
-        for word, count in self.counts.items():
-            containers[zlib.crc32(word) % WORD_CONTAINERS].append((word, count))
-        for number, run in containers.items():
-            yield from _rows(self.lang, b"", number, sorted(run))
+        parts = defaultdict(list)
+        for word in sorted(self.counts):
+            parts[zlib.crc32(word) % WORD_PARTS].append(word)
+        runs = _Runs(self.lang)
+        for part, words in parts.items():
+            yield from runs.add(part, b"", words, self.counts)
+        yield from runs.rest()
         self.clear()
 
 
-def _rows(lang: str, head: bytes, number: int, run: list[tuple[bytes, int]]) -> Iterator[tuple]:
-    for start in range(0, len(run), RUN_ROWS):
-        rests, counts = zip(*run[start : start + RUN_ROWS])
-        yield lang, head, number, b"\n".join(rests), counts
-
-
 def _tokens(texts: list[bytes | None]) -> Iterator[tuple[list[bytes], int]]:
     """Words, with breaks between pieces, of chunks of the texts. If a chunk ends within a
     piece, its last words come again before the next one's; their number comes along."""
@@ -293,18 +346,17 @@ def _batches(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
     held, size = [], 0
 
     def batch() -> pa.RecordBatch:
-        lang, head, number, rest, counts = zip(*held)
+        lang, part, subtrees, counts = zip(*held)
         return record_batch(
             lang=(pa.string(), lang),
-            head=(pa.binary(), head),
-            slice=(pa.int32(), number),
-            rest=(pa.binary(), rest),
+            part=(pa.int32(), part),
+            subtrees=(pa.binary(), subtrees),
             counts=(pa.list_(pa.int64()), counts),
         )
 
     for row in rows:
         held.append(row)
-        size += len(row[4])
+        size += len(row[3])
         if size >= 1 << 17:
             yield batch()
             held, size = [], 0
@@ -319,7 +371,7 @@ def _counted(docs: DataFrame, make, least: int) -> DataFrame:
         tries = {}
 
         def runs() -> Iterator[tuple]:
-            for part in lists(batches, 256):
+            for part in lists(batches, 1_024):
                 texts = defaultdict(list)
                 for lang, value in zip(part["lang"], part["text"]):
                     texts[lang].append(value)
@@ -337,52 +389,64 @@ def _counted(docs: DataFrame, make, least: int) -> DataFrame:
             for trie in tries.values():
                 yield from trie.spilled(0)
 
-        yield from _batches(runs())
+        with _uncollected():
+            yield from _batches(runs())
 
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def frequent(lang: str, totals: dict[bytes, dict[bytes, int]]) -> Iterator[tuple]:
+        for head, below in totals.items():
+            start = [head] if head else []
+            for rest, total in below.items():
+                if total >= least or not rest:
+                    phrase = [*start, *rest.split(b" ")] if rest else []
+                    place = phrase_hash(lang, phrase) >> (64 - FILTER_BITS)
+                    yield lang, b" ".join(phrase).decode(), len(phrase), total, place
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         key, totals = None, {}
+        for rows in lists(batches, 64):
+            columns = rows["lang"], rows["part"], rows["subtrees"], rows["counts"]
+            for lang, part, subtrees, counts in zip(*columns):
+                if (lang, part) != key:
+                    yield from frequent(key[0], totals) if key else ()
+                    key, totals = (lang, part), {}
+                following = iter(counts)
+                for subtree in subtrees.split(b"\n"):
+                    head, *rests = subtree.split(b"\t")
+                    below = totals.setdefault(head, {})
+                    for rest, count in zip(rests, following):
+                        below[rest] = below.get(rest, 0) + count
+        yield from frequent(key[0], totals) if key else ()
 
-        def frequent() -> list[tuple]:
-            lang, head, _ = key
-            out = []
-            for rest, total in totals.items():
-                phrase = [*([head] if head else []), *rest.split(b" ")] if rest else []
-                if total >= least or not phrase:
-                    place = phrase_hash(lang, phrase) >> (64 - FILTER_BITS)
-                    out.append((lang, b" ".join(phrase).decode(), len(phrase), total, place))
-            return out
-
-        def batch(rows: list[tuple]) -> pa.RecordBatch:
-            lang, phrase, words, f, place = zip(*rows)
-            return record_batch(
-                lang=(pa.string(), lang),
-                phrase=(pa.string(), phrase),
-                words=(pa.int32(), words),
-                f=(pa.int64(), f),
-                place=(pa.int64(), place),
-            )
-
-        out = []
-        for part in lists(batches, 64):
-            rows = zip(part["lang"], part["head"], part["slice"], part["rest"], part["counts"])
-            for *own, rest, counts in rows:
-                if own != key:
-                    out += frequent() if totals else []
-                    key, totals = own, {}
-                    if len(out) >= 10_000:
-                        yield batch(out)
-                        out = []
-                for word, n in zip(rest.split(b"\n"), counts):
-                    totals[word] = totals.get(word, 0) + n
-        out += frequent() if totals else []
-        if out:
-            yield batch(out)
-
-    runs = docs.mapInArrow(count, _RUNS)
-    dealt = runs.repartition("lang", "head", "slice").sortWithinPartitions("lang", "head", "slice")
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with _uncollected():
+            rows = merged(batches)
+            while out := list(islice(rows, 10_000)):
+                lang, phrase, words, f, place = zip(*out)
+                yield record_batch(
+                    lang=(pa.string(), lang),
+                    phrase=(pa.string(), phrase),
+                    words=(pa.int32(), words),
+                    f=(pa.int64(), f),
+                    place=(pa.int64(), place),
+                )
+
+    dealt = docs.mapInArrow(count, _RUNS).repartition("lang", "part")
+    dealt = dealt.sortWithinPartitions("lang", "part")
     return stored(dealt.mapInArrow(merge, _COUNTS), "phrases")
 
 
+@contextmanager
+def _uncollected() -> Iterator[None]:
+    """Millions of counts are no garbage: they are not searched for cycles."""
+    collecting = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if collecting:
+            gc.enable()
+
+
 def _bitmap(counts: DataFrame) -> bytes:
     """The filter of all phrases of a table of counts: a row for each 4 KB of it comes to the
     driver, however many phrases there are."""
@@ -417,16 +481,17 @@ def count_phrases(
     every = totals.agg(F.sum("n")).first()[0] or 0
     sliced = sent(_bitmap(one.where(F.col("f") >= min(SLICED_ROWS, every * SLICED_SHARE))))
     words = sent(_bitmap(one))
+    parts = max(64, every // PART_ROWS)
 
     def pair_trie(lang: str) -> Trie:
-        return Trie(lang, False, Filter(words.value), None, Filter(sliced.value))
+        return Trie(lang, False, parts, Filter(words.value), None, Filter(sliced.value))
 
     two = _counted(rows, pair_trie, least)
     pairs = sent(_bitmap(two))
 
     def longer_trie(lang: str) -> Trie:
         known = Filter(words.value), Filter(pairs.value), Filter(sliced.value)
-        return Trie(lang, True, *known)
+        return Trie(lang, True, parts, *known)
 
     more = _counted(rows, longer_trie, least)
     return reduce(DataFrame.unionByName, (one, two, more)).drop("place"), totals

@@ -84,7 +84,7 @@ def test_collocations_are_those_of_plain_counts(spark, monkeypatch, small):
     if small:  # spill, burst, slice, number anew and cut texts all the time
         for name, value in {
             "HELD": 40, "NUMBERED": 25, "BURST": 2, "CHUNK": 50, "RUN_ROWS": 3,
-            "SLICED_ROWS": 60, "SLICES": 3,
+            "SLICED_ROWS": 60, "SLICES": 3, "SORTED": 30, "PART_ROWS": 100,
         }.items():
             monkeypatch.setattr(collocations, name, value)
     rows = [*_texts(90), (None, "en"), ("", None), (" . \t", "fr"), ("one", "fr")]
@@ -97,7 +97,7 @@ def test_collocations_are_those_of_plain_counts(spark, monkeypatch, small):
 
 
 def test_collocations_of_one_endless_piece_and_of_nothing(spark):
-    rows = [("x y z " * 300_000, None)]
+    rows = [("x y z " * 80_000, None)]
     docs = spark.createDataFrame(rows, "text string, lang string")
     found = sorted(map(tuple, collocations.collocations(docs).collect()))
     assert found == collocations_by_counting(rows, 30, 2_000)
