@@ -54,10 +54,10 @@ class Bounds:
 class Lake:
     """Paths below one root, how bronze records are read and tables laid out.
 
-    Check-ins and reviews keep all their fields: their schema is inferred, with the
-    declared types for the fields that have one. A schema in ``bronze_schemas``
-    instead is taken as it is and drops what it does not name. ``inputs`` names
-    records that are not at ``bronze/NAME.json``.
+    Fields are found by name without regard to case and have their declared types. Check-ins
+    and reviews keep all other fields as well, with types inferred; a schema for them in
+    ``bronze_schemas`` is declared instead, and drops what it does not name. ``inputs``
+    names records that are not at ``bronze/NAME.json``.
     """
 
     def __init__(
@@ -85,8 +85,9 @@ class Lake:
 
     def bronze(self, name: str) -> DataFrame:
         path = self.inputs.get(name, self.path("bronze", f"{name}.json"))
-        declared = {"checkin": schemas.CHECKIN, "review": schemas.REVIEW}.get(name)
-        return read_json_lines(self.spark, path, self.bronze_schemas.get(name), declared)
+        only = self.bronze_schemas.get(name)
+        declared = only or {"checkin": schemas.CHECKIN, "review": schemas.REVIEW}[name]
+        return read_json_lines(self.spark, path, declared=declared, others=only is None)
 
     def silver(self, name: str, schema: StructType | None = None) -> DataFrame:
         return read_table(self.spark, self.path("silver", name), schema)
@@ -169,7 +170,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument(
         "--declared-only",
         action="store_true",
-        help="read check-ins and reviews once, and drop the fields that are not declared",
+        help="drop the fields of check-ins and reviews that are not declared; stores no copy",
     )
     parser.add_argument(
         "--no-rebalance",

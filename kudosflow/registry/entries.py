@@ -71,6 +71,24 @@ def ingest_json_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_json_lines(spark, path, declared=declared)
 
 
+def ingest_json_misfit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A declared field that is spelled in several ways, and holds text in some lines."""
+    events = views.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    number = F.col("event_id") % 10
+    spelled = F.when(number < 3, "User_ID").when(number < 5, "USER_ID").otherwise("user_id")
+    value = F.when(number == 7, F.concat(F.lit('"u'), "user_id", F.lit('"')))
+    value = F.when(number == 8, F.concat("user_id", F.lit(".5"))).otherwise(value)
+    lines = F.concat(
+        F.lit('{"Event_Id":'), "event_id", F.lit(',"'), spelled, F.lit('":'),
+        F.coalesce(value, F.col("user_id").cast("string")),
+        F.lit(',"event_type":"'), "event_type", F.lit('"}'),
+    )
+    path = scratch_path(spark, "events")
+    events.select(lines.alias("value")).write.text(path)
+    declared = StructType([events.schema["event_id"], events.schema["user_id"]])
+    return read_json_lines(spark, path, declared=declared)
+
+
 # Sinks and catalog
 
 
@@ -284,6 +302,7 @@ def queries() -> dict[str, Query]:
         ingest_json,
         ingest_json_inferred,
         ingest_json_passthrough,
+        ingest_json_misfit,
         partitioned_roundtrip,
         partition_pruned_scan,
         schema_merge_overwrite,

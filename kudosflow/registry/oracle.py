@@ -45,6 +45,20 @@ _EVENTS = """
 SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, event_type, value, props
 FROM events
 """
+_MISFITS = """
+WITH written AS (
+    SELECT event_id, user_id, event_type, event_id % 10 AS number,
+           CASE WHEN event_id % 10 < 3 THEN 'User_ID' WHEN event_id % 10 < 5 THEN 'USER_ID'
+                ELSE 'user_id' END AS spelled,
+           CASE event_id % 10 WHEN 7 THEN '"u' || user_id || '"' WHEN 8 THEN user_id || '.5'
+                ELSE CAST(user_id AS VARCHAR) END AS value
+    FROM events)
+SELECT event_id, CASE WHEN number NOT IN (7, 8) THEN user_id END AS user_id,
+       CASE WHEN number IN (7, 8) THEN '{"Event_Id":' || event_id || ',"' || spelled || '":'
+            || value || ',"event_type":"' || event_type || '"}' END AS _corrupt_record,
+       event_type
+FROM written
+"""
 _COUNTS = "CAST(len(string_split(text, ',')) AS INTEGER) AS checkin_count FROM documents"
 _REVIEWED = """
 SELECT business_id, name, city, state, stars FROM top_rated
@@ -62,6 +76,7 @@ def oracle_sql() -> dict[str, str]:
         "ingest_json": _EVENTS,
         "ingest_json_inferred": _EVENTS,
         "ingest_json_passthrough": _EVENTS,
+        "ingest_json_misfit": _MISFITS,
         "checkin_count": f"SELECT doc_id, {_COUNTS}",
         "silver_checkin_count": f"SELECT doc_id, text AS date, {_COUNTS}",
     }

@@ -5,33 +5,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from kudosflow.sources.lossless import all_fields, declared_fields
+
 
 def read_json_lines(
     spark: SparkSession,
     path: str | list[str],
     schema: StructType | None = None,
     declared: StructType | None = None,
+    others: bool = True,
 ) -> DataFrame:
-    """One row per line of JSON, with every field of the input unless told otherwise.
+    """One row per object in lines of JSON.
 
-    The schema is inferred from the whole input, which is read twice; fields in
-    ``declared`` come first, with the types declared, whether the input has them or
-    not, so that one bad value cannot change a column. If there are malformed lines
-    the text of every line that does not fit is kept in ``_corrupt_record``.
+    With ``declared`` fields these come first, found by name without regard to case, with
+    the types declared, whether the input has them or not. All other fields follow, unless
+    ``others`` is false. The input is read once. If some line does not fit, the text of each
+    such line is kept in ``_corrupt_record`` (see ``lossless.all_fields``).
 
-    A ``schema`` is taken as it is: the input is read once, fields that it does not
-    name are dropped, and a malformed line becomes a row of NULLs.
+    A ``schema`` is taken as it is: the input is read once, only fields spelled as in it are
+    read, and a malformed line becomes a row of NULLs. With neither, Spark infers all, which
+    reads the input twice.
     """
     reader = spark.read.option("mode", "PERMISSIVE")
-    if schema is None:
-        found = reader.json(path).schema
-        if declared is None:
-            declared = StructType([])
-        known = {name.lower() for name in declared.names}
-        schema = StructType(
-            [*declared.fields, *(field for field in found if field.name.lower() not in known)]
-        )
-    return reader.schema(schema).json(path)
+    if schema is not None:
+        return reader.schema(schema).json(path)
+    if declared is None:
+        return reader.json(path)
+    if others:
+        return all_fields(spark, path, declared)
+    return declared_fields(spark, path, declared)
 
 
 def read_table(

@@ -192,3 +192,83 @@ def test_json_lines(spark, tmp_path):
         (None, None, None, "{broken"),
         (None, "y", [1], '{"a": "bad", "b": "y", "c": [1]}'),
     ]
+
+
+def _read(spark, tmp_path, lines, declared, **options):
+    file = tmp_path / "t.json"
+    file.write_text("\n".join(lines) + "\n", encoding="utf-8")
+    schema = spark.createDataFrame([], declared).schema
+    return read_json_lines(spark, str(file), declared=schema, **options)
+
+
+KINDS = "stars double, useful bigint, name string"
+
+
+def test_fields_are_found_whatever_their_case(spark, tmp_path):
+    lines = ['{"Stars":5,"Extra":1}', '{"STARS":4,"extra":2}', '{"stars":3.5,"NAME":7}', '{"x y":{"A":[]}}']
+    df = _read(spark, tmp_path, lines, KINDS)
+    assert df.dtypes == [
+        ("stars", "double"), ("useful", "bigint"), ("name", "string"), ("Extra", "bigint"),
+        ("x y", "struct<A:array<string>>"),
+    ]
+    rows = [(row.stars, row.useful, row.name, row.Extra, row["x y"]) for row in df.collect()]
+    assert rows == [
+        (5.0, None, None, 1, None), (4.0, None, None, 2, None), (3.5, None, "7", None, None),
+        (None, None, None, None, ([],)),
+    ]
+    only = _read(spark, tmp_path, lines, KINDS, others=False)
+    assert [tuple(row) for row in only.collect()] == [row[:3] for row in rows]
+
+
+@pytest.mark.parametrize(
+    "line, values",
+    [
+        ('{"stars":"five","name":"a"}', (None, None, "a")),
+        ('{"stars":true}', (None, None, None)),
+        ('{"stars":[1]}', (None, None, None)),
+        ('{"useful":3.7}', (None, None, None)),
+        ('{"useful":"many","stars":1}', (1.0, None, None)),
+        ('{"stars":1,"Stars":2}', (1.0, None, None)),
+        ('{"Stars":2,"stars":null}', (2.0, None, None)),
+        ('{"extra":1,"EXTRA":2}', (None, None, None)),
+        ('{"stars":1,"name":"a","name":"a"}', (1.0, None, "a")),
+        ("{broken", (None, None, None)),
+        ("7", (None, None, None)),
+        ('"text"', (None, None, None)),
+        ("[]", (None, None, None)),
+    ],
+)
+def test_a_line_that_does_not_fit_keeps_its_text(spark, tmp_path, line, values):
+    good = '{"stars":"4.5","useful":2.0,"name":{"a":1}}'
+    df = _read(spark, tmp_path, [line, "", " \t", good], KINDS)
+    rows = {row["_corrupt_record"]: (row.stars, row.useful, row.name) for row in df.collect()}
+    assert rows == {line: values, None: (4.5, 2, '{"a":1}')}
+
+
+def test_json_arrays_marks_and_odd_names(spark, tmp_path):
+    lines = ['\ufeff[{"stars":1},{"stars":2,"it\'s":"é"}]', '{"a`b":null,"n":1.5,"m":1,"m2":1e3}', '{"m":"x"}']
+    df = _read(spark, tmp_path, lines, "stars double")
+    assert df.dtypes == [
+        ("stars", "double"), ("a`b", "string"), ("it's", "string"), ("m", "string"),
+        ("m2", "double"), ("n", "double"),
+    ]
+    rows = sorted(map(tuple, df.collect()), key=repr)
+    assert rows == sorted(
+        [
+            (1.0, None, None, None, None, None), (2.0, None, "é", None, None, None),
+            (None, None, None, "1", 1000.0, 1.5), (None, None, None, "x", None, None),
+        ],
+        key=repr,
+    )
+
+
+def test_json_without_rows(spark, tmp_path):
+    df = _read(spark, tmp_path, [""], KINDS)
+    assert df.columns == ["stars", "useful", "name"] and df.count() == 0
+
+
+def test_the_input_is_read_once(spark, tmp_path, plan_of):
+    df = _read(spark, tmp_path, ['{"stars":1,"x":2}'], KINDS)
+    file = tmp_path / "t.json"
+    file.unlink()  # what is returned reads what was parsed, not the input
+    assert [(row.stars, row.x) for row in df.collect()] == [(1.0, 2)]
