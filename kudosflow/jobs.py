@@ -69,17 +69,24 @@ class Lake:
         rebalance: bool = True,
         limits: Limits = DEFAULT,
         bounds: Bounds = Bounds(),
+        in_place: bool = False,
     ):
         self.bounds = bounds
         self.spark = spark
         self.inputs = inputs or {}
         self.rebalance = rebalance
+        self.in_place = in_place
         self.limits = limits
         self.root = root.rstrip("/")
         # Of users and businesses only declared columns are used.
         named = {"user": schemas.USER, "business": schemas.BUSINESS}
         self.bronze_schemas = named | (bronze_schemas or {})
 
+    @property
+    def layout(self) -> dict[str, bool]:
+        """How partitioned tables are written."""
+        return {"rebalance": self.rebalance, "in_place": self.in_place}
+
     def path(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
 
@@ -99,7 +106,7 @@ class Lake:
 def checkin_counts(lake: Lake) -> None:
     bounds = lake.bounds
     counted = silver.checkin_counts(lake.bronze("checkin"), bounds.delimiter, bounds.null_count)
-    overwrite(counted, lake.path("silver", CHECKIN_COUNTS))
+    overwrite(counted, lake.path("silver", CHECKIN_COUNTS), in_place=lake.in_place)
 
 
 def engaged_users(lake: Lake) -> None:
@@ -108,7 +115,7 @@ def engaged_users(lake: Lake) -> None:
         lake.bronze("user"), bounds.user_min_reviews, bounds.user_stars, bounds.user_max_ratio
     )
     path = lake.path("silver", ENGAGED_USERS)
-    overwrite_partitioned(engaged, path, "average_stars", rebalance=lake.rebalance)
+    overwrite_partitioned(engaged, path, "average_stars", **lake.layout)
 
 
 def top_rated_businesses(lake: Lake) -> None:
@@ -117,13 +124,13 @@ def top_rated_businesses(lake: Lake) -> None:
         lake.bronze("business"), bounds.min_stars, bounds.min_reviews
     )
     path = lake.path("silver", TOP_RATED)
-    overwrite_partitioned(top_rated, path, "state", rebalance=lake.rebalance)
+    overwrite_partitioned(top_rated, path, "state", **lake.layout)
 
 
 def cleaned_reviews(lake: Lake) -> None:
     cleaned = silver.cleaned_reviews(lake.bronze("review"))
     path = lake.path("silver", REVIEWS)
-    overwrite_merging_schema(cleaned, path, "stars", rebalance=lake.rebalance)
+    overwrite_merging_schema(cleaned, path, "stars", **lake.layout)
 
 
 def _silver_tables(lake: Lake) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -137,7 +144,7 @@ def _silver_tables(lake: Lake) -> tuple[DataFrame, DataFrame, DataFrame]:
 def best_reviews(lake: Lake) -> None:
     best = gold.best_reviews(*_silver_tables(lake), lake.bounds.rating, lake.limits)
     path = lake.path("gold", BEST_REVIEWS)
-    overwrite_merging_schema(best, path, "state", rebalance=lake.rebalance)
+    overwrite_merging_schema(best, path, "state", **lake.layout)
 
 
 def reviewed_by_engaged(lake: Lake) -> None:
@@ -177,6 +184,12 @@ def main(arguments: list[str] | None = None) -> None:
         action="store_true",
         help="write partitioned tables without a shuffle, one file per task and value",
     )
+    parser.add_argument(
+        "--in-place",
+        action="store_true",
+        help="delete a table's files before its new ones are written, where folders cannot be"
+        " renamed at once; a failed write then leaves the table incomplete",
+    )
     parser.add_argument(
         "--broadcast-mib",
         type=int,
@@ -223,6 +236,7 @@ def main(arguments: list[str] | None = None) -> None:
             options.min_reviews,
             options.rating,
         ),
+        options.in_place,
     )
     for name, job in JOBS.items():
         if name in options.only:

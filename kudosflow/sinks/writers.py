@@ -1,27 +1,51 @@
 """Full-refresh writers.
 
-None of them may be given a plan that reads the table it replaces: Spark deletes
-the old files before the new rows are read.
+A table is written to a folder of its own and takes the old one's place when it is complete,
+so that a failed write leaves the old table, and a plan may read the table it replaces. With
+``in_place`` the old files are deleted first instead: for stores where a folder cannot be
+renamed at once, such as most object stores. There a failed write leaves a table incomplete,
+a plan must not read what it replaces, and only a table format with a log does better.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
+from kudosflow.observed import observed
+from kudosflow.sinks.swap import replacing
+
 # Fixed value: what Spark calls the directory of rows without a partition value.
 _NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
-def overwrite(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+@contextmanager
+def _target(spark: SparkSession, path: str, in_place: bool) -> Iterator[str]:
+    if in_place:
+        yield path
+    else:
+        with replacing(spark, path) as folder:
+            yield folder
+
+
+def overwrite(df: DataFrame, path: str, fmt: str = "parquet", in_place: bool = False) -> None:
     """Replace the table at ``path``; every task writes its own rows, no shuffle."""
-    df.write.format(fmt).mode("overwrite").save(path)
+    with _target(df.sparkSession, path, in_place) as folder:
+        df.write.format(fmt).mode("overwrite").save(folder)
 
 
 def overwrite_partitioned(
-    df: DataFrame, path: str, by: str, fmt: str = "parquet", rebalance: bool = True
+    df: DataFrame,
+    path: str,
+    by: str,
+    fmt: str = "parquet",
+    rebalance: bool = True,
+    in_place: bool = False,
 ) -> None:
     """Replace the table at ``path``, one directory per value of ``by``.
 
@@ -29,26 +53,36 @@ def overwrite_partitioned(
     holds much of the data over as many tasks as its bytes need; hashing on
     ``by`` alone would give such a value to a single task. It is left out where
     adaptive execution, which does the splitting, is off, or where the caller
-    would rather have one file per task and value than a shuffle.
+    would rather have one file per task and value than a shuffle. Whether there are
+    rows is counted while they are written, so the table is not listed afterwards.
     """
-    adaptive = df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
-    if rebalance and adaptive:
+    spark = df.sparkSession
+    empty = df.drop(by).schema
+    rows = Observation()
+    df = df.observe(rows, F.count(F.lit(1)).alias("rows"))
+    if rebalance and spark.conf.get("spark.sql.adaptive.enabled") == "true":
         df = df.hint("rebalance", F.col(by))
-    (
-        df.write.format(fmt)
-        .partitionBy(by)
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .save(path)
-    )
-    if _stored_schema(df.sparkSession, path, fmt) is None:
-        # No rows, no files: one empty file keeps the columns for whoever reads next.
-        empty = df.sparkSession.createDataFrame([], df.drop(by).schema)
-        empty.write.format(fmt).save(f"{path.rstrip('/')}/{by}={_NO_VALUE}")
+    with _target(spark, path, in_place) as folder:
+        (
+            df.write.format(fmt)
+            .partitionBy(by)
+            .mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .save(folder)
+        )
+        if not observed(rows).get("rows"):
+            # No rows, no files: one empty file keeps the columns for whoever reads next.
+            none = spark.createDataFrame([], empty)
+            none.write.format(fmt).save(f"{folder.rstrip('/')}/{by}={_NO_VALUE}")
 
 
 def overwrite_merging_schema(
-    df: DataFrame, path: str, by: str, fmt: str = "parquet", rebalance: bool = True
+    df: DataFrame,
+    path: str,
+    by: str,
+    fmt: str = "parquet",
+    rebalance: bool = True,
+    in_place: bool = False,
 ) -> None:
     """Replace the rows at ``path`` while its column set only grows.
 
@@ -58,7 +92,7 @@ def overwrite_merging_schema(
     old = _stored_schema(df.sparkSession, path, fmt)
     if old is not None:
         df = with_columns_of(df, old, untyped=(by,))
-    overwrite_partitioned(df, path, by, fmt, rebalance)
+    overwrite_partitioned(df, path, by, fmt, rebalance, in_place)
 
 
 def with_columns_of(df: DataFrame, old: StructType, untyped: tuple[str, ...] = ()) -> DataFrame:

@@ -23,6 +23,7 @@ from pyspark.sql.types import (
     VariantType,
 )
 
+from kudosflow.observed import observed
 from kudosflow.session import scratch_path
 
 #: Spark's own name for the text of a line that does not fit.
@@ -68,20 +69,21 @@ def all_fields(spark: SparkSession, path: str | list[str], declared: StructType)
     text = F.when(misfit, F.col(_LINE)).alias(_LINE)
     parsed = rows.select(*kept, text, F.col(_RECORD))
     seen = Observation()
-    observed = parsed.observe(
+    watched = parsed.observe(
         seen,
         F.expr(f"schema_of_variant_agg({_RECORD})").alias("schema"),
         F.count(_LINE).alias("kept"),
     )
     staged = scratch_path(spark, "records")
-    observed.write.parquet(staged)
+    watched.write.parquet(staged)
+    found = observed(seen)
     stored = spark.read.schema(parsed.schema).parquet(staged)
 
     columns = [F.col(f"json__{i}").alias(field.name) for i, field in enumerate(declared)]
-    if seen.get["kept"]:
+    if found.get("kept"):
         columns.append(F.col(_LINE).alias(CORRUPT))
     taken = {field.name.lower() for field in declared} | {CORRUPT}
-    for name, kind, spellings in _others(seen.get["schema"], taken):
+    for name, kind, spellings in _others(found.get("schema"), taken):
         own = [_field(spelling, kind) for spelling in spellings]
         columns.append(F.coalesce(*own).alias(name))
     return stored.select(*columns)

@@ -272,3 +272,71 @@ def test_the_input_is_read_once(spark, tmp_path, plan_of):
     file = tmp_path / "t.json"
     file.unlink()  # what is returned reads what was parsed, not the input
     assert [(row.stars, row.x) for row in df.collect()] == [(1.0, 2)]
+
+
+def _failing(df):
+    """The rows, and a failure at the end of one task."""
+    bad = F.when(F.col("id") == 999, F.raise_error(F.lit("no more")).cast("string"))
+    return df.unionByName(df.sparkSession.range(999, 1000).select(
+        F.col("id").cast("int").alias("id"), F.coalesce(bad, F.lit("q")).alias("code"),
+        F.lit("r").alias("rest")))
+
+
+WRITERS = {
+    "overwrite": lambda df, path, **o: overwrite(df, path, **o),
+    "partitioned": lambda df, path, **o: overwrite_partitioned(df, path, "code", **o),
+    "merging": lambda df, path, **o: overwrite_merging_schema(df, path, "code", **o),
+}
+
+
+@pytest.mark.parametrize("writer", WRITERS.values(), ids=WRITERS)
+def test_a_failed_write_leaves_the_old_table(spark, codes, rows_of, tmp_path, writer):
+    path = str(tmp_path / "t")
+    writer(codes, path)
+    before = rows_of(read_table(spark, path, codes.schema))
+    with pytest.raises(Exception, match="no more"):
+        writer(_failing(codes), path)
+    assert rows_of(read_table(spark, path, codes.schema)) == before
+    assert [item.name for item in tmp_path.iterdir()] == ["t"]
+    writer(codes.limit(1), path)
+    assert read_table(spark, path, codes.schema).count() == 1
+    with pytest.raises(Exception, match="no more"):
+        writer(_failing(codes), path, in_place=True)
+    assert rows_of(spark.read.schema(codes.schema).parquet(path)) != before
+
+
+@pytest.mark.parametrize("writer", WRITERS.values(), ids=WRITERS)
+def test_a_plan_may_read_what_it_replaces(spark, codes, tmp_path, writer):
+    path = str(tmp_path / "t")
+    writer(codes, path)
+    cached = read_table(spark, path, codes.schema).cache()
+    assert cached.count() == 4
+    writer(read_table(spark, path, codes.schema).where("id > 2"), path)
+    assert read_table(spark, path, codes.schema).count() == 2
+    assert cached.count() == 2  # what was cached is read again
+    cached.unpersist()
+
+
+def test_an_exchange_that_stopped_half_way_is_mended(spark, codes, tmp_path):
+    path = tmp_path / "t"
+    overwrite(codes, str(path))
+    path.rename(tmp_path / ".t.old")  # stopped after the first rename
+    with pytest.raises(Exception, match="no more"):
+        overwrite(_failing(codes), str(path))
+    assert read_table(spark, str(path)).count() == 4
+    (tmp_path / ".t.old").mkdir()  # stopped after the second
+    overwrite(codes.limit(3), str(path))
+    assert read_table(spark, str(path)).count() == 3
+    assert [item.name for item in tmp_path.iterdir()] == ["t"]
+
+
+def test_a_table_with_rows_is_not_listed_after_the_write(spark, codes, tmp_path, monkeypatch):
+    from pyspark.sql import DataFrameReader
+
+    def refuse(*_, **__):
+        raise AssertionError("opened")
+
+    for name in ("load", "parquet", "orc", "json", "table"):
+        monkeypatch.setattr(DataFrameReader, name, refuse)
+    overwrite_partitioned(codes, str(tmp_path / "t"), "code")
+    overwrite(codes, str(tmp_path / "u"))
