@@ -13,6 +13,7 @@ from kudosflow.operators.limits import (
     layout_value,
     one_of,
 )
+from kudosflow.operators.membership import possible_matches
 
 # Keys of these types may differ in width: their layout values are equal if they are.
 _WHOLE = ("tinyint", "smallint", "int", "bigint")
@@ -37,16 +38,22 @@ def large_join(
     null_safe: bool = False,
     bound: DataFrame | None = None,
     counted: DataFrame | None = None,
+    selective: bool = False,
     limits: Limits = DEFAULT,
 ) -> DataFrame:
     """Join a large ``left`` without shuffling it where ``right`` allows that.
 
     ``right`` is broadcast if its measured size permits, and otherwise joined as
     in ``split_join``. ``bound`` is a plan at least as large as ``right`` but
-    cheaper to measure. ``how`` is inner, left or left_semi.
+    cheaper to measure. ``how`` is inner, left or left_semi. If the join is ``selective``,
+    so that few rows of ``left`` have partners, a bitmap of the keys of ``bound`` takes most
+    others out where they are read, before the shuffle.
     """
-    if fits_broadcast(right if bound is None else bound, limits):
+    keys = right if bound is None else bound
+    if fits_broadcast(keys, limits):
         return _join(left, F.broadcast(right), key, how, null_safe)
+    if selective and how != "left":
+        left = possible_matches(left, keys, [key], null_safe, limits)
     return split_join(left, right, key, how, null_safe, counted, limits)
 
 
@@ -108,10 +115,11 @@ def semi_join_in(
 
     With few left keys the much larger right side is reduced to them where it is
     read, so that what comes back is no larger than they are and is broadcast in
-    turn.
+    turn. With many, a bitmap of them takes most other rows of the right side out there.
     """
     keys = left.select(key)
     if fits_broadcast(keys, limits):
         present = right.select(key).join(F.broadcast(keys), key, "left_semi").distinct()
         return left.join(F.broadcast(present), key, "left_semi")
+    right = possible_matches(right.select(key), keys, [key], limits=limits)
     return split_join(left, right, key, "left_semi", limits=limits)

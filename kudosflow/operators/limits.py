@@ -31,7 +31,9 @@ class Limits:
     """When a side is small enough to broadcast and a key too frequent for one task.
 
     Rows of a frequent key are dealt to ``salts`` tasks if the partners, repeated that
-    often, take no more than ``repeated_bytes``.
+    often, take no more than ``repeated_bytes``. A side too large to broadcast is sent as a
+    bitmap of its keys with at most ``2 ** filter_bits`` bits, 32 MiB; 0 means none, as does
+    a negative ``broadcast_bytes``.
     """
 
     broadcast_bytes: int = 64 << 20
@@ -39,6 +41,7 @@ class Limits:
     hot_rows: int = 1_000_000
     salts: int = 64
     repeated_bytes: int = 1 << 30
+    filter_bits: int = 28
 
     @property
     def hot_keys(self) -> int:

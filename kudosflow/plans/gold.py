@@ -12,30 +12,28 @@ from kudosflow.operators import (
     first_per_group,
     fits_broadcast,
     large_join,
+    null_safe_join,
+    possible_matches,
     register_views,
     split_join,
     sql_view,
 )
 from kudosflow.operators.limits import DEFAULT
+from kudosflow.session import scratch_path
 
 # Rank of a review within its business. The user's useful votes decide; the rest
 # makes the order total, so that a recomputed task picks the same review.
 TIE_BREAK = ["review_id", "username", "review_date", "review_text", "user_average_stars"]
 
+# What is known of a review without its text, and the part of its rank before the text.
+_REVIEW = ["business_id", "user_id", "review_id", "review_date"]
+_NARROW = ["review_id", "username", "review_date"]
 
-def rated_reviews(
-    reviews: DataFrame,
-    users: DataFrame,
-    rating: float = 5,
-    counted: DataFrame | None = None,
-    limits: Limits = DEFAULT,
-) -> DataFrame:
-    """Reviews with ``rating`` by the given users, a NULL user matching NULL users.
 
-    Each review comes once, with the best ranked of the users who share its
-    ``user_id``: that one decides any choice among reviews, and NULL users do
-    not multiply NULL reviews. ``counted`` may stand in for the reviews where
-    frequent users are looked for.
+def best_users(users: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What is told of a review's user, and the best ranked user of each ``user_id``.
+
+    That user decides any choice among reviews, and NULL users do not multiply NULL reviews.
     """
     people = users.select(
         "user_id",
@@ -43,15 +41,8 @@ def rated_reviews(
         F.col("average_stars").alias("user_average_stars"),
         "useful",
     )
-    best = first_per_group(
-        people, "user_id", [F.col("useful").desc(), F.col("username"), F.col("user_average_stars")]
-    )
-    wanted = reviews.where(F.col("stars") == rating).select(
-        "business_id", "user_id", "review_text", "review_id", F.col("date").alias("review_date")
-    )
-    return large_join(
-        wanted, best, "user_id", null_safe=True, bound=people, counted=counted, limits=limits
-    ).drop("user_id")
+    order = [F.col("useful").desc(), F.col("username"), F.col("user_average_stars")]
+    return people, first_per_group(people, "user_id", order)
 
 
 def best_reviews(
@@ -63,18 +54,50 @@ def best_reviews(
 ) -> DataFrame:
     """For each business the review with ``rating`` whose user has most useful votes.
 
-    A business whose row or chosen review has a NULL or NaN anywhere is left
-    out; no other review takes the place of the chosen one.
+    A NULL user matches NULL users. A business whose row or chosen review has a NULL or NaN
+    anywhere is left out; no other review takes the place of the chosen one.
+
+    The choice is made on narrow rows, and the text is fetched for the chosen reviews. Where
+    broadcasts are ruled out, that would shuffle all texts, so they come along instead.
     """
     businesses = drop_incomplete(businesses.select(*schemas.TOP_RATED_BUSINESSES.names))
-    wanted = reviews
+    rated = reviews.where(F.col("stars") == rating).withColumnRenamed("date", "review_date")
     few = fits_broadcast(businesses, limits)
     if few:
         ids = F.broadcast(businesses.select("business_id"))
-        wanted = reviews.join(ids, "business_id", "left_semi")
-    rated = reviews.where(F.col("stars") == rating)
-    candidates = rated_reviews(wanted, users, rating, rated, limits)
-    chosen = first_per_group(candidates, "business_id", [F.col("useful").desc(), *TIE_BREAK])
+        wanted = rated.join(ids, "business_id", "left_semi")
+    else:
+        wanted = possible_matches(rated, businesses, ["business_id"], limits=limits)
+    people, best = best_users(users)
+    small = fits_broadcast(people, limits)
+    if not small:
+        wanted = possible_matches(wanted, people, ["user_id"], True, limits)
+
+    def with_users(rows: DataFrame) -> DataFrame:
+        if small:
+            return null_safe_join(rows, F.broadcast(best), "user_id").drop("user_id")
+        return split_join(rows, best, "user_id", null_safe=True, counted=rated, limits=limits).drop(
+            "user_id"
+        )
+
+    if limits.broadcast_bytes < 0:
+        candidates = with_users(wanted.select(*_REVIEW, "review_text"))
+        chosen = first_per_group(candidates, "business_id", [F.col("useful").desc(), *TIE_BREAK])
+    else:
+        narrow = with_users(wanted.select(*_REVIEW)).select("business_id", "useful", *_NARROW)
+        narrow = first_per_group(narrow, "business_id", [F.col("useful").desc(), *_NARROW])
+        # What is incomplete now is left out in the end, so all keys are equal from here on.
+        narrow = drop_incomplete(narrow)
+        texts = rated.select(*_REVIEW, "review_text")
+        found = _chosen(texts, narrow, few, limits)
+        candidates = with_users(found).where(
+            (F.col("useful") == F.col("chosen_useful"))
+            & (F.col("username") == F.col("chosen_username"))
+        )
+        # Mostly one review of a business is left; more differ in what ranks last only.
+        last = F.min(F.struct("review_text", "user_average_stars")).alias("last")
+        chosen = candidates.groupBy("business_id", "useful", *_NARROW).agg(last)
+        chosen = chosen.select("business_id", "useful", *_NARROW, "last.*")
     chosen = drop_incomplete(chosen)
     if few:
         joined = chosen.join(F.broadcast(businesses), "business_id")
@@ -83,6 +106,20 @@ def best_reviews(
     return joined.select(*schemas.BEST_REVIEWS.names)
 
 
+def _chosen(texts: DataFrame, narrow: DataFrame, few: bool, limits: Limits) -> DataFrame:
+    """The reviews with their texts that the narrow choice names, user and votes beside."""
+    keys = ["business_id", "review_id", "review_date"]
+    narrow = narrow.withColumnsRenamed(
+        {"useful": "chosen_useful", "username": "chosen_username"}
+    )
+    if few:  # no more rows than ids of businesses were sent
+        return texts.join(F.broadcast(narrow), keys)
+    path = scratch_path(narrow.sparkSession, "chosen")
+    narrow.write.parquet(path)
+    narrow = narrow.sparkSession.read.schema(narrow.schema).parquet(path)
+    return possible_matches(texts, narrow, keys, limits=limits).join(narrow, keys)
+
+
 def reviewed_by_engaged(
     businesses: DataFrame,
     users: DataFrame,
@@ -97,7 +134,11 @@ def reviewed_by_engaged(
     few = fits_broadcast(ids, limits)
     if few:
         picks = picks.join(F.broadcast(ids), "business_id", "left_semi")
-    by_engaged = large_join(picks, users.select("user_id"), "user_id", "left_semi", limits=limits)
+    else:
+        picks = possible_matches(picks, ids, ["business_id"], limits=limits)
+    by_engaged = large_join(
+        picks, users.select("user_id"), "user_id", "left_semi", selective=True, limits=limits
+    )
     if few:
         # No more ids than were sent out are left.
         found = F.broadcast(by_engaged.select("business_id").distinct())

@@ -38,8 +38,8 @@ def declared_fields(spark: SparkSession, path: str | list[str], declared: Struct
 
     One pass over the input; nothing is stored.
     """
-    rows = _with_entries(_records(spark, path))
-    return rows.select(*[_value(f)[0].alias(f.name) for f in declared])
+    rows = _with_values(_records(spark, path), declared)
+    return rows.select(*[_value(f, i)[0].alias(f.name) for i, f in enumerate(declared)])
 
 
 def all_fields(spark: SparkSession, path: str | list[str], declared: StructType) -> DataFrame:
@@ -56,11 +56,11 @@ def all_fields(spark: SparkSession, path: str | list[str], declared: StructType)
     differ in case are one column; where a file mixes them, the spelling that sorts first
     names it.
     """
-    rows = _with_entries(_records(spark, path))
+    rows = _with_values(_records(spark, path), declared)
     misfit = F.col(_RECORD).isNull() | _twice()
     kept = []
     for i, field in enumerate(declared):
-        value, wrong = _value(field)
+        value, wrong = _value(field, i)
         misfit |= wrong
         # What a VARIANT cannot hold, such as a field that comes twice, is tried as it was.
         again = F.from_json(_LINE, declared).getField(field.name)
@@ -107,13 +107,28 @@ def _records(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return each.withColumn(_RECORD, F.when(is_object, F.col(_RECORD)))
 
 
-def _with_entries(records: DataFrame) -> DataFrame:
-    """The fields of each record with their names in lower case as well."""
+def _with_values(records: DataFrame, declared: StructType) -> DataFrame:
+    """The value of each declared field, still a VARIANT, and the names of all fields."""
     entries = F.expr(
         f"transform(map_entries(try_cast({_RECORD} AS map<string, variant>)), entry -> "
         "struct(lower(entry.key) AS folded, entry.key AS name, entry.value AS value))"
     )
-    return records.withColumn(_ENTRIES, entries)
+    found = {f"json__found{i}": _found(field.name) for i, field in enumerate(declared)}
+    return records.withColumn(_ENTRIES, entries).withColumns(found)
+
+
+def _found(field: str) -> Column:
+    """The entry of a field: the exact spelling first, then others in their order, null
+    values last."""
+    name = _literal(field)
+    own = f"filter({_ENTRIES}, entry -> entry.folded = lower({name}))"
+    return F.expr(
+        f"get(if(size({own}) < 2, {own}, array_sort({own}, "
+        "(a, b) -> CASE WHEN is_variant_null(a.value) <> is_variant_null(b.value) "
+        "THEN if(is_variant_null(a.value), 1, -1) "
+        f"WHEN a.name = {name} THEN -1 WHEN b.name = {name} THEN 1 "
+        "WHEN a.name < b.name THEN -1 ELSE 1 END)), 0).value"
+    )
 
 
 def _twice() -> Column:
@@ -121,22 +136,13 @@ def _twice() -> Column:
     return F.expr(f"size(array_distinct({_ENTRIES}.folded)) < size({_ENTRIES})")
 
 
-def _value(field: StructField) -> tuple[Column, Column]:
+def _value(field: StructField, number: int) -> tuple[Column, Column]:
     """A declared field's value, and whether there is one that does not fit.
 
-    The exact spelling comes first, then others in their order, null values last. What is
-    left to Spark's cast: numbers from strings, strings from anything. A truth value is no
-    number, and a number with a fraction is not whole.
+    What is left to Spark's cast: numbers from strings, strings from anything. A truth value
+    is no number, and a number with a fraction is not whole.
     """
-    name = _literal(field.name)
-    found = F.expr(
-        "get(array_sort("
-        f"filter({_ENTRIES}, entry -> entry.folded = lower({name})), "
-        "(a, b) -> CASE WHEN is_variant_null(a.value) <> is_variant_null(b.value) "
-        "THEN if(is_variant_null(a.value), 1, -1) "
-        f"WHEN a.name = {name} THEN -1 WHEN b.name = {name} THEN 1 "
-        "WHEN a.name < b.name THEN -1 ELSE 1 END), 0).value"
-    )
+    found = F.col(f"json__found{number}")
     value = F.try_variant_get(found, "$", field.dataType.simpleString())
     if isinstance(field.dataType, NumericType):
         fits = F.schema_of_variant(found) != "BOOLEAN"

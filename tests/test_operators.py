@@ -20,6 +20,7 @@ from kudosflow.operators import (
     measured_bytes,
     null_safe_join,
     number_rows,
+    possible_matches,
     ranking,
     semi_join_in,
     split_join,
@@ -63,8 +64,9 @@ def test_joins_in_every_layout(spark, rows_of, how, null_safe, left, right):
     a = table(spark, left, ["k int", "x int"])
     b = table(spark, right, ["k int", "y int"])
     wanted = sorted(brute_join(left, right, how, null_safe), key=repr)
-    for limits in (Limits(), SPLIT, Limits(hot_rows=1)):
-        assert rows_of(large_join(a, b, "k", how, null_safe, limits=limits)) == wanted
+    for limits in (Limits(), SPLIT, Limits(hot_rows=1), Limits(broadcast_bytes=0)):
+        joined = large_join(a, b, "k", how, null_safe, selective=True, limits=limits)
+        assert rows_of(joined) == wanted
         assert rows_of(split_join(a, b, "k", how, null_safe, limits=limits)) == wanted
 
 
@@ -89,8 +91,9 @@ def test_keys_of_any_type_in_every_layout(spark, rows_of, kind, how, null_safe):
     partners = [("0", 1), ("0", 2), (None, 3), ("1", 4), ("3", 5)]
     b = table(spark, partners, ["v string", "y int"]).selectExpr(f"{text} AS k", "y")
     wanted = rows_of(_plain_join(a, b, how, null_safe))
-    for limits in (Limits(), SPLIT):
-        assert repr(rows_of(large_join(a, b, "k", how, null_safe, limits=limits))) == repr(wanted)
+    for limits in (Limits(), SPLIT, Limits(broadcast_bytes=0)):
+        joined = large_join(a, b, "k", how, null_safe, selective=True, limits=limits)
+        assert repr(rows_of(joined)) == repr(wanted)
 
 
 def _plain_join(a, b, how, null_safe):
@@ -104,6 +107,8 @@ def test_keys_of_different_width_in_every_layout(spark, rows_of):
         b = b.select(F.col("k").cast(kind).alias("k"), "y")
         wanted = rows_of(a.join(b, "k").select("x", "y"))
         assert rows_of(split_join(a, b, "k", limits=SPLIT).select("x", "y")) == wanted
+        pruned = large_join(a, b, "k", selective=True, limits=Limits(broadcast_bytes=0))
+        assert rows_of(pruned.select("x", "y")) == wanted
 
 
 @pytest.mark.parametrize("kind", ["string", "binary", "array<int>", "double", "timestamp"])
@@ -382,3 +387,18 @@ def test_best_reviews_against_brute_force(spark, rows_of, reviews, users, ids):
         assert [row[0] for row in rows_of(reviewed)] == sorted(
             number for number in ids if number in hit
         )
+
+
+def test_possible_matches_by_several_keys(spark, rows_of):
+    left = spark.range(2_000).selectExpr("id % 50 AS a", "CAST(id AS STRING) AS b", "id AS x")
+    left = left.unionByName(spark.sql("SELECT NULL AS a, '7' AS b, -1 AS x"))
+    right = spark.range(0, 2_000, 100).selectExpr("CAST(id % 50 AS INT) AS a", "CAST(id AS STRING) AS b")
+    found = {row.x for row in possible_matches(left, right, ["a", "b"]).collect()}
+    assert found == set(range(0, 2_000, 100))
+    kept = {row.x for row in possible_matches(left, right, ["a", "b"], null_safe=True).collect()}
+    assert kept == found | {-1}
+    few = Limits(filter_bits=16)
+    assert found <= {row.x for row in possible_matches(left, right, ["a", "b"], limits=few).collect()}
+    for off in (Limits(filter_bits=0), Limits(broadcast_bytes=-1)):
+        assert possible_matches(left, right, ["a", "b"], limits=off) is left
+    assert possible_matches(left, right.limit(0), ["a", "b"]).count() == 0

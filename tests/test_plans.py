@@ -1,5 +1,7 @@
 """What the plans must and must not contain."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -69,15 +71,46 @@ def test_best_reviews_reads_one_partition_and_limits_before_the_shuffle(silver,
     assert "= 5.0" in plan
     assert "LeftOuter" not in plan
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
-    assert plan.count("row_number(), 1, Partial") == 2
-    # Each small side is sent to the reviews, which are shuffled once, cut to
-    # one row per business and task.
-    assert plan.count("BroadcastHashJoin") == 3
+    # Each small side is sent to the reviews, whose narrow rows are shuffled once, cut to one
+    # row per business and task; the rest are joins that fetch what was chosen.
+    assert plan.count("row_number(), 1, Partial") == 3
+    assert plan.count("BroadcastHashJoin") == 5
     assert "SortMergeJoin" not in plan
     limited = plan.index("row_number(), 1, Partial")
     assert plan.index("Exchange hashpartitioning(business_id") < limited
 
 
+def test_the_text_is_fetched_for_chosen_reviews(silver, plan_of):
+    """No text is sorted by, nor moved before it meets the choice where it is read."""
+    df = gold.best_reviews(*silver)
+    df.collect()
+    plan = re.sub(r"#\d+L?", "", plan_of(df)).split("== Initial Plan ==")[0].splitlines()
+    sorted_by = [re.search(r"Sort \[.*?\]", line) for line in plan]
+    assert not any("review_text" in found[0] for found in sorted_by if found)
+    scans = [i for i, line in enumerate(plan) if "FileScan" in line and "review_id" in line]
+    assert sum("review_text" in plan[i].split("]")[0] for i in scans) == 1 and len(scans) == 2
+    at = next(i for i in scans if "review_text" in plan[i].split("]")[0])
+    chosen = "BroadcastHashJoin [business_id, review_id, review_date]"
+    met = max(i for i in range(at) if chosen in plan[i])
+    assert not any(re.search("Exchange|Sort|Window", line) for line in plan[met:at])
+
+
+@pytest.mark.parametrize("bits", [28, 16])
+def test_sides_beyond_the_broadcast_prune_the_reviews_by_a_bitmap(
+    silver, plan_of, rows_of, no_small_sides, bits
+):
+    limits = Limits(broadcast_bytes=0, filter_bits=bits)
+    best, reviewed = gold.best_reviews(*silver, limits=limits), gold.reviewed_by_engaged(
+        *silver, limits=limits
+    )
+    assert rows_of(best) == rows_of(gold.best_reviews(*silver))
+    assert rows_of(reviewed) == rows_of(gold.reviewed_by_engaged(*silver))
+    plan = re.sub(r"#\d+L?", "", plan_of(reviewed)).split("== Initial Plan ==")[0].splitlines()
+    (scan,) = [i for i, line in enumerate(plan) if "struct<business_id:string,user_id:string>" in line]
+    moved = max(i for i in range(scan) if "Exchange hashpartitioning" in plan[i])
+    assert sum("BroadcastHashJoin [shiftright(member__own" in x for x in plan[moved:scan]) == 2
+
+
 def test_reviewed_reads_two_columns_of_the_reviews(silver, plan_of):
     plan = plan_of(gold.reviewed_by_engaged(*silver))
     assert "ReadSchema: struct<business_id:string,user_id:string>" in plan
