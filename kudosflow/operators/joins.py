@@ -54,8 +54,8 @@ def large_join(
         return _join(left, F.broadcast(right), key, how, null_safe)
     if selective and how != "left":
         names = [F.col(f"`{name}`") for name in left.columns]
-        left = possible_matches(left, keys, [key], null_safe, limits)
-        if how == "left_semi":
+        whole, left = left, possible_matches(left, keys, [key], null_safe, limits)
+        if how == "left_semi" and left is not whole:
             # Spark would move a semi join, with its shuffle, below the bitmap.
             right = right.select(key).distinct()
             return split_join(left, right, key, "inner", null_safe, counted, limits).select(*names)
