@@ -23,15 +23,19 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kudosflow.llm.common import all_columns, pieces
+from kudosflow.llm.common import all_columns, fresh, pieces, quoted, with_answers
 
 #: Hashes of q-grams are looked up in a table of at least and at most so many bits before
 #: anything else; it has eight places or more for each q-gram of a block.
 _BITS = 22, 28
 #: No code point.
 _NO_SIGN = np.uint64(1 << 32)
-#: Stretches that are aligned at once.
+#: Stretches that are aligned at once, and shared q-grams that are counted at once.
 _ALIGNED = 128
+_HITS = 1 << 20
+#: Length of the q-grams that are counted once more where enough of the long ones are shared.
+#: The lemma asks for more of them, so that few stretches are aligned in vain.
+_SHORT = 8
 #: Words of normalised texts; signs of scripts without spaces are words of their own.
 _UNSPACED = (
     "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff"
@@ -41,12 +45,14 @@ _WORDS = re.compile(f"[{_UNSPACED}]|[^ {_UNSPACED}]+")
 
 
 class Bounds(NamedTuple):
-    """Lengths in characters; ``q`` is a power of two. ``block_chars`` of benchmark text
-    are sent to the tasks at once; a larger benchmark takes several passes."""
+    """Lengths in characters. ``q`` is as long as the lemma allows: 6 edits would have to
+    break all of 13 characters each, and from 12 on most texts share few q-grams by chance.
+    ``block_chars`` of benchmark text are sent to the tasks at once; a larger benchmark takes
+    several passes."""
 
     window: int = 80
     edits: int = 5
-    q: int = 8
+    q: int = 12
     shortest: int = 40
     block_chars: int = 16 << 20
 
@@ -73,15 +79,24 @@ def written(signs: np.ndarray) -> str:
 
 
 def grams(signs: np.ndarray, q: int) -> np.ndarray:
-    """Hashes of all q-grams, by doubling their length."""
+    """Hashes of all q-grams, put together from those of lengths 1, 2, 4 and so on."""
     if len(signs) < q:
         return np.zeros(0, np.uint64)
-    hashes, length, factor = signs + np.uint64(1), 1, 0x9E3779B97F4A7C15
-    while length < q:
-        hashes = hashes[:-length] * np.uint64(factor) + hashes[length:]
-        hashes ^= hashes >> np.uint64(29)
+    part, length, factor = signs + np.uint64(1), 1, 0x9E3779B97F4A7C15
+    hashes, done = None, 0
+    while True:
+        if q & length:
+            if hashes is None:
+                hashes = part
+            else:
+                hashes = hashes[: len(part) - done] * np.uint64(factor) + part[done:]
+                hashes ^= hashes >> np.uint64(31)
+            done += length
+        if done == q:
+            return hashes[: len(signs) - q + 1] * np.uint64(0xC2B2AE3D27D4EB4F)
+        part = part[:-length] * np.uint64(factor) + part[length:]
+        part ^= part >> np.uint64(29)
         length, factor = length * 2, (factor * factor + 2) % (1 << 64) | 1
-    return hashes * np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 def banded_distances(
@@ -138,12 +153,19 @@ class Benchmark:
         stretches = [self.stretch(item) for item in range(len(texts))]
         # A stretch's diagonals span at most this many, and it shares so many q-grams.
         self.width = np.array([2 * edits + 1 for _, edits in stretches], np.int64)
-        least = [length + 1 - bounds.q * (edits + 1) for length, edits in stretches]
-        self.least = np.maximum(1, np.array(least, np.int64))
+        self.least = self._shared(stretches, bounds.q)
+        self.least_short = self._shared(stretches, _SHORT)
+        self.short_grams = [grams(text, _SHORT) for text in self.texts]
         self.bits = min(max(len(every).bit_length() + 3, _BITS[0]), _BITS[1])
         self.table = np.zeros(1 << self.bits, bool)
         self.table[self._short(every)] = True
 
+    @staticmethod
+    def _shared(stretches: list[tuple[int, int]], q: int) -> np.ndarray:
+        """How many q-grams each stretch shares at least, by the lemma."""
+        least = [length + 1 - q * (edits + 1) for length, edits in stretches]
+        return np.maximum(1, np.array(least, np.int64))
+
     def _short(self, hashes: np.ndarray) -> np.ndarray:
         return (hashes >> np.uint64(64 - self.bits)).astype(np.int64)
 
@@ -173,7 +195,12 @@ class Benchmark:
         return list(best.values())
 
     def _near(self, signs: np.ndarray) -> list[tuple[int, int, int, int]]:
-        """The best stretches of the other items."""
+        """The best stretches of the other items.
+
+        The text is searched in parts that overlap by what a stretch may span. A part is as
+        long as ``_HITS`` shared q-grams allow, so that a long text, or one with q-grams that
+        stand in many items, takes more parts and not more memory.
+        """
         hashes = grams(signs, self.bounds.q)
         at = np.flatnonzero(self.table[self._short(hashes)])
         if not len(at) or not len(self.hashes):
@@ -182,65 +209,94 @@ class Benchmark:
         same = self.hashes[slot] == hashes[at]
         at, slot = at[same], slot[same]
         counts = self.held[slot]
+        total, short = np.cumsum(counts), grams(signs, _SHORT)
+        best: dict[int, tuple[int, int, int, int]] = {}
+        span, first = self.bounds.window + self.bounds.edits, 0
+        while first < len(at):
+            # As many places as give no more hits, but all within a stretch's span at least.
+            last = np.searchsorted(total, total[first] - counts[first] + _HITS, side="right")
+            last = max(int(last), int(np.searchsorted(at, at[first] + 2 * span)))
+            self._count(signs, short, at[first:last], slot[first:last], best)
+            if last >= len(at):
+                break
+            first = max(first + 1, int(np.searchsorted(at, at[last - 1] - span)))
+        return list(best.values())
+
+    def _count(self, signs, short, at: np.ndarray, slot: np.ndarray, best: dict) -> None:
+        """Count the q-grams at some places in bands, and align where there are enough."""
+        counts = self.held[slot]
         if counts.sum() < self.least.min():
-            return []
+            return
         hit = np.repeat(self.first[slot] - np.cumsum(counts) + counts, counts)
         hit += np.arange(len(hit))
         at, owner, place = np.repeat(at, counts), self.owner[hit], self.place[hit]
-        best: dict[int, tuple[int, int, int, int]] = {}
         for lead in (0, 1):  # bands overlap by half, so that one holds all of a stretch
             width = self.width[owner]
             band = (at - place + lead * width) // (2 * width)
-            _, group, held = np.unique(
-                (owner << 40) + band + (1 << 39), return_inverse=True, return_counts=True
-            )
-            rows = np.flatnonzero(held[group] >= self.least[owner])
-            rows = rows[np.argsort(group[rows], kind="stable")]
-            for part in np.split(rows, np.flatnonzero(np.diff(group[rows])) + 1):
-                if not len(part):
-                    continue
+            key = (owner << 40) + band + (1 << 39)
+            order = np.argsort(key, kind="stable")
+            key = key[order]
+            edges = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
+            enough = np.diff(edges) >= self.least[owner[order[edges[:-1]]]]
+            for start, end in zip(edges[:-1][enough].tolist(), edges[1:][enough].tolist()):
+                part = order[start:end]
                 item = int(owner[part[0]])
                 if item in best and best[item][3] == 0:
                     continue
                 low = int(band[part[0]] * 2 * width[part[0]] - lead * width[part[0]])
-                found = self._in_band(item, signs, (at - place)[part], place[part], low)
-                if found and (item not in best or found[3] < best[item][3]):
-                    best[item] = found
-        return list(best.values())
+                near = self._in_band(item, signs, short, (at - place)[part], place[part], low)
+                if near and (item not in best or near[3] < best[item][3]):
+                    best[item] = near
 
-    def _in_band(self, item, signs, diagonal, place, low) -> tuple[int, int, int, int] | None:
-        """Align all stretches that hold enough of the q-grams shared in a band, which
-        starts at the diagonal ``low``; the best one."""
+    def _in_band(self, item, signs, short, diagonal, place, low) -> tuple | None:
+        """Align all stretches that hold enough of the q-grams shared in a band, long and
+        short ones, which starts at the diagonal ``low``; the best one."""
         length, edits = self.stretch(item)
-        text, q, best = self.texts[item], self.bounds.q, None
-        present = np.zeros(len(text) + 1, np.int64)
-        present[place + 1] = 1  # a q-gram of the stretch counts once
-        total = np.cumsum(present)
-        starts = np.arange(len(text) - length + 1)
-        shared = total[starts + length - q + 1] - total[starts]
+        text, width, best = self.texts[item], 2 * int(self.width[item]), None
+        # Only stretches with some of the long q-grams.
+        first = max(0, int(place.min()) + self.bounds.q - length)
+        starts = np.arange(first, min(len(text) - length, int(place.max())) + 1)
+        end = int(starts[-1]) + length
+        long = np.zeros(end - first + 1, np.int64)
+        long[place - first + 1] = 1  # a q-gram of the stretch counts once
+        shared = _inside(long, starts - first, length - self.bounds.q + 1)
         due = starts[shared >= self.least[item]]
-        due = due[np.argsort(-shared[due], kind="stable")]
-        # An edit takes at most q of the q-grams, so no stretch has fewer edits than this.
-        lowest = -((shared[due] - (length - q + 1)) // q)
-        most = edits
-        for first in range(0, len(due), _ALIGNED):
-            if lowest[first] > most:
-                break
-            some = due[first : first + _ALIGNED]
+        if not len(due):
+            return None
+        own = self.short_grams[item][first : end - _SHORT + 1]
+        at = np.arange(first, first + len(own)) + low + np.arange(width)[:, None]
+        same = short[np.clip(at, 0, len(short) - 1)] == own
+        same &= (at >= 0) & (at < len(short))
+        present = np.concatenate([[0], same.any(axis=0)])
+        shared = _inside(present, due - first, length - _SHORT + 1)
+        due, shared = due[shared >= self.least_short[item]], shared[shared >= self.least_short[item]]
+        order = np.argsort(-shared, kind="stable")
+        due, shared = due[order], shared[order]
+        # An edit takes at most so many of the q-grams, so no stretch has fewer than this.
+        lowest = -((shared - (length - _SHORT + 1)) // _SHORT)
+        most, start, size = edits, 0, 8
+        while start < len(due) and lowest[start] <= most:
+            some = due[start : start + size]
+            start, size = start + size, min(2 * size, _ALIGNED)
             patterns = text[some[:, None] + np.arange(length)]
-            width = 2 * int(self.width[item])
             distances = banded_distances(patterns, signs, some + low, width, most)
             distance = int(distances.min())
             if distance > most:
                 continue
-            start = int(some[np.argmin(distances)])
-            inside = (place >= start) & (place <= start + length - q)
-            shift = start + int(np.median(diagonal[inside]))
+            found = int(some[np.argmin(distances)])
+            inside = (place >= found) & (place <= found + length - self.bounds.q)
+            shift = found + int(np.median(diagonal[inside]))
             best = item, max(0, shift), min(len(signs), shift + length), distance
             most = distance - 1
         return best
 
 
+def _inside(present: np.ndarray, starts: np.ndarray, count: int) -> np.ndarray:
+    """How many of ``count`` places from each start on are marked, the first at 1."""
+    total = np.cumsum(present)
+    return total[starts + count] - total[starts]
+
+
 def _blocks(benchmark: DataFrame, bounds: Bounds) -> Iterator[list[tuple[int, str]]]:
     """The benchmark's texts in blocks of bounded size, one at a time."""
     block, size = [], 0
@@ -296,11 +352,26 @@ def contaminations(
     return found.groupBy("doc_id", "item_id").agg(least).select("doc_id", "item_id", "best.*")
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The documents in which no benchmark text was found, all columns as they are.
+def decontaminate(
+    docs: DataFrame, benchmark: DataFrame, text: str = "text", bounds: Bounds = Bounds()
+) -> DataFrame:
+    """The rows in whose text no benchmark text was found, all columns as they are.
 
-    Documents without id cannot be named and stay.
+    Each row is judged by its own text, where it is read; nothing is shuffled. Null and empty
+    texts stay. A benchmark without rows drops nothing, and an empty table gives an empty one.
     """
-    doc_id = options.get("doc_id", "doc_id")
-    found = contaminations(docs, benchmark, **options).select(F.col("doc_id").alias(doc_id))
-    return docs.join(found.distinct(), doc_id, "left_anti").select(all_columns(docs))
+    clean = fresh(docs, "clean")
+    names = all_columns(docs)
+    for block in _blocks(benchmark.select("item_id", "text"), bounds):
+        if not block:
+            continue
+        sent = docs.sparkSession.sparkContext.broadcast((block, tuple(bounds)))
+
+        def judge(sent=sent):
+            items, limits = sent.value
+            index = Benchmark(items, Bounds(*limits))
+            return lambda texts: [[not index.matches(value) for value in texts]]
+
+        judged = with_answers(docs, text, judge, **{clean: "boolean"})
+        docs = judged.where(F.col(quoted(clean))).select(*names)
+    return docs
