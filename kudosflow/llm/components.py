@@ -25,14 +25,17 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     state = _state(edges)
     while state[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("w"))
+        # Stored, so that both sides of a join are shuffled and adaptive execution can split
+        # the ids of a hub.
+        least = stored(both.groupBy("u").agg(F.least("u", F.min("v")).alias("w")), "least")
         large = (
             both.where("v > u")
             .join(least, "u")
             .select(F.col("v").alias("u"), F.col("w").alias("v"))
             .distinct()
         )
-        least = large.groupBy("u").agg(F.min("v").alias("w"))
+        large = stored(large, "stars")
+        least = stored(large.groupBy("u").agg(F.min("v").alias("w")), "least")
         small = (
             large.join(least, "u")
             .select(F.col("v").alias("u"), F.col("w").alias("v"))
