@@ -169,8 +169,19 @@ BASE = (
         "phone|call|tel|mobile",
     ),
 )
-#: Kinds the method adds. An account number is confirmed by its checksum; a national
-#: number has none, so that only context lifts it over the least score.
+def _secret(match: Column) -> Column:
+    """Whether letters and digits take turns, and enough signs are different."""
+    def runs(pattern: str) -> Column:
+        return F.size(F.regexp_extract_all(match, F.lit(pattern), F.lit(0)))
+
+    signs = F.array_distinct(F.filter(F.split(match, ""), lambda sign: sign != ""))
+    return (runs("[0-9]+") >= 2) & (runs("[A-Za-z]+") >= 2) & (F.size(signs) >= 10)
+
+
+_SECRET = "[A-Za-z0-9_+/-]{20,}"
+#: Kinds the method adds. An account number is confirmed by its checksum. A national number
+#: and a secret have none, so that only context lifts them over the least score: a hash or an
+#: address that nothing calls a token or a key is left alone.
 ADDED = (
     Kind(
         "iban",
@@ -190,6 +201,14 @@ ADDED = (
         30,
         "ssn|social security|national id|identity number",
     ),
+    Kind(
+        "secret",
+        rf"(?<![A-Za-z0-9_+/-]){_SECRET[:-1]}}}+={{0,2}}",
+        "",
+        _secret,
+        30,
+        "token|secret|passw|credential|bearer|auth|(?:[a-z]+[_-])*(?:key|token|secret)",
+    ),
 )
 KINDS = BASE + ADDED
 _SPAN = "struct<start:bigint,kind_no:int,end:bigint,kind:string,score:int>"
@@ -351,6 +370,7 @@ def _sql_kinds() -> str:
         "card": r"[0-9](?:[\x20-]?[0-9])+",
         "iban": r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?\b",
         "national_id": r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b",
+        "secret": rf"{_SECRET}={{0,2}}",
     }
     rows = [
         f"({i}, '{kind.name}', '{plain.get(kind.name, kind.pattern)}', {kind.score},"
@@ -399,6 +419,9 @@ checked AS (
       string_split(substr(code, 5) || substr(code, 1, 4), ''),
       lambda s: CASE WHEN s >= 'A' THEN ascii(s) - 55 ELSE ascii(s) - 48 END)),
       lambda rest, x: (rest * CASE WHEN x > 9 THEN 100 ELSE 10 END + x) % 97) = 1
+    WHEN 'secret' THEN len(regexp_extract_all(match, '[0-9]+')) >= 2
+      AND len(regexp_extract_all(match, '[A-Za-z]+')) >= 2
+      AND len(list_distinct(string_split(match, ''))) >= 10
     ELSE NOT regexp_matches(match, '^(?:000|666|9)|-00-|-0000$') END AS valid
   FROM located),
 found AS (
