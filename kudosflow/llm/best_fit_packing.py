@@ -215,9 +215,19 @@ def token_pieces(
     return rows.mapInArrow(cut, schema + ", ids binary" * ids)
 
 
-def pack(
-    rows: DataFrame, limit: int = 2048, groups: int = 256, short: int | None = None
-) -> DataFrame:
+#: Numbers of groups, and what the limit is divided by for the longest short length. Few
+#: groups waste room in each sequence, many leave odd configurations at the end.
+SHAPES = (256, 16), (512, 16), (1024, 8), (2048, 4), (2048, 2)
+
+
+def fewest(counts: dict[int, int], limit: int, shapes=SHAPES) -> Packer:
+    """The packing with the fewest sequences, by several numbers of groups; of equal ones the
+    first. Each is planned on the histogram, whose size the limit bounds."""
+    packers = (Packer(counts, limit, groups, limit // part) for groups, part in shapes)
+    return min(packers, key=lambda packer: sum(run.n for run in packer.runs))
+
+
+def pack(rows: DataFrame, limit: int = 2048, shapes=SHAPES) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to pieces that have ``length`` and an order.
 
     Pieces of one sequence follow each other without gaps. Equal pieces may stand for
@@ -226,8 +236,7 @@ def pack(
     counts = {row["length"]: row["count"] for row in rows.groupBy("length").count().collect()}
     if any(not 1 <= length <= limit for length in counts):
         raise ValueError(f"a piece has no tokens or more than {limit}")
-    short = limit // 16 if short is None else short
-    plan = Packer(counts, limit, groups, short).plan()
+    plan = fewest(counts, limit, shapes).plan()
     sent = rows.sparkSession.sparkContext.broadcast(plan)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
