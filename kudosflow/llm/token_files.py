@@ -82,16 +82,20 @@ def write_token_files(
 ) -> None:
     """Write the ids of every text and ``end_id``, by ascending document id.
 
-    Documents without id come first; of rows that repeat an id, those with the same text
-    may change places. A missing text has the end id only. An empty table gives an empty
+    Documents without id come first; rows that repeat an id come by a hash of their text,
+    those with the same text as they were read. So rows of one id, and copies of one row, are
+    dealt to many tasks. A missing text has the end id only. An empty table gives an empty
     file set that can be read.
     """
     holder = df.sparkSession.sparkContext.broadcast({"json": tokenizer_json})
     end = np.array([end_id], "<u4").tobytes()
     ordered = (
         df.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-        .repartitionByRange("doc_id")
-        .sortWithinPartitions("doc_id", "text")
+        .withColumn("hash", F.xxhash64("text"))
+        .withColumn("task", F.spark_partition_id())
+        .repartitionByRange("doc_id", "hash", "task")
+        .sortWithinPartitions("doc_id", "hash", "task")
+        .select("doc_id", "text")
     )
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
