@@ -19,8 +19,11 @@ from kudosflow.llm.tokens import read_tokenizer
 
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that language identification rejects: without letters, or far from
-    every language of the labelled documents. Without labels every document goes."""
+    every language of the labelled documents. If none is labelled there is nothing to be far
+    from, and only texts without letters go, null and empty ones among them."""
     model = language_id.fit_languages(docs.where(~language_id.held_out()))
+    if not model.names:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     judged = language_id.identify(docs, model)
     return judged.where(~F.col(judged.columns[-1])).select(all_columns(docs))
 
@@ -34,12 +37,14 @@ def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents with a passage of the table ``benchmark``."""
+    """Drop documents with a passage of the table ``benchmark``, each row by its own text;
+    null and empty texts stay, and a benchmark without rows drops nothing."""
     return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Put ``<KIND>`` in place of personal data; all documents stay."""
+    """Put ``<KIND>`` in place of personal data; all documents stay, and null and empty texts
+    stay as they are. An empty table gives an empty one."""
     spans = fresh(docs, "pii_spans")
     found = pii.find_pii(docs, spans=spans)
     redacted = found.withColumn("text", pii.redact(F.col("text"), F.col(spans)))
