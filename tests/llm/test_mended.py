@@ -1,0 +1,126 @@
+"""What earlier rounds left weak: hot ids, few sequences, secrets, hubs, long benchmarks."""
+
+import numpy as np
+import public_tokenizers
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from kudosflow.llm import best_fit_packing, components, decontaminate, pii, token_files
+
+RNG = np.random.default_rng(5)
+
+
+def _best_fit_decreasing(counts, limit):
+    free, sequences = [0] * (limit + 1), 0
+    for length in sorted(counts, reverse=True):
+        for _ in range(counts[length]):
+            room = next((r for r in range(length, limit + 1) if free[r]), None)
+            if room is None:
+                sequences, room = sequences + 1, limit
+            else:
+                free[room] -= 1
+            free[room - length] += 1
+    return sequences
+
+
+def test_no_more_sequences_than_best_fit_decreasing():
+    for scale in (30, 300, 1_500):
+        lengths = np.minimum(2048, RNG.lognormal(np.log(scale), 1.0, 8_000).astype(int) + 1)
+        counts = dict(zip(*(x.tolist() for x in np.unique(lengths, return_counts=True))))
+        packer = best_fit_packing.fewest(counts, 2048)
+        used = sum(run.n for run in packer.runs)
+        assert used <= 1.001 * _best_fit_decreasing(counts, 2048) + 1
+        assert sum(run.n * len(run.contents) for run in packer.runs) == len(lengths)
+
+
+def test_rows_of_one_id_are_written_by_many_tasks(spark, tmp_path, set_conf):
+    set_conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    with open(public_tokenizers.path("word_bpe_49k.json")) as file:
+        tokenizer = file.read()
+    number = F.col("id")
+    texts = F.when(number % 2 == 0, "copy").otherwise(F.concat(F.lit("w"), number))
+    docs = spark.range(0, 20_000, 1, 8).select(F.lit(None).cast("bigint").alias("doc_id"), texts.alias("text"))
+    docs = docs.unionByName(spark.range(3).select(number.alias("doc_id"), F.lit("x").alias("text")))
+    path = str(tmp_path / "files")
+    token_files.write_token_files(docs, path, tokenizer)
+    parts = spark.read.parquet(path).groupBy("part").agg(F.sum("n_docs").alias("n")).collect()
+    assert len(parts) >= 3 and max(row.n for row in parts) < 12_000
+    found = sorted(token_files.read_token_files(spark, path).collect(), key=lambda row: row.start)
+    assert [row.doc_id for row in found] == [None] * 20_000 + [0, 1, 2]
+    assert [row.start for row in found] == np.cumsum([0, *(r.n_tokens for r in found[:-1])]).tolist()
+
+
+def test_secrets_are_found_and_redacted(spark):
+    key = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+    rows = [
+        (1, f'a token = "{key}" b'), (2, f"commit {key} of the tree"), (3, f"password: {key}"),
+        (4, "the key is a-very-long-word-without-any-number"), (5, None), (6, ""),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    found = pii.find_pii(docs)
+    texts = {row.doc_id: row.t for row in found.select("doc_id", pii.redact(F.col("text"), F.col("pii_spans")).alias("t")).collect()}
+    assert texts == {
+        1: 'a token = "<SECRET>" b', 2: rows[1][1], 3: "password: <SECRET>", 4: rows[3][1], 5: None, 6: "",
+    }
+
+
+def test_a_hub_of_links_is_split(spark, set_conf, plan_of, monkeypatch):
+    """One id that most links share: answers as ever, and its joins can be split."""
+    links = spark.range(1, 30_001).select(F.lit(0).cast("bigint").alias("a"), F.col("id").alias("b"))
+    links = links.unionByName(spark.createDataFrame([(40_000, 40_001)], "a bigint, b bigint"))
+    set_conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    set_conf("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    set_conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4k")
+    set_conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "8k")
+    set_conf("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "1.2")
+    set_conf("spark.sql.adaptive.coalescePartitions.enabled", "false")  # many files, many tasks
+    set_conf("spark.sql.shuffle.partitions", "8")
+    set_conf("spark.sql.files.maxPartitionBytes", "8k")
+    plans, stored = [], components.stored
+
+    def watched(df, name):
+        out = stored(df, name)
+        if name == "stars":
+            again = df.groupBy().count()
+            again.collect()
+            plans.append(plan_of(again))
+        return out
+
+    monkeypatch.setattr(components, "stored", watched)
+    found = components.components(links).collect()
+    assert {row.id: row.component for row in found} == {
+        **dict.fromkeys(range(30_001), 0), 40_000: 40_000, 40_001: 40_000,
+    }
+    assert any("skew=true" in plan for plan in plans)
+
+
+def test_long_texts_and_frequent_grams_are_searched_in_parts(monkeypatch):
+    """However few shared q-grams are counted at once, the same items are found."""
+    words = RNG.choice(["river", "of", "the", "house", "and", "green"], 4_000)
+    text = " ".join(words)
+    items = [(i, " ".join(words[i * 40 : i * 40 + 30])) for i in range(0, 100, 7)]
+    edited = [(200, items[3][1][:40] + "x" + items[3][1][42:])]
+    index = decontaminate.Benchmark(items + edited, decontaminate.Bounds())
+    wanted = sorted((item, edits) for item, _, _, edits in index.matches(text))
+    assert {item for item, _ in wanted} == set(range(len(items) + 1))
+    monkeypatch.setattr(decontaminate, "_HITS", 50)
+    assert sorted((item, edits) for item, _, _, edits in index.matches(text)) == wanted
+
+
+def test_rows_are_judged_without_a_shuffle(spark, plan_of):
+    item = "a passage of the benchmark that has more than forty letters and digits in all"
+    rows = [(1, f"x {item} y", "a"), (1, "clean", "b"), (None, item, "c"), (None, None, "d"), (2, "", "e")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, clean string")
+    benchmark = spark.createDataFrame([(9, item)], "item_id int, text string")
+    kept = decontaminate.decontaminate(docs, benchmark)
+    assert kept.columns == docs.columns
+    assert sorted(row.clean for row in kept.collect()) == ["b", "d", "e"]
+    assert "Exchange" not in plan_of(kept)
+    assert decontaminate.decontaminate(docs, benchmark.limit(0)).count() == 5
+
+
+def test_the_pipeline_keeps_documents_that_no_label_helps_to_judge(spark):
+    rows = [(1, "some words", None), (2, "12 !", None), (3, None, None), (4, "été", None)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, lang string")
+    kept = corpus_pipeline.identify_languages(spark, docs, "")
+    assert sorted(row.doc_id for row in kept.collect()) == [1, 4]
