@@ -20,7 +20,6 @@ themselves are counted in one container, whose runs are dealt by a hash.
 from __future__ import annotations
 
 import gc
-import hashlib
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -34,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
 from kudosflow.llm.common import lists, record_batch, stored
 
@@ -87,8 +87,7 @@ class Mining(NamedTuple):
     top: int = 2_000
 
 
-def word_hash(word: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+word_hash = xxh3_64_intdigest
 
 
 def phrase_hash(lang: str, words: list[bytes]) -> int:
@@ -320,11 +319,11 @@ class Words:
         if self.held <= most:
             return
         parts = defaultdict(list)
-        for word in sorted(self.counts):
+        for word in self.counts:
             parts[zlib.crc32(word) % WORD_PARTS].append(word)
         runs = _Runs(self.lang)
         for part, words in parts.items():
-            yield from runs.add(part, b"", words, self.counts)
+            yield from runs.add(part, b"", sorted(words), self.counts)
         yield from runs.rest()
         self.clear()
 
