@@ -580,30 +580,42 @@ divided AS (
 totals AS (
     SELECT lang, sum(len(w)) AS n FROM divided GROUP BY lang
 ),
-counts AS (
+places AS (
+    SELECT lang, number, unnest(w) AS w1, unnest(range(len(w))) AS place
+    FROM (SELECT lang, w, row_number() OVER () AS number FROM divided)
+),
+following AS (
+    SELECT *, lead(w1, 1) OVER piece AS w2, lead(w1, 2) OVER piece AS w3, lead(w1, 3) OVER piece AS w4
+    FROM places
+    WINDOW piece AS (PARTITION BY number ORDER BY place)
+),
+counts AS MATERIALIZED (
     SELECT lang, phrase, words, count(*) AS f
     FROM (
-        SELECT lang, words,
-            unnest(list_transform(
-                range(1, len(w) - words + 2),
-                lambda i: array_to_string(w[i : i + words - 1], ' ')
-            )) AS phrase
-        FROM divided, range(1, 5) AS lengths(words)
-        WHERE len(w) >= words
+        SELECT lang, 1 AS words, w1 AS phrase FROM following
+        UNION ALL SELECT lang, 2, w1 || ' ' || w2 FROM following
+        UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3 FROM following
+        UNION ALL SELECT lang, 4, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 FROM following
     )
+    WHERE phrase IS NOT NULL
     GROUP BY lang, phrase, words
     HAVING count(*) >= 30
 ),
 phrases AS (
     SELECT *, string_split(phrase, ' ') AS w FROM counts WHERE words >= 2
 ),
-cuts AS (
-    SELECT p.lang, p.phrase, p.f AS a, k.k, l.f AS l, r.f AS r,
-        (2000000::HUGEINT * p.f) // (l.f + r.f) AS score
+parts AS MATERIALIZED (
+    SELECT p.lang, p.phrase, p.f AS a, k.k,
+        array_to_string(p.w[1 : k.k], ' ') AS first, array_to_string(p.w[k.k + 1 :], ' ') AS rest
     FROM phrases p
     JOIN range(1, 4) AS k(k) ON k.k < p.words
-    JOIN counts l ON l.lang = p.lang AND l.phrase = array_to_string(p.w[1 : k.k], ' ')
-    JOIN counts r ON r.lang = p.lang AND r.phrase = array_to_string(p.w[k.k + 1 :], ' ')
+),
+cuts AS (
+    SELECT p.lang, p.phrase, p.a, p.k, l.f AS l, r.f AS r,
+        (2000000::HUGEINT * p.a) // (l.f + r.f) AS score
+    FROM parts p
+    JOIN counts l ON l.lang = p.lang AND l.phrase = p.first
+    JOIN counts r ON r.lang = p.lang AND r.phrase = p.rest
 ),
 scored AS (
     SELECT * FROM cuts
