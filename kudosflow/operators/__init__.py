@@ -1,6 +1,13 @@
 from kudosflow.operators.filters import drop_incomplete
 from kudosflow.operators.joins import large_join, null_safe_join, semi_join_in, split_join
-from kudosflow.operators.limits import Limits, fits_broadcast, frequent_values, measured_bytes
+from kudosflow.operators.limits import (
+    Limits,
+    fits_broadcast,
+    frequent_values,
+    measured_bytes,
+    measured_sizes,
+    which_fit,
+)
 from kudosflow.operators.membership import possible_matches
 from kudosflow.operators.ranking import first_per_group, number_rows
 from kudosflow.operators.views import cached_view, register_views, sql_view
@@ -14,6 +21,7 @@ __all__ = [
     "frequent_values",
     "large_join",
     "measured_bytes",
+    "measured_sizes",
     "null_safe_join",
     "number_rows",
     "possible_matches",
@@ -21,4 +29,5 @@ __all__ = [
     "semi_join_in",
     "split_join",
     "sql_view",
+    "which_fit",
 ]

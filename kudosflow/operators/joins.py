@@ -40,17 +40,18 @@ def large_join(
     counted: DataFrame | None = None,
     selective: bool = False,
     limits: Limits = DEFAULT,
+    fits: bool | None = None,
 ) -> DataFrame:
     """Join a large ``left`` without shuffling it where ``right`` allows that.
 
     ``right`` is broadcast if its measured size permits, and otherwise joined as
     in ``split_join``. ``bound`` is a plan at least as large as ``right`` but
-    cheaper to measure. ``how`` is inner, left or left_semi. If the join is ``selective``,
+    cheaper to measure, and ``fits`` says what a measurement before has found. ``how`` is inner, left or left_semi. If the join is ``selective``,
     so that few rows of ``left`` have partners, a bitmap of the keys of ``bound`` takes most
     others out where they are read, before the shuffle.
     """
     keys = right if bound is None else bound
-    if fits_broadcast(keys, limits):
+    if fits_broadcast(keys, limits) if fits is None else fits:
         return _join(left, F.broadcast(right), key, how, null_safe)
     if selective and how != "left":
         names = [F.col(f"`{name}`") for name in left.columns]

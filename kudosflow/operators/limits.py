@@ -7,7 +7,7 @@ from functools import reduce
 from math import ceil
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
@@ -25,6 +25,8 @@ from pyspark.sql.types import (
     StructType,
 )
 
+from kudosflow.observed import observed
+
 
 @dataclass(frozen=True)
 class Limits:
@@ -58,9 +60,8 @@ _SIMPLE = (BooleanType, ByteType, ShortType, IntegerType, LongType, DateType, De
 SKETCH_GROUPS = 256
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Bytes of all values of ``df`` plus a fixed cost per row; runs one aggregate."""
-    per_row = F.lit(16 + 8 * len(df.columns)).cast("long")
+def _row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row's texts and nested values plus a fixed cost."""
     sizes = []
     for field in df.schema:
         column = F.col(f"`{field.name}`")
@@ -69,13 +70,46 @@ def measured_bytes(df: DataFrame) -> int:
         elif not isinstance(field.dataType, (StringType, BinaryType)):
             continue
         sizes.append(F.coalesce(F.octet_length(column), F.lit(0)).cast("long"))
-    (total,) = df.agg(F.sum(reduce(Column.__add__, sizes, per_row))).collect()
-    return total[0] or 0
+    return reduce(Column.__add__, sizes, F.lit(16 + 8 * len(df.columns)).cast("long"))
+
+
+def measured_sizes(sides: list[DataFrame]) -> list[int]:
+    """Bytes of all values of each side plus a fixed cost per row.
+
+    One job over all sides, without a shuffle: the sums are gathered while the rows pass.
+    """
+    rows = reduce(
+        DataFrame.unionAll,
+        [
+            df.select(_row_bytes(df).alias("bytes"), F.lit(i).alias("side"))
+            for i, df in enumerate(sides)
+        ],
+    )
+    sums = [
+        F.sum(F.when(F.col("side") == i, F.col("bytes"))).alias(f"s{i}")
+        for i in range(len(sides))
+    ]
+    seen = Observation()
+    rows.observe(seen, *sums).write.format("noop").mode("overwrite").save()
+    found = observed(seen)
+    return [found.get(f"s{i}") or 0 for i in range(len(sides))]
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of all values of ``df`` plus a fixed cost per row; runs one job."""
+    return measured_sizes([df])[0]
+
+
+def which_fit(sides: list[DataFrame], limits: Limits = DEFAULT) -> list[bool]:
+    """Which of the sides may be sent to every executor, each as a whole; one job."""
+    if limits.broadcast_bytes < 0:
+        return [False] * len(sides)
+    return [size <= limits.broadcast_bytes for size in measured_sizes(sides)]
 
 
 def fits_broadcast(df: DataFrame, limits: Limits = DEFAULT) -> bool:
     """Whether ``df`` as a whole may be sent to every executor."""
-    return measured_bytes(df) <= limits.broadcast_bytes
+    return which_fit([df], limits)[0]
 
 
 def frequent_values(df: DataFrame, key: str, limits: Limits = DEFAULT) -> list[Any]:

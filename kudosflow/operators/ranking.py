@@ -11,6 +11,10 @@ from kudosflow.session import scratch_path
 # Rows of one group of equal rows that a single task writes out.
 COPIES_PER_TASK = 100_000
 
+# Hash buckets that a first count tells apart, and the most of them it may find full.
+BUCKETS = 1 << 18
+FULL_BUCKETS = 1 << 12
+
 
 def first_per_group(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
     """The first row of each ``key``.
@@ -39,11 +43,18 @@ def number_rows(
     rows are numbered apart, each over many tasks; if there are more than
     ``limits.hot_keys`` of them, all keys are. To count the rows of each key,
     ``counted`` may stand in for ``df``: a plan that is cheaper to run and holds
-    each key as often or more.
+    each key as often or more. It is counted by a hash of the key first, and by the
+    key itself only where a hash has as many rows as a large key.
     """
     value = layout_value(F.col(key), df.schema[key].dataType)
     alike = F.col(key) if value is None else value
-    sizes = (df if counted is None else counted).groupBy(alike.alias("row__value")).count()
+    rows = _possibly_large(
+        (df if counted is None else counted).select(alike.alias("row__value")), limits
+    )
+    if rows is None:
+        window = Window.partitionBy(key).orderBy(*order)
+        return df.withColumn(name, F.row_number().over(window).cast("bigint"))
+    sizes = rows.groupBy("row__value").count()
     large = sizes.where(F.col("count") > limits.hot_rows)
     hot = large.limit(limits.hot_keys + 1).collect()
     window = Window.partitionBy(key).orderBy(*order)
@@ -51,7 +62,7 @@ def number_rows(
     if not hot:
         return df.withColumn(name, number)
     if len(hot) > limits.hot_keys or value is None:
-        rows = sizes.agg(F.sum("count")).first()[0]
+        rows = (df if counted is None else counted).count()
         return _number_spread(df, rows, key, order, name, limits)
     values = [row["row__value"] for row in hot]
     rows = sum(row["count"] for row in hot)
@@ -60,6 +71,31 @@ def number_rows(
     return others.unionByName(spread)
 
 
+def _possibly_large(values: DataFrame, limits: Limits) -> DataFrame | None:
+    """The rows of ``row__value`` that may belong to a key with over ``limits.hot_rows`` rows.
+
+    One pass counts by a hash: each task sends ``BUCKETS`` rows at most, however many keys
+    there are, and the driver gets the full buckets only. None if there is none; all rows if
+    over ``FULL_BUCKETS`` are full, or equal keys may have unlike hashes.
+    """
+    if layout_value(F.col("row__value"), values.schema["row__value"].dataType) is None:
+        return values
+    bucket = F.pmod(F.xxhash64("row__value"), F.lit(BUCKETS)).cast("int")
+    full = (
+        values.groupBy(bucket.alias("bucket"))
+        .count()
+        .where(F.col("count") > limits.hot_rows)
+        .select("bucket")
+        .limit(FULL_BUCKETS + 1)
+        .collect()
+    )
+    if len(full) > FULL_BUCKETS:
+        return values
+    if not full:
+        return None
+    return values.where(bucket.isin([row["bucket"] for row in full]))
+
+
 def _comparable(df: DataFrame) -> list[Column]:
     """Columns that can be grouped and hashed: maps, wherever they are, as JSON."""
     return [

@@ -10,13 +10,13 @@ from kudosflow.operators import (
     Limits,
     drop_incomplete,
     first_per_group,
-    fits_broadcast,
     large_join,
     null_safe_join,
     possible_matches,
     register_views,
     split_join,
     sql_view,
+    which_fit,
 )
 from kudosflow.operators.limits import DEFAULT
 from kudosflow.session import scratch_path
@@ -62,14 +62,13 @@ def best_reviews(
     """
     businesses = drop_incomplete(businesses.select(*schemas.TOP_RATED_BUSINESSES.names))
     rated = reviews.where(F.col("stars") == rating).withColumnRenamed("date", "review_date")
-    few = fits_broadcast(businesses, limits)
+    people, best = best_users(users)
+    few, small = which_fit([businesses, people], limits)
     if few:
         ids = F.broadcast(businesses.select("business_id"))
         wanted = rated.join(ids, "business_id", "left_semi")
     else:
         wanted = possible_matches(rated, businesses, ["business_id"], limits=limits)
-    people, best = best_users(users)
-    small = fits_broadcast(people, limits)
     if not small:
         wanted = possible_matches(wanted, people, ["user_id"], True, limits)
 
@@ -131,13 +130,14 @@ def reviewed_by_engaged(
     businesses = businesses.select(*schemas.REVIEWED_BY_ENGAGED.names)
     ids = businesses.select("business_id")
     picks = reviews.where(F.col("stars") == rating).select("business_id", "user_id")
-    few = fits_broadcast(ids, limits)
+    engaged = users.select("user_id")
+    few, small = which_fit([ids, engaged], limits)
     if few:
         picks = picks.join(F.broadcast(ids), "business_id", "left_semi")
     else:
         picks = possible_matches(picks, ids, ["business_id"], limits=limits)
     by_engaged = large_join(
-        picks, users.select("user_id"), "user_id", "left_semi", selective=True, limits=limits
+        picks, engaged, "user_id", "left_semi", selective=True, limits=limits, fits=small
     )
     if few:
         # No more ids than were sent out are left.

@@ -1,5 +1,6 @@
 from kudosflow.sinks.writers import (
     overwrite,
+    overwrite_bucketed,
     overwrite_merging_schema,
     overwrite_partitioned,
     replace_external_table,
@@ -8,6 +9,7 @@ from kudosflow.sinks.writers import (
 
 __all__ = [
     "overwrite",
+    "overwrite_bucketed",
     "overwrite_merging_schema",
     "overwrite_partitioned",
     "replace_external_table",

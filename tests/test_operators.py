@@ -18,6 +18,7 @@ from kudosflow.operators import (
     frequent_values,
     large_join,
     measured_bytes,
+    measured_sizes,
     null_safe_join,
     number_rows,
     possible_matches,
@@ -25,6 +26,7 @@ from kudosflow.operators import (
     semi_join_in,
     split_join,
     sql_view,
+    which_fit,
 )
 from kudosflow.plans import gold, silver
 
@@ -147,6 +149,23 @@ def test_a_key_above_the_floor_is_split_however_small_its_share(spark):
     }
 
 
+def test_keys_are_counted_by_hash_before_one_by_one(spark):
+    keys = spark.range(0, 5_000, 1, 4).select(
+        F.when(F.col("id") < 100, F.lit(None)).otherwise(F.col("id")).alias("row__value")
+    )
+    # One other key shares the bucket of the NULLs.
+    assert ranking._possibly_large(keys, Limits(hot_rows=101)) is None
+    few = ranking._possibly_large(keys, Limits(hot_rows=50))
+    assert 100 <= few.count() < 200 and few.where("row__value IS NULL").count() == 100
+    before = ranking.FULL_BUCKETS
+    ranking.FULL_BUCKETS = 10
+    try:
+        assert ranking._possibly_large(keys, Limits(hot_rows=0)).count() == 5_000
+    finally:
+        ranking.FULL_BUCKETS = before
+    assert ranking._possibly_large(keys.limit(0), Limits(hot_rows=0)) is None
+
+
 @SLOW
 @given(left=ROWS, right=ROWS)
 def test_semi_join_in(spark, rows_of, left, right):
@@ -250,6 +269,23 @@ def test_measured_bytes(spark):
     assert not fits_broadcast(narrow, Limits(broadcast_bytes=66))
 
 
+def test_sides_are_measured_in_one_job(spark):
+    narrow = table(spark, [("abc", 1), (None, 2)], ["a string", "b int"])
+    empty = table(spark, [], ["a string"])
+    grouped = spark.range(0, 100, 1, 4).groupBy((F.col("id") % 5).alias("k")).count()
+    assert measured_sizes([narrow, empty, grouped]) == [67, 0, 5 * 32]
+    assert measured_sizes([empty, narrow.where("b > 2")]) == [0, 0]
+    assert which_fit([narrow, grouped], Limits(broadcast_bytes=100)) == [True, False]
+    assert which_fit([empty, grouped], Limits(broadcast_bytes=-1)) == [False, False]
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("measured", "one job")
+    try:
+        which_fit([narrow, spark.range(0, 100, 1, 4)])
+        assert len(tracker.getJobIdsForGroup("measured")) == 1
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 @pytest.mark.parametrize("ansi", ["true", "false"])
 def test_scalar_functions(spark, set_conf, ansi):
     set_conf("spark.sql.ansi.enabled", ansi)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from kudosflow import schemas
 from kudosflow.operators import Limits, drop_incomplete, first_per_group, large_join
 from kudosflow.plans import gold
-from kudosflow.sinks import overwrite_partitioned
+from kudosflow.sinks import overwrite_bucketed, overwrite_partitioned
 from kudosflow.sources import read_table
 
 SHUFFLED = Limits(broadcast_bytes=-1)
@@ -144,6 +144,43 @@ def test_hot_users_are_dealt_out_in_one_pass(silver, plan_of, no_small_sides, ro
     assert rows_of(reviewed) == rows_of(gold.reviewed_by_engaged(*silver))
 
 
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_reviews_laid_out_by_user_are_joined_where_they_lie(
+    spark, silver, plan_of, rows_of, no_small_sides, set_conf, tmp_path, adaptive
+):
+    set_conf("spark.sql.adaptive.enabled", adaptive)
+    businesses, users, reviews = silver
+    name = f"reviews_by_user_{adaptive}"
+    try:
+        laid_out = overwrite_bucketed(reviews, name, str(tmp_path / "r"), "stars", "user_id", 16)
+        assert rows_of(laid_out.select(*reviews.columns)) == rows_of(reviews)
+        # Written again with a column less, the table keeps it.
+        fewer = reviews.drop("review_text")
+        again = overwrite_bucketed(fewer, name, str(tmp_path / "r"), "stars", "user_id", 16)
+        assert again.where("review_text IS NULL").count() == reviews.count()
+        limits = Limits(broadcast_bytes=0)
+        answer = gold.reviewed_by_engaged(businesses, users, again, limits=limits)
+        assert rows_of(answer) == rows_of(gold.reviewed_by_engaged(*silver))
+        plan = re.sub(r"#\d+L?", "", plan_of(answer)).split("== Initial Plan ==")[0].splitlines()
+        (scan,) = [i for i, line in enumerate(plan) if f"{name}[business_id,user_id" in line]
+        met = max(i for i in range(scan) if "SortMergeJoin [user_id], [user_id]" in plan[i])
+        assert not any("Exchange hashpartitioning" in line for line in plan[met:scan])
+        assert "Bucketed: true" in plan[scan]
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_the_answers_measure_their_sides_once(spark, silver):
+    tracker = spark.sparkContext.statusTracker()
+    for number, answer in enumerate((gold.best_reviews, gold.reviewed_by_engaged)):
+        spark.sparkContext.setJobGroup(f"sides{number}", "before the answer returns")
+        try:
+            answer(*silver)
+            assert len(tracker.getJobIdsForGroup(f"sides{number}")) == 1
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_the_cache_of_the_sql_answer_holds_one_column(silver, spark):
     view = gold.reviewed_ids_view(spark, *silver)
     assert view.columns == ["business_id"]
