@@ -12,7 +12,8 @@ Links are confirmed on the full shingle sets. Groups are never expanded into all
    bucket or, if the bucket is large, of the part of it that one task has read. What is
    confirmed is merged into components.
 3. Buckets that still hold several components compare the classes of different
-   components, block by block. Each pair is due in the first bucket it shares. What
+   components, block by block; in a large block only those that agree in enough places
+   of another chunk, without which no pair is worth confirming. Each pair is due in the first bucket it shares. What
    comes out of a block is the classes with a pair to confirm, then, with their full
    sets at hand, one link for each component that is found to belong to another.
 """
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
+from math import comb
 from typing import NamedTuple
 
 import numpy as np
@@ -39,6 +41,8 @@ _STEP = 1 << 14
 _STRETCH = 1 << 20
 #: Keys per signature that can be told apart.
 _NUMBERS = 128
+#: Groups with fewer rows are compared pair by pair without a further look.
+_LARGE = 128
 
 
 class Scheme(NamedTuple):
@@ -328,24 +332,72 @@ def _group_starts(table: pa.Table) -> np.ndarray:
     return np.flatnonzero(changed)
 
 
-def _candidates(table: pa.Table, starts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Rows of a group to compare, some 100,000 pairs at a time; small groups together."""
-    ends = np.append(starts[1:], table.num_rows)
-    sizes = ends - starts
+def _candidates(
+    starts: np.ndarray, symbols: np.ndarray, number: np.ndarray, scheme: Scheme
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows of a group to compare, some 100,000 pairs at a time; small groups together.
+
+    Of large groups only the pairs that ``_agreeing`` cannot rule out, if those are fewer.
+    """
+    sizes = np.append(starts[1:], len(symbols)) - starts
     for size in np.unique(sizes):
         if size < 2:
             continue
         own = starts[sizes == size]
-        first, second = np.triu_indices(size, 1)
-        if len(first) <= 1 << 12:
+        if size < _LARGE:
+            first, second = np.triu_indices(size, 1)
             step = max(1, (1 << 17) // len(first))
             for i in range(0, len(own), step):
                 base = own[i : i + step, None]
                 yield (base + first).ravel(), (base + second).ravel()
-        else:
-            for base in own:
-                for i in range(0, len(first), 1 << 17):
-                    yield base + first[i : i + (1 << 17)], base + second[i : i + (1 << 17)]
+            continue
+        for base in own:
+            chunk = int(number[base]) // comb(scheme.width, scheme.errors)
+            pairs = _agreeing(symbols[base : base + size], chunk, scheme)
+            first, second = np.triu_indices(size, 1) if pairs is None else pairs
+            for i in range(0, len(first), 1 << 17):
+                yield base + first[i : i + (1 << 17)], base + second[i : i + (1 << 17)]
+
+
+def _agreeing(
+    symbols: np.ndarray, chunk: int, scheme: Scheme
+) -> tuple[np.ndarray, np.ndarray] | None:
+    """Pairs of rows that may differ in ``most_errors`` symbols at most; None for any pair.
+
+    All rows share a key of ``chunk``. A pair worth confirming agrees in so many symbols
+    outside of it that, by the pigeonhole principle, some other chunk has ``least`` of them.
+    So rows that are equal in some ``least`` places of a chunk are the only ones to compare.
+    """
+    size, others = len(symbols), scheme.chunks - 1
+    agree = others * scheme.width - scheme.most_errors
+    least = min(4, -(-agree // others)) if others and agree > 0 else 0
+    if least < 2:
+        return None
+    codes, orders, total = [], [], 0
+    for other in range(scheme.chunks):
+        if other == chunk:
+            continue
+        for places in combinations(range(scheme.width), least):
+            code = np.zeros(size, np.int64)
+            for place in places:
+                code = code << 16 | symbols[:, other * scheme.width + place].view(np.uint16)
+            order = np.argsort(code, kind="stable")
+            code = code[order]
+            cuts = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1], [True]]))
+            held = np.diff(cuts)
+            total += int((held * (held - 1) // 2).sum())
+            if total * 2 >= size * (size - 1):
+                return None
+            codes.append(code)
+            orders.append(order)
+    found = [np.zeros(0, np.int64)]
+    for code, order in zip(codes, orders):
+        at, step = np.arange(size), 1
+        while len(at := at[at + step < size]) and len(at := at[code[at] == code[at + step]]):
+            one, two = order[at], order[at + step]
+            found.append(np.minimum(one, two) * size + np.maximum(one, two))
+            step += 1
+    return np.divmod(np.unique(np.concatenate(found)), size)
 
 
 def _first_shared(equal: np.ndarray, scheme: Scheme) -> np.ndarray:
@@ -368,7 +420,7 @@ def _due(
     symbols = table["symbols"].combine_chunks().flatten().to_numpy()
     symbols = symbols.reshape(table.num_rows, -1)
     number = column["key"] & (_NUMBERS - 1)
-    for x, y in _candidates(table, starts):
+    for x, y in _candidates(starts, symbols, number, scheme):
         across = column["low"][x] != column["high"][x]  # two blocks: only pairs across them
         due = (column["label"][x] != column["label"][y]) & (
             ~across | (column["part"][x] != column["part"][y])
