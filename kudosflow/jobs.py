@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import argparse
 import sys
+import zlib
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -34,7 +35,6 @@ CHECKIN_COUNTS = "checkin_count_business"
 ENGAGED_USERS = "engaged_users"
 TOP_RATED = "top_rated_business"
 REVIEWS = "user_review"
-REVIEWS_BY_USER = "user_review_by_user"
 BEST_REVIEWS = "useful_reviews_five_stars_business"
 REVIEWED = "top_rated_business_reviewed_by_engaged_users"
 
@@ -87,6 +87,11 @@ class Lake:
         named = {"user": schemas.USER, "business": schemas.BUSINESS}
         self.bronze_schemas = named | (bronze_schemas or {})
 
+    @property
+    def reviews_by_user(self) -> str:
+        """The catalog's name of the reviews in buckets; other lakes have other ones."""
+        return f"{REVIEWS}_by_user_{zlib.crc32(self.root.encode()):08x}"
+
     @property
     def layout(self) -> dict[str, bool]:
         """How partitioned tables are written."""
@@ -136,15 +141,17 @@ def cleaned_reviews(lake: Lake) -> None:
     cleaned = silver.cleaned_reviews(lake.bronze("review"))
     path = lake.path("silver", REVIEWS)
     if lake.review_buckets:
-        buckets = lake.review_buckets
-        overwrite_bucketed(cleaned, REVIEWS_BY_USER, path, "stars", "user_id", buckets)
+        name, buckets = lake.reviews_by_user, lake.review_buckets
+        overwrite_bucketed(cleaned, name, path, "stars", "user_id", buckets)
     else:
+        # The files stay; a layout that they will not have is forgotten.
+        lake.spark.sql(f"DROP TABLE IF EXISTS {lake.reviews_by_user}")
         overwrite_merging_schema(cleaned, path, "stars", **lake.layout)
 
 
 def _silver_tables(lake: Lake) -> tuple[DataFrame, DataFrame, DataFrame]:
-    if lake.review_buckets and lake.spark.catalog.tableExists(REVIEWS_BY_USER):
-        reviews = lake.spark.table(REVIEWS_BY_USER).select(*schemas.CLEANED_REVIEWS.names)
+    if lake.review_buckets and lake.spark.catalog.tableExists(lake.reviews_by_user):
+        reviews = lake.spark.table(lake.reviews_by_user).select(*schemas.CLEANED_REVIEWS.names)
     else:  # a catalog that forgot the buckets: the same files by their path
         reviews = lake.silver(REVIEWS, schemas.CLEANED_REVIEWS)
     return (

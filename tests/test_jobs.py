@@ -181,6 +181,28 @@ def test_order_and_partitioning_of_the_input_do_not_matter(lake, rows_of):
         assert rows_of(gold.reviewed_by_engaged(*mixed)) == reviewed
 
 
+def test_reviews_in_buckets_give_the_same_answers(lake, spark, rows_of):
+    inputs = {name: lake.path("bronze", f"{name}.json") for name in ("user", "business", "review")}
+    root = f"{lake.root}/buckets"
+    own = jobs.Lake(spark, root, inputs=inputs, review_buckets=4)
+    first = ["engaged_users", "top_rated_businesses", "cleaned_reviews"]
+    for name in [*first, "cleaned_reviews"]:  # the reviews once more over themselves
+        jobs.JOBS[name](own)
+    try:
+        assert spark.catalog.tableExists(own.reviews_by_user)
+        reviews = own.silver(jobs.REVIEWS, schemas.CLEANED_REVIEWS)
+        assert rows_of(reviews) == rows_of(lake.silver(jobs.REVIEWS, schemas.CLEANED_REVIEWS))
+        for answer in (gold.best_reviews, gold.reviewed_by_engaged):
+            for limits in (Limits(), Limits(broadcast_bytes=0), Limits(broadcast_bytes=-1)):
+                found = answer(*jobs._silver_tables(own), limits=limits)
+                assert rows_of(found) == rows_of(answer(*jobs._silver_tables(lake)))
+    finally:
+        jobs.cleaned_reviews(jobs.Lake(spark, root, inputs=inputs))
+    assert not spark.catalog.tableExists(own.reviews_by_user)
+    found = gold.best_reviews(*jobs._silver_tables(own))  # without the catalog, by path
+    assert rows_of(found) == rows_of(gold.best_reviews(*jobs._silver_tables(lake)))
+
+
 def test_sql_answer(lake, spark, rows_of):
     view = gold.reviewed_ids_view(spark, *jobs._silver_tables(lake))
     assert view.columns == ["business_id"]
