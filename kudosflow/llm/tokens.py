@@ -4,19 +4,28 @@ from __future__ import annotations
 
 import json
 import os
-from collections.abc import Iterable
+import re
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import xxhash
 
-#: Distinct words whose ids a worker keeps, the first it meets: under 200 MB.
-MOST_WORDS = 2_000_000
+#: Distinct words whose ids a worker keeps, the first it meets, and all their ids: under 75 MB.
+MOST_WORDS = 1_000_000
+MOST_IDS = 8_000_000
+#: Bytes of texts whose words are looked up together, which takes about 40 times as much memory.
+BLOCK_BYTES = 1 << 19
+#: Words that the tokenizer gets at once.
+_WORDS_AT_ONCE = 2048
 #: Bytes of a word that are hashed by place; longer words are hashed as a whole.
 _PLACES = 64
 _LETTER, _SIGN, _SPACE = 1, 2, 3
-_INDEX_BITS = 22
+_INDEX_BITS = 21
 _INDEX_MASK = np.uint64((1 << _INDEX_BITS) - 1)
 _INDEX_SHIFTS = np.uint64(64 - _INDEX_BITS), np.uint64(64 - 2 * _INDEX_BITS)
+#: Low bits of an entry's third number, which hold how many ids a word has.
+_COUNT_BITS = 31
+_SPACES = re.compile(rb"[\t-\r ]")
 
 
 def read_tokenizer(path: str) -> str:
@@ -54,8 +63,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         config = json.loads(tokenizer_json)
-        self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.by_word = _by_word(config)
+        suffix = config["model"].get("end_of_word_suffix")
+        del config  # tens of MB, before the tokenizer takes as much
+        self.tokenizer = Tokenizer.from_str(tokenizer_json)
         kinds = np.zeros(256, np.uint8)
         kinds[list(range(ord("a"), ord("z") + 1))] = _LETTER
         kinds[[c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'"]] = _SIGN
@@ -65,20 +76,21 @@ class Encoder:
         factors = np.random.default_rng(41).integers(1, 1 << 63, (_PLACES, 1), dtype=np.uint64)
         odd = factors * np.uint64(2) + np.uint64(1)
         self.terms = (odd * np.arange(1, 257, dtype=np.uint64)).ravel()
-        suffix = config["model"].get("end_of_word_suffix")
-        size = self.tokenizer.get_vocab_size()
+        vocabulary = self.tokenizer.get_vocab()
+        size = max(vocabulary.values(), default=-1) + 1
         self.ends = np.zeros(size, bool)
         if suffix:
-            vocabulary = self.tokenizer.get_vocab()
             self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
-        # Known words: hash, check and where their ids lie in the pool; the first is none.
+        # Known words: hash, check and where their ids lie in the pool and how many they are;
+        # the first is none. Memory is taken as it is filled, so nothing is copied to grow.
         # A word is found by either of two stretches of its hash, and one that finds both
         # places taken is encoded whenever it comes, so that the words that came first stay.
         self.index = np.zeros((2, 1 << _INDEX_BITS), np.int32)
         self.known = 1
         # All of a word lies side by side, so that looking it up touches little memory.
-        self.entries = np.zeros((1 << 16, 4), np.int64)
-        self.pool, self.pooled = np.zeros(1 << 18, np.uint32), 0
+        self.entries = np.zeros((MOST_WORDS + 1, 3), np.int64)
+        kind = np.uint16 if size <= 1 << 16 else np.uint32
+        self.pool, self.pooled = np.zeros(MOST_IDS + BLOCK_BYTES, kind), 0
 
     def _encoded(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -92,8 +104,8 @@ class Encoder:
         begins, sizes = np.zeros((2, len(words)), np.int64)
         done = np.zeros(len(words), bool)
         out, total = [], 0
-        for at in range(0, len(plain) if self.ends.any() else 0, 2048):
-            own = plain[at : at + 2048]
+        for at in range(0, len(plain) if self.ends.any() else 0, _WORDS_AT_ONCE):
+            own = plain[at : at + _WORDS_AT_ONCE]
             ids = self._encoded([" ".join([words[i] for i in own])])[0]
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) == len(own) and cuts[-1] == len(ids):
@@ -103,10 +115,12 @@ class Encoder:
                 out.append(ids)
                 total += len(ids)
         rest = np.flatnonzero(~done)
-        for i, ids in zip(rest, self._encoded([words[i] for i in rest])):
-            begins[i], sizes[i] = total, len(ids)
-            out.append(ids)
-            total += len(ids)
+        for at in range(0, len(rest), _WORDS_AT_ONCE):
+            own = rest[at : at + _WORDS_AT_ONCE]
+            for i, ids in zip(own, self._encoded([words[i] for i in own])):
+                begins[i], sizes[i] = total, len(ids)
+                out.append(ids)
+                total += len(ids)
         return np.concatenate(out), begins, sizes
 
     def _hashes(self, raw, solid, starts, lengths) -> tuple[np.ndarray, np.ndarray]:
@@ -125,13 +139,15 @@ class Encoder:
         raws = [(text or "").encode("utf-8", "replace") for text in texts]
         # A special token is told by its case and place, so its text is encoded whole.
         whole = [i for i, raw in enumerate(raws) if b"<|" in raw or not self.by_word]
-        texts = [raws[i].decode("utf-8") for i in whole]
+        out = [b""] * len(raws)
         for i in whole:
+            out[i] = self._encoded([raws[i].decode("utf-8")])[0].astype("<u4").tobytes()
             raws[i] = b""
-        out = self._many(raws) if self.by_word else raws
-        for i, found in zip(whole, self._encoded(texts)):
-            out[i] = found.astype("<u4").tobytes()
-        return out
+        parts: list[list[bytes]] = [[] for _ in raws]
+        for block in _blocks(raws):
+            for (i, _), found in zip(block, self._many([part for _, part in block])):
+                parts[i].append(found)
+        return [b"".join(found) or out[i] for i, found in enumerate(parts)]
 
     def _many(self, raws: list[bytes]) -> list[bytes]:
         raw = np.frombuffer(b"\n".join([*raws, b""]).lower(), np.uint8)
@@ -170,7 +186,7 @@ class Encoder:
         again = self.entries.take(self._slots(keys[missed], 1), axis=0)
         there = ~self._other(again, keys[missed], checks[missed])
         found[missed[there]], missed = again[there], missed[~there]
-        places, counts = found[:, 2].copy(), found[:, 3].copy()
+        places, counts = found[:, 2] >> _COUNT_BITS, found[:, 2] & ((1 << _COUNT_BITS) - 1)
         if not len(missed):
             return places, counts
         _, first, word = np.unique(keys[missed], return_index=True, return_inverse=True)
@@ -183,7 +199,8 @@ class Encoder:
         self.pool = _grown(self.pool, end)
         self.pool[self.pooled : end] = ids
         places[missed], counts[missed] = begins[word], sizes[word]
-        if self.known + len(new) <= MOST_WORDS:  # else these ids are written over next time
+        # Else these ids are written over next time.
+        if self.known + len(new) <= len(self.entries) and end <= MOST_IDS:
             self._keep(keys[new], checks[new], begins, sizes)
             self.pooled = end
         return places, counts
@@ -201,8 +218,8 @@ class Encoder:
     def _keep(self, keys, checks, begins, sizes) -> None:
         entry = np.arange(self.known, self.known + len(keys), dtype=np.int32)
         self.known += len(keys)
-        self.entries = _grown(self.entries, self.known)
-        self.entries[entry] = np.stack([keys.view(np.int64), checks, begins, sizes], axis=1)
+        found = begins << _COUNT_BITS | sizes
+        self.entries[entry] = np.stack([keys.view(np.int64), checks, found], axis=1)
         for index, shift in zip(self.index, _INDEX_SHIFTS):
             slot = ((keys >> shift) & _INDEX_MASK).view(np.int64)
             free = index[slot] == 0
@@ -215,8 +232,25 @@ def _grown(array: np.ndarray, size: int) -> np.ndarray:
     """The array, or a longer one that starts with it, of at least ``size``."""
     if size <= len(array):
         return array
-    more = max(size, 2 * len(array)) - len(array)
-    return np.concatenate([array, np.zeros((more, *array.shape[1:]), array.dtype)])
+    return np.concatenate([array, np.zeros(size - len(array), array.dtype)])
+
+
+def _blocks(raws: list[bytes]) -> Iterator[list[tuple[int, bytes]]]:
+    """Numbered texts in lists of about BLOCK_BYTES; a text is cut at white space only."""
+    block, room = [], BLOCK_BYTES
+    for number, raw in enumerate(raws):
+        at = 0
+        while at < len(raw):
+            space = _SPACES.search(raw, at + room)
+            end = space.start() if space else len(raw)
+            block.append((number, raw[at:end]))
+            room -= end - at
+            at = end
+            if room <= 0:
+                yield block
+                block, room = [], BLOCK_BYTES
+    if block:
+        yield block
 
 
 def kept_encoder(holder: dict) -> Encoder:

@@ -1,5 +1,7 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables, clashing columns."""
 
+import tracemalloc
+
 import numpy as np
 import public_tokenizers
 import pytest
@@ -16,6 +18,7 @@ from kudosflow.llm import (
     quality_rules,
     sharding,
     token_files,
+    tokens,
     url_rules,
 )
 from kudosflow.llm.common import cutoffs, running_sum
@@ -460,6 +463,40 @@ def test_words_one_by_one_give_the_ids_of_the_text(tokenizer):
     assert [np.frombuffer(x, "<u4").tolist() for x in encoder.ids(texts)] == wanted
 
 
+def test_texts_cut_at_white_space_give_the_same_ids(tokenizer, monkeypatch):
+    monkeypatch.setattr(tokens, "BLOCK_BYTES", 7)
+    plain, encoder = Tokenizer.from_str(tokenizer), Encoder(tokenizer)
+    texts = ["", " \t ", None, "a  \n b!c", PASSAGE, "É́ ＡＢ\u00a0Straße \u0301 x", "<|endoftext|> a", "x" * 40, "ab"]
+    wanted = [plain.encode(text or "", add_special_tokens=False).ids for text in texts]
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.ids(texts)] == wanted
+
+
+def test_the_ids_that_an_encoder_keeps_have_a_bound(tokenizer, monkeypatch):
+    monkeypatch.setattr(tokens, "MOST_IDS", 60)
+    monkeypatch.setattr(tokens, "BLOCK_BYTES", 100)
+    plain, encoder = Tokenizer.from_str(tokenizer), Encoder(tokenizer)
+    texts = [" ".join(f"{word}{n}" for word in WORDS) for n in range(12)] + ["z9" * 300]
+    wanted = [plain.encode(text, add_special_tokens=False).ids for text in texts]
+    for _ in range(2):  # words that are kept and words that are not
+        assert [np.frombuffer(x, "<u4").tolist() for x in encoder.ids(texts)] == wanted
+    assert 0 < encoder.pooled <= 60
+
+
+def test_memory_of_an_encoder_does_not_grow_with_the_texts(tokenizer):
+    encoder, text = Encoder(tokenizer), LONG[:100_000]
+    encoder.ids([text])
+
+    def taken(texts):
+        tracemalloc.start()
+        found = encoder.ids(texts)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return (peak - sum(map(len, found))) / 2**20
+
+    assert taken([text] * 40) < 40  # 4 MB of texts, and the same of one text
+    assert taken([" ".join([text] * 40)]) < 40
+
+
 def test_languages(spark, odd, nothing):
     labelled = spark.createDataFrame(
         [
